@@ -10,7 +10,13 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import StringIndexer, StringIndexerModel, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import (
+    SQLTransformer,
+    StringIndexer,
+    StringIndexerModel,
+    TargetEncoder,
+    VectorAssembler,
+)
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -69,7 +75,10 @@ def native_features(
                 smoothing=1.0,
             )
             stages.append(encoder.fit(indexer.transform(train)))
-            inputs += [f"_{c}_mean" for c in wide]
+            # The encoded mean still carries the category's metadata; as a sum it is a plain number.
+            plain = ", ".join(f"`_{c}_mean` + 0.0D AS `_{c}_level`" for c in wide)
+            stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
+            inputs += [f"_{c}_level" for c in wide]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     return PipelineModel(stages)
 
@@ -78,7 +87,7 @@ def slots_of(features: PipelineModel) -> list[str]:
     """Source column of each slot of the feature vector built by ``native_features``."""
     names = features.stages[-1].getInputCols()
     sources = [c for s in features.stages if isinstance(s, StringIndexerModel) for c in s.getInputCols()]
-    back = {f"_{c}{end}": c for c in sources for end in ("_index", "_mean")}
+    back = {f"_{c}{end}": c for c in sources for end in ("_index", "_level")}
     return [back.get(n, n) for n in names]
 
 

@@ -9,6 +9,7 @@ from bindings.cleaning import INGEST_SQL
 from featureflow.operators import drift, quality
 from featureflow.plans.monitor import drift_report, drifted_sample
 from featureflow.plans.prepare import ingest
+from featureflow.session import spread
 
 QUERIES = {}
 
@@ -330,7 +331,7 @@ def rounded_report(report):
 
 
 def drift_inputs(spark, sf):
-    orders = table(spark, sf, "orders")
+    orders = spread(table(spark, sf, "orders"))
     month = F.month("o_orderdate").cast("double")
     reference = orders.select(
         F.col("o_orderkey").alias("record_id"),

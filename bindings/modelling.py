@@ -8,7 +8,8 @@ from bindings.common import reviews, table
 from featureflow.operators import model, select
 from featureflow.operators.split import split_random, train_test_parts
 from featureflow.plans.prepare import engineer_features, ingest, model_table, preprocess
-from featureflow.session import scratch_path
+from featureflow.session import scratch_path, spread
+from featureflow.sources.tables import Tables
 
 QUERIES = {}
 
@@ -26,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 def line_features(spark, sf):
     """Line items with an order-independent row id; the target is the price."""
-    lines = table(spark, sf, "lineitem")
+    lines = spread(table(spark, sf, "lineitem"))
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     return (
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -48,7 +49,7 @@ def order_features(spark, sf):
     """Orders with their customer: mixed kinds of features, dense row id, the total as target."""
     customers = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     return (
-        table(spark, sf, "orders")
+        spread(table(spark, sf, "orders"))
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.col("o_orderkey").alias("row_id"),
@@ -62,8 +63,14 @@ def order_features(spark, sf):
     )
 
 
+def stored(df):
+    """The feature table written once to the shared folder: every later pass reads it from there."""
+    spark = df.sparkSession
+    return Tables(spark, scratch_path(spark, "features"), {"04_feature": ["features"]}).save("features", df)
+
+
 def parts_of(df):
-    return train_test_parts(df, "row_id")
+    return train_test_parts(stored(df), "row_id")
 
 
 @query("ml1_score_candidates")
@@ -92,24 +99,24 @@ def _(spark, sf):
 
 @query("ml4_importance_boosted")
 def _(spark, sf):
-    return select.importance_table(order_features(spark, sf), "price", "boosted", LIGHT)
+    return select.importance_table(stored(order_features(spark, sf)), "price", "boosted", LIGHT)
 
 
 @query("ml4_importance_forest")
 def _(spark, sf):
     settings = {"maxDepth": 6, "numTrees": 5}
-    return select.importance_table(order_features(spark, sf), "price", "tree_based", settings)
+    return select.importance_table(stored(order_features(spark, sf)), "price", "tree_based", settings)
 
 
 @query("ml4_recursive_elimination")
 def _(spark, sf):
-    kept = select.select_features(order_features(spark, sf), "price", "rfe", {"maxIter": 2, "maxDepth": 3})
+    kept = select.select_features(stored(order_features(spark, sf)), "price", "rfe", {"maxIter": 2, "maxDepth": 3})
     return spark.createDataFrame([(c,) for c in kept], "feature string")
 
 
 @query("srt4_top_features")
 def _(spark, sf):
-    return select.top_features(select.importance_table(order_features(spark, sf), "price", "boosted", LIGHT), 3)
+    return select.top_features(select.importance_table(stored(order_features(spark, sf)), "price", "boosted", LIGHT), 3)
 
 
 @query("ml5_train_model")
@@ -122,7 +129,7 @@ def _(spark, sf):
 
 
 def scored_orders(spark, sf):
-    train, batch = split_random(order_features(spark, sf))
+    train, batch = split_random(stored(order_features(spark, sf)))
     fitted = model.Candidate("native", "native", LIGHT).fit(train, "price")
     return model.predict_and_describe(batch, fitted, ["balance", "month", "status", "priority", "segment"])
 
@@ -139,7 +146,7 @@ def _(spark, sf):
 
 @query("ml7_permutation_importance")
 def _(spark, sf):
-    df = order_features(spark, sf)
+    df = stored(order_features(spark, sf))
     fitted = model.Candidate("native", "native", LIGHT).fit(df, "price")
     return select.permutation_importance(df, fitted, ["balance", "month", "status", "priority", "segment"], "price")
 
@@ -156,7 +163,7 @@ def _(spark, sf):
 
 @query("snk4_saved_model")
 def _(spark, sf):
-    train, batch = split_random(order_features(spark, sf))
+    train, batch = split_random(stored(order_features(spark, sf)))
     fitted = model.Candidate("native", "native", LIGHT).fit(train, "price")
     path = scratch_path(spark, "model")
     model.save_model(fitted, ["balance", "month", "status", "priority", "segment"], path, spark)
@@ -169,7 +176,7 @@ def _(spark, sf):
 
 @query("reviews_to_scores")
 def _(spark, sf):
-    features = model_table(engineer_features(preprocess(ingest(reviews(spark, sf)))))
+    features = stored(model_table(engineer_features(preprocess(ingest(reviews(spark, sf))))))
     train, batch = split_random(features)
     fitted = model.Candidate("native", "native", LIGHT).fit(train, "price")
     return model.predict(batch, fitted, ["country", "points", "region_1", "taster_name", "points_category", "wine_subtype"])

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindings.common import GAPPY_EVENTS_SQL, gappy_events, quoted, rounded, sql_case, sql_squash, table
+from bindings.common import GAPPY_EVENTS_SQL, gappy_events, quoted, rounded, spread_table, sql_case, sql_squash, table
 from featureflow.functions import rules
 from featureflow.functions.scalar import bucket_points
 from featureflow.operators import profile
 from featureflow.operators.association import cramers_v_matrix
 from featureflow.operators.clean import drop_missing
+from featureflow.session import spread
 
 QUERIES = {}
 
@@ -97,7 +98,7 @@ def describe_sql(source: str, columns: list[str]) -> str:
 @query("agg6_describe", describe_sql("SELECT * FROM lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]))
 def _(spark, sf):
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]
-    return rounded(profile.describe(table(spark, sf, "lineitem"), names), *names, digits=4)
+    return rounded(profile.describe(spread_table(spark, sf, "lineitem", *names), names), *names, digits=4)
 
 
 @query("agg6_describe_with_nulls", describe_sql(GAPPY_EVENTS_SQL, ["value", "user_id"]))
@@ -160,7 +161,7 @@ def spearman_sql(names: list[str], source: str) -> str:
 @query("agg8_spearman", spearman_sql(["l_quantity", "l_extendedprice", "l_discount"], "lineitem"))
 def _(spark, sf):
     names = ["l_quantity", "l_extendedprice", "l_discount"]
-    return rounded(profile.spearman_matrix(table(spark, sf, "lineitem"), names), "correlation")
+    return rounded(profile.spearman_matrix(spread_table(spark, sf, "lineitem", *names), names), "correlation")
 
 
 @query(
@@ -209,7 +210,7 @@ CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linestatus = 'O' AND l_tax < 0.04 TH
 )
 def _(spark, sf):
     return cramers_v_matrix(
-        spark.sql(CATEGORICAL_LINES_SQL.replace("FROM lineitem", "FROM {l}"), l=table(spark, sf, "lineitem"))
+        spark.sql(CATEGORICAL_LINES_SQL.replace("FROM lineitem", "FROM {l}"), l=spread(table(spark, sf, "lineitem")))
     )
 
 

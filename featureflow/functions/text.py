@@ -96,27 +96,24 @@ class Hint:
 def suggest(col: Column, hints: Sequence[Hint]) -> Column:
     """``struct(label, confidence, reason)`` from the first group with a match.
 
-    Within a group the first term in list order is the one named in the reason.
+    Within a group the first term in list order is the one named in the reason. One conditional finds
+    the number of the first matching term; the three fields are looked up by that number.
     """
-
-    def verdict(label, confidence, reason) -> Column:
-        return F.struct(
-            F.lit(label).alias("label"),
-            F.lit(confidence).cast("double").alias("confidence"),
-            reason.alias("reason"),
-        )
-
     text = F.lower(col)
-    options = []
-    for hint in hints:
-        # Which term it was is looked up only where one is known to occur.
-        named = F.filter(F.array(*[F.lit(t) for t in hint.terms]), lambda t: F.contains(text, t))
-        reason = F.lit(hint.reason)
-        if hint.name_term:
-            reason = F.concat(F.lit(f"{hint.reason}: "), F.get(named, 0))
-        options.append(
-            F.when(contains_any(text, hint.terms), verdict(hint.label, hint.confidence, reason))
-        )
-    unmatched = verdict("other", 0.2, F.lit("No identifiable pattern"))
-    missing = verdict("other", 0.0, F.lit("Not a string"))
-    return F.when(col.isNull(), missing).otherwise(F.coalesce(*options, unmatched))
+    verdicts = [
+        (hint.label, hint.confidence, f"{hint.reason}: {term}" if hint.name_term else hint.reason)
+        for hint in hints
+        for term in hint.terms
+    ]
+    terms = [term for hint in hints for term in hint.terms]
+    number = F.when(col.isNull(), len(terms))
+    for i, term in enumerate(terms):
+        number = number.when(F.contains(text, F.lit(term)), i)
+    number = number.otherwise(len(terms) + 1)
+    verdicts += [("other", 0.0, "Not a string"), ("other", 0.2, "No identifiable pattern")]
+    labels, confidences, reasons = (F.array(*[F.lit(v) for v in field]) for field in zip(*verdicts))
+    return F.struct(
+        F.get(labels, number).alias("label"),
+        F.get(confidences, number).alias("confidence"),
+        F.get(reasons, number).alias("reason"),
+    )

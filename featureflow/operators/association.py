@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featureflow.functions.scalar import round_2dp
+from featureflow.operators.order import non_null
+
+
+# Combinations must repeat this often on average to be worth counting first.
+REPEATS = 10
 
 
 def cramers_v_matrix(
@@ -20,8 +25,7 @@ def cramers_v_matrix(
 ) -> DataFrame:
     """(column_a, column_b, cramers_v) for every ordered pair, rounded to two decimals.
 
-    All pairs are counted in one pass: each row gives one small struct per pair, counted map-side
-    into (pair, a, b) cells. The chi-square sum uses observed cells only, because empty cells add
+    All pairs are counted in one pass into (pair, a, b) cells, with map-side counting. The chi-square sum uses observed cells only, because empty cells add
     exactly what the marginals already say; 2 x 2 tables get the continuity correction.
     Uses all rows; ``limit`` (by ``row_id``) restricts it to the first ones.
     """
@@ -34,22 +38,21 @@ def cramers_v_matrix(
     )
     if not pairs:
         return diagonal
+    labels = used.select(*[F.col(c).cast("string").alias(c) for c in names])
+    counted = labels.withColumn("n", F.lit(1))
+    sizes = labels.agg(
+        F.count("*").alias("rows"), F.approx_count_distinct(F.struct(*names)).alias("combinations")
+    ).first()
+    if sizes["combinations"] * REPEATS <= sizes["rows"]:
+        # Few combinations: count them first, so that only they are taken apart into pairs.
+        counted = labels.groupBy(*names).agg(F.count("*").alias("n"))
     structs = [
-        F.when(
-            F.col(a).isNotNull() & F.col(b).isNotNull(),
-            F.struct(
-                F.lit(i).alias("pair"),
-                F.col(a).cast("string").alias("a"),
-                F.col(b).cast("string").alias("b"),
-            ),
-        )
+        F.struct(F.lit(i).alias("pair"), F.col(a).alias("a"), F.col(b).alias("b"))
         for i, (a, b) in enumerate(pairs)
     ]
-    cells = (
-        used.select(F.explode(F.array_compact(F.array(*structs))).alias("cell"))
-        .groupBy("cell.pair", "cell.a", "cell.b")
-        .agg(F.count("*").alias("o"))
-    )
+    # Both labels are non-null from here on, so that every later use shares one computed shuffle.
+    apart = counted.select("n", F.explode(F.array(*structs)).alias("cell")).select("n", "cell.*")
+    cells = non_null(apart, ["pair", "a", "b"]).groupBy("pair", "a", "b").agg(F.sum("n").alias("o"))
     rows = cells.groupBy("pair", "a").agg(F.sum("o").alias("row_total"))
     cols = cells.groupBy("pair", "b").agg(F.sum("o").alias("col_total"))
     row_side = rows.groupBy("pair").agg(

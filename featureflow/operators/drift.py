@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from featureflow.functions.keyed import standard_normal
 from featureflow.functions.scalar import clip
 from featureflow.operators.clean import nulls_for_nans
-from featureflow.operators.order import number_rows, running_total, value_ranges
+from featureflow.operators.order import ONE_TASK, non_null, place_rows, running_total, value_ranges
 from featureflow.operators.profile import equal_width_bin, mean_and_std
 from featureflow.schemas import numeric_columns
+from featureflow.session import shared_folder
 
 # A numeric column with at most this many values, making up at most this share of the
 # rows, is compared value by value; others by histogram.
@@ -25,7 +26,7 @@ JS_UPPER = 0.1
 KS_DEVIATIONS = 3.0
 
 # Chunks up to this size are ranked in one task each; larger ones are split by value range.
-MAX_ROWS_PER_TASK = 1_000_000
+MAX_ROWS_PER_TASK = ONE_TASK
 
 
 def shift_points(
@@ -58,12 +59,11 @@ def with_record_id(df: DataFrame, index: str, name: str = "record_id") -> DataFr
 
 @dataclass(frozen=True)
 class Histogram:
-    """Equal-width bins of a reference column and the share of rows in each."""
+    """Equal-width bins over the range of a reference column."""
 
     low: float
     high: float
     bins: int
-    shares: tuple[float, ...]
 
 
 def doane_bins(rows: int, low: float, high: float, std: float, skewness: float) -> int:
@@ -75,56 +75,53 @@ def doane_bins(rows: int, low: float, high: float, std: float, skewness: float)
     return int(math.ceil((high - low) / width))
 
 
-def reference_histograms(df: DataFrame, features: Sequence[str]) -> dict[str, Histogram]:
-    """Histograms of the numeric features that are treated as continuous; the others are left out."""
-    value = {c: F.col(c).cast("double") for c in features}
-    measures = []
-    for c, v in value.items():
+def period_facts(reference: DataFrame, analysis: DataFrame, record_id: str, numeric: Sequence[str]) -> dict[str, dict]:
+    """Per period: record range, rows, and moments and approximate distinct counts of the numeric features.
+
+    One pass over both tables, two rows of result.
+    """
+    columns = [F.col(record_id), *[F.col(c).cast("double").alias(c) for c in numeric]]
+    both = reference.select(F.lit("reference").alias("period"), *columns).unionAll(
+        analysis.select(F.lit("analysis").alias("period"), *columns)
+    )
+    measures = [F.min(record_id).alias("low"), F.max(record_id).alias("high"), F.count("*").alias("rows")]
+    for c in numeric:
         measures += [
-            F.count(v).alias(f"{c}|n"),
-            F.min(v).alias(f"{c}|low"),
-            F.max(v).alias(f"{c}|high"),
-            F.stddev_pop(v).alias(f"{c}|std"),
-            F.skewness(v).alias(f"{c}|skew"),
+            F.count(c).alias(f"{c}|n"),
+            F.min(c).alias(f"{c}|low"),
+            F.max(c).alias(f"{c}|high"),
+            F.stddev_pop(c).alias(f"{c}|std"),
+            F.skewness(c).alias(f"{c}|skew"),
+            F.approx_count_distinct(c).alias(f"{c}|distinct"),
         ]
-    stats = df.agg(*measures).first().asDict()
-    # Which features are discrete: at most 51 values per feature are ever needed to decide.
-    continuous = {}
-    for c in features:
-        n = stats[f"{c}|n"]
-        if not n:
+    none = {"low": None, "high": None, "rows": 0, **{f"{c}|{k}": 0 for c in numeric for k in ("n", "distinct")}}
+    found = {r["period"]: r.asDict() for r in both.groupBy("period").agg(*measures).collect()}
+    return {period: found.get(period, none) for period in ("reference", "analysis")}
+
+
+def reference_histograms(df: DataFrame, numeric: Sequence[str], facts: Mapping) -> dict[str, Histogram]:
+    """Bins of the numeric features that are treated as continuous; the others are left out."""
+    # An estimate of twice the limit cannot come from a column within it; closer ones are counted.
+    unclear = [c for c in numeric if facts[f"{c}|n"] and facts[f"{c}|distinct"] <= 2 * MAX_DISCRETE_VALUES]
+    exact = {}
+    if unclear:
+        exact = df.agg(*[F.countDistinct(F.col(c).cast("double")).alias(c) for c in unclear]).first().asDict()
+    histograms = {}
+    for c in numeric:
+        n = facts[f"{c}|n"]
+        distinct = exact.get(c, facts[f"{c}|distinct"])
+        if not n or (distinct <= MAX_DISCRETE_VALUES and distinct / n <= MAX_DISCRETE_SHARE):
             continue
-        few = df.select(value[c].alias("v")).where(F.col("v").isNotNull()).distinct()
-        distinct = few.limit(MAX_DISCRETE_VALUES + 1).count()
-        if distinct > MAX_DISCRETE_VALUES or distinct / n > MAX_DISCRETE_SHARE:
-            low, high = stats[f"{c}|low"], stats[f"{c}|high"]
-            bins = doane_bins(n, low, high, stats[f"{c}|std"], stats[f"{c}|skew"] or 0.0)
-            continuous[c] = (low, high, bins) if high > low else (low - 0.5, high + 0.5, 1)
-    if not continuous:
-        return {}
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("c"), equal_width_bin(value[c], low, high, bins).alias("b"))
-            for c, (low, high, bins) in continuous.items()
-        ]
-    )
-    counted = (
-        df.select(F.explode(cells).alias("x")).where("x.b is not null").groupBy("x.c", "x.b").count().collect()
-    )
-    found = {c: [0] * spec[2] for c, spec in continuous.items()}
-    for r in counted:
-        found[r["c"]][r["b"]] = r["count"]
-    return {
-        c: Histogram(low, high, bins, tuple(x / stats[f"{c}|n"] for x in found[c]))
-        for c, (low, high, bins) in continuous.items()
-    }
+        low, high = facts[f"{c}|low"], facts[f"{c}|high"]
+        bins = doane_bins(n, low, high, facts[f"{c}|std"], facts[f"{c}|skew"] or 0.0)
+        histograms[c] = Histogram(low, high, bins) if high > low else Histogram(low - 0.5, high + 0.5, 1)
+    return histograms
 
 
-def chunked(df: DataFrame, order: str, features: Sequence[str], chunk_size: int) -> DataFrame:
-    """Feature columns with the position in record order and the number of the consecutive chunk."""
-    placed = number_rows(df.select(order, *features), order, "position")
-    chunk = F.expr(f"position div {int(chunk_size)}").alias("chunk")
-    return placed.select("position", chunk, *features)
+def chunked(df: DataFrame, order: str, features: Sequence[str], chunk_size: int, facts: Mapping) -> DataFrame:
+    """Feature columns with the number of their chunk of consecutive records."""
+    placed = place_rows(df.select(order, *features), order, facts["low"], facts["high"], facts["rows"])
+    return placed.select(F.expr(f"position div {int(chunk_size)}").alias("chunk"), *features)
 
 
 CHUNK = ["period", "feature", "chunk"]
@@ -137,17 +134,22 @@ def chunk_counts(
     numeric: Sequence[str],
     histograms: Mapping[str, Histogram],
     chunk_size: int,
+    few_values: bool = False,
 ) -> DataFrame:
     """(period, feature, chunk, value, range, bin, n): everything both statistics need, counted once.
 
     ``value`` and its value range belong to numeric features; ``bin`` is the histogram bin, or the
-    value itself for features that are compared value by value.
+    value itself for features that are compared value by value. With ``few_values`` one range is enough.
     """
     kinds = [F.col(c).cast("double" if c in numeric else "string").alias(c) for c in features]
     both = reference.select("chunk", *kinds, F.lit("reference").alias("period")).unionAll(
         analysis.select("chunk", *kinds, F.lit("analysis").alias("period"))
     )
-    ranged = value_ranges(both, list(numeric)) if numeric else both
+    ranged = both
+    if few_values:
+        ranged = both.withColumns({f"_range_{c}": F.lit(0) for c in numeric})
+    elif numeric:
+        ranged = value_ranges(both, list(numeric))
 
     def cell(c: str) -> Column:
         value = F.col(c) if c in numeric else F.lit(None).cast("double")
@@ -165,7 +167,7 @@ def chunk_counts(
     long = (
         ranged.select("period", "chunk", F.explode(F.array(*[cell(c) for c in features])).alias("cell"))
         .select("period", "chunk", "cell.*")
-        .where(F.col("bin").isNotNull())
+        .where(F.col("bin").isNotNull() & F.col("chunk").isNotNull())
     )
     # Chunks of the usual size travel whole: one shuffle serves all the grouping and ranking that
     # follows. Very large chunks are counted map-side first instead.
@@ -174,18 +176,22 @@ def chunk_counts(
     return long.groupBy(*CHUNK, "value", "range", "bin").agg(F.count("*").alias("n"))
 
 
-def ks_by_chunk(counts: DataFrame, chunk_size: int) -> DataFrame:
+def ks_by_chunk(counts: DataFrame, chunk_size: int, few_values: bool = False) -> DataFrame:
     """(period, feature, chunk, ks): largest distance between a chunk's and the reference distribution.
 
     The distance peaks at a value of the chunk, either at it or just below it, so both distribution
     functions are needed at the chunk's own values only, never for a chunk x reference product.
     """
-    counts = counts.where(F.col("value").isNotNull())
+    counts = non_null(counts, [*CHUNK, "value"])
     from_reference = F.when(F.col("period") == "reference", F.col("n")).otherwise(0)
     values = counts.groupBy("feature", "value", "range").agg(F.sum(from_reference).alias("ref_n"))
-    ref = running_total(
-        values, "value", F.col("ref_n"), within=["feature"], range_column="range", name="ref_below"
-    )
+    if few_values:
+        earlier = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        ref = values.withColumn("ref_below", F.coalesce(F.sum("ref_n").over(earlier), F.lit(0)))
+    else:
+        ref = running_total(
+            values, "value", F.col("ref_n"), within=["feature"], range_column="range", name="ref_below"
+        )
     totals = values.groupBy("feature").agg(F.sum("ref_n").alias("ref_total"))
     # One total per monitored feature.
     ref = ref.join(F.broadcast(totals), "feature").select(
@@ -215,7 +221,7 @@ def js_by_chunk(counts: DataFrame) -> DataFrame:
     What the reference never showed counts as one extra bin. Bins a chunk does not hold add half of
     their reference share, so only the chunk's own bins have to be looked at.
     """
-    binned = counts.groupBy(*CHUNK, "bin").agg(F.sum("n").alias("n"))
+    binned = non_null(counts, [*CHUNK, "bin"]).groupBy(*CHUNK, "bin").agg(F.sum("n").alias("n"))
     ref = binned.where(F.col("period") == "reference").groupBy("feature", "bin").agg(F.sum("n").alias("ref_n"))
     totals = ref.groupBy("feature").agg(F.sum("ref_n").alias("ref_total"))
     # One total per monitored feature.
@@ -249,42 +255,56 @@ def detect_univariate_drift(
     """
     reference, analysis = nulls_for_nans(reference), nulls_for_nans(analysis)
     numeric = [c for c in features if c in numeric_columns(reference.schema)]
-    last = reference.agg(F.max(record_id)).first()[0]
-    ref = chunked(reference, record_id, features, chunk_size)
-    ana = chunked(analysis, record_id, features, chunk_size)
-    histograms = reference_histograms(reference, numeric) if numeric else {}
-    counts = chunk_counts(ref, ana, features, numeric, histograms, chunk_size)
-    spans = chunk_spans(ref, ana, int(last) + 1)
+    shared_folder(reference.sparkSession)
+    facts = period_facts(reference, analysis, record_id, numeric)
+    ref_facts, ana_facts = facts["reference"], facts["analysis"]
+    # Sketched counts are a few percent off at most, hence the margin.
+    values = [ref_facts[f"{c}|distinct"] + ana_facts[f"{c}|distinct"] for c in numeric]
+    few_values = all(v * 2 <= ONE_TASK for v in values)
+    counts = chunk_counts(
+        chunked(reference, record_id, features, chunk_size, ref_facts),
+        chunked(analysis, record_id, features, chunk_size, ana_facts),
+        features,
+        numeric,
+        reference_histograms(reference, numeric, ref_facts),
+        chunk_size,
+        few_values,
+    )
+    # Both statistics use the counts several times; in the shared folder they also survive lost executors.
+    counts = counts.checkpoint()
     js = js_by_chunk(counts)
     js = js.withColumn("js_upper", F.lit(float(js_upper))).withColumn("js_alert", F.col("js") > js_upper)
+    js = with_positions(js, chunk_size, ref_facts, ana_facts)
     if not numeric:
-        return js.join(spans, ["period", "chunk"])
-    ks = ks_by_chunk(counts, chunk_size)
+        return js
+    ks = ks_by_chunk(counts, chunk_size, few_values)
     limits = ks.where(F.col("period") == "reference").groupBy("feature").agg(
         F.avg("ks").alias("_mean"), F.stddev_pop("ks").alias("_std")
     )
+    margin = ks_deviations * F.col("_std")
     limits = limits.select(
         "feature",
         # A statistic cannot go below zero, so a limit there is no limit.
-        F.when(F.col("_mean") - ks_deviations * F.col("_std") > 0, F.col("_mean") - ks_deviations * F.col("_std"))
-        .alias("ks_lower"),
-        (F.col("_mean") + ks_deviations * F.col("_std")).alias("ks_upper"),
+        F.when(F.col("_mean") - margin > 0, F.col("_mean") - margin).alias("ks_lower"),
+        (F.col("_mean") + margin).alias("ks_upper"),
     )
     alert = (F.col("ks") > F.col("ks_upper")) | F.coalesce(F.col("ks") < F.col("ks_lower"), F.lit(False))
     # One row of limits per monitored feature.
     ks = ks.join(F.broadcast(limits), "feature").withColumn("ks_alert", alert)
-    return js.join(ks, CHUNK, "left").join(spans, ["period", "chunk"])
-
-
-def chunk_spans(reference: DataFrame, analysis: DataFrame, follow: int) -> DataFrame:
-    """First and last position and rows per chunk; analysis positions continue after the reference."""
-
-    def spans(df: DataFrame, period: str, shift: int) -> DataFrame:
-        return df.groupBy("chunk").agg(
-            F.lit(period).alias("period"),
-            (F.min("position") + shift).alias("start"),
-            (F.max("position") + shift).alias("end"),
-            F.count("*").alias("n_rows"),
-        )
-
-    return spans(reference, "reference", 0).unionByName(spans(analysis, "analysis", follow))
+    return js.join(ks, CHUNK, "left")
+
+
+def with_positions(df: DataFrame, chunk_size: int, reference: Mapping, analysis: Mapping) -> DataFrame:
+    """First and last position and rows of each chunk; analysis positions continue after the reference."""
+    in_reference = F.col("period") == "reference"
+    shift = F.when(in_reference, 0).otherwise((reference["high"] or 0) + 1)
+    rows = F.when(in_reference, reference["rows"]).otherwise(analysis["rows"])
+    first = F.col("chunk") * chunk_size
+    after = F.least(first + chunk_size, rows)
+    return df.withColumns(
+        {
+            "start": (first + shift).cast("long"),
+            "end": (after - 1 + shift).cast("long"),
+            "n_rows": (after - first).cast("long"),
+        }
+    )

@@ -118,7 +118,12 @@ class Candidate:
         shared_folder(train.sparkSession)
         features = self.features(train, target, columns)
         learner = boosted_trees(target, **self.settings)
-        return PipelineModel([*features.stages, learner.fit(features.transform(train))])
+        # The learner passes over its input several times before it keeps its own binned copy.
+        prepared = features.transform(train).select("features", target).persist()
+        try:
+            return PipelineModel([*features.stages, learner.fit(prepared)])
+        finally:
+            prepared.unpersist()
 
 
 CANDIDATES = (Candidate("native", "native"), Candidate("one_hot", "one_hot"))
@@ -170,7 +175,7 @@ def grid_search(
     for name, values in grid.items():
         builder = builder.addGrid(learner.getParam(name), list(values))
     settings = builder.build()
-    folded = contiguous_folds(features.transform(train), row_id).select("features", target, "fold")
+    folded = contiguous_folds(features.transform(train), row_id).select("features", target, "fold").persist()
     validator = CrossValidator(
         estimator=learner,
         estimatorParamMaps=settings,
@@ -185,6 +190,8 @@ def grid_search(
         log.error("grid search failed: %s", problem)
         empty = spark.createDataFrame([], "settings string, mse double, rmse double")
         return candidate.fit(train, target), empty
+    finally:
+        folded.unpersist()
     rows = [
         (json.dumps({p.name: v for p, v in s.items()}, sort_keys=True), float(m), math.sqrt(m))
         for s, m in zip(settings, searched.avgMetrics)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
@@ -15,6 +17,8 @@ from featureflow.session import shared_folder
 
 BINS = 1 << 16
 SMALL = 20_000
+# What one task may sort by itself.
+ONE_TASK = 1_000_000
 MAX_RANGES = 4096
 
 
@@ -46,6 +50,15 @@ def value_ranges(df: DataFrame, columns: Sequence[str], prefix: str = "_range_")
     ).drop(*outputs)
 
 
+def non_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows with a value in every column, as separate conditions.
+
+    Unlike ``dropna``, the optimizer then knows each column to be non-null and adds no filters of its
+    own above joins, so that several uses of one shuffle stay identical and it runs only once.
+    """
+    return df.where(reduce(operator.and_, [F.col(c).isNotNull() for c in columns]))
+
+
 def running_total(
     df: DataFrame,
     value: str,
@@ -65,7 +78,7 @@ def running_total(
         range_column = f"_range_{value}"
         ranged = value_ranges(df, [value])
     keys = [*within, range_column]
-    ranged = ranged.withColumn("_measure", measure)
+    ranged = non_null(ranged.withColumn("_measure", measure), [*keys, value])
     totals = ranged.groupBy(*keys).agg(F.sum("_measure").alias("_total"))
     earlier = Window.partitionBy(*within) if within else Window.partitionBy(F.lit(0))
     earlier = earlier.orderBy(range_column).rowsBetween(Window.unboundedPreceding, -1)
@@ -88,10 +101,16 @@ def number_rows(df: DataFrame, key: str, name: str = "position") -> DataFrame:
     per value range, and each range is about an equal share of the rows, so the work is spread
     whatever the key's distribution is.
     """
-    if isinstance(df.schema[key].dataType, T.IntegralType):
-        span = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")).first()
-        if not span["n"] or span["high"] - span["low"] + 1 == span["n"]:
-            return df.withColumn(name, F.col(key).cast("long") - F.lit(span["low"] or 0))
+    span = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")).first()
+    return place_rows(df, key, span["low"], span["high"], span["n"], name)
+
+
+def place_rows(df: DataFrame, key: str, low, high, n: int, name: str = "position") -> DataFrame:
+    """``number_rows`` when the key's range and the number of rows are known."""
+    if isinstance(df.schema[key].dataType, T.IntegralType) and (not n or high - low + 1 == n):
+        return df.withColumn(name, F.col(key).cast("long") - F.lit(low or 0))
+    if n <= ONE_TASK:
+        return df.withColumn(name, (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(key)) - 1).cast("long"))
     order = df.withColumn("_order", F.col(key).cast("double"))
     ranged = value_ranges(order, ["_order"], prefix="_r").drop("_order")
     counts = ranged.groupBy("_r_order").agg(F.count("*").alias("_n"))
@@ -200,8 +219,6 @@ def exact_cut(
         if high - low == 1:
             raise ValueError(f"more than {SMALL} rows share one key: {row_id} must be unique")
     # The bin holds SMALL rows at most.
-    rows = (
-        keyed.where((F.col("k") >= low) & (F.col("k") < high)).orderBy("k", "r").collect()
-    )
-    edge = rows[wanted - before - 1]
-    return Cut(edge["k"], edge["r"], wanted, total)
+    rows = sorted(tuple(r) for r in keyed.where((F.col("k") >= low) & (F.col("k") < high)).collect())
+    edge_key, edge_row = rows[wanted - before - 1]
+    return Cut(edge_key, edge_row, wanted, total)

@@ -5,15 +5,20 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from featureflow.functions.scalar import round_2dp
-from featureflow.operators.order import running_total, value_ranges
+from featureflow.operators.order import ONE_TASK, non_null, running_total, value_ranges
 from featureflow.schemas import numeric_columns
 
 
+# Quantile sketches are off by at most one in this many rows.
+SKETCH = 10_000
+
+
 def value_counts(df: DataFrame, column: str, ascending: bool = False) -> DataFrame:
     """Rows per non-null value, most frequent first."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).count()
@@ -40,17 +45,9 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approxi
     if approximate:
         row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in names])
         return _unpivot_row(row, names, "n_unique")
-    pairs = _long(df, names, lambda c: F.col(c).cast("string")).where(F.col("value").isNotNull())
-    counts = pairs.distinct().groupBy("column").agg(F.count("*").alias("n_unique"))
-    every = _unpivot_row(df.agg(*[F.lit(0).cast("long").alias(c) for c in names]), names, "_zero")
-    return every.join(counts, "column", "left").select(
-        "column", F.coalesce("n_unique", F.lit(0)).alias("n_unique")
-    )
-
-
-def _long(df: DataFrame, names: Sequence[str], value) -> DataFrame:
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), value(c).alias("value")) for c in names])
-    return df.select(F.explode(cells).alias("cell")).select("cell.column", "cell.value")
+    # One typed distinct count per column: each reads and shuffles its own column only.
+    counts = [df.agg(F.countDistinct(c).alias("n_unique")).select(F.lit(c).alias("column"), "n_unique") for c in names]
+    return reduce(DataFrame.unionAll, counts)
 
 
 def _unpivot_row(row: DataFrame, names: Sequence[str], value: str) -> DataFrame:
@@ -111,98 +108,126 @@ def column_profile(df: DataFrame) -> DataFrame:
     )
 
 
+def numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles, with null for NaN."""
+    return df.select(
+        *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns]
+    )
+
+
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], error: float = 1e-3
+    df: DataFrame,
+    columns: Sequence[str],
+    probabilities: Sequence[float],
+    rows: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of numeric columns, null and NaN left out.
 
-    A built-in exact percentile keeps every distinct value of the column in one task. Here a
-    quantile sketch gives a bracket around each wanted rank; one scan counts what lies below the
-    brackets, and only values inside a bracket (about 4 * error of the rows) are grouped and ranked.
+    The built-in exact percentile keeps every distinct value of a column in one task, so it serves only
+    tables that one task can hold. Beyond that, a quantile sketch brackets each wanted rank, and only
+    values inside the brackets are grouped and ranked.
     """
-    clean = df.select(
-        *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(c) for c in columns]
-    )
-    margin = 2 * error
-    wanted = sorted({min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)} | {0.0, 1.0})
-    sketched = clean.approxQuantile(list(columns), wanted, error)
-    brackets = {}
-    for c, points in zip(columns, sketched):
-        if points:
-            at = dict(zip(wanted, points))
-            brackets[c] = [(at[min(max(p - margin, 0.0), 1.0)], at[min(max(p + margin, 0.0), 1.0)]) for p in probabilities]
-    found = _ranked_in_brackets(clean, brackets, probabilities)
-    missed = {
-        c: [(-math.inf, math.inf)] * len(probabilities) for c in brackets if None in found[c]
-    }
-    if missed:  # a bracket of a very small table can be off by a row: rank the whole column
-        found.update(_ranked_in_brackets(clean, missed, probabilities))
-    return {c: found.get(c, [None] * len(probabilities)) for c in columns}
-
-
-def _ranked_in_brackets(clean: DataFrame, brackets, probabilities) -> dict[str, list[float | None]]:
-    if not brackets:
-        return {}
-    measures = []
-    for c, spans in brackets.items():
-        measures.append(F.count(c).alias(f"{c}|n"))
-        for i, (low, _) in enumerate(spans):
-            measures.append(F.count_if(F.col(c) < low).alias(f"{c}|{i}"))
-    sizes = clean.agg(*measures).first().asDict()
-
-    targets = []
-    for c, spans in brackets.items():
-        for i, (low, high) in enumerate(spans):
-            inside = F.when(
-                (F.col(c) >= low) & (F.col(c) <= high),
-                F.struct(F.lit(f"{c}|{i}").alias("target"), F.col(c).alias("value")),
-            )
-            targets.append(inside)
-    cells = clean.select(F.explode(F.array_compact(F.array(*targets))).alias("cell"))
-    counts = cells.groupBy("cell.target", "cell.value").agg(F.count("*").alias("n"))
-    ranked = running_total(counts, "value", F.col("n"), within=["target"], name="lower")
-    # Of each bracket only the two neighbouring order statistics are kept.
-    picks = None
-    for c, spans in brackets.items():
-        for i, p in enumerate(probabilities):
-            first = math.floor((sizes[f"{c}|n"] - 1) * p) - sizes[f"{c}|{i}"]
-            for rank in (first, first + 1):
-                held = (
-                    (F.col("target") == f"{c}|{i}")
-                    & (F.col("lower") <= rank)
-                    & (F.col("lower") + F.col("n") > rank)
-                )
-                picks = held if picks is None else picks | held
-    rows = ranked.where(picks).select("target", "value", "lower", "n").collect()
-    result: dict[str, list[float | None]] = {}
-    for c, spans in brackets.items():
+    clean = numbers(df, columns)
+    rows = df.count() if rows is None else rows
+    if rows <= ONE_TASK:
+        row = clean.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in columns]).first()
+        return {c: list(row[c]) if row[c] is not None else [None] * len(probabilities) for c in columns}
+    sizes = clean.agg(*[F.count(c).alias(c) for c in columns]).first()
+    wanted = {}
+    for c in columns:
+        for p in probabilities:
+            position = (sizes[c] - 1) * p
+            ranks = {math.floor(position), math.ceil(position)} if sizes[c] else set()
+            wanted.update({(c, rank): None for rank in ranks})
+    found = _order_statistics(clean, {c: sizes[c] for c in columns}, list(wanted))
+    result = {}
+    for c in columns:
         result[c] = []
-        for i, p in enumerate(probabilities):
-            position = (sizes[f"{c}|n"] - 1) * p
-            low_rank = math.floor(position)
-            held = [r for r in rows if r["target"] == f"{c}|{i}"]
-
-            def at(rank):
-                rank -= sizes[f"{c}|{i}"]
-                return next((r["value"] for r in held if r["lower"] <= rank < r["lower"] + r["n"]), None)
-
-            a = at(low_rank)
-            b = a if position == low_rank else at(low_rank + 1)
-            result[c].append(None if a is None or b is None else a + (b - a) * (position - low_rank))
+        for p in probabilities:
+            position = (sizes[c] - 1) * p
+            if not sizes[c]:
+                result[c].append(None)
+                continue
+            a, b = found[(c, math.floor(position))], found[(c, math.ceil(position))]
+            result[c].append(a + (b - a) * (position - math.floor(position)))
     return result
 
 
+def _order_statistics(clean: DataFrame, sizes: Mapping[str, int], wanted: Sequence[tuple[str, int]]) -> dict:
+    """Value at each wanted (column, 0-based rank).
+
+    Every round is two scans, whatever the number of ranks: one for the sketches, one to measure the new
+    brackets. A round shrinks a bracket some 2 500-fold, so one is enough for billions of rows.
+    """
+    low = dict.fromkeys(wanted, -math.inf)
+    high = dict.fromkeys(wanted, math.inf)
+    below = dict.fromkeys(wanted, 0)
+    rows = {t: sizes[t[0]] for t in wanted}
+    values = dict(rows)
+    name = {t: f"{t[0]}|{t[1]}" for t in wanted}
+
+    def inside(t):
+        return F.col(t[0]).between(low[t], high[t])
+
+    pending = [t for t in wanted if values[t] > ONE_TASK]
+    while pending:
+        sketches = []
+        for t in pending:
+            share = (t[1] - below[t]) / rows[t]
+            ends = [max(share - 2 / SKETCH, 0.0), min(share + 2 / SKETCH, 1.0)]
+            sketches.append(F.percentile_approx(F.when(inside(t), F.col(t[0])), ends, SKETCH).alias(name[t]))
+        narrowed = clean.agg(*sketches).first()
+        pending = [t for t in pending if tuple(narrowed[name[t]]) != (low[t], high[t])]
+        for t in pending:
+            low[t], high[t] = narrowed[name[t]]
+        measures = []
+        for t in pending:
+            measures += [
+                F.count_if(F.col(t[0]) < low[t]).alias(f"{name[t]}|below"),
+                F.count_if(inside(t)).alias(f"{name[t]}|rows"),
+                F.approx_count_distinct(F.when(inside(t), F.col(t[0]))).alias(f"{name[t]}|values"),
+            ]
+        if measures:
+            measured = clean.agg(*measures).first()
+            for t in pending:
+                below[t], rows[t], values[t] = (measured[f"{name[t]}|{k}"] for k in ("below", "rows", "values"))
+        pending = [t for t in pending if values[t] > ONE_TASK]
+
+    cells = [
+        F.when(
+            inside(t),
+            F.struct(F.lit(i).alias("target"), F.lit(t[1] - below[t]).alias("rank"), F.col(t[0]).alias("value")),
+        )
+        for i, t in enumerate(wanted)
+    ]
+    counts = (
+        clean.select(F.explode(F.array_compact(F.array(*cells))).alias("cell"))
+        .groupBy("cell.target", "cell.rank", "cell.value")
+        .agg(F.count("*").alias("n"))
+    )
+    if max(values.values()) <= ONE_TASK:
+        earlier = Window.partitionBy("target").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    else:  # hot values at both ends kept a bracket from shrinking
+        ranked = running_total(counts, "value", F.col("n"), within=["target", "rank"])
+    at_rank = ranked.where((F.col("before") <= F.col("rank")) & (F.col("before") + F.col("n") > F.col("rank")))
+    return {wanted[r["target"]]: r["value"] for r in at_rank.collect()}
+
+
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, std (sample), min, 25%, 50%, 75% and max, one row per statistic."""
     names = list(columns or numeric_columns(df.schema))
-    values = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in names}
     moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-    row = df.agg(
-        *[f(v).cast("double").alias(f"{c}|{s}") for c, v in values.items() for s, f in moments.items()]
-    ).first().asDict()
-    quantiles = exact_quantiles(df, names, (0.25, 0.5, 0.75))
+    quartiles = (0.25, 0.5, 0.75)
+    measures = [f(F.col(c)).cast("double").alias(f"{c}|{s}") for c in names for s, f in moments.items()]
+    rows = df.count()
+    small = rows <= ONE_TASK
+    if small:  # everything in one pass
+        measures += [F.percentile(c, list(quartiles)).alias(f"{c}|q") for c in names]
+    row = numbers(df, names).agg(*measures).first().asDict()
+    quantiles = {c: row[f"{c}|q"] for c in names} if small else exact_quantiles(df, names, quartiles, rows)
     for c in names:
-        for label, q in zip(("25%", "50%", "75%"), quantiles[c]):
+        for label, q in zip(("25%", "50%", "75%"), quantiles[c] or (None,) * 3):
             row[f"{c}|{label}"] = q
     order = ("count", "mean", "std", "min", "25%", "50%", "75%", "max")
     lines = [(s, *[row[f"{c}|{s}"] for c in names]) for s in order]
@@ -281,38 +306,29 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     names = list(columns or numeric_columns(df.schema))
     ranged = value_ranges(df.select(*[F.col(c).cast("double").alias(c) for c in names]), names)
 
-    def side(c):
-        return F.struct(F.col(c).alias("v"), F.col(f"_range_{c}").alias("r"))
-
     pairs = list(itertools.combinations(names, 2))
     cells = [
-        F.when(
-            F.col(a).isNotNull() & F.col(b).isNotNull(),
-            F.struct(F.lit(f"{a}|{b}").alias("pair"), side(a).alias("x"), side(b).alias("y")),
+        F.struct(
+            F.lit(f"{a}|{b}").alias("pair"),
+            F.col(a).alias("x"),
+            F.col(f"_range_{a}").alias("x_range"),
+            F.col(b).alias("y"),
+            F.col(f"_range_{b}").alias("y_range"),
         )
         for a, b in pairs
     ]
-    counts = (
-        ranged.select(F.explode(F.array_compact(F.array(*cells))).alias("cell"))
-        .groupBy("cell.pair", "cell.x", "cell.y")
-        .agg(F.count("*").alias("n"))
-    )
+    keys = ["pair", "x", "x_range", "y", "y_range"]
+    counts = ranged.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*")
+    # All keys are non-null from here on, so that every later use shares one computed shuffle.
+    counts = non_null(counts, keys).groupBy(*keys).agg(F.count("*").alias("n"))
 
     def ranks(which: str) -> DataFrame:
-        values = counts.groupBy("pair", which).agg(F.sum("n").alias("n"))
-        values = values.select("pair", f"{which}.v", f"{which}.r", "n")
-        ranked = running_total(values, "v", F.col("n"), within=["pair"], range_column="r")
-        return ranked.select(
-            "pair",
-            F.col("v").alias(f"v{which}"),
-            (F.col("before") + (F.col("n") + 1) / 2).alias(f"rank_{which}"),
-        )
+        values = counts.groupBy("pair", which, f"{which}_range").agg(F.sum("n").alias("n"))
+        ranked = running_total(values, which, F.col("n"), within=["pair"], range_column=f"{which}_range")
+        return ranked.select("pair", which, (F.col("before") + (F.col("n") + 1) / 2).alias(f"rank_{which}"))
 
-    ranked = (
-        counts.select("pair", F.col("x.v").alias("vx"), F.col("y.v").alias("vy"), "n")
-        .join(ranks("x"), ["pair", "vx"])
-        .join(ranks("y"), ["pair", "vy"])
-    )
+    pairs_ranked = counts.select("pair", "x", "y", "n")
+    ranked = pairs_ranked.join(ranks("x"), ["pair", "x"]).join(ranks("y"), ["pair", "y"])
     x, y, n = F.col("rank_x"), F.col("rank_y"), F.col("n")
     sums = ranked.groupBy("pair").agg(
         F.sum(n).alias("n"),
@@ -326,17 +342,16 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     var_x = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
     var_y = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
     rho = F.when((var_x > 0) & (var_y > 0), cov / F.sqrt(var_x * var_y))
-    half = sums.select(
-        F.substring_index("pair", "|", 1).alias("column_a"),
-        F.substring_index("pair", "|", -1).alias("column_b"),
-        rho.alias("correlation"),
+    a, b = F.substring_index("pair", "|", 1), F.substring_index("pair", "|", -1)
+    both = F.array(
+        F.struct(a.alias("column_a"), b.alias("column_b"), rho.alias("correlation")),
+        F.struct(b.alias("column_a"), a.alias("column_b"), rho.alias("correlation")),
     )
-    mirrored = half.select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "correlation")
-    diagonal = df.agg(F.lit(1.0).alias("correlation")).select(
-        F.explode(F.array(*[F.lit(c) for c in names])).alias("column_a"), "correlation"
+    off_diagonal = sums.select(F.explode(both).alias("cell")).select("cell.*")
+    diagonal = df.sparkSession.createDataFrame(
+        [(c, c, 1.0) for c in names], "column_a string, column_b string, correlation double"
     )
-    diagonal = diagonal.select("column_a", F.col("column_a").alias("column_b"), "correlation")
-    return half.unionByName(mirrored).unionByName(diagonal)
+    return off_diagonal.unionByName(diagonal)
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:

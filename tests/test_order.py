@@ -59,7 +59,9 @@ def test_folds_are_contiguous(spark):
     assert folds == [0] * 6 + [1] * 5
 
 
-def test_number_rows(spark):
+@pytest.mark.parametrize("one_task", [10, 10**6])
+def test_number_rows(spark, monkeypatch, one_task):
+    monkeypatch.setattr(order, "ONE_TASK", one_task)
     keys = random.Random(2).sample(range(10**9), 3000)
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)
     got = {r["k"]: r["position"] for r in number_rows(df, "k").collect()}
@@ -68,7 +70,8 @@ def test_number_rows(spark):
     assert [r["position"] for r in number_rows(dense, "id").orderBy("id").collect()] == list(range(100))
 
 
-def test_number_rows_by_time(spark):
+def test_number_rows_by_time(spark, monkeypatch):
+    monkeypatch.setattr(order, "ONE_TASK", 10)
     df = spark.range(500).select(F.timestamp_seconds(F.col("id") * 37 % 501 + 1_700_000_000).alias("t"))
     rows = number_rows(df, "t").orderBy("t").collect()
     assert [r["position"] for r in rows] == list(range(500))

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from featureflow.operators import drift, profile, quality
+from featureflow.operators import drift, order, profile, quality
 from featureflow.operators.association import cramers_v_matrix
 
 
@@ -18,8 +18,9 @@ def frame(n=2000, seed=3):
     return pdf
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 7, 100, 4001])
-def test_describe(spark, n):
+@pytest.mark.parametrize("n, one_task", [(1, 10), (2, 10), (3, 10), (7, 10), (100, 10**6), (100, 10), (4001, 50), (4001, 10**6)])
+def test_describe(spark, monkeypatch, n, one_task):
+    monkeypatch.setattr(profile, "ONE_TASK", one_task)
     pdf = frame(n)
     got = profile.describe(spark.createDataFrame(pdf)).toPandas().set_index("summary")
     expected = pdf.describe()
@@ -29,13 +30,24 @@ def test_describe(spark, n):
             assert (pd.isna(a) and pd.isna(b)) or math.isclose(a, b, rel_tol=1e-9, abs_tol=1e-12), (c, s)
 
 
-def test_describe_with_a_hot_value(spark):
+def test_describe_with_a_hot_value(spark, monkeypatch):
+    monkeypatch.setattr(profile, "ONE_TASK", 20)
+    monkeypatch.setattr(profile, "SKETCH", 40)
     values = [88.0] * 400 + [float(x) for x in range(800)]
     got = profile.describe(spark.createDataFrame([(v,) for v in values], "v double")).toPandas().set_index("summary")
     assert got.loc["50%", "v"] == pd.Series(values).quantile(0.5)
     assert got.loc["25%", "v"] == pd.Series(values).quantile(0.25)
 
 
+def test_describe_when_hot_values_block_the_bracket(spark, monkeypatch):
+    monkeypatch.setattr(profile, "ONE_TASK", 20)
+    monkeypatch.setattr(profile, "SKETCH", 4)
+    values = [1.0] * 300 + [1.0 + x / 100 for x in range(1, 60)] + [2.0] * 300
+    got = profile.describe(spark.createDataFrame([(v,) for v in values], "v double")).toPandas().set_index("summary")
+    for label, p in (("25%", 0.25), ("50%", 0.5), ("75%", 0.75)):
+        assert got.loc[label, "v"] == pytest.approx(pd.Series(values).quantile(p))
+
+
 def matrix(df, value):
     return {(r["column_a"], r["column_b"]): r[value] for r in df.collect()}
 
@@ -108,8 +120,10 @@ def brute_drift(reference, chunk):
 
 @pytest.mark.parametrize("task_limit", [1_000_000, 10])
 def test_drift_against_brute_force(spark, monkeypatch, task_limit):
-    # The second run takes the path for chunks too large for one task.
+    # The second run takes the paths for chunks and value lists too large for one task.
     monkeypatch.setattr(drift, "MAX_ROWS_PER_TASK", task_limit)
+    monkeypatch.setattr(drift, "ONE_TASK", task_limit)
+    monkeypatch.setattr(order, "ONE_TASK", task_limit)
     rng = np.random.default_rng(123)
     ref = pd.DataFrame({"record_id": np.arange(400) * 3, "points": np.clip(rng.normal(88, 3, 400), 80, 100), "price": rng.integers(1, 9, 400).astype(float)})
     ana = pd.DataFrame({"record_id": rng.permutation(250) * 7, "points": np.clip(rng.normal(85, 4, 250), 80, 100), "price": rng.integers(3, 12, 250).astype(float)})

@@ -31,6 +31,8 @@ def cramers_v_matrix(
     """
     kinds = (T.StringType, T.BooleanType)
     names = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)])
+    if limit and row_id is None:
+        raise ValueError("a limit needs the row id that says which rows come first")
     used = df.orderBy(row_id).limit(limit) if limit else df
     pairs = list(itertools.combinations(names, 2))
     diagonal = df.sparkSession.createDataFrame(

@@ -44,13 +44,12 @@ def fit_categories(df: DataFrame, columns: Sequence[str] | None = None) -> Categ
         ).alias("p")
     )
     distinct = pairs.select("p.c", "p.v").distinct()
-    sizes = {r["c"]: r["count"] for r in distinct.groupBy("c").count().collect()}
-    too_wide = {c: n for c, n in sizes.items() if n > MAX_WIDE_CATEGORIES}
-    if too_wide:
-        raise ValueError(f"too many categories for a wide table, use fit_vector_encoder: {too_wide}")
     found: dict[str, list] = {c: [] for c in names}
-    for r in distinct.collect():
+    for r in distinct.limit(MAX_WIDE_CATEGORIES * len(names) + 1).collect():
         found[r["c"]].append(r["v"])
+    too_wide = {c: len(v) for c, v in found.items() if len(v) > MAX_WIDE_CATEGORIES}
+    if too_wide:
+        raise ValueError(f"too many categories for a wide table, use fit_vector_encoder: {too_wide}")
     # Null sorts last and counts as a category of its own.
     order = {c: tuple(sorted(v, key=lambda x: (x is None, x or ""))) for c, v in found.items()}
     return Categories(order)

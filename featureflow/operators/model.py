@@ -200,6 +200,13 @@ def grid_search(
     return PipelineModel([*features.stages, searched.bestModel]), table
 
 
+def settings_of(model: PipelineModel) -> dict[str, float]:
+    """Learner settings a fitted model was trained with, to train another one like it."""
+    learner = model.stages[-1]
+    names = ("maxIter", "stepSize", "maxDepth", "minInfoGain", "maxBins", "seed")
+    return {n: learner.getOrDefault(n) for n in names if learner.hasParam(n)}
+
+
 def replaces_champion(champion: Mapping | None, challenger_rmse: float) -> bool:
     """Only a strictly lower error than the champion's ``val_rmse`` (else ``val_score``) wins."""
     champion = champion or {}

@@ -27,11 +27,12 @@ def ingest(
     With ``blank_nulls`` missing values are filled by type and numbers narrowed; without it they stay
     null and wide, which is what the next step sees either way.
     """
-    df = clean.strict_drop(clean.nulls_for_nans(require_any_column(raw)), dropped)
-    df = clean.distinct_rows(df, row_id)
-    df = clean.drop_empty_rows(df)
+    df = clean.strict_drop(require_any_column(raw), dropped)
     if target == "price":
+        # Filtering and de-duplicating commute; on the untouched column the filter reaches the scan.
         df = clean.keep_positive(df, "price")
+    df = clean.distinct_rows(clean.nulls_for_nans(df), row_id)
+    df = clean.drop_empty_rows(df)
     df = clean.drop_index_columns(clean.drop_unnamed(df))
     df = clean.with_event_time(df)
     return clean.typed_fill(df) if blank_nulls else df

@@ -42,6 +42,14 @@ def test_entry(spark):
     assert result.count() > 0
 
 
+# Neither joins of everything with everything nor Python workers in any query.
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas", "FlatMapGroups")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, duck, name):
     df = QUERIES[name](spark, SF_DIR)
@@ -52,6 +60,7 @@ def test_matches_sql(spark, duck, name):
     assert sorted(order) == columns
     expected = [tuple(row[order.index(c)] for c in columns) for row in answer.fetchall()]
     assert canonical(got) == canonical(expected)
+    assert not [w for w in UNWANTED if w in plan_of(df)]
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from featureflow.functions.keyed import standard_normal
 from featureflow.functions.scalar import clip
 from featureflow.operators.clean import nulls_for_nans
-from featureflow.operators.order import ONE_TASK, non_null, place_rows, running_total, value_ranges
+from featureflow.operators.order import ONE_TASK, non_null, place_rows, range_splits, running_total, value_ranges
 from featureflow.operators.profile import equal_width_bin, mean_and_std
 from featureflow.schemas import numeric_columns
 from featureflow.session import shared_folder
@@ -75,26 +75,29 @@ def doane_bins(rows: int, low: float, high: float, std: float, skewness: float)
     return int(math.ceil((high - low) / width))
 
 
-def period_facts(reference: DataFrame, analysis: DataFrame, record_id: str, numeric: Sequence[str]) -> dict[str, dict]:
-    """Per period: record range, rows, and moments and approximate distinct counts of the numeric features.
+def both_periods(reference: DataFrame, analysis: DataFrame, *columns: str) -> DataFrame:
+    """The rows of both tables under a ``period`` label."""
+    return reference.select(F.lit("reference").alias("period"), *columns).unionAll(
+        analysis.select(F.lit("analysis").alias("period"), *columns)
+    )
+
+
+def period_facts(both: DataFrame, record_id: str, features: Sequence[str], numeric: Sequence[str]) -> dict[str, dict]:
+    """Per period: record range, rows, approximate distinct counts, and moments of the numeric features.
 
     One pass over both tables, two rows of result.
     """
-    columns = [F.col(record_id), *[F.col(c).cast("double").alias(c) for c in numeric]]
-    both = reference.select(F.lit("reference").alias("period"), *columns).unionAll(
-        analysis.select(F.lit("analysis").alias("period"), *columns)
-    )
     measures = [F.min(record_id).alias("low"), F.max(record_id).alias("high"), F.count("*").alias("rows")]
+    for c in features:
+        measures += [F.count(c).alias(f"{c}|n"), F.approx_count_distinct(c).alias(f"{c}|distinct")]
     for c in numeric:
         measures += [
-            F.count(c).alias(f"{c}|n"),
             F.min(c).alias(f"{c}|low"),
             F.max(c).alias(f"{c}|high"),
             F.stddev_pop(c).alias(f"{c}|std"),
             F.skewness(c).alias(f"{c}|skew"),
-            F.approx_count_distinct(c).alias(f"{c}|distinct"),
         ]
-    none = {"low": None, "high": None, "rows": 0, **{f"{c}|{k}": 0 for c in numeric for k in ("n", "distinct")}}
+    none = {"low": None, "high": None, "rows": 0, **{f"{c}|{k}": 0 for c in features for k in ("n", "distinct")}}
     found = {r["period"]: r.asDict() for r in both.groupBy("period").agg(*measures).collect()}
     return {period: found.get(period, none) for period in ("reference", "analysis")}
 
@@ -118,124 +121,109 @@ def reference_histograms(df: DataFrame, numeric: Sequence[str], facts: Mapping)
     return histograms
 
 
-def chunked(df: DataFrame, order: str, features: Sequence[str], chunk_size: int, facts: Mapping) -> DataFrame:
-    """Feature columns with the number of their chunk of consecutive records."""
-    placed = place_rows(df.select(order, *features), order, facts["low"], facts["high"], facts["rows"])
-    return placed.select(F.expr(f"position div {int(chunk_size)}").alias("chunk"), *features)
-
-
 CHUNK = ["period", "feature", "chunk"]
 
 
-def chunk_counts(
-    reference: DataFrame,
-    analysis: DataFrame,
-    features: Sequence[str],
-    numeric: Sequence[str],
-    histograms: Mapping[str, Histogram],
-    chunk_size: int,
-    few_values: bool = False,
-) -> DataFrame:
-    """(period, feature, chunk, value, range, bin, n): everything both statistics need, counted once.
+def feature_cells(df: DataFrame, features: Sequence[str], numeric: Sequence[str], histograms: Mapping, *keep: str) -> DataFrame:
+    """One row per feature value: (feature, value, range, bin) and the kept columns; nulls are left out.
 
-    ``value`` and its value range belong to numeric features; ``bin`` is the histogram bin, or the
-    value itself for features that are compared value by value. With ``few_values`` one range is enough.
+    ``bin`` is the histogram bin, or the value itself for features that are compared value by value.
+    Text features have no order, so their ``value`` is a constant.
     """
-    kinds = [F.col(c).cast("double" if c in numeric else "string").alias(c) for c in features]
-    both = reference.select("chunk", *kinds, F.lit("reference").alias("period")).unionAll(
-        analysis.select("chunk", *kinds, F.lit("analysis").alias("period"))
-    )
-    ranged = both
-    if few_values:
-        ranged = both.withColumns({f"_range_{c}": F.lit(0) for c in numeric})
-    elif numeric:
-        ranged = value_ranges(both, list(numeric))
 
     def cell(c: str) -> Column:
-        value = F.col(c) if c in numeric else F.lit(None).cast("double")
-        range_number = F.col(f"_range_{c}") if c in numeric else F.lit(None).cast("int")
-        h = histograms.get(c)
         label = F.col(c).cast("string")
+        h = histograms.get(c)
         if h is not None:
-            inside = F.col(c).between(h.low, h.high)
             number = equal_width_bin(F.col(c), h.low, h.high, h.bins).cast("string")
-            label = F.when(inside, number).when(F.col(c).isNotNull(), "outside")
+            label = F.when(F.col(c).between(h.low, h.high), number).when(F.col(c).isNotNull(), "outside")
         return F.struct(
-            F.lit(c).alias("feature"), value.alias("value"), range_number.alias("range"), label.alias("bin")
+            F.lit(c).alias("feature"),
+            (F.col(c) if c in numeric else F.lit(0.0)).alias("value"),
+            (F.col(f"_range_{c}") if c in numeric else F.lit(0)).alias("range"),
+            label.alias("bin"),
         )
 
-    long = (
-        ranged.select("period", "chunk", F.explode(F.array(*[cell(c) for c in features])).alias("cell"))
-        .select("period", "chunk", "cell.*")
-        .where(F.col("bin").isNotNull() & F.col("chunk").isNotNull())
-    )
-    # Chunks of the usual size travel whole: one shuffle serves all the grouping and ranking that
-    # follows. Very large chunks are counted map-side first instead.
-    if chunk_size <= MAX_ROWS_PER_TASK:
-        long = long.repartition(*CHUNK)
-    return long.groupBy(*CHUNK, "value", "range", "bin").agg(F.count("*").alias("n"))
+    cells = df.select(*keep, F.explode(F.array(*[cell(c) for c in features])).alias("cell"))
+    return non_null(cells.select(*keep, "cell.*"), ["value", "bin"])
 
 
-def ks_by_chunk(counts: DataFrame, chunk_size: int, few_values: bool = False) -> DataFrame:
-    """(period, feature, chunk, ks): largest distance between a chunk's and the reference distribution.
+def reference_distribution(cells: DataFrame, numeric: Sequence[str], few_values: bool) -> DataFrame:
+    """(feature, value, bin, before, at, share) for every value of either period.
 
-    The distance peaks at a value of the chunk, either at it or just below it, so both distribution
-    functions are needed at the chunk's own values only, never for a chunk x reference product.
+    ``before`` and ``at`` are the reference distribution just below and at the value, ``share`` is that of
+    the bin. Rows are counted per value first, so hot values cost nothing extra.
     """
-    counts = non_null(counts, [*CHUNK, "value"])
-    from_reference = F.when(F.col("period") == "reference", F.col("n")).otherwise(0)
-    values = counts.groupBy("feature", "value", "range").agg(F.sum(from_reference).alias("ref_n"))
-    if few_values:
-        earlier = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        ref = values.withColumn("ref_below", F.coalesce(F.sum("ref_n").over(earlier), F.lit(0)))
+    from_reference = F.when(F.col("period") == "reference", 1).otherwise(0)
+    values = cells.groupBy("feature", "value", "range", "bin").agg(F.sum(from_reference).alias("n"))
+    if few_values:  # checked: one task holds the values of a feature
+        whole = Window.partitionBy("feature")
+        lower = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        counted = values.select(
+            "*",
+            F.sum("n").over(whole).alias("total"),
+            F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("lower"),
+            F.sum("n").over(Window.partitionBy("feature", "bin")).alias("bin_n"),
+        )
     else:
-        ref = running_total(
-            values, "value", F.col("ref_n"), within=["feature"], range_column="range", name="ref_below"
+        ordered = F.col("feature").isin(*numeric)
+        running = running_total(
+            values.where(ordered), "value", F.col("n"), ["feature"], range_column="range", name="lower"
         )
-    totals = values.groupBy("feature").agg(F.sum("ref_n").alias("ref_total"))
-    # One total per monitored feature.
-    ref = ref.join(F.broadcast(totals), "feature").select(
+        others = values.where(~ordered).drop("range").withColumn("lower", F.lit(0).cast("long"))
+        totals = values.groupBy("feature").agg(F.sum("n").alias("total"))
+        bins = values.groupBy("feature", "bin").agg(F.sum("n").alias("bin_n"))
+        # One total per monitored feature.
+        counted = running.unionByName(others).join(F.broadcast(totals), "feature").join(bins, ["feature", "bin"])
+    total = F.nullif(F.col("total"), F.lit(0))
+    return counted.select(
         "feature",
         "value",
-        (F.col("ref_below") / F.col("ref_total")).alias("ref_before"),
-        ((F.col("ref_below") + F.col("ref_n")) / F.col("ref_total")).alias("ref_at"),
+        "bin",
+        (F.col("lower") / total).alias("before"),
+        ((F.col("lower") + F.col("n")) / total).alias("at"),
+        (F.col("bin_n") / total).alias("share"),
     )
-    if chunk_size <= MAX_ROWS_PER_TASK:
-        inside = Window.partitionBy(*CHUNK)
-        below = F.sum("n").over(inside.orderBy("value").rowsBetween(Window.unboundedPreceding, -1))
-        own = counts.withColumn("total", F.sum("n").over(inside)).withColumn("below", F.coalesce(below, F.lit(0)))
-    else:
-        sizes = counts.groupBy(*CHUNK).agg(F.sum("n").alias("total"))
-        own = running_total(counts, "value", F.col("n"), within=CHUNK, range_column="range", name="below")
-        own = own.join(sizes, CHUNK)
-    gap = F.greatest(
-        F.abs(F.col("below") / F.col("total") - F.col("ref_before")),
-        F.abs((F.col("below") + F.col("n")) / F.col("total") - F.col("ref_at")),
-    )
-    return own.join(ref, ["feature", "value"]).groupBy(*CHUNK).agg(F.max(gap).alias("ks"))
 
 
-def js_by_chunk(counts: DataFrame) -> DataFrame:
-    """(period, feature, chunk, js): base-2 Jensen-Shannon distance to the reference.
+def compare_chunks(cells: DataFrame, distribution: DataFrame, chunk_size: int) -> DataFrame:
+    """(period, feature, chunk, ks, js): each chunk against the reference.
 
-    What the reference never showed counts as one extra bin. Bins a chunk does not hold add half of
-    their reference share, so only the chunk's own bins have to be looked at.
+    The Kolmogorov-Smirnov distance peaks at a value of the chunk, at it or just below it. For the
+    Jensen-Shannon distance, bins a chunk does not hold add half of their reference share, and values the
+    reference never showed count as one extra bin. So only the chunk's own values are looked at, never a
+    chunk x reference product.
     """
-    binned = non_null(counts, [*CHUNK, "bin"]).groupBy(*CHUNK, "bin").agg(F.sum("n").alias("n"))
-    ref = binned.where(F.col("period") == "reference").groupBy("feature", "bin").agg(F.sum("n").alias("ref_n"))
-    totals = ref.groupBy("feature").agg(F.sum("ref_n").alias("ref_total"))
-    # One total per monitored feature.
-    shares = ref.join(F.broadcast(totals), "feature").select(
-        "feature", "bin", (F.col("ref_n") / F.col("ref_total")).alias("p")
+    small = chunk_size <= MAX_ROWS_PER_TASK
+    # Chunks of the usual size travel whole: one shuffle serves counting and ranking. Very large chunks
+    # are counted map-side first instead.
+    placed = cells.repartition(*CHUNK) if small else cells
+    counts = placed.groupBy(*CHUNK, "value", "range", "bin").agg(F.count("*").alias("n"))
+    compared = counts.join(distribution, ["feature", "value", "bin"])
+    if small:
+        whole = Window.partitionBy(*CHUNK)
+        lower = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        compared = compared.select(
+            "*",
+            F.sum("n").over(whole).alias("total"),
+            F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("lower"),
+            F.sum("n").over(Window.partitionBy(*CHUNK, "bin")).alias("bin_n"),
+        )
+    else:
+        compared = running_total(compared, "value", F.col("n"), CHUNK, range_column="range", name="lower")
+        compared = compared.join(counts.groupBy(*CHUNK).agg(F.sum("n").alias("total")), CHUNK)
+        compared = compared.join(counts.groupBy(*CHUNK, "bin").agg(F.sum("n").alias("bin_n")), [*CHUNK, "bin"])
+    gap = F.greatest(
+        F.abs(F.col("lower") / F.col("total") - F.col("before")),
+        F.abs((F.col("lower") + F.col("n")) / F.col("total") - F.col("at")),
+    )
+    p, q = F.col("share"), F.col("bin_n") / F.col("total")
+    part = F.when(p > 0, q * F.log2(2 * q / (p + q)) + p * F.log2(2 * p / (p + q)) - p).otherwise(q)
+    # A bin's part is spread over its values in proportion to their rows.
+    divergence = (F.sum(part * F.col("n") / F.col("bin_n")) + 1.0) / 2
+    return compared.groupBy(*CHUNK).agg(
+        F.max(gap).alias("ks"), F.sqrt(F.greatest(divergence, F.lit(0.0))).alias("js")
     )
-    sizes = binned.groupBy(*CHUNK).agg(F.sum("n").alias("total"))
-    compared = binned.join(sizes, CHUNK).join(shares, ["feature", "bin"], "left")
-    q = F.col("n") / F.col("total")
-    p = F.col("p")
-    # A bin unknown to the reference contributes its whole share (p = 0).
-    part = F.when(p.isNull(), q).otherwise(q * F.log2(2 * q / (p + q)) + p * F.log2(2 * p / (p + q)) - p)
-    divergence = (F.sum(part) + F.lit(1.0)) / 2
-    return compared.groupBy(*CHUNK).agg(F.sqrt(F.greatest(divergence, F.lit(0.0))).alias("js"))
 
 
 def detect_univariate_drift(
@@ -253,32 +241,38 @@ def detect_univariate_drift(
     Kolmogorov-Smirnov statistic with limits mean +/- deviations * std over the reference chunks; all
     features get the Jensen-Shannon distance with a constant limit. One row per (feature, period, chunk).
     """
-    reference, analysis = nulls_for_nans(reference), nulls_for_nans(analysis)
-    numeric = [c for c in features if c in numeric_columns(reference.schema)]
     shared_folder(reference.sparkSession)
-    facts = period_facts(reference, analysis, record_id, numeric)
+    numeric = [c for c in features if c in numeric_columns(reference.schema)]
+    typed = [F.col(c).cast("double" if c in numeric else "string").alias(c) for c in features]
+    frames = [nulls_for_nans(df.select(record_id, *typed)) for df in (reference, analysis)]
+    facts = period_facts(both_periods(*frames, record_id, *features), record_id, features, numeric)
     ref_facts, ana_facts = facts["reference"], facts["analysis"]
-    # Sketched counts are a few percent off at most, hence the margin.
-    values = [ref_facts[f"{c}|distinct"] + ana_facts[f"{c}|distinct"] for c in numeric]
-    few_values = all(v * 2 <= ONE_TASK for v in values)
-    counts = chunk_counts(
-        chunked(reference, record_id, features, chunk_size, ref_facts),
-        chunked(analysis, record_id, features, chunk_size, ana_facts),
-        features,
-        numeric,
-        reference_histograms(reference, numeric, ref_facts),
-        chunk_size,
-        few_values,
-    )
-    # Both statistics use the counts several times; in the shared folder they also survive lost executors.
-    counts = counts.checkpoint()
-    js = js_by_chunk(counts)
-    js = js.withColumn("js_upper", F.lit(float(js_upper))).withColumn("js_alert", F.col("js") > js_upper)
-    js = with_positions(js, chunk_size, ref_facts, ana_facts)
-    if not numeric:
-        return js
-    ks = ks_by_chunk(counts, chunk_size, few_values)
-    limits = ks.where(F.col("period") == "reference").groupBy("feature").agg(
+    histograms = reference_histograms(frames[0], numeric, ref_facts)
+
+    # Sketched counts are a few percent off, hence the margin.
+    few_values = all(2 * (ref_facts[f"{c}|distinct"] + ana_facts[f"{c}|distinct"]) <= ONE_TASK for c in features)
+    if few_values:
+        frames = [f.withColumns({f"_range_{c}": F.lit(0) for c in numeric}) if numeric else f for f in frames]
+    elif numeric:
+        splits = range_splits(both_periods(*frames, *numeric), numeric)
+        frames = [value_ranges(f, numeric, splits=splits) for f in frames]
+    used = [*features, *[f"_range_{c}" for c in numeric]]
+
+    unchunked = feature_cells(both_periods(*frames, *used), features, numeric, histograms, "period")
+    placed = [
+        place_rows(f, record_id, x["low"], x["high"], x["rows"]).withColumn(
+            "chunk", F.expr(f"position div {int(chunk_size)}")
+        )
+        for f, x in zip(frames, (ref_facts, ana_facts))
+    ]
+    chunked = feature_cells(both_periods(*placed, "chunk", *used), features, numeric, histograms, "period", "chunk")
+    distribution = reference_distribution(unchunked, numeric, few_values)
+    # A row per chunk and feature, kept in the shared folder: it gives the limits and the report.
+    found = compare_chunks(chunked, distribution, chunk_size).checkpoint()
+    ordered = F.col("feature").isin(*numeric) if numeric else F.lit(False)
+    found = found.withColumn("ks", F.when(ordered, F.col("ks")))
+
+    limits = found.where(F.col("period") == "reference").groupBy("feature").agg(
         F.avg("ks").alias("_mean"), F.stddev_pop("ks").alias("_std")
     )
     margin = ks_deviations * F.col("_std")
@@ -290,8 +284,14 @@ def detect_univariate_drift(
     )
     alert = (F.col("ks") > F.col("ks_upper")) | F.coalesce(F.col("ks") < F.col("ks_lower"), F.lit(False))
     # One row of limits per monitored feature.
-    ks = ks.join(F.broadcast(limits), "feature").withColumn("ks_alert", alert)
-    return js.join(ks, CHUNK, "left")
+    report = found.join(F.broadcast(limits), "feature", "left").withColumns(
+        {
+            "ks_alert": F.when(F.col("ks").isNotNull(), alert),
+            "js_upper": F.lit(float(js_upper)),
+            "js_alert": F.col("js") > js_upper,
+        }
+    )
+    return with_positions(report, chunk_size, ref_facts, ana_facts)
 
 
 def with_positions(df: DataFrame, chunk_size: int, reference: Mapping, analysis: Mapping) -> DataFrame:

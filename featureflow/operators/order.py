@@ -27,27 +27,35 @@ def range_count(df: DataFrame) -> int:
     return max(2, min(MAX_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def value_ranges(df: DataFrame, columns: Sequence[str], prefix: str = "_range_") -> DataFrame:
-    """Add one range number per numeric column, in value order and of about equal row counts.
-
-    The bounds are literals (approximate quantiles), so the numbering is a pure function of the value:
-    a recomputed task after a lost executor gets the same ranges.
-    """
+def range_splits(df: DataFrame, columns: Sequence[str]) -> list[list[float]]:
+    """Bounds that cut each numeric column into ranges of about equal row counts."""
     ranges = range_count(df)
-    as_double = {prefix + c: F.col(c).cast("double") for c in columns}
-    wide = df.withColumns(as_double)
+    doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     probabilities = [i / ranges for i in range(1, ranges)]
-    quantiles = wide.approxQuantile(list(as_double), probabilities, 0.25 / ranges)
-    inputs = list(as_double)
-    splits = [[-np.inf, *sorted(set(q)), np.inf] for q in quantiles]
-    splits = [[float(x) for x in s] if len(s) > 2 else [-np.inf, 0.0, np.inf] for s in splits]
-    outputs = [f"{name}_n" for name in inputs]
-    numbered = Bucketizer(
-        splitsArray=splits, inputCols=inputs, outputCols=outputs, handleInvalid="keep"
-    ).transform(wide)
+    quantiles = doubles.approxQuantile(list(columns), probabilities, 0.25 / ranges)
+    return [[-np.inf, *(sorted({float(x) for x in q}) or [0.0]), np.inf] for q in quantiles]
+
+
+def value_ranges(
+    df: DataFrame, columns: Sequence[str], prefix: str = "_range_", splits: list[list[float]] | None = None
+) -> DataFrame:
+    """Add one range number per numeric column, in value order.
+
+    The bounds are literals, so the numbering is a pure function of the value: a recomputed task after a
+    lost executor gets the same ranges.
+    """
+    inputs = [f"{prefix}{c}_in" for c in columns]
+    outputs = [f"{prefix}{c}_out" for c in columns]
+    bucketizer = Bucketizer(
+        splitsArray=splits or range_splits(df, columns),
+        inputCols=inputs,
+        outputCols=outputs,
+        handleInvalid="keep",
+    )
+    numbered = bucketizer.transform(df.withColumns({i: F.col(c).cast("double") for i, c in zip(inputs, columns)}))
     return numbered.withColumns(
-        {i: F.col(o).cast("int") for i, o in zip(inputs, outputs)}
-    ).drop(*outputs)
+        {prefix + c: F.col(o).cast("int") for c, o in zip(columns, outputs)}
+    ).drop(*inputs, *outputs)
 
 
 def non_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:

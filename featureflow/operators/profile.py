@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import operator
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -158,60 +159,76 @@ def _order_statistics(clean: DataFrame, sizes: Mapping[str, int], wanted: Sequen
 
     Every round is two scans, whatever the number of ranks: one for the sketches, one to measure the new
     brackets. A round shrinks a bracket some 2 500-fold, so one is enough for billions of rows.
+    Neighbouring ranks share their bracket.
     """
-    low = dict.fromkeys(wanted, -math.inf)
-    high = dict.fromkeys(wanted, math.inf)
-    below = dict.fromkeys(wanted, 0)
-    rows = {t: sizes[t[0]] for t in wanted}
-    values = dict(rows)
-    name = {t: f"{t[0]}|{t[1]}" for t in wanted}
-
-    def inside(t):
-        return F.col(t[0]).between(low[t], high[t])
-
-    pending = [t for t in wanted if values[t] > ONE_TASK]
-    while pending:
-        sketches = []
-        for t in pending:
-            share = (t[1] - below[t]) / rows[t]
-            ends = [max(share - 2 / SKETCH, 0.0), min(share + 2 / SKETCH, 1.0)]
-            sketches.append(F.percentile_approx(F.when(inside(t), F.col(t[0])), ends, SKETCH).alias(name[t]))
-        narrowed = clean.agg(*sketches).first()
-        pending = [t for t in pending if tuple(narrowed[name[t]]) != (low[t], high[t])]
-        for t in pending:
-            low[t], high[t] = narrowed[name[t]]
+    # bracket (column, low, high) -> rows below it, rows and distinct values inside it
+    whole = {c: (c, -math.inf, math.inf) for c in sizes}
+    known = {whole[c]: (0, n, n) for c, n in sizes.items()}
+    bracket = {(c, rank): whole[c] for c, rank in wanted}
+    stuck: set = set()
+
+    def inside(b):
+        return F.col(b[0]).between(b[1], b[2])
+
+    while True:
+        wide = {t: b for t, b in bracket.items() if known[b][2] > ONE_TASK and b not in stuck}
+        if not wide:
+            break
+        ends: dict = {}
+        for t, b in wide.items():
+            share = (t[1] - known[b][0]) / known[b][1]
+            ends.setdefault(b, {})[t] = (max(share - 2 / SKETCH, 0.0), min(share + 2 / SKETCH, 1.0))
+        points = {b: sorted({p for pair in of.values() for p in pair}) for b, of in ends.items()}
+        sketches = [
+            F.percentile_approx(F.when(inside(b), F.col(b[0])), p, SKETCH).alias(f"s{i}")
+            for i, (b, p) in enumerate(points.items())
+        ]
+        sketched = clean.agg(*sketches).first()
+        for i, (b, p) in enumerate(points.items()):
+            at = dict(zip(p, sketched[f"s{i}"]))
+            for t, (a, z) in ends[b].items():
+                narrowed = (b[0], at[a], at[z])
+                if narrowed == b:
+                    stuck.add(b)
+                bracket[t] = narrowed
+        new = [b for b in dict.fromkeys(bracket.values()) if b not in known]
         measures = []
-        for t in pending:
+        for i, b in enumerate(new):
             measures += [
-                F.count_if(F.col(t[0]) < low[t]).alias(f"{name[t]}|below"),
-                F.count_if(inside(t)).alias(f"{name[t]}|rows"),
-                F.approx_count_distinct(F.when(inside(t), F.col(t[0]))).alias(f"{name[t]}|values"),
+                F.count_if(F.col(b[0]) < b[1]).alias(f"below{i}"),
+                F.count_if(inside(b)).alias(f"rows{i}"),
+                F.approx_count_distinct(F.when(inside(b), F.col(b[0]))).alias(f"values{i}"),
             ]
-        if measures:
+        if new:
             measured = clean.agg(*measures).first()
-            for t in pending:
-                below[t], rows[t], values[t] = (measured[f"{name[t]}|{k}"] for k in ("below", "rows", "values"))
-        pending = [t for t in pending if values[t] > ONE_TASK]
+            known.update({b: tuple(measured[f"{k}{i}"] for k in ("below", "rows", "values")) for i, b in enumerate(new)})
 
+    brackets = list(dict.fromkeys(bracket.values()))
     cells = [
-        F.when(
-            inside(t),
-            F.struct(F.lit(i).alias("target"), F.lit(t[1] - below[t]).alias("rank"), F.col(t[0]).alias("value")),
-        )
-        for i, t in enumerate(wanted)
+        F.when(inside(b), F.struct(F.lit(i).alias("bracket"), F.col(b[0]).alias("value")))
+        for i, b in enumerate(brackets)
     ]
     counts = (
         clean.select(F.explode(F.array_compact(F.array(*cells))).alias("cell"))
-        .groupBy("cell.target", "cell.rank", "cell.value")
+        .groupBy("cell.bracket", "cell.value")
         .agg(F.count("*").alias("n"))
     )
-    if max(values.values()) <= ONE_TASK:
-        earlier = Window.partitionBy("target").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    if stuck:  # hot values at both ends kept a bracket from shrinking
+        ranked = running_total(counts, "value", F.col("n"), within=["bracket"])
+    else:
+        earlier = Window.partitionBy("bracket").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
         ranked = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    else:  # hot values at both ends kept a bracket from shrinking
-        ranked = running_total(counts, "value", F.col("n"), within=["target", "rank"])
-    at_rank = ranked.where((F.col("before") <= F.col("rank")) & (F.col("before") + F.col("n") > F.col("rank")))
-    return {wanted[r["target"]]: r["value"] for r in at_rank.collect()}
+    place = {t: (brackets.index(b), t[1] - known[b][0]) for t, b in bracket.items()}
+    hits = [
+        (F.col("bracket") == i) & (F.col("before") <= rank) & (F.col("before") + F.col("n") > rank)
+        for i, rank in set(place.values())
+    ]
+    # One value per wanted rank.
+    rows = ranked.where(reduce(operator.or_, hits)).collect()
+    return {
+        t: next(r["value"] for r in rows if r["bracket"] == i and r["before"] <= rank < r["before"] + r["n"])
+        for t, (i, rank) in place.items()
+    }
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

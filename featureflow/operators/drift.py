@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -75,10 +76,15 @@ def doane_bins(rows: int, low: float, high: float, std: float, skewness: float)
     return int(math.ceil((high - low) / width))
 
 
+# Periods and features travel as small numbers; the report names them.
+PERIODS = ("reference", "analysis")
+REFERENCE, ANALYSIS = 0, 1
+
+
 def both_periods(reference: DataFrame, analysis: DataFrame, *columns: str) -> DataFrame:
-    """The rows of both tables under a ``period`` label."""
-    return reference.select(F.lit("reference").alias("period"), *columns).unionAll(
-        analysis.select(F.lit("analysis").alias("period"), *columns)
+    """The rows of both tables, with the number of the period they belong to."""
+    return reference.select(F.lit(REFERENCE).alias("period"), *columns).unionAll(
+        analysis.select(F.lit(ANALYSIS).alias("period"), *columns)
     )
 
 
@@ -99,7 +105,7 @@ def period_facts(both: DataFrame, record_id: str, features: Sequence[str], numer
         ]
     none = {"low": None, "high": None, "rows": 0, **{f"{c}|{k}": 0 for c in features for k in ("n", "distinct")}}
     found = {r["period"]: r.asDict() for r in both.groupBy("period").agg(*measures).collect()}
-    return {period: found.get(period, none) for period in ("reference", "analysis")}
+    return {name: found.get(number, none) for number, name in enumerate(PERIODS)}
 
 
 def reference_histograms(df: DataFrame, numeric: Sequence[str], facts: Mapping) -> dict[str, Histogram]:
@@ -125,56 +131,72 @@ CHUNK = ["period", "feature", "chunk"]
 
 
 def feature_cells(df: DataFrame, features: Sequence[str], numeric: Sequence[str], histograms: Mapping, *keep: str) -> DataFrame:
-    """One row per feature value: (feature, value, range, bin) and the kept columns; nulls are left out.
+    """One row per value: (feature, value, range, bin) and the kept columns; nulls are left out.
+
+    ``feature`` is the position in ``features``.
 
     ``bin`` is the histogram bin, or the value itself for features that are compared value by value.
     Text features have no order, so their ``value`` is a constant.
     """
 
-    def cell(c: str) -> Column:
+    def cell(i: int, c: str) -> Column:
         label = F.col(c).cast("string")
         h = histograms.get(c)
         if h is not None:
             number = equal_width_bin(F.col(c), h.low, h.high, h.bins).cast("string")
             label = F.when(F.col(c).between(h.low, h.high), number).when(F.col(c).isNotNull(), "outside")
         return F.struct(
-            F.lit(c).alias("feature"),
+            F.lit(i).alias("feature"),
             (F.col(c) if c in numeric else F.lit(0.0)).alias("value"),
             (F.col(f"_range_{c}") if c in numeric else F.lit(0)).alias("range"),
             label.alias("bin"),
         )
 
-    cells = df.select(*keep, F.explode(F.array(*[cell(c) for c in features])).alias("cell"))
+    cells = df.select(*keep, F.explode(F.array(*[cell(i, c) for i, c in enumerate(features)])).alias("cell"))
     return non_null(cells.select(*keep, "cell.*"), ["value", "bin"])
 
 
-def reference_distribution(cells: DataFrame, numeric: Sequence[str], few_values: bool) -> DataFrame:
+def reference_distribution(
+    cells: DataFrame, features: Sequence[str], numeric: Sequence[str], few_values: bool
+) -> DataFrame:
     """(feature, value, bin, before, at, share) for every value of either period.
 
     ``before`` and ``at`` are the reference distribution just below and at the value, ``share`` is that of
     the bin. Rows are counted per value first, so hot values cost nothing extra.
     """
-    from_reference = F.when(F.col("period") == "reference", 1).otherwise(0)
-    values = cells.groupBy("feature", "value", "range", "bin").agg(F.sum(from_reference).alias("n"))
+    from_reference = F.when(F.col("period") == REFERENCE, 1).otherwise(0)
+    keys = ["feature", "value", "range", "bin"]
+
+    def value_counts(part: DataFrame) -> DataFrame:
+        return non_null(part, keys).groupBy(*keys).agg(F.sum(from_reference).alias("n"))
+
     if few_values:  # checked: one task holds the values of a feature
         whole = Window.partitionBy("feature")
         lower = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        counted = values.select(
+        counted = value_counts(cells).select(
             "*",
             F.sum("n").over(whole).alias("total"),
             F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("lower"),
             F.sum("n").over(Window.partitionBy("feature", "bin")).alias("bin_n"),
         )
     else:
-        ordered = F.col("feature").isin(*numeric)
-        running = running_total(
-            values.where(ordered), "value", F.col("n"), ["feature"], range_column="range", name="lower"
-        )
-        others = values.where(~ordered).drop("range").withColumn("lower", F.lit(0).cast("long"))
-        totals = values.groupBy("feature").agg(F.sum("n").alias("total"))
-        bins = values.groupBy("feature", "bin").agg(F.sum("n").alias("bin_n"))
-        # One total per monitored feature.
-        counted = running.unionByName(others).join(F.broadcast(totals), "feature").join(bins, ["feature", "bin"])
+        parts = []
+        for ordered in (True, False):
+            wanted = [i for i, c in enumerate(features) if (c in numeric) == ordered]
+            if not wanted:
+                continue
+            values = value_counts(cells.where(F.col("feature").isin(*wanted)))
+            totals = values.groupBy("feature").agg(F.sum("n").alias("total"))
+            bins = values.groupBy("feature", "bin").agg(F.sum("n").alias("bin_n"))
+            if ordered:
+                placed = running_total(
+                    values, "value", F.col("n"), ["feature"], range_column="range", name="lower"
+                )
+            else:
+                placed = values.drop("range").withColumn("lower", F.lit(0).cast("long"))
+            # One total per monitored feature.
+            parts.append(placed.join(F.broadcast(totals), "feature").join(bins, ["feature", "bin"]))
+        counted = reduce(DataFrame.unionByName, parts)
     total = F.nullif(F.col("total"), F.lit(0))
     return counted.select(
         "feature",
@@ -266,9 +288,16 @@ def detect_univariate_drift(
         for f, x in zip(frames, (ref_facts, ana_facts))
     ]
     chunked = feature_cells(both_periods(*placed, "chunk", *used), features, numeric, histograms, "period", "chunk")
-    distribution = reference_distribution(unchunked, numeric, few_values)
+    distribution = reference_distribution(unchunked, features, numeric, few_values)
     # A row per chunk and feature, kept in the shared folder: it gives the limits and the report.
     found = compare_chunks(chunked, distribution, chunk_size).checkpoint()
+    names = F.array(*[F.lit(c) for c in features])
+    found = found.withColumns(
+        {
+            "period": F.get(F.array(*[F.lit(p) for p in PERIODS]), F.col("period")),
+            "feature": F.get(names, F.col("feature")),
+        }
+    )
     ordered = F.col("feature").isin(*numeric) if numeric else F.lit(False)
     found = found.withColumn("ks", F.when(ordered, F.col("ks")))
 

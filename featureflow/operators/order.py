@@ -212,6 +212,8 @@ def exact_cut(
         rows = inside.groupBy(bin_number.cast("int").alias("b")).agg(F.count("*").alias("n")).collect()
         bins = np.zeros(BINS + 1, dtype=np.int64)
         for r in rows:
+            if r["b"] is None:
+                raise ValueError(f"{row_id} has null values")
             bins[r["b"]] = r["n"]
         ends = before + np.cumsum(bins)
         if total is None:

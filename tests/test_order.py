@@ -53,6 +53,12 @@ def test_exact_cut_wants_unique_ids(spark, monkeypatch):
         exact_cut(df, F.col("k"), "k", lambda n: 5)
 
 
+def test_null_ids_are_refused(spark):
+    df = spark.createDataFrame([(1,), (None,)], "row_id long")
+    with pytest.raises(ValueError, match="null"):
+        split.split_random(df)
+
+
 def test_folds_are_contiguous(spark):
     df = spark.createDataFrame([(i * 10 - 35,) for i in range(11)], "row_id long")
     folds = [r["fold"] for r in split.contiguous_folds(df).orderBy("row_id").collect()]

@@ -184,6 +184,11 @@ def _(spark, sf):
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
 
 
+@query("flt8_assert_no_nulls", "SELECT o_orderkey, o_totalprice FROM orders")
+def _(spark, sf):
+    return clean.assert_no_nulls(table(spark, sf, "orders").select("o_orderkey", "o_totalprice"))
+
+
 @query(
     "flt9_membership",
     """SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority IN

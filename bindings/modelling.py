@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from bindings.common import reviews, table
@@ -73,6 +74,34 @@ def parts_of(df):
     return train_test_parts(stored(df), "row_id")
 
 
+@query(
+    "enc3_native_categories",
+    """WITH o AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, 'c' || o_custkey AS customer, o_totalprice FROM orders),
+    s AS (SELECT o_orderstatus, row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1 AS i FROM o GROUP BY 1),
+    p AS (SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS i FROM o GROUP BY 1),
+    c AS (SELECT customer, (sum(o_totalprice) + (SELECT avg(o_totalprice) FROM o)) / (count(*) + 1) AS level FROM o GROUP BY 1)
+    SELECT o_orderkey AS row_id, s.i::double AS status, p.i::double AS priority, round(c.level, 2) AS customer
+    FROM o JOIN s USING (o_orderstatus) JOIN p USING (o_orderpriority) JOIN c USING (customer)""",
+)
+def _(spark, sf):
+    df = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("row_id"),
+        F.col("o_totalprice").alias("price"),
+        F.col("o_orderstatus").alias("status"),
+        F.col("o_orderpriority").alias("priority"),
+        F.concat(F.lit("c"), F.col("o_custkey")).alias("customer"),
+    )
+    fitted = model.native_features(df, "price", [], ["status", "priority", "customer"])
+    slots = vector_to_array(F.col("features"))
+    at = {name: slots[i] for i, name in enumerate(model.slots_of(fitted))}
+    return fitted.transform(df).select(
+        "row_id",
+        at["status"].alias("status"),
+        at["priority"].alias("priority"),
+        F.round(at["customer"], 2).alias("customer"),
+    )
+
+
 @query("ml1_score_candidates")
 def _(spark, sf):
     train, validation = parts_of(order_features(spark, sf))

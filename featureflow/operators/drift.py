@@ -276,7 +276,8 @@ def detect_univariate_drift(
     if few_values:
         frames = [f.withColumns({f"_range_{c}": F.lit(0) for c in numeric}) if numeric else f for f in frames]
     elif numeric:
-        splits = range_splits(both_periods(*frames, *numeric), numeric)
+        rows = ref_facts["rows"] + ana_facts["rows"]
+        splits = range_splits(both_periods(*frames, *numeric), numeric, rows)
         frames = [value_ranges(f, numeric, splits=splits) for f in frames]
     used = [*features, *[f"_range_{c}" for c in numeric]]
 

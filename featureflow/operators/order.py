@@ -15,11 +15,14 @@ from pyspark.sql import types as T
 
 from featureflow.session import shared_folder
 
-BINS = 1 << 16
+# Histogram bins per round: every map task may send one row per bin, so not too many of them.
+BINS = 1 << 14
+# Rows a boundary search may bring to the driver.
 SMALL = 20_000
 # What one task may sort by itself.
 ONE_TASK = 1_000_000
 MAX_RANGES = 4096
+SAMPLES_PER_RANGE = 1000
 
 
 def range_count(df: DataFrame) -> int:
@@ -27,10 +30,17 @@ def range_count(df: DataFrame) -> int:
     return max(2, min(MAX_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
 
-def range_splits(df: DataFrame, columns: Sequence[str]) -> list[list[float]]:
-    """Bounds that cut each numeric column into ranges of about equal row counts."""
+def range_splits(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> list[list[float]]:
+    """Bounds that cut each numeric column into ranges of about equal row counts.
+
+    Large tables are sampled for it, as a range partitioner does: the bounds decide only how even the
+    ranges are, every row is still placed by its own value.
+    """
     ranges = range_count(df)
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    rows = df.count() if rows is None else rows
+    if rows > SAMPLES_PER_RANGE * ranges:
+        doubles = doubles.sample(SAMPLES_PER_RANGE * ranges / rows, seed=42)
     probabilities = [i / ranges for i in range(1, ranges)]
     quantiles = doubles.approxQuantile(list(columns), probabilities, 0.25 / ranges)
     return [[-np.inf, *(sorted({float(x) for x in q}) or [0.0]), np.inf] for q in quantiles]
@@ -120,7 +130,8 @@ def place_rows(df: DataFrame, key: str, low, high, n: int, name: str = "position
     if n <= ONE_TASK:
         return df.withColumn(name, (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(key)) - 1).cast("long"))
     order = df.withColumn("_order", F.col(key).cast("double"))
-    ranged = value_ranges(order, ["_order"], prefix="_r").drop("_order")
+    splits = range_splits(order, ["_order"], n)
+    ranged = value_ranges(order, ["_order"], "_r", splits).drop("_order")
     counts = ranged.groupBy("_r_order").agg(F.count("*").alias("_n"))
     earlier = (
         Window.partitionBy(F.lit(0)).orderBy("_r_order").rowsBetween(Window.unboundedPreceding, -1)
@@ -193,7 +204,7 @@ def exact_cut(
 ) -> Cut:
     """Boundary of the first ``take(total)`` rows ordered by (key, row_id), without sorting the table.
 
-    A histogram of at most 65 536 bins over the key finds the bin with the boundary, which is then
+    A histogram of at most 16 384 bins over the key finds the bin with the boundary, which is then
     split again until it is small; every step is one scan with map-side counting. Splitting by the
     resulting literal predicate needs no shuffle at all. Row ids must be unique.
     """

@@ -16,8 +16,9 @@ from featureflow.operators.order import ONE_TASK, non_null, running_total, value
 from featureflow.schemas import numeric_columns
 
 
-# Quantile sketches are off by at most one in this many rows.
-SKETCH = 10_000
+# Quantile sketches are off by at most one in this many rows. Every map task sends a sketch, so they are
+# kept small and repeated inside the bracket instead.
+SKETCH = 2_000
 
 
 def value_counts(df: DataFrame, column: str, ascending: bool = False) -> DataFrame:
@@ -158,7 +159,7 @@ def _order_statistics(clean: DataFrame, sizes: Mapping[str, int], wanted: Sequen
     """Value at each wanted (column, 0-based rank).
 
     Every round is two scans, whatever the number of ranks: one for the sketches, one to measure the new
-    brackets. A round shrinks a bracket some 2 500-fold, so one is enough for billions of rows.
+    brackets. A round shrinks a bracket some 500-fold: one serves half a billion rows, three any table.
     Neighbouring ranks share their bracket.
     """
     # bracket (column, low, high) -> rows below it, rows and distinct values inside it

@@ -65,9 +65,10 @@ def test_folds_are_contiguous(spark):
     assert folds == [0] * 6 + [1] * 5
 
 
-@pytest.mark.parametrize("one_task", [10, 10**6])
-def test_number_rows(spark, monkeypatch, one_task):
+@pytest.mark.parametrize("one_task, samples", [(10, 1000), (10, 20), (10**6, 1000)])
+def test_number_rows(spark, monkeypatch, one_task, samples):
     monkeypatch.setattr(order, "ONE_TASK", one_task)
+    monkeypatch.setattr(order, "SAMPLES_PER_RANGE", samples)
     keys = random.Random(2).sample(range(10**9), 3000)
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)
     got = {r["k"]: r["position"] for r in number_rows(df, "k").collect()}

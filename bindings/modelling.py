@@ -190,7 +190,10 @@ def _(spark, sf):
     return spark.read.parquet(path)
 
 
-@query("snk4_saved_model")
+@query(
+    "snk4_saved_model",
+    "SELECT (count(*) - round_even(0.8 * count(*), 0))::bigint AS n, 0::bigint AS different FROM orders",
+)
 def _(spark, sf):
     train, batch = split_random(stored(order_features(spark, sf)))
     fitted = model.Candidate("native", "native", LIGHT).fit(train, "price")

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -62,10 +63,12 @@ def add_columns(
 
 
 def bounded(batch: pa.RecordBatch, position: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch that hold about ``limit`` bytes of the given text column each, in order."""
+    """Slices of a batch that hold about ``limit`` bytes of the given text or list column each, in order."""
     if batch.num_rows == 0:
         return
-    sizes = pa.compute.binary_length(batch.column(position)).fill_null(0).to_numpy(zero_copy_only=False)
+    column = batch.column(position)
+    size_of = pc.list_value_length if pa.types.is_list(column.type) else pc.binary_length
+    sizes = size_of(column).fill_null(0).to_numpy(zero_copy_only=False)
     piece = np.cumsum(sizes) // limit
     cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):

@@ -4,9 +4,20 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from featureflow.llm import bpe
-from featureflow.llm.common import table
+from featureflow.llm import bpe, toxicity
+from featureflow.llm.common import fold, table
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document; learn from the labelled ones of four folds out of five."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), train=~held_out)
+    scored = toxicity.score(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", "held_out", "score", predicted)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,5 +27,6 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_toxicity": (op2_toxicity, None),
     "op8_bpe": (op8_bpe, None),
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, toxicity
+from featureflow.llm import bpe, language, toxicity
 from featureflow.llm.common import fold, table
 
 
@@ -20,6 +20,15 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", predicted)
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict the language of every document; learn from two folds out of three."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = language.fit(docs, train=~held_out)
+    rows = docs.select("doc_id", "text", held_out.alias("held_out"))
+    return language.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document and decode it again: number of tokens and digests of both."""
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
@@ -28,5 +37,6 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": (op2_toxicity, None),
+    "op4_language": (op4_language, None),
     "op8_bpe": (op8_bpe, None),
 }

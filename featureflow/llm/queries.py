@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, language, toxicity
+from featureflow.llm import bpe, decontaminate, language, toxicity
 from featureflow.llm.common import fold, table
 
 
@@ -29,6 +29,33 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(rows, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in passages of benchmark items."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("hits")
+
+
+OP5_SQL = """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
+n AS (SELECT item_id, ws, least(10, len(ws)) AS size FROM i WHERE len(ws) > 0),
+iw AS (SELECT DISTINCT item_id, size, array_to_string(ws[a:a + size - 1], ' ') AS k
+       FROM n, unnest(range(1, len(ws) - size + 2)) AS t(a)),
+sizes AS (SELECT DISTINCT size FROM iw),
+dw AS (SELECT doc_id, size, a, array_to_string(ws[a:a + size - 1], ' ') AS k
+       FROM d, sizes, unnest(range(1, len(ws) - size + 2)) AS t(a)),
+m AS (SELECT doc_id, size, a, item_id FROM dw JOIN iw USING (size, k)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM m, unnest(range(a, a + size)) AS u(p) GROUP BY doc_id),
+met AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+               string_agg(DISTINCT item_id::varchar, ',' ORDER BY item_id::varchar) AS ids FROM m GROUP BY doc_id)
+SELECT doc_id, len(ws)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, coalesce(n_items, 0)::bigint AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN met USING (doc_id)
+"""
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document and decode it again: number of tokens and digests of both."""
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
@@ -38,5 +65,6 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_toxicity": (op2_toxicity, None),
     "op4_language": (op4_language, None),
+    "op5_decontamination": (op5_decontamination, OP5_SQL),
     "op8_bpe": (op8_bpe, None),
 }

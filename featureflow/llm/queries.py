@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, decontaminate, language, toxicity
+from featureflow.llm import bpe, decontaminate, language, secrets, toxicity
 from featureflow.llm.common import fold, table
 
 
@@ -62,9 +62,56 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_query(table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document, by patterns and by entropy."""
+    found = secrets.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *[c.alias(name) for name, c in secrets.summary(found).items()])
+
+
+def _op9_sql(settings: secrets.Settings) -> str:
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+
+    def runs(kind: int, pattern: str, keep: str) -> str:
+        """Places of the matches: the text before the k-th is what the pieces and matches before it hold."""
+        return f"""
+  SELECT doc_id, {kind} AS kind, start, start + len(m) AS end, m FROM (
+    SELECT doc_id, m, k, v,
+           (list_sum([len(x) for x in gaps[1:k]]) + coalesce(list_sum([len(x) for x in ms[1:k - 1]]), 0))::int AS start
+    FROM (SELECT doc_id, ms, gaps, unnest(ms) AS m, unnest(vs) AS v, unnest(range(1, len(ms) + 1)) AS k
+          FROM (SELECT doc_id, regexp_extract_all(t, {quoted(pattern)}) AS ms,
+                       regexp_extract_all(t, {quoted(pattern)}, {2 if kind == 0 else 0}) AS vs,
+                       string_split_regex(t, {quoted(pattern)}) AS gaps FROM d))
+  ) WHERE {keep}"""
+
+    classes = " OR ".join(f"(regexp_full_match(win, '({c})+') AND entropy >= {least})" for c, least in settings.classes)
+    allowed = "|".join(settings.allowed)
+    w = settings.window
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({runs(0, secrets.ASSIGN, f"len(v) >= {secrets.ASSIGN_LEAST}")}
+  UNION ALL {runs(1, secrets.ACCESS, "true")}
+  UNION ALL {runs(2, secrets.HEX, "true")}),
+candidates AS ({runs(3, settings.candidate, "true")}),
+windows AS (SELECT doc_id, start, i, substr(m, i + 1, {w}) AS win FROM candidates, unnest(range(0, len(m) - {w} + 1)) AS u(i)
+            WHERE regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') AND NOT regexp_full_match(m, {quoted(allowed)})),
+counts AS (SELECT doc_id, start, i, win, c, count(*) AS n FROM windows, unnest(string_split(win, '')) AS u(c) GROUP BY ALL),
+judged AS (SELECT doc_id, start, i, win, round(log2({w}) - sum(n * log2(n)) / {w}, 9) AS entropy FROM counts GROUP BY ALL),
+entropy AS (SELECT doc_id, 3 AS kind, start + min(i) AS s, start + max(i) + {w} AS e FROM judged WHERE {classes} GROUP BY doc_id, start),
+spans AS (SELECT doc_id, kind, start AS s, "end" AS e FROM base UNION ALL SELECT doc_id, kind, s, e FROM entropy),
+named AS (SELECT doc_id, kind, s, e, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':' || s || ':' || e AS one FROM spans),
+found AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+                 count(*) FILTER (kind = 2) AS n_hex, string_agg(one, ',' ORDER BY s, kind, e) FILTER (kind < 3) AS base,
+                 string_agg(one, ',' ORDER BY s, kind, e) AS spans FROM named GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0)::bigint AS n_assign, coalesce(n_access, 0)::bigint AS n_access,
+       coalesce(n_hex, 0)::bigint AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN found USING (doc_id)
+"""
+
+
 QUERIES = {
     "op2_toxicity": (op2_toxicity, None),
     "op4_language": (op4_language, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
     "op8_bpe": (op8_bpe, None),
+    "op9_secrets": (op9_secrets, _op9_sql(secrets.Settings())),
 }

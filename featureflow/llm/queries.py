@@ -6,9 +6,62 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, decontaminate, language, secrets, toxicity
+from featureflow.llm import bpe, decontaminate, language, reputation, secrets, toxicity
 from featureflow.llm.common import fold, table
 
+URL_RULES = (
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+)
+
+
+def op1_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judge every page's url by rules and by its host's reputation."""
+    judged = reputation.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _op1_sql(settings: reputation.Settings) -> str:
+    def step(name: str, keys: str, parent: str, join: str) -> str:
+        """Shares of one level, shrunk towards the parent's."""
+        return f"""
+{name}_groups AS (SELECT {keys}, sum(n) AS n, sum(bad) AS bad FROM levels GROUP BY ALL),
+{name}_m AS (SELECT g.*, p.m FROM {name}_groups g {join} {parent} p {"USING (" + ", ".join(keys.split(", ")[1:]) + ")" if join == "JOIN" else ""}),
+{name}_pull AS (SELECT CASE WHEN coalesce(sum(n * (n - 1)), 0) = 0 THEN 1.0 ELSE
+    1 / least(0.9999, greatest(0.0001, (sum(pow(bad - n * m, 2) / (m * (1 - m))) - sum(n)) / sum(n * (n - 1)))) - 1 END AS pull
+  FROM {name}_m WHERE n > 0 AND m * (1 - m) > 0),
+{name}_ab AS (SELECT *, pull * m + bad AS a, pull * (1 - m) + n - bad AS b FROM {name}_m CROSS JOIN {name}_pull),
+{name} AS (SELECT {keys}, n, bad, a, b, a / (a + b) AS m FROM {name}_ab)"""
+
+    second = ", ".join(f"'{s}'" for s in settings.second_level)
+    order = sorted(URL_RULES, key=lambda r: -len(r[1]))
+    fits = lambda r: (
+        f"(host = '{r.split('/')[0]}' OR ends_with(host, '.{r.split('/')[0]}')) AND starts_with(path, '{r[r.index('/'):]}')"
+    )
+    rule = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{r}'" for _, r in order) + " END"
+    said = "CASE " + " ".join(f"WHEN {fits(r)} THEN '{v}'" for v, r in order) + " END"
+    return f"""
+WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+urls AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), '{reputation.UPPER}', '{reputation.LOWER}') AS host,
+                regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+marks AS (SELECT doc_id AS page_id, max(CASE WHEN quality <= 0 OR toxic > 0 THEN 1 ELSE 0 END) AS bad FROM labels
+          WHERE quality IS NOT NULL OR toxic IS NOT NULL GROUP BY doc_id),
+hosts AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad FROM urls LEFT JOIN marks USING (page_id) GROUP BY host),
+names AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') AS name FROM hosts),
+parts AS (SELECT *, string_split(name, '.') AS ls FROM names),
+deep AS (SELECT *, CASE WHEN array_to_string(ls[-2:], '.') IN ({second}) THEN 2 ELSE 1 END AS depth FROM parts),
+known AS (SELECT *, regexp_matches(name, '^[0-9.]*$|^\\[') OR len(ls) <= depth AS alone FROM deep),
+levels AS (SELECT host, n, bad, CASE WHEN alone THEN name ELSE array_to_string(ls[-(depth + 1):], '.') END AS domain,
+                  CASE WHEN alone THEN '' ELSE array_to_string(ls[-depth:], '.') END AS suffix FROM known),
+total AS (SELECT (sum(bad) + 1.0) / (sum(n) + 2.0) AS m FROM levels),{step("suffixes", "suffix", "total", "CROSS JOIN")},{step("domains", "domain, suffix", "suffixes", "JOIN")},{step("shares", "host, domain, suffix", "domains", "JOIN")},
+verdicts AS (SELECT host, CASE WHEN m - {settings.deviations} * sqrt(m * (1 - m) / (a + b + 1)) > {settings.tolerated}
+                               THEN 'block' ELSE 'allow' END AS own FROM shares)
+SELECT page_id, host, path, {rule} AS rule, coalesce({said}, own) AS verdict FROM urls JOIN verdicts USING (host)
+"""
+
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every document; learn from the labelled ones of four folds out of five."""
@@ -109,6 +162,7 @@ FROM d LEFT JOIN found USING (doc_id)
 
 
 QUERIES = {
+    "op1_reputation": (op1_reputation, _op1_sql(reputation.Settings())),
     "op2_toxicity": (op2_toxicity, None),
     "op4_language": (op4_language, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),

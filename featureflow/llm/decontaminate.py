@@ -92,7 +92,7 @@ def item_words(items: DataFrame) -> np.ndarray:
 
 def bitmap(found: DataFrame) -> np.ndarray:
     seen = np.zeros(1 << MAP_BITS, bool)
-    seen[found.distinct().toPandas()["bit"].to_numpy(np.int64)] = True
+    seen[found.distinct().toArrow()["bit"].to_numpy()] = True
     return np.packbits(seen)
 
 
@@ -113,9 +113,9 @@ def word_rarity(docs: DataFrame, vocabulary) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
 
     # At most one row for each slot.
-    found = docs.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    found = docs.select("text").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << RARITY_BITS, np.int64)
-    counts[found["slot"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    counts[found["slot"].to_numpy()] = found["n"].to_numpy()
     return counts
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, decontaminate, language, reputation, secrets, toxicity
+from featureflow.llm import bpe, decontaminate, language, ngram_model, reputation, secrets, toxicity
 from featureflow.llm.common import fold, table
 
 URL_RULES = (
@@ -73,6 +73,16 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", predicted)
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document by the model of nine folds out of ten, and by single tokens."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 10) == 0
+    model, counts = ngram_model.fit(docs, train=~held_out)
+    scored = ngram_model.score(docs.select("doc_id", "text", held_out.alias("held_out")), model, counts)
+    tokens = F.lit(model.tokens).cast("long").alias("train_tokens")
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", tokens, "base_score", "score")
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of every document; learn from two folds out of three."""
     docs = table(spark, sf_dir, "documents")
@@ -164,6 +174,7 @@ FROM d LEFT JOIN found USING (doc_id)
 QUERIES = {
     "op1_reputation": (op1_reputation, _op1_sql(reputation.Settings())),
     "op2_toxicity": (op2_toxicity, None),
+    "op3_language_model": (op3_language_model, None),
     "op4_language": (op4_language, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
     "op8_bpe": (op8_bpe, None),

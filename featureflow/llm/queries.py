@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, decontaminate, language, ngram_model, reputation, secrets, toxicity
+from featureflow.llm import bpe, decontaminate, language, ngram_model, reputation, secrets, substrings, toxicity
 from featureflow.llm.common import fold, table
 
 URL_RULES = (
@@ -171,6 +171,11 @@ FROM d LEFT JOIN found USING (doc_id)
 """
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages that documents share with others, one row per occurrence."""
+    return substrings.passages(substrings.repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 QUERIES = {
     "op1_reputation": (op1_reputation, _op1_sql(reputation.Settings())),
     "op2_toxicity": (op2_toxicity, None),
@@ -179,4 +184,5 @@ QUERIES = {
     "op5_decontamination": (op5_decontamination, OP5_SQL),
     "op8_bpe": (op8_bpe, None),
     "op9_secrets": (op9_secrets, _op9_sql(secrets.Settings())),
+    "op10_substrings": (op10_substrings, None),
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, decontaminate, language, ngram_model, reputation, secrets, substrings, toxicity
+from featureflow.llm import bpe, decontaminate, language, near_duplicates, ngram_model, reputation, secrets, substrings, toxicity
 from featureflow.llm.common import fold, table
 
 URL_RULES = (
@@ -119,6 +119,12 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN met USING (doc_id)
 """
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
+    found = near_duplicates.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every document and decode it again: number of tokens and digests of both."""
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
@@ -182,6 +188,7 @@ QUERIES = {
     "op3_language_model": (op3_language_model, None),
     "op4_language": (op4_language, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
+    "op7_near_duplicates": (op7_near_duplicates, None),
     "op8_bpe": (op8_bpe, None),
     "op9_secrets": (op9_secrets, _op9_sql(secrets.Settings())),
     "op10_substrings": (op10_substrings, None),

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, decontaminate, language, near_duplicates, ngram_model, reputation, secrets, substrings, toxicity
+from featureflow.llm import bpe, decontaminate, language, near_duplicates, neighbours, ngram_model, reputation, secrets, substrings, toxicity
 from featureflow.llm.common import fold, table
 
 URL_RULES = (
@@ -119,6 +119,12 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN met USING (doc_id)
 """
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every vector whose id is divisible by 50."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return neighbours.nearest(rows, rows.where(F.col("vec_id") % 50 == 0))
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near duplicates of every document."""
     found = near_duplicates.classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -188,6 +194,7 @@ QUERIES = {
     "op3_language_model": (op3_language_model, None),
     "op4_language": (op4_language, None),
     "op5_decontamination": (op5_decontamination, OP5_SQL),
+    "op6_neighbours": (op6_neighbours, None),
     "op7_near_duplicates": (op7_near_duplicates, None),
     "op8_bpe": (op8_bpe, None),
     "op9_secrets": (op9_secrets, _op9_sql(secrets.Settings())),

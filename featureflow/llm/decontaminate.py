@@ -17,8 +17,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from featureflow.llm.common import LOWER, bounded, byte_words, mixed, segment_hashes, stored, text_bytes
+from featureflow.llm.common import LOWER, add_columns, bounded, byte_words, mixed, segment_hashes, stored, text_bytes
 
 #: Words are made of digits, letters a to z and everything beyond ASCII.
 WORD_BYTES = np.zeros(256, bool)
@@ -41,6 +42,12 @@ class Words:
         first = np.searchsorted(self.rows, np.arange(len(texts) + 1))
         self.first, self.counts = first[:-1], np.diff(first)
 
+    def digests(self) -> np.ndarray:
+        """One number for each text's sequence of words."""
+        place = np.arange(len(self.hashes), dtype=np.uint64) - np.repeat(self.first, self.counts).astype(np.uint64)
+        sums = np.concatenate([[0], np.cumsum(mixed(self.hashes + place * np.uint64(0xD6E8FEB86659FD93)))]).astype(np.uint64)
+        return (sums[self.first + self.counts] - sums[self.first]).view(np.int64)
+
     def joined(self, at: int, length: int) -> bytes:
         """The words of a window, separated by spaces."""
         return b" ".join([self.data[a:b].tobytes() for a, b in zip(self.starts[at : at + length], self.ends[at : at + length])])
@@ -173,10 +180,7 @@ def candidates(docs: DataFrame, vocabulary, rarity, keys, lengths: list[int]) ->
                         row = int(words.rows[a])
                         one = {"at": int(a - words.first[row]), "length": length, "key": int(key.view(np.int64))}
                         held[row].append(one | {"words": words.joined(a, length).decode()})
-                place = np.arange(len(words.hashes), dtype=np.uint64) - np.repeat(words.first, words.counts).astype(np.uint64)
-                sums = np.concatenate([[0], np.cumsum(mixed(words.hashes + place * np.uint64(0xD6E8FEB86659FD93)))]).astype(np.uint64)
-                digest = (sums[words.first + words.counts] - sums[words.first]).view(np.int64)
-                arrays = [part.column(0), pa.array(digest), pa.array(words.counts), pa.array(held, pa.list_(kind))]
+                arrays = [part.column(0), pa.array(words.digests()), pa.array(words.counts), pa.array(held, pa.list_(kind))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "digest", "n_words", "held"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -184,7 +188,7 @@ def candidates(docs: DataFrame, vocabulary, rarity, keys, lengths: list[int]) ->
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """One row per text: doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hits.
+    """One row per text: doc_id, digest, n_words, n_hit, n_items, items_sha256, contaminated, hits.
 
     ``docs`` has doc_id and text, ``items`` item_id and text. Words: letters A-Z lower-cased, then runs of
     digits, a-z and characters beyond ASCII. An item's windows are its runs of ``window`` words, or the
@@ -231,6 +235,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     items = F.coalesce("items", no_items)
     return texts.select("doc_id", "digest", "n_words").join(spans, same, "left").select(
         "doc_id",
+        "digest",
         "n_words",
         F.coalesce("n", F.lit(0).cast("long")).alias("n_hit"),
         F.size(items).cast("long").alias("n_items"),
@@ -238,3 +243,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
         F.col("spans").isNotNull().alias("contaminated"),
         F.coalesce("spans", nothing).alias("hits"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
+    """The rows of ``docs`` without a word in a passage of an item; see ``contamination``."""
+    hit = contamination(docs, items, window).where("contaminated")
+    hit = stored(hit.select(F.xxhash64("doc_id", "digest").alias("_key")).distinct(), "contaminated")
+    fields = T.StructType([T.StructField("_digest", T.LongType())])
+    known = add_columns(docs, "text", fields, lambda: lambda texts: [Words(pa.array(texts, pa.string())).digests()])
+    keyed = known.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "_digest"))
+    return keyed.join(hit, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

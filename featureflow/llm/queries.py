@@ -95,7 +95,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in passages of benchmark items."""
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("hits")
+    return found.drop("digest", "hits")
 
 
 OP5_SQL = """

@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.llm import bpe, decontaminate, near_duplicates, secrets, toxicity
-from featureflow.llm.common import stored, table
+from featureflow.llm.common import fresh, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, fitted on all labelled documents, does not call toxic."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, model, column="_toxicity")
-    return scored.where(F.col("_toxicity") < 0.5).select(*docs.columns)
+    score = fresh(docs, "_toxicity")
+    scored = toxicity.score(docs, model, column=score)
+    return scored.where(F.col(score) < 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,13 +34,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mask; n_chars follows the text."""
-    found = secrets.find(docs, column="_secrets")
-    text = secrets.masked(F.col("text"), F.col("_secrets"))
-    masked = found.withColumn("text", text)
+    spans = fresh(docs, "_secrets")
+    found = secrets.find(docs, column=spans)
+    masked = found.withColumn("text", secrets.masked(F.col("text"), F.col(spans)))
     if "n_chars" in docs.columns:
-        changed = F.size("_secrets") > 0
-        masked = masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return masked.select(*docs.columns)
+        n_chars = F.when(F.size(spans) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        masked = masked.withColumn("n_chars", n_chars)
+    return masked.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featureflow.llm.common import LOWER, add_columns, bounded, byte_words, mixed, segment_hashes, stored, text_bytes
+from featureflow.llm.common import LOWER, add_columns, bounded, byte_words, fresh, mixed, segment_hashes, stored, text_bytes
 
 #: Words are made of digits, letters a to z and everything beyond ASCII.
 WORD_BYTES = np.zeros(256, bool)
@@ -247,9 +247,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """The rows of ``docs`` without a word in a passage of an item; see ``contamination``."""
+    digest, key = fresh(docs, "_digest"), fresh(docs, "_key")
     hit = contamination(docs, items, window).where("contaminated")
-    hit = stored(hit.select(F.xxhash64("doc_id", "digest").alias("_key")).distinct(), "contaminated")
-    fields = T.StructType([T.StructField("_digest", T.LongType())])
+    hit = stored(hit.select(F.xxhash64("doc_id", "digest").alias(key)).distinct(), "contaminated")
+    fields = T.StructType([T.StructField(digest, T.LongType())])
     known = add_columns(docs, "text", fields, lambda: lambda texts: [Words(pa.array(texts, pa.string())).digests()])
-    keyed = known.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), "_digest"))
-    return keyed.join(hit, "_key", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = known.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), digest))
+    return keyed.join(hit, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

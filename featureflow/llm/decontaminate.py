@@ -45,7 +45,7 @@ class Words:
     def digests(self) -> np.ndarray:
         """One number for each text's sequence of words."""
         place = np.arange(len(self.hashes), dtype=np.uint64) - np.repeat(self.first, self.counts).astype(np.uint64)
-        sums = np.concatenate([[0], np.cumsum(mixed(self.hashes + place * np.uint64(0xD6E8FEB86659FD93)))]).astype(np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(self.hashes + place * np.uint64(0xD6E8FEB86659FD93)))])
         return (sums[self.first + self.counts] - sums[self.first]).view(np.int64)
 
     def joined(self, at: int, length: int) -> bytes:

@@ -90,7 +90,7 @@ class Chunks:
         words = np.concatenate([[0], np.cumsum(word)])
         self.words = words[ends] - words[begins]
         place = (np.arange(len(ends)) - self.first[self.row]).astype(np.uint64)
-        sums = np.concatenate([[0], np.cumsum(mixed(self.digest + place * GOLDEN))]).astype(np.uint64)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(self.digest + place * GOLDEN))])
         #: One number for each whole text, to tell rows of one id apart.
         self.text = ((sums[self.first[1:]] - sums[self.first[:-1]]) >> np.uint64(32)).astype(np.uint32)
 

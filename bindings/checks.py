@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from bindings.common import GAPPY_EVENTS_SQL, REVIEWS_SQL, gappy_events, reviews, sql_hash, sql_normal, table
 from bindings.cleaning import INGEST_SQL
 from featureflow.operators import drift, quality
+from featureflow.operators.clean import null_count_table
 from featureflow.plans.monitor import drift_report, drifted_sample
 from featureflow.plans.prepare import ingest
-from featureflow.session import spread
 
 QUERIES = {}
 
@@ -110,9 +110,7 @@ def _(spark, sf):
     """SELECT count(*) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT lang, text, n_chars FROM documents)) AS n_distinct FROM documents""",
 )
 def _(spark, sf):
-    rows, distinct = quality.distinct_row_count(table(spark, sf, "documents"), ["lang", "text", "n_chars"])
-    # One summary row; the counting itself ran on the whole table.
-    return spark.sql(f"SELECT {rows}L AS n_rows, {distinct}L AS n_distinct")
+    return quality.distinct_row_table(table(spark, sf, "documents"), ["lang", "text", "n_chars"])
 
 
 @query(
@@ -262,7 +260,7 @@ def _(spark, sf):
 DRIFT_REFERENCE_SQL = """SELECT o_orderkey AS record_id, month(o_orderdate)::double AS points, o_totalprice AS price, o_orderstatus AS status FROM orders"""
 DRIFT_ANALYSIS_SQL = """SELECT o_orderkey AS record_id, month(o_orderdate) + CASE WHEN o_custkey % 4 = 0 THEN 1 ELSE 0 END::double AS points,
 CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_totalprice * 1.25 - 5000 END AS price,
-CASE WHEN o_custkey % 5 = 0 THEN 'N' ELSE o_orderstatus END AS status FROM orders WHERE o_orderpriority <> '5-LOW'"""
+CASE WHEN o_custkey % 5 = 0 THEN 'N' ELSE o_orderstatus END AS status FROM orders"""
 
 
 def drift_sql(reference: str, analysis: str, discrete: list[str], continuous: list[str], text: list[str], chunk: int) -> str:
@@ -331,7 +329,7 @@ def rounded_report(report):
 
 
 def drift_inputs(spark, sf):
-    orders = spread(table(spark, sf, "orders"))
+    orders = table(spark, sf, "orders")
     month = F.month("o_orderdate").cast("double")
     reference = orders.select(
         F.col("o_orderkey").alias("record_id"),
@@ -339,7 +337,7 @@ def drift_inputs(spark, sf):
         F.col("o_totalprice").alias("price"),
         F.col("o_orderstatus").alias("status"),
     )
-    analysis = orders.where("o_orderpriority <> '5-LOW'").select(
+    analysis = orders.select(
         F.col("o_orderkey").alias("record_id"),
         (month + F.when(F.col("o_custkey") % 4 == 0, 1.0).otherwise(0.0)).alias("points"),
         F.when(F.col("o_orderkey") % 9 != 0, F.col("o_totalprice") * 1.25 - 5000).alias("price"),
@@ -382,7 +380,4 @@ def _(spark, sf):
     f"SELECT count(*) - count(country) AS country, count(*) - count(price) AS price, count(*) - count(variety) AS variety FROM ({REVIEWS_SQL})",
 )
 def _(spark, sf):
-    from featureflow.operators.clean import null_counts
-
-    counts = null_counts(reviews(spark, sf), ["country", "price", "variety"])
-    return spark.createDataFrame([tuple(counts.values())], "country long, price long, variety long")
+    return null_count_table(reviews(spark, sf), ["country", "price", "variety"])

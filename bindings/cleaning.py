@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.common import GAPPY_EVENTS_SQL, REVIEWS_SQL, gappy_events, reviews, rounded, sql_any, table
-from featureflow.operators import clean
+from featureflow.operators import clean, profile
 from featureflow.plans.prepare import ingest
 
 QUERIES = {}
@@ -90,7 +90,7 @@ def _(spark, sf):
 
 @query("prj9_best_columns", "SELECT p_size, p_retailprice FROM part")
 def _(spark, sf):
-    return table(spark, sf, "part").select(*["p_size", "p_retailprice"])
+    return clean.select_features(table(spark, sf, "part"), ["p_size", "p_retailprice"])
 
 
 @query("prj10_rename", "SELECT n_nationkey AS row_id, n_name AS country FROM nation")
@@ -180,8 +180,64 @@ def _(spark, sf):
            count(*) - count(value) AS value, count(*) - count(user_id) AS user_id FROM g""",
 )
 def _(spark, sf):
-    df = gappy_events(spark, sf)
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    return clean.null_count_table(gappy_events(spark, sf))
+
+
+# Both kinds of missing values in one column, alike on both sides.
+NAN_EVENTS_SQL = """SELECT event_id, event_type, CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 11 = 0 THEN 'NaN'::double ELSE value END AS value,
+    CASE WHEN event_id % 13 = 0 THEN 'NaN'::double ELSE user_id::double END AS user_id FROM events"""
+PLAIN_EVENTS_SQL = """(SELECT event_id, event_type, CASE WHEN event_id % 7 <> 0 AND event_id % 11 <> 0 THEN value END AS value,
+    CASE WHEN event_id % 13 <> 0 THEN user_id::double END AS user_id FROM events)"""
+
+
+def nan_events(spark, sf):
+    return spark.sql(NAN_EVENTS_SQL.replace("FROM events", "FROM {e}"), e=table(spark, sf, "events"))
+
+
+@query(
+    "flt8_null_counts_with_nan",
+    f"SELECT 0::bigint AS event_id, 0::bigint AS event_type, count(*) - count(value) AS value, count(*) - count(user_id) AS user_id FROM {PLAIN_EVENTS_SQL}",
+)
+def _(spark, sf):
+    return clean.null_count_table(nan_events(spark, sf))
+
+
+@query(
+    "agg3_agg21_counts_with_nan",
+    f"""SELECT 'value' AS "column", count(value) AS non_null, count(DISTINCT value) AS n_unique FROM {PLAIN_EVENTS_SQL}
+    UNION ALL SELECT 'user_id', count(user_id), count(DISTINCT user_id) FROM {PLAIN_EVENTS_SQL}""",
+)
+def _(spark, sf):
+    events = nan_events(spark, sf).select("value", "user_id")
+    return profile.table_info(events).drop("dtype").join(profile.distinct_counts(events), "column")
+
+
+@query(
+    "agg5_profile_with_nan",
+    f"""SELECT 'value' AS "column", count(*) - count(value) AS nulls, count(DISTINCT value) AS n_unique FROM {PLAIN_EVENTS_SQL}
+    UNION ALL SELECT 'user_id', count(*) - count(user_id), count(DISTINCT user_id) FROM {PLAIN_EVENTS_SQL}""",
+)
+def _(spark, sf):
+    return profile.column_profile(nan_events(spark, sf).select("value", "user_id")).select("column", "nulls", "n_unique")
+
+
+@query("agg7_means_with_nan", f"SELECT event_type, round(avg(value), 6) AS mean FROM {PLAIN_EVENTS_SQL} GROUP BY 1")
+def _(spark, sf):
+    return rounded(profile.grouped_mean(nan_events(spark, sf), "event_type", "value"), "mean")
+
+
+@query(
+    "agg8_correlations_with_nan",
+    f"""WITH e AS (SELECT value AS x, user_id AS y FROM {PLAIN_EVENTS_SQL} WHERE value IS NOT NULL AND user_id IS NOT NULL),
+    r AS (SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+                 rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM e)
+    SELECT round((SELECT corr(x, y) FROM e), 6) AS pearson, round((SELECT corr(rx, ry) FROM r), 6) AS spearman""",
+)
+def _(spark, sf):
+    events = nan_events(spark, sf).select("value", "user_id")
+    one = lambda m, name: m.where("column_a = 'value' AND column_b = 'user_id'").select("column_a", F.col("correlation").alias(name))
+    both = one(profile.pearson_matrix(events), "pearson").join(one(profile.spearman_matrix(events), "spearman"), "column_a")
+    return rounded(both.drop("column_a"), "pearson", "spearman")
 
 
 @query("flt8_assert_no_nulls", "SELECT o_orderkey, o_totalprice FROM orders")

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.session import spread
 from featureflow.functions.text import ASCII_PUNCTUATION, UNICODE_WHITESPACE, Rule
 
 
@@ -15,9 +14,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """The same for queries with costly per-row work: a small file is spread over all cores."""
-    return spread(table(spark, sf_dir, name).select(*columns))
+def columns_of(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    return table(spark, sf_dir, name).select(*columns)
 
 
 def quoted(text: str) -> str:
@@ -52,6 +50,11 @@ def sql_hash(seed: int, key: str) -> str:
     return f"substr(md5('{seed}:' || cast({key} AS varchar)), 1, 15)"
 
 
+def sql_hash_number(seed: int, key: str) -> str:
+    """The keyed hash as a number."""
+    return f"('0x' || {sql_hash(seed, key)})::bigint"
+
+
 def sql_uniform(seed: int, key: str, part: int = 0) -> str:
     digits = f"substr(md5('{seed}:' || cast({key} AS varchar)), {1 + 8 * part}, 8)"
     return f"((('0x' || {digits})::bigint + 0.5) / 4294967296.0)"
@@ -90,7 +93,7 @@ FROM documents
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql = REVIEWS_SQL.replace("FROM documents", "FROM {docs}").replace("0.0", "CAST(0 AS double)")
-    return spark.sql(sql, docs=spread(table(spark, sf_dir, "documents")))
+    return spark.sql(sql, docs=table(spark, sf_dir, "documents"))
 
 
 # Events with missing values, derived alike on both sides.

@@ -12,7 +12,7 @@ from bindings.common import (
     sql_case,
     sql_normalize,
     sql_squash,
-    spread_table,
+    columns_of,
     table,
 )
 from featureflow.functions import rules, scalar
@@ -65,7 +65,7 @@ PART_RULES = (
 )
 def label_counts_by_language(spark, sf):
     text = normalize_text(F.col("text"))
-    docs = spread_table(spark, sf, "documents", "doc_id", "text", "lang", "source").select("lang", text.alias("v"))
+    docs = columns_of(spark, sf, "documents", "doc_id", "text", "lang", "source").select("lang", text.alias("v"))
     labelled = docs.select(
         "lang", classify(F.col("v"), TEXT_RULES).alias("label"), rules.subtype(F.col("v")).alias("subtype")
     )
@@ -74,7 +74,7 @@ def label_counts_by_language(spark, sf):
 
 @query("scl1_normalize_text", f"SELECT doc_id, {sql_normalize('text')} AS normalized FROM documents")
 def _(spark, sf):
-    return spread_table(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", normalize_text(F.col("text")).alias("normalized"))
+    return columns_of(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", normalize_text(F.col("text")).alias("normalized"))
 
 
 @query(
@@ -116,7 +116,7 @@ def _(spark, sf):
 
 @query("scl4_main_type", f"SELECT doc_id, {sql_main('text')} AS main_type FROM documents")
 def _(spark, sf):
-    return spread_table(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", rules.main_type(F.col("text")).alias("main_type"))
+    return columns_of(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", rules.main_type(F.col("text")).alias("main_type"))
 
 
 @query("scl4_main_type_parts", f"SELECT p_partkey, {sql_main('p_name')} AS main_type FROM part")
@@ -136,7 +136,7 @@ def _(spark, sf):
 
 @query("scl5_subtype", f"SELECT doc_id, {sql_subtype('text')} AS subtype FROM documents")
 def _(spark, sf):
-    return spread_table(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", rules.subtype(F.col("text")).alias("subtype"))
+    return columns_of(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", rules.subtype(F.col("text")).alias("subtype"))
 
 
 @query(
@@ -200,7 +200,7 @@ def _(spark, sf):
     FROM documents JOIN d USING (source)""",
 )
 def _(spark, sf):
-    df = spread_table(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", "source")
+    df = columns_of(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", "source")
     return category_codes(df, "source", unknown="src9")
 
 
@@ -226,7 +226,7 @@ def sql_suggestion(col: str, part: str) -> str:
 def _(spark, sf):
     text = F.when(F.col("source") != "src5", F.col("text"))
     return (
-        spread_table(spark, sf, "documents", "doc_id", "text", "lang", "source")
+        columns_of(spark, sf, "documents", "doc_id", "text", "lang", "source")
         .select("doc_id", rules.suggest_type(text).alias("s"))
         .select("doc_id", "s.label", "s.confidence", "s.reason")
     )
@@ -240,7 +240,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     text = F.col("text")
-    return spread_table(spark, sf, "documents", "doc_id", "text", "lang", "source").select(
+    return columns_of(spark, sf, "documents", "doc_id", "text", "lang", "source").select(
         "doc_id",
         rules.alternative_type(text, "exact").alias("exact_first"),
         rules.alternative_type(text, "checked").alias("checked"),
@@ -255,7 +255,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     red, white = rules.term_flags(F.col("text"))
-    return spread_table(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", red.alias("in_red"), white.alias("in_white"))
+    return columns_of(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", red.alias("in_red"), white.alias("in_white"))
 
 
 # Region of the test tables -> continent name.
@@ -354,5 +354,5 @@ def model_table_query(spark, sf):
     f"SELECT doc_id, {sql_normalize('text')} AS text, {sql_normalize('source')} AS source FROM documents",
 )
 def _(spark, sf):
-    df = spread_table(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", "text", "source")
+    df = columns_of(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", "text", "source")
     return clean.normalize_columns(df, ["text", "source", "not_there"])

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.functions import unwrap_udt
 
-from bindings.common import reviews, table
+from bindings.common import reviews, sql_hash_number, table
 from featureflow.operators import model, select
+from featureflow.operators.features import FOLD_SEED, MEAN_FOLDS, fit_features, fit_one_hot
 from featureflow.operators.split import split_random, train_test_parts
 from featureflow.plans.prepare import engineer_features, ingest, model_table, preprocess
-from featureflow.session import scratch_path, spread
+from featureflow.session import scratch_path
 from featureflow.sources.tables import Tables
 
 QUERIES = {}
@@ -28,7 +29,7 @@ def query(name: str, sql: str | None = None):
 
 def line_features(spark, sf):
     """Line items with an order-independent row id; the target is the price."""
-    lines = spread(table(spark, sf, "lineitem"))
+    lines = table(spark, sf, "lineitem")
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_size")
     return (
         lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -50,7 +51,7 @@ def order_features(spark, sf):
     """Orders with their customer: mixed kinds of features, dense row id, the total as target."""
     customers = table(spark, sf, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
     return (
-        spread(table(spark, sf, "orders"))
+        table(spark, sf, "orders")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .select(
             F.col("o_orderkey").alias("row_id"),
@@ -67,7 +68,7 @@ def order_features(spark, sf):
 def stored(df):
     """The feature table written once to the shared folder: every later pass reads it from there."""
     spark = df.sparkSession
-    return Tables(spark, scratch_path(spark, "features"), {"04_feature": ["features"]}).save("features", df)
+    return Tables(spark, scratch_path(spark, "features"), {"features": ["features"]}).save("features", df)
 
 
 def parts_of(df):
@@ -76,30 +77,43 @@ def parts_of(df):
 
 @query(
     "enc3_native_categories",
-    """WITH o AS (SELECT o_orderkey, o_orderstatus, o_orderpriority, 'c' || o_custkey AS customer, o_totalprice FROM orders),
-    s AS (SELECT o_orderstatus, row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1 AS i FROM o GROUP BY 1),
-    p AS (SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS i FROM o GROUP BY 1),
-    c AS (SELECT customer, (sum(o_totalprice) + (SELECT avg(o_totalprice) FROM o)) / (count(*) + 1) AS level FROM o GROUP BY 1)
-    SELECT o_orderkey AS row_id, s.i::double AS status, p.i::double AS priority, round(c.level, 2) AS customer
-    FROM o JOIN s USING (o_orderstatus) JOIN p USING (o_orderpriority) JOIN c USING (customer)""",
+    f"""WITH o AS (SELECT o_orderkey AS row_id, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status,
+    CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE 'c' || o_custkey END AS customer, o_totalprice AS price,
+    {sql_hash_number(FOLD_SEED, 'o_orderkey')} % {MEAN_FOLDS} AS fold FROM orders),
+    m AS (SELECT avg(price) AS m FROM o),
+    s AS (SELECT status, sum(price) AS t, count(*) AS n FROM o GROUP BY 1), sf AS (SELECT status, fold, sum(price) AS t, count(*) AS n FROM o GROUP BY 1, 2),
+    c AS (SELECT customer, sum(price) AS t, count(*) AS n FROM o GROUP BY 1), cf AS (SELECT customer, fold, sum(price) AS t, count(*) AS n FROM o GROUP BY 1, 2)
+    SELECT row_id, round((s.t - sf.t + m) / (s.n - sf.n + 1), 2) AS status, round((c.t - cf.t + m) / (c.n - cf.n + 1), 2) AS customer,
+    round((s.t + m) / (s.n + 1), 2) AS whole_status, round((c.t + m) / (c.n + 1), 2) AS whole_customer
+    FROM o, m JOIN s ON o.status IS NOT DISTINCT FROM s.status JOIN sf ON o.status IS NOT DISTINCT FROM sf.status AND o.fold = sf.fold
+    JOIN c ON o.customer IS NOT DISTINCT FROM c.customer JOIN cf ON o.customer IS NOT DISTINCT FROM cf.customer AND o.fold = cf.fold""",
 )
 def _(spark, sf):
     df = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("row_id"),
         F.col("o_totalprice").alias("price"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("o_orderpriority").alias("priority"),
-        F.concat(F.lit("c"), F.col("o_custkey")).alias("customer"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_custkey") % 10 != 0, F.concat(F.lit("c"), F.col("o_custkey"))).alias("customer"),
     )
-    fitted = model.native_features(df, "price", [], ["status", "priority", "customer"])
-    slots = vector_to_array(F.col("features"))
-    at = {name: slots[i] for i, name in enumerate(model.slots_of(fitted))}
-    return fitted.transform(df).select(
-        "row_id",
-        at["status"].alias("status"),
-        at["priority"].alias("priority"),
-        F.round(at["customer"], 2).alias("customer"),
+    fitted = fit_features(df, "price", [], {"status": "mean", "customer": "mean"})
+    own = fitted.encoded(df, out_of_fold=True).select("row_id", *[F.round(f"_{c}", 2).alias(c) for c in ("status", "customer")])
+    whole = fitted.encoded(df).select("row_id", *[F.round(f"_{c}", 2).alias(f"whole_{c}") for c in ("status", "customer")])
+    return own.join(whole, "row_id")
+
+
+@query(
+    "enc1_one_hot_any_width",
+    """WITH o AS (SELECT o_orderkey AS row_id, CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE 'c' || o_custkey END AS customer FROM orders),
+    c AS (SELECT customer, row_number() OVER (ORDER BY customer IS NULL, customer) - 2 AS slot FROM (SELECT DISTINCT customer FROM o))
+    SELECT row_id, CASE WHEN slot >= 0 THEN slot END::integer AS slot, (SELECT count(*) - 1 FROM c)::integer AS slots
+    FROM o JOIN c ON o.customer IS NOT DISTINCT FROM c.customer""",
+)
+def _(spark, sf):
+    df = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("row_id"), F.when(F.col("o_custkey") % 10 != 0, F.concat(F.lit("c"), F.col("o_custkey"))).alias("customer")
     )
+    vector = fit_one_hot(df, ["customer"]).transform(df).select("row_id", unwrap_udt("features").alias("v"))
+    return vector.select("row_id", F.get("v.indices", F.lit(0)).alias("slot"), F.col("v.size").alias("slots"))
 
 
 @query("ml1_score_candidates")

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from bindings.common import GAPPY_EVENTS_SQL, gappy_events, quoted, rounded, spread_table, sql_case, sql_squash, table
+from bindings.common import GAPPY_EVENTS_SQL, gappy_events, quoted, rounded, columns_of, sql_case, sql_squash, table
 from featureflow.functions import rules
 from featureflow.functions.scalar import bucket_points
 from featureflow.operators import profile
 from featureflow.operators.association import cramers_v_matrix
 from featureflow.operators.clean import drop_missing
-from featureflow.session import spread
 
 QUERIES = {}
 
@@ -98,7 +97,7 @@ def describe_sql(source: str, columns: list[str]) -> str:
 @query("agg6_describe", describe_sql("SELECT * FROM lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]))
 def _(spark, sf):
     names = ["l_quantity", "l_extendedprice", "l_discount", "l_partkey"]
-    return rounded(profile.describe(spread_table(spark, sf, "lineitem", *names), names), *names, digits=4)
+    return rounded(profile.describe(columns_of(spark, sf, "lineitem", *names), names), *names, digits=4)
 
 
 @query("agg6_describe_with_nulls", describe_sql(GAPPY_EVENTS_SQL, ["value", "user_id"]))
@@ -161,7 +160,7 @@ def spearman_sql(names: list[str], source: str) -> str:
 @query("agg8_spearman", spearman_sql(["l_quantity", "l_extendedprice", "l_discount"], "lineitem"))
 def _(spark, sf):
     names = ["l_quantity", "l_extendedprice", "l_discount"]
-    return rounded(profile.spearman_matrix(spread_table(spark, sf, "lineitem", *names), names), "correlation")
+    return rounded(profile.spearman_matrix(columns_of(spark, sf, "lineitem", *names), names), "correlation")
 
 
 @query(
@@ -210,7 +209,7 @@ CASE WHEN l_linenumber = 1 THEN NULL WHEN l_linestatus = 'O' AND l_tax < 0.04 TH
 )
 def _(spark, sf):
     return cramers_v_matrix(
-        spark.sql(CATEGORICAL_LINES_SQL.replace("FROM lineitem", "FROM {l}"), l=spread(table(spark, sf, "lineitem")))
+        spark.sql(CATEGORICAL_LINES_SQL.replace("FROM lineitem", "FROM {l}"), l=table(spark, sf, "lineitem"))
     )
 
 
@@ -231,7 +230,7 @@ def _(spark, sf):
     count(*) FILTER (o_orderstatus = 'P') AS P FROM orders GROUP BY 1""",
 )
 def _(spark, sf):
-    return profile.crosstab(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus")
+    return profile.crosstab(table(spark, sf, "orders"), "o_orderpriority", "o_orderstatus", ["F", "O", "P"])
 
 
 @query(
@@ -240,11 +239,24 @@ def _(spark, sf):
     FROM lineitem GROUP BY 1""",
 )
 def _(spark, sf):
-    return profile.mean_matrix(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus", "l_quantity")
+    return profile.mean_matrix(table(spark, sf, "lineitem"), "l_returnflag", "l_linestatus", "l_quantity", ["F", "O"])
+
+
+@query("agg11_crosstab_long", "SELECT o_custkey, o_orderpriority, count(*) AS count FROM orders GROUP BY 1, 2")
+def _(spark, sf):
+    return profile.crosstab(table(spark, sf, "orders"), "o_custkey", "o_orderpriority")
+
+
+@query(
+    "agg12_mean_matrix_long",
+    "SELECT l_partkey, l_returnflag, round(avg(l_quantity), 6) AS mean FROM lineitem GROUP BY 1, 2",
+)
+def _(spark, sf):
+    return rounded(profile.mean_matrix(table(spark, sf, "lineitem"), "l_partkey", "l_returnflag", "l_quantity"), "mean")
 
 
 BOTH_LABELS_SQL = (
-    f"SELECT p_name, {sql_case(sql_squash('p_name'), rules.MAIN_TYPE_RULES[:3])} AS first_labels, "
+    f"SELECT p_name, {sql_case(sql_squash('p_name'), rules.MAIN_TYPE_RULES)} AS first_labels, "
     f"{sql_case(sql_squash('p_name'), rules.WIDER_SQUASHED_RULES)} AS second_labels FROM part"
 )
 
@@ -255,7 +267,7 @@ def both_labels(spark, sf):
     name = F.col("p_name")
     return table(spark, sf, "part").select(
         "p_name",
-        classify(squash(name), rules.MAIN_TYPE_RULES[:3]).alias("first_labels"),
+        classify(squash(name), rules.MAIN_TYPE_RULES).alias("first_labels"),
         rules.alternative_type(name).alias("second_labels"),
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from bindings.common import sql_hash, table
 from featureflow.operators import encode, split
 from featureflow.operators.drift import with_record_id
+from featureflow.operators.features import fit_one_hot
 from featureflow.operators.order import number_rows, number_values, running_total
 
 QUERIES = {}
@@ -81,12 +82,27 @@ def _(spark, sf):
 
 @query(
     "spl4_contiguous_folds",
-    """SELECT o_orderkey, (CASE WHEN row_number() OVER (ORDER BY o_orderkey) <= ceil(count(*) OVER () / 2) THEN 0 ELSE 1 END)::integer AS fold
-    FROM orders WHERE o_orderstatus <> 'P'""",
+    """SELECT row_id, (CASE WHEN row_number() OVER (ORDER BY row_id) <= ceil(count(*) OVER () / 2) THEN 0 ELSE 1 END)::integer AS fold
+    FROM (SELECT o_orderkey * 3 + o_orderkey % 2 AS row_id FROM orders)""",
 )
 def _(spark, sf):
-    df = table(spark, sf, "orders").where("o_orderstatus <> 'P'").select("o_orderkey")
-    return split.contiguous_folds(df, "o_orderkey")
+    df = table(spark, sf, "orders").select((F.col("o_orderkey") * 3 + F.col("o_orderkey") % 2).alias("row_id"))
+    return split.contiguous_folds(df, "row_id")
+
+
+# Ids over the whole 64-bit range, from the first 16 hex digits of a hash.
+WIDE_ID_SQL = "(('0x' || substr(md5(o_orderkey::varchar), 1, 15))::bigint - 576460752303423488) * 16"
+
+
+@query(
+    "spl4_folds_of_hash_ids",
+    f"""SELECT o_orderkey, (CASE WHEN row_number() OVER (ORDER BY id) <= ceil(count(*) OVER () / 2) THEN 0 ELSE 1 END)::integer AS fold
+    FROM (SELECT o_orderkey, {WIDE_ID_SQL} AS id FROM orders)""",
+)
+def _(spark, sf):
+    digits = F.conv(F.substring(F.md5(F.col("o_orderkey").cast("string")), 1, 15), 16, 10).cast("long")
+    df = table(spark, sf, "orders").select("o_orderkey", ((digits - 576460752303423488) * 16).alias("id"))
+    return split.contiguous_folds(df, "id").drop("id")
 
 
 STATUSES = ["F", "O", "P"]
@@ -118,7 +134,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     df = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    model = encode.fit_vector_encoder(df, ["o_orderstatus", "o_orderpriority"])
+    model = fit_one_hot(df, ["o_orderstatus", "o_orderpriority"], "o_orderkey")
     slots = [f"o_orderstatus_{v}" for v in STATUSES[1:]] + [f"o_orderpriority_{v}" for v in PRIORITIES[1:]]
     array = vector_to_array(F.col("features"))
     return model.transform(df).select("o_orderkey", *[array[i].alias(name) for i, name in enumerate(slots)])
@@ -151,11 +167,11 @@ def _(spark, sf):
 
 @query(
     "prj13_row_numbers",
-    """SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS position FROM events WHERE event_type <> 'click'""",
+    """SELECT id, row_number() OVER (ORDER BY id) - 1 AS position FROM (SELECT event_id * 3 + event_id % 2 AS id FROM events)""",
 )
 def _(spark, sf):
-    df = table(spark, sf, "events").where("event_type <> 'click'").select("event_id")
-    return number_rows(df, "event_id")
+    df = table(spark, sf, "events").select((F.col("event_id") * 3 + F.col("event_id") % 2).alias("id"))
+    return number_rows(df, "id")
 
 
 @query(

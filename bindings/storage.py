@@ -39,7 +39,8 @@ def _(spark, sf):
             T.StructField("n_chars", T.LongType()),
         ]
     )
-    return tables.read_indexed_csv(spark, path, schema)
+    # The texts hold line breaks.
+    return tables.read_indexed_csv(spark, path, schema, multi_line=True)
 
 
 @query("snk1_csv_without_index", "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part")
@@ -58,7 +59,7 @@ def _(spark, sf):
 
 @query("src3_load_by_name", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
 def _(spark, sf):
-    store = tables.Tables(spark, scratch_path(spark, "tables"), {"02_intermediate": ["orders"]})
+    store = tables.Tables(spark, scratch_path(spark, "tables"), {"prepared": ["orders"]})
     store.save("orders", table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice"))
     return store.load("orders")
 
@@ -68,7 +69,7 @@ def _(spark, sf):
     "SELECT event_id, user_id, value, event_type FROM events WHERE event_type = 'click'",
 )
 def _(spark, sf):
-    store = tables.Tables(spark, scratch_path(spark, "tables"), {"07_output": ["events"]})
+    store = tables.Tables(spark, scratch_path(spark, "tables"), {"output": ["events"]})
     events = table(spark, sf, "events").select("event_id", "user_id", "value", "event_type")
     return store.save("events", events, partition_by=["event_type"]).where("event_type = 'click'")
 
@@ -85,15 +86,15 @@ def _(spark, sf):
     return rounded(back, "val_score", digits=4)
 
 
-FEATURE_SOURCE_SQL = "SELECT o_orderkey AS row_id, o_totalprice, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus <> 'P'"
+# Row ids with gaps: every second one is left out by arithmetic.
+FEATURE_SOURCE_SQL = "SELECT o_orderkey * 3 + o_orderkey % 2 AS row_id, o_totalprice, o_custkey, o_orderstatus, o_orderpriority FROM orders"
 
 
 def feature_source(spark, sf):
     return (
         table(spark, sf, "orders")
-        .where("o_orderstatus <> 'P'")
         .select(
-            F.col("o_orderkey").alias("row_id"),
+            (F.col("o_orderkey") * 3 + F.col("o_orderkey") % 2).alias("row_id"),
             F.col("o_totalprice").alias("Price (total)"),
             "o_custkey",
             "o_orderstatus",

@@ -13,41 +13,24 @@ from featureflow.functions.scalar import round_2dp
 from featureflow.operators.order import non_null
 
 
-# Combinations must repeat this often on average to be worth counting first.
-REPEATS = 10
-
-
-def cramers_v_matrix(
-    df: DataFrame,
-    columns: Sequence[str] | None = None,
-    limit: int | None = None,
-    row_id: str | None = None,
-) -> DataFrame:
+def cramers_v_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column_a, column_b, cramers_v) for every ordered pair, rounded to two decimals.
 
-    All pairs are counted in one pass into (pair, a, b) cells, with map-side counting. The chi-square sum uses observed cells only, because empty cells add
-    exactly what the marginals already say; 2 x 2 tables get the continuity correction.
-    Uses all rows; ``limit`` (by ``row_id``) restricts it to the first ones.
+    Rows are counted by their combination of categories first; the combinations are then counted by pair.
+    The chi-square sum uses observed cells only, because empty cells add exactly what the marginals
+    already say; 2 x 2 tables get the continuity correction.
     """
     kinds = (T.StringType, T.BooleanType)
     names = list(columns or [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)])
-    if limit and row_id is None:
-        raise ValueError("a limit needs the row id that says which rows come first")
-    used = df.orderBy(row_id).limit(limit) if limit else df
     pairs = list(itertools.combinations(names, 2))
     diagonal = df.sparkSession.createDataFrame(
         [(c, c, 1.0) for c in names], "column_a string, column_b string, cramers_v double"
     )
     if not pairs:
         return diagonal
-    labels = used.select(*[F.col(c).cast("string").alias(c) for c in names])
-    counted = labels.withColumn("n", F.lit(1))
-    sizes = labels.agg(
-        F.count("*").alias("rows"), F.approx_count_distinct(F.struct(*names)).alias("combinations")
-    ).first()
-    if sizes["combinations"] * REPEATS <= sizes["rows"]:
-        # Few combinations: count them first, so that only they are taken apart into pairs.
-        counted = labels.groupBy(*names).agg(F.count("*").alias("n"))
+    labels = df.select(*[F.col(c).cast("string").alias(c) for c in names])
+    # Only combinations are taken apart into pairs.
+    counted = labels.groupBy(*names).agg(F.count("*").alias("n"))
     structs = [
         F.struct(F.lit(i).alias("pair"), F.col(a).alias("a"), F.col(b).alias("b"))
         for i, (a, b) in enumerate(pairs)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,11 +158,28 @@ def impute_mode(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     return df.fillna(modes) if modes else df
 
 
+def missing(df: DataFrame, column: str) -> Column:
+    """Whether a column has no value: null, or NaN in a float column."""
+    col = F.col(f"`{column}`")
+    floats = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    return col.isNull() | F.isnan(col) if floats else col.isNull()
+
+
+def null_count_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row with the missing values of each column, NaN included, in one pass."""
+    return df.agg(*[F.count_if(missing(df, c)).alias(c) for c in columns or df.columns])
+
+
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> dict[str, int]:
-    """Nulls per column, in one pass."""
-    names = list(columns or df.columns)
-    row = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in names]).first()
-    return row.asDict()
+    """``null_count_table`` as a dict."""
+    return null_count_table(df, columns).first().asDict()
+
+
+def select_features(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns chosen by feature selection, in that order; one that is missing is an error."""
+    if absent := [c for c in columns if c not in df.columns]:
+        raise KeyError(f"selected columns are missing: {absent}")
+    return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def assert_no_nulls(df: DataFrame) -> DataFrame:

@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +12,6 @@ from featureflow.functions.scalar import flag_to_int
 from featureflow.operators.order import number_values
 from featureflow.schemas import string_columns
 
-MAX_WIDE_CATEGORIES = 2000
-
-
 @dataclass(frozen=True)
 class Categories:
     """Sorted categories per column, as fitted on the training table."""
@@ -30,8 +25,8 @@ class Categories:
 def fit_categories(df: DataFrame, columns: Sequence[str] | None = None) -> Categories:
     """Distinct values per categorical column, in one grouped pass.
 
-    Wide encoding makes one column per category, so the number of categories must suit a table; above
-    ``MAX_WIDE_CATEGORIES`` per column use ``fit_vector_encoder``, which has no such limit on width.
+    Wide encoding makes one column per category, so the categories become part of the schema; where they
+    are too many for that, ``features.fit_one_hot`` keeps them in a table.
     """
     names = [c for c in (columns or string_columns(df.schema))]
     if not names:
@@ -45,11 +40,8 @@ def fit_categories(df: DataFrame, columns: Sequence[str] | None = None) -> Categ
     )
     distinct = pairs.select("p.c", "p.v").distinct()
     found: dict[str, list] = {c: [] for c in names}
-    for r in distinct.limit(MAX_WIDE_CATEGORIES * len(names) + 1).collect():
+    for r in distinct.collect():
         found[r["c"]].append(r["v"])
-    too_wide = {c: len(v) for c, v in found.items() if len(v) > MAX_WIDE_CATEGORIES}
-    if too_wide:
-        raise ValueError(f"too many categories for a wide table, use fit_vector_encoder: {too_wide}")
     # Null sorts last and counts as a category of its own.
     order = {c: tuple(sorted(v, key=lambda x: (x is None, x or ""))) for c, v in found.items()}
     return Categories(order)
@@ -70,33 +62,6 @@ def one_hot_wide(df: DataFrame, categories: Categories, blend: str = "is_blend")
     return df.select(*kept, flag.alias(f"{blend}_True"), *encoded)
 
 
-def fit_vector_encoder(
-    df: DataFrame, columns: Sequence[str], numeric: Sequence[str] = (), output: str = "features"
-) -> PipelineModel:
-    """One-hot as a sparse vector, for any number of categories; fit on train, apply to both parts.
-
-    The first category in sort order is left out of the labels, so it shares the index of unseen
-    values, and ``dropLast`` turns that index into all zeros.
-    """
-    fitted = StringIndexer(
-        inputCols=list(columns), outputCols=[f"_{c}" for c in columns], stringOrderType="alphabetAsc"
-    ).fit(df)
-    labels = {c: list(found)[1:] for c, found in zip(columns, fitted.labelsArray)}
-    used = [c for c in columns if labels[c]]
-    stages = [
-        StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=f"_{c}_index", handleInvalid="keep")
-        for c in used
-    ]
-    if used:
-        encoder = OneHotEncoder(
-            inputCols=[f"_{c}_index" for c in used], outputCols=[f"_{c}_hot" for c in used]
-        )
-        stages.append(encoder.fit(PipelineModel(stages).transform(df)))
-    inputs = [*numeric, *[f"_{c}_hot" for c in used]]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=output))
-    return PipelineModel(stages)
-
-
 def category_codes(
     df: DataFrame,
     column: str,
@@ -108,8 +73,9 @@ def category_codes(
     name = name or f"{column}_codes"
     values = df.select(column).where(F.col(column).isNotNull()).distinct()
     codes = number_values(values, column, name)
-    # The dictionary is joined without a hint: Spark broadcasts it while it is small.
-    coded = df.join(codes, column, "left")
+    # The dictionary is joined without a hint: Spark broadcasts it while it is small. Nulls stay out of it.
+    without = df.where(F.col(column).isNull()).withColumn(name, F.lit(None).cast("long"))
+    coded = df.where(F.col(column).isNotNull()).join(codes, column).unionByName(without)
     fixed = F.when(F.col(column) == unknown, F.lit(unknown_code)).otherwise(
         F.coalesce(F.col(name), F.lit(-1))
     )

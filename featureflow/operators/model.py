@@ -2,27 +2,20 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 import logging
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import (
-    SQLTransformer,
-    StringIndexer,
-    StringIndexerModel,
-    TargetEncoder,
-    VectorAssembler,
-)
-from pyspark.ml.regression import GBTRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from multiprocessing.pool import ThreadPool
+
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.operators.encode import fit_vector_encoder
+from featureflow.operators.features import Features, fit_features
 from featureflow.operators.profile import describe, regression_metrics
 from featureflow.operators.split import contiguous_folds
 from featureflow.schemas import numeric_columns, string_columns
@@ -30,6 +23,7 @@ from featureflow.session import shared_folder
 
 log = logging.getLogger(__name__)
 
+#: Bins that the trees cut a number into.
 MAX_BINS = 64
 NOT_FEATURES = ("row_id", "datetime")
 
@@ -53,75 +47,57 @@ def feature_columns(df: DataFrame, target: str, skip: Sequence[str] = NOT_FEATUR
     return numeric, [c for c in string_columns(df.schema) if c not in left_out]
 
 
-def native_features(
-    train: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str], max_bins: int = MAX_BINS
-) -> PipelineModel:
-    """Categories as nominal features of the trees; too many of them as smoothed target means."""
-    stages: list = []
-    inputs = list(numeric)
-    if categorical:
-        indexed = [f"_{c}_index" for c in categorical]
-        indexer = StringIndexer(inputCols=list(categorical), outputCols=indexed, handleInvalid="keep").fit(train)
-        stages.append(indexer)
-        wide = [c for c, labels in zip(categorical, indexer.labelsArray) if len(labels) + 1 > max_bins]
-        inputs += [f"_{c}_index" for c in categorical if c not in wide]
-        if wide:
-            encoder = TargetEncoder(
-                inputCols=[f"_{c}_index" for c in wide],
-                outputCols=[f"_{c}_mean" for c in wide],
-                labelCol=target,
-                targetType="continuous",
-                handleInvalid="keep",
-                smoothing=1.0,
-            )
-            stages.append(encoder.fit(indexer.transform(train)))
-            # The encoded mean still carries the category's metadata; as a sum it is a plain number.
-            plain = ", ".join(f"`_{c}_mean` + 0.0D AS `_{c}_level`" for c in wide)
-            stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
-            inputs += [f"_{c}_level" for c in wide]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
-    return PipelineModel(stages)
-
-
-def slots_of(features: PipelineModel) -> list[str]:
-    """Source column of each slot of the feature vector built by ``native_features``."""
-    names = features.stages[-1].getInputCols()
-    sources = [c for s in features.stages if isinstance(s, StringIndexerModel) for c in s.getInputCols()]
-    back = {f"_{c}{end}": c for c in sources for end in ("_index", "_level")}
-    return [back.get(n, n) for n in names]
-
-
 def boosted_trees(target: str, **settings) -> GBTRegressor:
     """Gradient-boosted trees; lineage of long fits is cut in the shared checkpoint folder."""
     params = {"maxBins": MAX_BINS, "seed": 42, **settings}
     return GBTRegressor(labelCol=target, featuresCol="features", predictionCol="y_pred", **params)
 
 
+def ordered(df: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """Rows dealt out and sorted by their id, so that a fit doesn't depend on how they came."""
+    return df.repartition(row_id).sortWithinPartitions(row_id)
+
+
+@dataclass
+class Trained:
+    """Fitted features and the learner trained on them."""
+
+    features: Features
+    learner: GBTRegressionModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.learner.transform(self.features.transform(df))
+
+
 @dataclass
 class Candidate:
-    """A named way to build features, and the settings of its learner."""
+    """A named way to build features, and the settings of its learner.
+
+    ``encoding`` holds for all category columns but those that ``encodings`` names: "mean" (also called
+    "native") or "one_hot".
+    """
 
     name: str
     encoding: str
     settings: Mapping[str, float] = field(default_factory=dict)
+    encodings: Mapping[str, str] = field(default_factory=dict)
 
-    def features(self, train: DataFrame, target: str, columns: Sequence[str] | None = None) -> PipelineModel:
+    def features(self, train: DataFrame, target: str, columns: Sequence[str] | None = None) -> Features:
         numeric, categorical = feature_columns(train, target)
         if columns is not None:
             numeric = [c for c in numeric if c in columns]
             categorical = [c for c in categorical if c in columns]
-        if self.encoding == "one_hot":
-            return fit_vector_encoder(train, categorical, numeric)
-        return native_features(train, target, numeric, categorical)
+        usual = "mean" if self.encoding == "native" else self.encoding
+        return fit_features(train, target, numeric, {c: self.encodings.get(c, usual) for c in categorical})
 
-    def fit(self, train: DataFrame, target: str, columns: Sequence[str] | None = None) -> PipelineModel:
+    def fit(self, train: DataFrame, target: str, columns: Sequence[str] | None = None) -> Trained:
         shared_folder(train.sparkSession)
         features = self.features(train, target, columns)
         learner = boosted_trees(target, **self.settings)
         # The learner passes over its input several times before it keeps its own binned copy.
-        prepared = features.transform(train).select("features", target).persist()
+        prepared = ordered(features.transform(train, out_of_fold=True)).select("features", target).persist()
         try:
-            return PipelineModel([*features.stages, learner.fit(prepared)])
+            return Trained(features, learner.fit(prepared))
         finally:
             prepared.unpersist()
 
@@ -135,7 +111,7 @@ def error_metrics(model, data: DataFrame, target: str) -> dict[str, float]:
 
 def score_candidates(
     train: DataFrame, validation: DataFrame, target: str, candidates: Sequence[Candidate] = CANDIDATES
-) -> tuple[DataFrame, dict[str, PipelineModel]]:
+) -> tuple[DataFrame, dict[str, Trained]]:
     """(model, score, rmse, r2) with score = -RMSE on the validation part, and the fitted models.
 
     A candidate that cannot be trained scores minus infinity and loses, without ending the run.
@@ -161,50 +137,56 @@ def grid_search(
     grid: Mapping[str, Sequence] | None = None,
     row_id: str = "row_id",
     parallelism: int = 4,
-) -> tuple[PipelineModel, DataFrame]:
+) -> tuple[Trained, DataFrame]:
     """Best settings by mean squared error over two contiguous folds, refitted on all rows.
 
-    Returns the model and one row per setting. If the search fails, the defaults are fitted instead.
+    Features are fitted inside each fold, on its training rows only. Returns the model and one row per
+    setting. If the search fails, the defaults are fitted instead.
     """
     spark = train.sparkSession
     shared_folder(spark)
     grid = grid or GRIDS[candidate.name]
-    features = candidate.features(train, target)
-    learner = boosted_trees(target, **candidate.settings)
-    builder = ParamGridBuilder()
-    for name, values in grid.items():
-        builder = builder.addGrid(learner.getParam(name), list(values))
-    settings = builder.build()
-    folded = contiguous_folds(features.transform(train), row_id).select("features", target, "fold").persist()
-    validator = CrossValidator(
-        estimator=learner,
-        estimatorParamMaps=settings,
-        evaluator=RegressionEvaluator(labelCol=target, predictionCol="y_pred", metricName="mse"),
-        numFolds=2,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
+    settings = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
     try:
-        searched = validator.fit(folded)
+        folded = contiguous_folds(train, row_id)
+        errors = [_fold_errors(folded, k, target, candidate, settings, row_id, parallelism) for k in (0, 1)]
     except Exception as problem:  # noqa: BLE001 - fall back to the defaults, whatever went wrong
         log.error("grid search failed: %s", problem)
         empty = spark.createDataFrame([], "settings string, mse double, rmse double")
         return candidate.fit(train, target), empty
-    finally:
-        folded.unpersist()
-    rows = [
-        (json.dumps({p.name: v for p, v in s.items()}, sort_keys=True), float(m), math.sqrt(m))
-        for s, m in zip(settings, searched.avgMetrics)
-    ]
+    means = [sum(pair) / 2 for pair in zip(*errors)]
+    best = settings[min(range(len(means)), key=means.__getitem__)]
+    rows = [(json.dumps(s, sort_keys=True), m, math.sqrt(m)) for s, m in zip(settings, means)]
     table = spark.createDataFrame(rows, "settings string, mse double, rmse double")
-    return PipelineModel([*features.stages, searched.bestModel]), table
+    chosen = Candidate(candidate.name, candidate.encoding, {**candidate.settings, **best}, candidate.encodings)
+    return chosen.fit(train, target), table
+
+
+def _fold_errors(
+    folded: DataFrame, fold: int, target: str, candidate: Candidate, settings: list[dict], row_id: str, parallelism: int
+) -> list[float]:
+    """Mean squared error of every setting on one fold, trained on the other."""
+    others, held = folded.where(F.col("fold") != fold).drop("fold"), folded.where(F.col("fold") == fold).drop("fold")
+    features = candidate.features(others, target)
+    prepared = ordered(features.transform(others, out_of_fold=True), row_id).select("features", target).persist()
+    judged = features.transform(held).select("features", target).persist()
+
+    def error(setting: dict) -> float:
+        learner = boosted_trees(target, **{**candidate.settings, **setting}).fit(prepared)
+        return float(regression_metrics(learner.transform(judged), target, "y_pred").first()["mse"])
+
+    try:
+        with ThreadPool(parallelism) as pool:
+            return pool.map(error, settings)
+    finally:
+        prepared.unpersist()
+        judged.unpersist()
 
 
-def settings_of(model: PipelineModel) -> dict[str, float]:
+def settings_of(model: Trained) -> dict[str, float]:
     """Learner settings a fitted model was trained with, to train another one like it."""
-    learner = model.stages[-1]
     names = ("maxIter", "stepSize", "maxDepth", "minInfoGain", "maxBins", "seed")
-    return {n: learner.getOrDefault(n) for n in names if learner.hasParam(n)}
+    return {n: model.learner.getOrDefault(n) for n in names if model.learner.hasParam(n)}
 
 
 def replaces_champion(champion: Mapping | None, challenger_rmse: float) -> bool:
@@ -218,7 +200,7 @@ def replaces_champion(champion: Mapping | None, challenger_rmse: float) -> bool:
 class Selection:
     """Outcome of model selection."""
 
-    model: PipelineModel
+    model: Trained
     candidate: str
     scores: DataFrame
     grid: DataFrame
@@ -231,7 +213,7 @@ def select_model(
     validation: DataFrame,
     target: str,
     champion: Mapping | None = None,
-    champion_model: PipelineModel | None = None,
+    champion_model: Trained | None = None,
     candidates: Sequence[Candidate] = CANDIDATES,
     grids: Mapping[str, Mapping[str, Sequence]] | None = None,
     row_id: str = "row_id",
@@ -252,7 +234,7 @@ def train_model(
     target: str,
     best_columns: Sequence[str] | None = None,
     candidate: Candidate = Candidate("native", "native", BASELINE),
-) -> tuple[PipelineModel, list[str], dict]:
+) -> tuple[Trained, list[str], dict]:
     """(model, columns it uses, {regressor, train_score, val_score}) with both scores as RMSE."""
     numeric, categorical = feature_columns(train, target)
     columns = [c for c in train.columns if c in (*numeric, *categorical)]
@@ -260,14 +242,14 @@ def train_model(
         columns = [c for c in best_columns]
     model = candidate.fit(train, target, columns)
     result = {
-        "regressor": type(model.stages[-1]).__name__,
+        "regressor": type(model.learner).__name__,
         "train_score": error_metrics(model, train, target)["rmse"],
         "val_score": error_metrics(model, validation, target)["rmse"],
     }
     return model, columns, result
 
 
-def predict(df: DataFrame, model: PipelineModel, columns: Sequence[str]) -> DataFrame:
+def predict(df: DataFrame, model: Trained, columns: Sequence[str]) -> DataFrame:
     """Every input column plus ``y_pred``; only the model's columns have to be there."""
     missing = [c for c in columns if c not in df.columns]
     if missing:
@@ -276,24 +258,26 @@ def predict(df: DataFrame, model: PipelineModel, columns: Sequence[str]) -> Data
     return scored.select(*df.columns, "y_pred")
 
 
-def predict_and_describe(df: DataFrame, model: PipelineModel, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def predict_and_describe(df: DataFrame, model: Trained, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     scored = predict(df, model, columns)
     numeric = [c for c in numeric_columns(scored.schema) if c != "row_id"]
     return scored, describe(scored, numeric)
 
 
-def save_model(model: PipelineModel, columns: Sequence[str], path: str, spark: SparkSession) -> None:
+def save_model(model: Trained, columns: Sequence[str], path: str, spark: SparkSession) -> None:
     """Model and the columns it uses, side by side."""
-    model.write().overwrite().save(f"{path}/model")
+    model.learner.write().overwrite().save(f"{path}/learner")
+    model.features.save(f"{path}/features", spark)
     rows = [(i, c) for i, c in enumerate(columns)]
     spark.createDataFrame(rows, "position int, column string").coalesce(1).write.mode("overwrite").json(
         f"{path}/columns"
     )
 
 
-def load_model(path: str, spark: SparkSession) -> tuple[PipelineModel, list[str]]:
+def load_model(path: str, spark: SparkSession) -> tuple[Trained, list[str]]:
     columns = spark.read.schema("position int, column string").json(f"{path}/columns")
-    return PipelineModel.load(f"{path}/model"), [r["column"] for r in columns.orderBy("position").collect()]
+    model = Trained(Features.load(f"{path}/features", spark), GBTRegressionModel.load(f"{path}/learner"))
+    return model, [r["column"] for r in columns.orderBy("position").collect()]
 
 
 def log_run(
@@ -304,3 +288,14 @@ def log_run(
     rows += [(run_id, model, "metric", k, str(v)) for k, v in dict(metrics).items()]
     schema = "run_id string, model string, kind string, name string, value string"
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+
+
+def champion_of(runs: DataFrame, metric: str = "val_rmse") -> dict:
+    """The logged run with the lowest value of the metric, ties to the first run id; empty without runs.
+
+    ``runs`` is the run table; a champion is thereby stored state, not something the caller remembers.
+    """
+    value = F.col("value").cast("double")
+    scored = runs.where((F.col("kind") == "metric") & (F.col("name") == metric) & value.isNotNull())
+    best = scored.agg(F.min(F.struct(value.alias("value"), "run_id", "model")).alias("best")).first()["best"]
+    return {} if best is None else {"run_id": best["run_id"], "model": best["model"], metric: best["value"]}

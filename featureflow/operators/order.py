@@ -19,15 +19,14 @@ from featureflow.session import shared_folder
 BINS = 1 << 14
 # Rows a boundary search may bring to the driver.
 SMALL = 20_000
-# What one task may sort by itself.
-ONE_TASK = 1_000_000
-MAX_RANGES = 4096
+# Rows that one task is given to sort, and distinct values that one task may rank.
+ROWS_PER_RANGE = ONE_TASK = 1_000_000
 SAMPLES_PER_RANGE = 1000
 
 
-def range_count(df: DataFrame) -> int:
-    """How many value ranges to cut a column into: the session's shuffle parallelism, bounded."""
-    return max(2, min(MAX_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+def range_count(df: DataFrame, rows: int = 0) -> int:
+    """How many value ranges to cut a column into: by the number of rows, at least the shuffle parallelism."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_RANGE))
 
 
 def range_splits(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> list[list[float]]:
@@ -36,9 +35,9 @@ def range_splits(df: DataFrame, columns: Sequence[str], rows: int | None = None)
     Large tables are sampled for it, as a range partitioner does: the bounds decide only how even the
     ranges are, every row is still placed by its own value.
     """
-    ranges = range_count(df)
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     rows = df.count() if rows is None else rows
+    ranges = range_count(df, rows)
     if rows > SAMPLES_PER_RANGE * ranges:
         doubles = doubles.sample(SAMPLES_PER_RANGE * ranges / rows, seed=42)
     probabilities = [i / ranges for i in range(1, ranges)]
@@ -112,23 +111,34 @@ def running_total(
     )
 
 
-def number_rows(df: DataFrame, key: str, name: str = "position") -> DataFrame:
-    """Add a dense 0-based number in the order of a unique numeric or timestamp key.
+def number_rows(df: DataFrame, key: str, name: str = "position", tie: str | None = None) -> DataFrame:
+    """Add a dense 0-based number in the order of a numeric or timestamp key; equal keys by ``tie``.
 
-    Integer keys without gaps are already row numbers and only get shifted. Otherwise a window runs
-    per value range, and each range is about an equal share of the rows, so the work is spread
-    whatever the key's distribution is.
+    Integer keys without gaps or repeats are already row numbers and only get shifted. Otherwise a
+    window runs per value range, and each range is about an equal share of the rows, so the work is
+    spread whatever the key's distribution is.
     """
     span = df.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count("*").alias("n")).first()
-    return place_rows(df, key, span["low"], span["high"], span["n"], name)
+    return place_rows(df, key, span["low"], span["high"], span["n"], name, tie)
 
 
-def place_rows(df: DataFrame, key: str, low, high, n: int, name: str = "position") -> DataFrame:
+def is_dense(df: DataFrame, key: str, low: int, high: int, n: int) -> bool:
+    """Whether an integer key takes each value from ``low`` to ``high`` once.
+
+    With as many rows as values, the sums of the values' hashes agree with those of the whole range if
+    there are no repeats, and otherwise only by a chance of about one in 2**64.
+    """
+    if high - low + 1 != n:
+        return False
+    hashes = F.sum(F.xxhash64(F.col("k").cast("long")).cast("decimal(38,0)")).alias("s")
+    own = df.select(F.col(key).alias("k")).agg(hashes).first()["s"]
+    return own == df.sparkSession.range(low, high + 1).withColumnRenamed("id", "k").agg(hashes).first()["s"]
+
+
+def place_rows(df: DataFrame, key: str, low, high, n: int, name: str = "position", tie: str | None = None) -> DataFrame:
     """``number_rows`` when the key's range and the number of rows are known."""
-    if isinstance(df.schema[key].dataType, T.IntegralType) and (not n or high - low + 1 == n):
+    if isinstance(df.schema[key].dataType, T.IntegralType) and (not n or is_dense(df, key, low, high, n)):
         return df.withColumn(name, F.col(key).cast("long") - F.lit(low or 0))
-    if n <= ONE_TASK:
-        return df.withColumn(name, (F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(key)) - 1).cast("long"))
     order = df.withColumn("_order", F.col(key).cast("double"))
     splits = range_splits(order, ["_order"], n)
     ranged = value_ranges(order, ["_order"], "_r", splits).drop("_order")
@@ -139,11 +149,11 @@ def place_rows(df: DataFrame, key: str, low, high, n: int, name: str = "position
     offsets = counts.select(
         "_r_order", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
     )
-    inside = Window.partitionBy("_r_order").orderBy(key)
-    # At most MAX_RANGES + 1 rows: safe to broadcast at any table size.
+    inside = Window.partitionBy("_r_order").orderBy(key, *([tie] if tie else []))
+    # One row per range: Spark broadcasts them by itself.
     return (
         ranged.withColumn("_local", F.row_number().over(inside) - 1)
-        .join(F.broadcast(offsets), "_r_order")
+        .join(offsets, "_r_order")
         .withColumn(name, (F.col("_local") + F.col("_offset")).cast("long"))
         .drop("_r_order", "_local", "_offset")
     )
@@ -168,9 +178,9 @@ def number_values(values: DataFrame, column: str, name: str = "code") -> DataFra
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
-    # One row per partition, MAX_RANGES at most.
+    # One row per partition.
     return (
-        placed.join(F.broadcast(offsets), "_part")
+        placed.join(offsets, "_part")
         .withColumn(name, (F.col("_local") + F.col("_offset")).cast("long"))
         .drop("_part", "_local", "_offset")
     )
@@ -206,7 +216,8 @@ def exact_cut(
 
     A histogram of at most 16 384 bins over the key finds the bin with the boundary, which is then
     split again until it is small; every step is one scan with map-side counting. Splitting by the
-    resulting literal predicate needs no shuffle at all. Row ids must be unique.
+    resulting literal predicate needs no shuffle at all. A row id that repeats at the boundary, where it
+    would make the cut inexact, is an error.
     """
     keyed = df.select(key.alias("k"), F.col(row_id).alias("r"))
     if low is None or high is None:
@@ -214,13 +225,20 @@ def exact_cut(
         if span[0] is None:
             return Cut(None, None, 0, 0)
         low, high = span[0], span[1] + 1
+    if high - low >= 1 << 63:  # differences of keys must fit 64 bits: bins over halved keys
+        low -= low % 2
     total = None
     before = 0
     while True:
         width = -(-(high - low) // BINS)
-        inside = keyed if total is None else keyed.where((F.col("k") >= low) & (F.col("k") < high))
-        bin_number = F.expr(f"(k - ({low}L)) div {width}L")
-        rows = inside.groupBy(bin_number.cast("int").alias("b")).agg(F.count("*").alias("n")).collect()
+        inside = keyed if total is None else keyed.where((F.col("k") >= low) & (F.col("k") <= high - 1))
+        if high - low >= 1 << 63:
+            width += width % 2
+            ends_of = inside.select(F.shiftright("k", 1).alias("k"), F.lit(low // 2).alias("low"), F.lit(width // 2).alias("width"))
+        else:
+            ends_of = inside.select("k", F.lit(low).alias("low"), F.lit(width).alias("width"))
+        bin_number = F.expr("(k - low) div width")
+        rows = ends_of.groupBy(bin_number.cast("int").alias("b")).agg(F.count("*").alias("n")).collect()
         bins = np.zeros(BINS + 1, dtype=np.int64)
         for r in rows:
             if r["b"] is None:
@@ -240,6 +258,8 @@ def exact_cut(
         if high - low == 1:
             raise ValueError(f"more than {SMALL} rows share one key: {row_id} must be unique")
     # The bin holds SMALL rows at most.
-    rows = sorted(tuple(r) for r in keyed.where((F.col("k") >= low) & (F.col("k") < high)).collect())
+    rows = sorted(tuple(r) for r in keyed.where((F.col("k") >= low) & (F.col("k") <= high - 1)).collect())
     edge_key, edge_row = rows[wanted - before - 1]
+    if rows.count((edge_key, edge_row)) > 1:
+        raise ValueError(f"{row_id} {edge_row} occurs more than once: {row_id} must be unique")
     return Cut(edge_key, edge_row, wanted, total)

@@ -11,7 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from featureflow.functions.scalar import round_2dp
+from featureflow.functions.scalar import nan_to_null, round_2dp
+from featureflow.operators.clean import missing, nulls_for_nans
 from featureflow.operators.order import ONE_TASK, non_null, running_total, value_ranges
 from featureflow.schemas import numeric_columns
 
@@ -44,6 +45,7 @@ def sorted_distinct(df: DataFrame, column: str) -> DataFrame:
 def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None, approximate: bool = False) -> DataFrame:
     """(column, n_unique) with nulls left out; ``approximate`` trades exactness for one pass."""
     names = list(columns or df.columns)
+    df = nulls_for_nans(df)
     if approximate:
         row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in names])
         return _unpivot_row(row, names, "n_unique")
@@ -58,9 +60,10 @@ def _unpivot_row(row: DataFrame, names: Sequence[str], value: str) -> DataFrame:
 
 
 def table_info(df: DataFrame) -> DataFrame:
-    """(column, dtype, non_null)."""
+    """(column, dtype, non_null); NaN counts as null."""
     names = df.columns
-    counted = _unpivot_row(df.agg(*[F.count(c).alias(c) for c in names]), names, "non_null")
+    present = df.agg(*[F.count_if(~missing(df, c)).alias(c) for c in names])
+    counted = _unpivot_row(present, names, "non_null")
     return counted.withColumn("dtype", _dtype(df)).select("column", "dtype", "non_null")
 
 
@@ -75,7 +78,7 @@ def missing_table(df: DataFrame) -> DataFrame:
     """(column, missing_count, missing_percentage) of the columns with nulls, worst first."""
     names = df.columns
     nulls = df.agg(
-        F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in names]
+        F.count("*").alias("_rows"), *[F.count_if(missing(df, c)).alias(c) for c in names]
     )
     cells = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(c).alias("missing_count")) for c in names]
@@ -93,7 +96,7 @@ def column_profile(df: DataFrame) -> DataFrame:
     """(column, dtype, nulls, nulls_pct, n_unique), most nulls first."""
     names = df.columns
     nulls = df.agg(
-        F.count("*").alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in names]
+        F.count("*").alias("_rows"), *[F.count_if(missing(df, c)).alias(c) for c in names]
     )
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("nulls")) for c in names])
     long = nulls.select("_rows", F.explode(cells).alias("cell")).select("_rows", "cell.*")
@@ -121,19 +124,20 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    rows: int | None = None,
 ) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of numeric columns, null and NaN left out.
 
-    The built-in exact percentile keeps every distinct value of a column in one task, so it serves only
-    tables that one task can hold. Beyond that, a quantile sketch brackets each wanted rank, and only
-    values inside the brackets are grouped and ranked.
+    Quantile sketches bracket the wanted ranks until few distinct values are left in each bracket; only
+    those are grouped and ranked.
     """
-    clean = numbers(df, columns)
-    rows = df.count() if rows is None else rows
-    if rows <= ONE_TASK:
-        row = clean.agg(*[F.percentile(c, list(probabilities)).alias(c) for c in columns]).first()
-        return {c: list(row[c]) if row[c] is not None else [None] * len(probabilities) for c in columns}
+    clean = numbers(df, columns).persist()
+    try:
+        return _interpolated(clean, columns, probabilities)
+    finally:
+        clean.unpersist()
+
+
+def _interpolated(clean: DataFrame, columns: Sequence[str], probabilities: Sequence[float]) -> dict:
     sizes = clean.agg(*[F.count(c).alias(c) for c in columns]).first()
     wanted = {}
     for c in columns:
@@ -238,12 +242,8 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
     quartiles = (0.25, 0.5, 0.75)
     measures = [f(F.col(c)).cast("double").alias(f"{c}|{s}") for c in names for s, f in moments.items()]
-    rows = df.count()
-    small = rows <= ONE_TASK
-    if small:  # everything in one pass
-        measures += [F.percentile(c, list(quartiles)).alias(f"{c}|q") for c in names]
     row = numbers(df, names).agg(*measures).first().asDict()
-    quantiles = {c: row[f"{c}|q"] for c in names} if small else exact_quantiles(df, names, quartiles, rows)
+    quantiles = exact_quantiles(df, names, quartiles)
     for c in names:
         for label, q in zip(("25%", "50%", "75%"), quantiles[c] or (None,) * 3):
             row[f"{c}|{label}"] = q
@@ -256,19 +256,22 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 def grouped_mean(df: DataFrame, key: str, column: str, name: str = "mean") -> DataFrame:
     """Mean per group, lowest first; a boolean column gives its success rate."""
     kind = dict(df.dtypes)[column]
-    value = F.col(column).cast("int") if kind == "boolean" else F.col(column)
+    value = F.col(column).cast("int") if kind == "boolean" else nan_to_null(F.col(column).cast("double"))
     means = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(value.cast("double")).alias(name))
     return means.orderBy(name, key)
 
 
 def group_mean_on_rows(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
-    """Add each row's group mean; rows with a null key get null.
+    """Add each row's group mean, NaN left out; rows with a null key get null.
 
     Aggregate and join back instead of a window: the aggregation combines map-side, so a key
-    with a third of all rows does not end up in one task, and the small side can be broadcast.
+    with a third of all rows does not end up in one task, and the small side can be broadcast. Rows
+    without a key stay out of the join.
     """
-    means = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.avg(column).alias(name))
-    return df.join(means, key, "left")
+    keyed = df.where(F.col(key).isNotNull())
+    means = keyed.groupBy(key).agg(F.avg(nan_to_null(F.col(column).cast("double"))).alias(name))
+    without = df.where(F.col(key).isNull()).withColumn(name, F.lit(None).cast("double"))
+    return keyed.join(means, key).unionByName(without)
 
 
 def overall_counts_of(df: DataFrame, column: str, selection: Column, k: int = 20) -> DataFrame:
@@ -295,9 +298,7 @@ def pearson_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataF
     """(column_a, column_b, correlation) for every ordered pair, each on rows with both values."""
     names = list(columns or numeric_columns(df.schema))
     pairs = list(itertools.combinations_with_replacement(names, 2))
-    row = df.agg(
-        *[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}|{b}") for a, b in pairs]
-    )
+    row = numbers(df, names).agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
     return _matrix(row, pairs)
 
 
@@ -322,7 +323,7 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     distinct values, so ties and hot values cost one row each.
     """
     names = list(columns or numeric_columns(df.schema))
-    ranged = value_ranges(df.select(*[F.col(c).cast("double").alias(c) for c in names]), names)
+    ranged = value_ranges(numbers(df, names), names)
 
     pairs = list(itertools.combinations(names, 2))
     cells = [
@@ -400,18 +401,26 @@ def equal_width_bin(value: Column, low: float, high: float, bins: int) -> Column
 
 
 def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence | None = None) -> DataFrame:
-    """Frequency matrix, zero where a combination does not occur; nulls are left out."""
+    """Frequencies of the combinations of two columns, nulls left out.
+
+    (rows, columns, count) in long form, whatever the number of values; with ``values`` one column for
+    each of them, zero where a combination does not occur.
+    """
     both = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
-    return both.groupBy(rows).pivot(columns, list(values) if values else None).count().na.fill(0)
+    if values is None:
+        return both.groupBy(rows, columns).count()
+    return both.groupBy(rows).pivot(columns, list(values)).count().na.fill(0)
 
 
 def mean_matrix(df: DataFrame, rows: str, columns: str, value: str, values: Sequence | None = None) -> DataFrame:
-    """Group means pivoted to a rows x columns table."""
+    """Means of the combinations of two columns: (rows, columns, mean), or one column for each of ``values``."""
     kind = dict(df.dtypes)[value]
-    number = F.col(value).cast("int") if kind == "boolean" else F.col(value)
+    number = F.col(value).cast("int") if kind == "boolean" else nan_to_null(F.col(value).cast("double"))
+    mean = F.avg(number.cast("double"))
     both = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
-    pivoted = both.groupBy(rows).pivot(columns, list(values) if values else None)
-    return pivoted.agg(F.avg(number.cast("double")))
+    if values is None:
+        return both.groupBy(rows, columns).agg(mean.alias("mean"))
+    return both.groupBy(rows).pivot(columns, list(values)).agg(mean)
 
 
 def label_share(df: DataFrame, label: str, value: str = "other") -> DataFrame:
@@ -458,7 +467,8 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 def mean_and_std(df: DataFrame, column: str, label: str) -> DataFrame:
     """One labelled row with the mean and the sample standard deviation."""
-    return df.agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("std")).select(
+    value = nan_to_null(F.col(column).cast("double"))
+    return df.agg(F.avg(value).alias("mean"), F.stddev_samp(value).alias("std")).select(
         F.lit(label).alias("stage"), "mean", "std"
     )
 

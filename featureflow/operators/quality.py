@@ -36,8 +36,6 @@ TYPE_NAMES = {
     "bool": ("boolean",),
 }
 
-BROADCAST_ROWS = 1_000_000
-
 
 @dataclass(frozen=True)
 class Check:
@@ -108,7 +106,12 @@ def split_suite(df: DataFrame) -> list[Check]:
 
 
 def distinct_row_count(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[int, int]:
-    """(rows, distinct rows), exactly, without shuffling whole rows when there are no copies.
+    """``distinct_row_table`` as (rows, distinct rows)."""
+    return tuple(distinct_row_table(df, columns).first())
+
+
+def distinct_row_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row (n_rows, n_distinct), exact, without shuffling whole rows that have no copies.
 
     Rows are grouped by a 64-bit hash first. Only rows whose hash occurs twice can be copies;
     just those are compared in full, so hash collisions cannot spoil the count.
@@ -116,18 +119,12 @@ def distinct_row_count(df: DataFrame, columns: Sequence[str] | None = None) -> t
     names = list(columns or df.columns)
     hashed = df.select(*names, F.xxhash64(*names).alias("_hash"))
     per_hash = hashed.groupBy("_hash").agg(F.count("*").alias("n"))
-    sizes = per_hash.agg(
-        F.sum("n").alias("rows"), F.count("*").alias("hashes"), F.count_if(F.col("n") > 1).alias("repeated")
-    ).first()
-    rows = sizes["rows"] or 0
-    if not sizes["repeated"]:
-        return rows, rows
     repeated = per_hash.where(F.col("n") > 1).select("_hash")
-    if sizes["repeated"] <= BROADCAST_ROWS:
-        repeated = F.broadcast(repeated)
     suspects = hashed.join(repeated, "_hash", "left_semi").groupBy(*names).agg(F.count("*").alias("n"))
-    extra = suspects.agg(F.sum(F.col("n") - 1)).first()[0] or 0
-    return rows, rows - extra
+    counts = per_hash.select(F.col("n").alias("rows"), F.lit(0).cast("long").alias("extra"))
+    counts = counts.unionAll(suspects.select(F.lit(0).cast("long"), F.col("n") - 1))
+    total = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum("extra"), F.lit(0)).alias("extra"))
+    return total.select("n_rows", (F.col("n_rows") - F.col("extra")).alias("n_distinct"))
 
 
 def _spark_types(names: Sequence[str]) -> set[str]:
@@ -279,7 +276,8 @@ def pass_fail_counts(results: DataFrame) -> DataFrame:
 
 def checks_by_column(results: DataFrame) -> DataFrame:
     """Column x description matrix of success rates."""
-    return mean_matrix(results, "Column", "Test Description", "Success")
+    kinds = [r[0] for r in results.select("Test Description").distinct().orderBy("Test Description").collect()]
+    return mean_matrix(results, "Column", "Test Description", "Success", [k for k in kinds if k is not None])
 
 
 def suite_summary(results: DataFrame) -> DataFrame:

@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from featureflow.functions.keyed import KEY_BITS, hash_key
 from featureflow.operators.clean import assert_no_nulls, check_same_features, features_and_target
-from featureflow.operators.order import exact_cut
+from featureflow.operators.order import Cut, exact_cut
 
 
-def first_by_hash(df: DataFrame, row_id: str, seed: int, take) -> Column:
+def cut_by_hash(df: DataFrame, row_id: str, seed: int, take) -> tuple[Column, Cut]:
     """Predicate that holds for the first ``take(n)`` rows in keyed-hash order.
 
     It compares with a literal boundary, so filtering by it needs no shuffle, and it picks the same ids
@@ -20,12 +20,12 @@ def first_by_hash(df: DataFrame, row_id: str, seed: int, take) -> Column:
     """
     key = hash_key(seed, F.col(row_id))
     cut = exact_cut(df, key, row_id, take, 0, 1 << KEY_BITS)
-    return cut.predicate(key, F.col(row_id))
+    return cut.predicate(key, F.col(row_id)), cut
 
 
 def take_by_hash(df: DataFrame, row_id: str, seed: int, take) -> tuple[DataFrame, DataFrame]:
     """(first ``take(n)`` rows in keyed-hash order, the rest): disjoint and complete by construction."""
-    chosen = first_by_hash(df, row_id, seed, take)
+    chosen, _ = cut_by_hash(df, row_id, seed, take)
     return df.where(chosen), df.where(~chosen)
 
 
@@ -67,14 +67,13 @@ def split_and_validate(
     every table split with this seed (the plain and the one-hot table).
     """
     assert_no_nulls(df)
-    is_test = first_by_hash(df, row_id, seed, lambda n: math.ceil(test_fraction * n))
+    is_test, cut = cut_by_hash(df, row_id, seed, lambda n: math.ceil(test_fraction * n))
     x_train, y_train = features_and_target(df.where(~is_test), target, row_id)
     x_test, y_test = features_and_target(df.where(is_test), target, row_id)
     check_same_features(x_train, x_test, target)
-    sizes = df.agg(F.count("*").alias("total"), F.count_if(is_test).alias("test")).first()
-    expected = int(sizes["total"] * test_fraction)
-    if abs(sizes["test"] - expected) > 0.05 * sizes["total"]:
-        raise ValueError(f"test part has {sizes['test']} rows, expected about {expected}")
+    expected = int(cut.total * test_fraction)
+    if abs(cut.taken - expected) > 0.05 * cut.total:
+        raise ValueError(f"test part has {cut.taken} rows, expected about {expected}")
     return {"X_train": x_train, "X_test": x_test, "y_train": y_train, "y_test": y_test}
 
 

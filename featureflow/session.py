@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 
 def local_session(cores: int | str = "*", **conf: str) -> SparkSession:
@@ -43,16 +43,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return os.path.join(shared_folder(spark), "scratch", f"{name}-{uuid.uuid4().hex}")
+    """A fresh path below the shared folder, in a folder of this application."""
+    return os.path.join(_scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly per-row work on a table read from few file splits.
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch tables; call it when no result that reads them is needed any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-    A table that already comes in at least as many partitions as there are cores, which is every
-    large one, is returned as it is. Meant for freshly read tables: those are plain scans, whose
-    partitions are known without running anything.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+def _scratch_root(spark: SparkSession) -> str:
+    return os.path.join(shared_folder(spark), "scratch", spark.sparkContext.applicationId)

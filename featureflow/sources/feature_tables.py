@@ -14,6 +14,7 @@ from featureflow.operators.order import number_rows
 from featureflow.operators.profile import equal_width_bin, pearson_matrix
 from featureflow.operators.quality import feature_group_suite, run_suite, typed_groups
 from featureflow.schemas import numeric_columns
+from featureflow.session import scratch_path
 
 log = logging.getLogger(__name__)
 
@@ -146,6 +147,11 @@ def write_feature_groups(
         "categorical_features": "Categorical feature",
         "target_features": "Target variable",
     }
+    # Numbered once; each group then finds dense row ids and only projects.
+    path = scratch_path(df.sparkSession, "numbered")
+    numbered = number_rows(df, row_id, "_position").drop(row_id).withColumnRenamed("_position", row_id)
+    numbered.write.parquet(path)
+    df = df.sparkSession.read.parquet(path)
     written = {}
     for name, group in vertical_groups(df, target, row_id).items():
         texts = {c: f"{kinds[name]}: {c}" for c in group.columns if c not in (row_id, "datetime")}

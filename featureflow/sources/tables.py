@@ -9,21 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from featureflow.operators.clean import nulls_for_nans
 from featureflow.schemas import RAW_REVIEWS
 
 CSV_FORMAT = {"header": True, "quote": '"', "escape": '"'}
 
 
 def read_indexed_csv(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW_REVIEWS, multi_line: bool = True
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType = RAW_REVIEWS, multi_line: bool = False
 ) -> DataFrame:
     """CSV whose unnamed first column is the row index; it arrives under the schema's first name.
 
-    The schema is given, so there is no inference pass. Quoted line breaks need ``multi_line``, which
-    makes each file one task: hand over many files, or switch it off when no field has a line break.
+    The schema is given, so there is no inference pass. Files are split among tasks; fields with quoted
+    line breaks need ``multi_line``, which makes each file one task: hand over many files then. NaN in a
+    number becomes null.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.csv(paths, schema=schema, multiLine=multi_line, enforceSchema=True, **CSV_FORMAT)
+    return nulls_for_nans(spark.read.csv(paths, schema=schema, multiLine=multi_line, enforceSchema=True, **CSV_FORMAT))
 
 
 def write_csv(df: DataFrame, path: str, index: str | None = None) -> None:
@@ -46,20 +48,14 @@ def read_json(path: str, spark: SparkSession, schema: str | None = None) -> dict
     return reader.json(path).first().asDict()
 
 
-# Storage layers and the tables they hold.
+#: Folders and the tables they hold, unless the caller names others.
 LAYERS = {
-    "01_raw": ("wine_raw_data", "wine_data_drift_test"),
-    "02_intermediate": ("wine_ingested_data", "train_data", "batch_data"),
-    "03_primary": ("train_preprocessed", "batch_preprocessed"),
-    "04_feature": (
-        "train_feature_engineered",
-        "batch_feature_engineered",
-        "train_encoded",
-        "batch_encoded",
-    ),
-    "05_split": ("X_train", "X_val", "y_train", "y_val"),
-    "07_output": ("df_with_predict", "predict_describe", "univariate_drift_results"),
-    "08_reporting": ("data_unit_test_results", "production_model_metrics"),
+    "raw": ("reviews",),
+    "prepared": ("ingested", "train", "batch"),
+    "features": ("train_features", "batch_features"),
+    "split": ("X_train", "X_val", "y_train", "y_val"),
+    "output": ("scored", "described", "drift"),
+    "reports": ("checks", "metrics"),
 }
 
 
@@ -82,7 +78,7 @@ class Tables:
 
     def load(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
-        return reader.parquet(self.path(name))
+        return nulls_for_nans(reader.parquet(self.path(name)))
 
     def save(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
         """Write a table and read it back, so that later steps start from the stored rows."""

@@ -4,7 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from featureflow.operators import model, select
+from featureflow.operators import features, model, select
 from featureflow.plans.train import score_batch, select_and_train
 
 LIGHT = {"maxIter": 5, "maxDepth": 3}
@@ -117,3 +117,43 @@ def test_donors_are_a_permutation(spark):
     rows = select.with_donors(df, ["v"]).selectExpr("row_id", "donor.v AS given").collect()
     assert sorted(r["given"] for r in rows) == sorted(r["row_id"] for r in rows)
     assert sum(r["given"] == r["row_id"] for r in rows) < 20
+
+
+def test_means_of_training_rows_leave_out_their_fold(spark):
+    """A target of pure noise: settings judged in folds look no better than the target's spread."""
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"row_id": np.arange(1500), "who": [f"c{i}" for i in rng.integers(0, 800, 1500)], "price": rng.normal(size=1500)})
+    df = spark.createDataFrame(pdf)
+    _, grid = model.grid_search(df, "price", model.Candidate("native", "native", {"maxIter": 5}), {"maxDepth": [3]})
+    assert grid.first()["mse"] > 0.95 * pdf["price"].var()
+
+
+def test_one_hot_of_many_categories_with_null(spark):
+    rows = [(i, f"c{i:05d}" if i else None) for i in range(2500)]
+    df = spark.createDataFrame(rows, "row_id long, region string")
+    vectors = features.fit_one_hot(df, ["region"]).transform(df).collect()
+    hot = {r["row_id"]: r["features"].indices.tolist() for r in vectors}
+    assert all(r["features"].size == 2499 for r in vectors)
+    assert hot == {0: [2498], 1: [], **{i: [i - 2] for i in range(2, 2500)}}
+
+
+def test_missing_numbers_and_saved_model(spark, tmp_path):
+    rows = [(i, None if i % 5 == 0 else float(i % 7), None if i % 3 == 0 else "ab"[i % 2], float(i % 7)) for i in range(300)]
+    rows.append((300, float("nan"), "a", 1.0))
+    df = spark.createDataFrame(rows, "row_id long, size double, kind string, price double")
+    for encoding in ("native", "one_hot"):
+        fitted = model.Candidate(encoding, encoding, LIGHT).fit(df, "price")
+        before = fitted.transform(df).select("row_id", "y_pred").collect()
+        model.save_model(fitted, ["size", "kind"], f"{tmp_path}/{encoding}", spark)
+        loaded, columns = model.load_model(f"{tmp_path}/{encoding}", spark)
+        assert columns == ["size", "kind"]
+        assert sorted(loaded.transform(df).select("row_id", "y_pred").collect()) == sorted(before)
+
+
+def test_champion_is_read_from_the_runs(spark, tmp_path):
+    path = f"{tmp_path}/runs"
+    model.log_run(spark, path, "b", "native", {}, {"val_rmse": 3.0})
+    model.log_run(spark, path, "a", "one_hot", {"maxIter": 5}, {"val_rmse": 2.0, "r2": 0.5})
+    runs = spark.read.parquet(path)
+    assert model.champion_of(runs) == {"run_id": "a", "model": "one_hot", "val_rmse": 2.0}
+    assert model.champion_of(runs.limit(0)) == {}

@@ -65,9 +65,32 @@ def test_folds_are_contiguous(spark):
     assert folds == [0] * 6 + [1] * 5
 
 
-@pytest.mark.parametrize("one_task, samples", [(10, 1000), (10, 20), (10**6, 1000)])
-def test_number_rows(spark, monkeypatch, one_task, samples):
-    monkeypatch.setattr(order, "ONE_TASK", one_task)
+def test_exact_cut_refuses_a_repeated_id_at_the_boundary(spark):
+    df = spark.createDataFrame([(i // 2,) for i in range(10)], "k long")
+    with pytest.raises(ValueError, match="unique"):
+        exact_cut(df, F.col("k"), "k", lambda n: 5)
+
+
+def test_folds_over_the_whole_range_of_ids(spark):
+    ids = [-(2**63), -(2**63) + 1, -5, 0, 7, 2**62, 2**63 - 2, 2**63 - 1]
+    for some in (ids, ids[:-1], ids[1:], [ids[0], ids[-1]]):
+        df = spark.createDataFrame([(i,) for i in some], "row_id long")
+        folds = {r["row_id"]: r["fold"] for r in split.contiguous_folds(df).collect()}
+        first = sorted(some)[: -(-len(some) // 2)]
+        assert folds == {i: int(i not in first) for i in some}
+
+
+def test_number_rows_with_repeated_keys(spark):
+    df = spark.createDataFrame([(0, 2), (0, 1), (2, 3), (5, 9)], "k long, tie long")
+    got = {r["tie"]: r["position"] for r in number_rows(df, "k", tie="tie").collect()}
+    assert got == {1: 0, 2: 1, 3: 2, 9: 3}
+    two = spark.createDataFrame([(0, 2), (0, 1), (2, 3)], "k long, tie long")
+    assert sorted(r["position"] for r in number_rows(two, "k").collect()) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("rows_per_range, samples", [(10, 1000), (10, 20), (10**6, 1000)])
+def test_number_rows(spark, monkeypatch, rows_per_range, samples):
+    monkeypatch.setattr(order, "ROWS_PER_RANGE", max(rows_per_range, 100))
     monkeypatch.setattr(order, "SAMPLES_PER_RANGE", samples)
     keys = random.Random(2).sample(range(10**9), 3000)
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)
@@ -77,8 +100,7 @@ def test_number_rows(spark, monkeypatch, one_task, samples):
     assert [r["position"] for r in number_rows(dense, "id").orderBy("id").collect()] == list(range(100))
 
 
-def test_number_rows_by_time(spark, monkeypatch):
-    monkeypatch.setattr(order, "ONE_TASK", 10)
+def test_number_rows_by_time(spark):
     df = spark.range(500).select(F.timestamp_seconds(F.col("id") * 37 % 501 + 1_700_000_000).alias("t"))
     rows = number_rows(df, "t").orderBy("t").collect()
     assert [r["position"] for r in rows] == list(range(500))

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from featureflow.functions.text import classify, squash
 from featureflow.operators import encode, order, split
-from featureflow.operators.association import cramers_v_matrix
 from featureflow.operators.profile import pearson_matrix
 from featureflow.plans.prepare import engineer_features, ingest, model_table, preprocess
 from featureflow.schemas import RAW_REVIEWS
@@ -67,10 +66,3 @@ def test_labels_stay_in_generated_code(reviews):
 
 def test_correlations_are_one_aggregation(reviews):
     assert plan_of(pearson_matrix(reviews, ["points", "price"])).count("Exchange") == 1
-
-
-def test_association_limit(reviews):
-    first = {(r["column_a"], r["column_b"]): r["cramers_v"] for r in cramers_v_matrix(reviews, ["country", "variety"], 100, "row_id").collect()}
-    assert first[("country", "variety")] == first[("variety", "country")] == 1.0
-    with pytest.raises(ValueError):
-        cramers_v_matrix(reviews, ["country"], 100)

@@ -209,8 +209,7 @@ def test_gate_on_columns(spark):
         quality.assert_gates(ingested(spark, GOOD).drop("variety"))
 
 
-def test_distinct_count_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(quality, "BROADCAST_ROWS", 0)
+def test_distinct_count(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, "a"), (None, "1"), (1, "1")], "a int, b string")
     assert quality.distinct_row_count(df) == (5, 4)
     assert quality.distinct_row_count(df.limit(0)) == (0, 0)

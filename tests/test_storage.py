@@ -13,7 +13,7 @@ def test_csv_with_quotes_breaks_and_spaces(spark):
     tables.write_csv(df, path, index="row_id")
     header = spark.read.text(path).first()[0]
     assert header.startswith("_c0,country,description")
-    assert tables.read_indexed_csv(spark, path).collect() == df.collect()
+    assert tables.read_indexed_csv(spark, path, multi_line=True).collect() == df.collect()
 
 
 def test_feature_table(spark):
@@ -39,7 +39,7 @@ def test_registry(spark):
     store = tables.Tables(spark, scratch_path(spark, "tables"))
     store.save("X_train", spark.range(5).toDF("row_id"))
     assert store.load("X_train").count() == 5
-    assert "df_with_predict" in store.names()
+    assert "scored" in store.names()
     with pytest.raises(KeyError):
         store.load("nothing")
 

@@ -41,6 +41,29 @@ def sql_subtype(col: str) -> str:
     return sql_case(sql_squash(col), rules.SUBTYPE_RULES, sql_main(col))
 
 
+# Names with the main type and the subtype that they have to get, written down independently of the rules.
+LABEL_EXAMPLES = (
+    ("Champagne", "sparkling", "sparkling"), ("Prosecco", "sparkling", "sparkling rosé"), ("Rosé", "rosé", "rosé"),
+    ("Tokay", "fortified", "fortified"), ("Sherry", "fortified", "fortified"), ("Pinot Noir", "red", "light-bodied red"),
+    ("Merlot", "red", "medium-bodied red"), ("Cabernet Sauvignon", "red", "full-bodied red"),
+    ("Sauvignon Blanc", "white", "light-bodied white"), ("Riesling", "white", "light-bodied white"),
+    ("Chardonnay", "white", "full-bodied white"), ("Unknown Variety", "other", "other"),
+)
+
+
+@query(
+    "scl4_scl5_fixed_examples",
+    "SELECT p_partkey, main, sub FROM part JOIN (VALUES "
+    + ", ".join(f"({k}, '{main}', '{sub}')" for k, (_, main, sub) in enumerate(LABEL_EXAMPLES))
+    + f") AS e(k, main, sub) ON p_partkey % {len(LABEL_EXAMPLES)} = k",
+)
+def _(spark, sf):
+    names = spark.createDataFrame([(k, e[0]) for k, e in enumerate(LABEL_EXAMPLES)], "k int, name string")
+    parts = table(spark, sf, "part").select("p_partkey", (F.col("p_partkey") % len(LABEL_EXAMPLES)).alias("k"))
+    named = parts.join(names, "k")
+    return named.select("p_partkey", rules.main_type(F.col("name")).alias("main"), rules.subtype(F.col("name")).alias("sub"))
+
+
 # Rules made of words that occur in the test texts, so that every branch is taken.
 TEXT_RULES = (
     Rule("maritime", ("chou", "eaux")),
@@ -258,26 +281,30 @@ def _(spark, sf):
     return columns_of(spark, sf, "documents", "doc_id", "text", "lang", "source").select("doc_id", red.alias("in_red"), white.alias("in_white"))
 
 
-# Region of the test tables -> continent name.
-REGION_CONTINENTS = {"AFRICA": "Africa", "AMERICA": "North America", "ASIA": "Asia", "EUROPE": "Europe"}
+# A country for each nation key of the test tables, and what its continent has to be.
+NATION_COUNTRIES = (
+    ("Italy", "Europe"), ("US", "North America"), ("England", "Europe"), ("Chile", "South America"),
+    ("South Africa", "Africa"), ("Japan", "Asia"), ("New Zealand", "Oceania"), ("Ivory Coast", "Africa"),
+    ("Brunei", "Asia"), ("Kosovo", "Europe"), ("Puerto Rico", "North America"), ("Atlantis", "Other"),
+    ("Greenland", "North America"), ("Guinea-Bissau", "Africa"), ("Hong Kong", "Asia"), ("Samoa", "Oceania"),
+    ("Georgia", "Asia"), ("Peru", "South America"), ("Czechia", "Europe"), ("Bermuda", "North America"),
+    ("Palestine", "Asia"), ("Saint Lucia", "North America"), ("Turkey", "Asia"), ("", "Other"), (None, "Other"),
+)
 
 
 @query(
     "jn2_continent_lookup",
-    """SELECT c_custkey, coalesce(CASE r_name WHEN 'AFRICA' THEN 'Africa' WHEN 'AMERICA' THEN 'North America'
-    WHEN 'ASIA' THEN 'Asia' WHEN 'EUROPE' THEN 'Europe' END, 'Other') AS continent
-    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey""",
+    "SELECT c_custkey, coalesce(continent, 'Other') AS continent FROM customer LEFT JOIN (VALUES "
+    + ", ".join(f"({key}, '{continent}')" for key, (_, continent) in enumerate(NATION_COUNTRIES))
+    + ") AS d(k, continent) ON c_nationkey = k",
 )
 def _(spark, sf):
-    # Nation and region are dimension tables; Spark broadcasts them while they are small.
-    nations = table(spark, sf, "nation").join(
-        table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-    )
-    name = scalar.replace_values(F.col("r_name"), REGION_CONTINENTS)
-    known = F.when(F.col("r_name").isin(*REGION_CONTINENTS), name)
+    countries = spark.createDataFrame([(k, c) for k, (c, _) in enumerate(NATION_COUNTRIES)], "k int, country string")
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    joined = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-    return joined.select("c_custkey", F.coalesce(known, F.lit("Other")).alias("continent"))
+    # The dimension has one row per nation; Spark broadcasts it by itself.
+    joined = customers.join(countries, F.col("c_nationkey") == F.col("k"), "left")
+    standard = scalar.replace_values(F.col("country"), scalar.COUNTRY_SPELLINGS)
+    return joined.select("c_custkey", scalar.continent_of(standard).alias("continent"))
 
 
 @query(

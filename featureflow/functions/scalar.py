@@ -18,41 +18,43 @@ COUNTRY_SPELLINGS = {"US": "United States", "England": "United Kingdom"}
 # Continent of each country; anything else is 'Other'.
 CONTINENTS = {
     "Africa": (
-        "Algeria, Angola, Benin, Botswana, Burkina Faso, Burundi, Cabo Verde, Cameroon, Chad, "
-        "Central African Republic, Comoros, Congo, Djibouti, Egypt, Equatorial Guinea, Eritrea, "
-        "Eswatini, Ethiopia, Gabon, Gambia, Ghana, Guinea, Kenya, Lesotho, Liberia, Libya, "
-        "Madagascar, Malawi, Mali, Mauritania, Mauritius, Morocco, Mozambique, Namibia, Niger, "
-        "Nigeria, Rwanda, Senegal, Seychelles, Sierra Leone, Somalia, South Africa, South Sudan, "
-        "Sudan, Togo, Tunisia, Uganda, Zambia, Zimbabwe"
+        "Algeria", "Angola", "Benin", "Botswana", "Burkina Faso", "Burundi", "Cabo Verde", "Cameroon",
+        "Central African Republic", "Chad", "Comoros", "Congo", "Djibouti", "Egypt", "Equatorial Guinea",
+        "Eritrea", "Eswatini", "Ethiopia", "Gabon", "Gambia", "Ghana", "Guinea", "Guinea-Bissau",
+        "Ivory Coast", "Kenya", "Lesotho", "Liberia", "Libya", "Madagascar", "Malawi", "Mali", "Mauritania",
+        "Mauritius", "Morocco", "Mozambique", "Namibia", "Niger", "Nigeria", "Rwanda", "Senegal",
+        "Seychelles", "Sierra Leone", "Somalia", "South Africa", "South Sudan", "Sudan", "Togo", "Tunisia",
+        "Uganda", "Zambia", "Zimbabwe",
     ),
     "Asia": (
-        "Afghanistan, Armenia, Azerbaijan, Bahrain, Bangladesh, Bhutan, Cambodia, China, Cyprus, "
-        "Georgia, India, Indonesia, Iran, Iraq, Israel, Japan, Jordan, Kazakhstan, Kuwait, "
-        "Kyrgyzstan, Laos, Lebanon, Malaysia, Maldives, Mongolia, Myanmar, Nepal, North Korea, "
-        "Oman, Pakistan, Philippines, Qatar, Saudi Arabia, Singapore, South Korea, Sri Lanka, "
-        "Syria, Taiwan, Tajikistan, Thailand, Turkey, Turkmenistan, United Arab Emirates, "
-        "Uzbekistan, Vietnam, Yemen"
+        "Afghanistan", "Armenia", "Azerbaijan", "Bahrain", "Bangladesh", "Bhutan", "Brunei", "Cambodia",
+        "China", "Cyprus", "Georgia", "Hong Kong", "India", "Indonesia", "Iran", "Iraq", "Israel", "Japan",
+        "Jordan", "Kazakhstan", "Kuwait", "Kyrgyzstan", "Laos", "Lebanon", "Malaysia", "Maldives",
+        "Mongolia", "Myanmar", "Nepal", "North Korea", "Oman", "Pakistan", "Palestine", "Philippines",
+        "Qatar", "Saudi Arabia", "Singapore", "South Korea", "Sri Lanka", "Syria", "Taiwan", "Tajikistan",
+        "Thailand", "Turkey", "Turkmenistan", "United Arab Emirates", "Uzbekistan", "Vietnam", "Yemen",
     ),
     "Europe": (
-        "Albania, Andorra, Austria, Belarus, Belgium, Bosnia and Herzegovina, Bulgaria, Croatia, "
-        "Czech Republic, Czechia, Denmark, Estonia, Finland, France, Germany, Greece, Hungary, "
-        "Iceland, Ireland, Italy, Latvia, Liechtenstein, Lithuania, Luxembourg, Malta, Moldova, "
-        "Monaco, Montenegro, Netherlands, North Macedonia, Norway, Poland, Portugal, Romania, "
-        "Russia, San Marino, Serbia, Slovakia, Slovenia, Spain, Sweden, Switzerland, Ukraine, "
-        "United Kingdom"
+        "Albania", "Andorra", "Austria", "Belarus", "Belgium", "Bosnia and Herzegovina", "Bulgaria",
+        "Croatia", "Czech Republic", "Czechia", "Denmark", "Estonia", "Finland", "France", "Germany",
+        "Greece", "Hungary", "Iceland", "Ireland", "Italy", "Kosovo", "Latvia", "Liechtenstein",
+        "Lithuania", "Luxembourg", "Malta", "Moldova", "Monaco", "Montenegro", "Netherlands",
+        "North Macedonia", "Norway", "Poland", "Portugal", "Romania", "Russia", "San Marino", "Serbia",
+        "Slovakia", "Slovenia", "Spain", "Sweden", "Switzerland", "Ukraine", "United Kingdom",
     ),
     "North America": (
-        "Bahamas, Barbados, Belize, Canada, Costa Rica, Cuba, Dominica, Dominican Republic, "
-        "El Salvador, Grenada, Guatemala, Haiti, Honduras, Jamaica, Mexico, Nicaragua, Panama, "
-        "Trinidad and Tobago, United States"
+        "Bahamas", "Barbados", "Belize", "Bermuda", "Canada", "Costa Rica", "Cuba", "Dominica",
+        "Dominican Republic", "El Salvador", "Greenland", "Grenada", "Guatemala", "Haiti", "Honduras",
+        "Jamaica", "Mexico", "Nicaragua", "Panama", "Puerto Rico", "Saint Lucia", "Trinidad and Tobago",
+        "United States",
     ),
     "Oceania": (
-        "Australia, Fiji, Kiribati, Marshall Islands, Nauru, New Zealand, Palau, "
-        "Papua New Guinea, Samoa, Solomon Islands, Tonga, Tuvalu, Vanuatu"
+        "Australia", "Fiji", "Kiribati", "Marshall Islands", "Nauru", "New Zealand", "Palau",
+        "Papua New Guinea", "Samoa", "Solomon Islands", "Tonga", "Tuvalu", "Vanuatu",
     ),
     "South America": (
-        "Argentina, Bolivia, Brazil, Chile, Colombia, Ecuador, Guyana, Paraguay, Peru, Suriname, "
-        "Uruguay, Venezuela"
+        "Argentina", "Bolivia", "Brazil", "Chile", "Colombia", "Ecuador", "Guyana", "Paraguay", "Peru",
+        "Suriname", "Uruguay", "Venezuela",
     ),
 }
 
@@ -75,11 +77,15 @@ def replace_values(col: Column, mapping: Mapping[str, str]) -> Column:
     return col if branches is None else branches.otherwise(col)
 
 
-def continent_of(country: Column, miss: str = "Other") -> Column:
-    """Continent of a standardised country name through fixed membership sets (no join needed)."""
+def continent_of(country: Column, miss: str = "Other", more: Mapping[str, str] | None = None) -> Column:
+    """Continent of a standardised country name through fixed membership sets (no join needed).
+
+    ``more`` adds countries, or other spellings, with their continents.
+    """
     branches = None
     for continent, names in CONTINENTS.items():
-        member = country.isin(*names.split(", "))
+        added = [c for c, where in (more or {}).items() if where == continent]
+        member = country.isin(*names, *added)
         branches = (F.when if branches is None else branches.when)(member, continent)
     return branches.otherwise(miss)
 

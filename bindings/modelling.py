@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.functions import unwrap_udt
 
-from bindings.common import reviews, sql_hash_number, table
+from bindings.common import reviews, sql_hash, sql_hash_number, table
 from featureflow.operators import model, select
 from featureflow.operators.features import FOLD_SEED, MEAN_FOLDS, fit_features, fit_one_hot
 from featureflow.operators.split import split_random, train_test_parts
@@ -140,6 +140,25 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "champion string, challenger_rmse double, replaced boolean")
 
 
+@query(
+    "ml3_champion_from_runs",
+    """WITH r AS (SELECT o_orderpriority AS run_id, stddev_pop(o_totalprice) AS rmse FROM orders GROUP BY 1),
+    c AS (SELECT arg_min(run_id, rmse) AS champion, min(rmse) AS rmse FROM r)
+    SELECT r.run_id AS challenger, c.champion, r.rmse * 0.99 < c.rmse AS replaced FROM r, c""",
+)
+def _(spark, sf):
+    # One stored run per priority: the model that predicts the mean has the spread as its error.
+    spread = table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.stddev_pop("o_totalprice").alias("rmse"))
+    path = scratch_path(spark, "runs")
+    for row in spread.collect():  # one row per priority
+        model.log_run(spark, path, row["o_orderpriority"], "mean", {}, {"val_rmse": row["rmse"]})
+    champion = model.champion_of(spark.read.parquet(path))
+    rows = [
+        (r["o_orderpriority"], champion["run_id"], model.replaces_champion(champion, r["rmse"] * 0.99)) for r in spread.collect()
+    ]
+    return spark.createDataFrame(rows, "challenger string, champion string, replaced boolean")
+
+
 @query("ml4_importance_boosted")
 def _(spark, sf):
     return select.importance_table(stored(order_features(spark, sf)), "price", "boosted", LIGHT)
@@ -177,9 +196,17 @@ def scored_orders(spark, sf):
     return model.predict_and_describe(batch, fitted, ["balance", "month", "status", "priority", "segment"])
 
 
-@query("ml6_scored_batch")
+@query(
+    "ml6_scored_batch",
+    f"""WITH o AS (SELECT *, count(*) OVER () AS n, row_number() OVER (ORDER BY {sql_hash(200, 'o_orderkey')}, o_orderkey) AS rn FROM orders)
+    SELECT o_orderkey AS row_id, o_totalprice / 1000 + CASE WHEN o_orderstatus = 'F' THEN 300 ELSE 0 END AS price, c_acctbal AS balance,
+    month(o_orderdate)::integer AS month, o_orderstatus AS status, o_orderpriority AS priority, c_mktsegment AS segment, true AS scored
+    FROM o JOIN customer ON o_custkey = c_custkey WHERE rn > round_even(0.8 * n, 0)""",
+)
 def _(spark, sf):
-    return scored_orders(spark, sf)[0]
+    # The predictions themselves are no matter of SQL; that every row of the batch has one is.
+    scored = scored_orders(spark, sf)[0]
+    return scored.withColumn("scored", F.col("y_pred").between(-1e9, 1e9)).drop("y_pred")
 
 
 @query("ml6_described_batch")

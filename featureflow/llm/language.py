@@ -111,45 +111,94 @@ def fit(docs: DataFrame, train: Column | None = None, settings: Settings = Setti
 
 
 class Scorer:
-    """Scores of words, remembered for the words met last."""
+    """Scores of runs between white space, remembered for those met last.
 
-    def __init__(self, model: Model, remembered: int = 100_000):
+    A run's score is the sum over its words; the model's tables are laid into one matrix, so that the
+    sums of many new runs are taken at once.
+    """
+
+    def __init__(self, model: Model, remembered: int = 300_000):
         self.model = model
         self.remembered = remembered
-        self.rows = np.zeros((remembered, len(model.languages)), np.float32)
-        self.row_of: dict[str, int] = {}
-
-    def backoff(self, word: str) -> np.ndarray:
-        known = self.model.scores[0].get(word)
+        self.row_of_entry = [{g: i for i, g in enumerate(table)} for table in model.scores]
+        tables = [np.array(list(t.values())).reshape(len(t), len(model.languages)) for t in model.scores]
+        begins = np.cumsum([0, *map(len, model.scores)])
+        for begin, rows in zip(begins, self.row_of_entry):
+            for entry in rows:
+                rows[entry] += int(begin)
+        unknown = np.full((1, len(model.languages)), model.settings.penalty)
+        self.matrix = np.concatenate([*tables, unknown])
+        self.chunk_of: dict[str, int] = {}
+        self.sums = np.zeros((0, len(model.languages)))
+        self.words = np.zeros(0)
+
+    def entries(self, word: str) -> list[int]:
+        """Rows of the matrix whose mean is the word's score."""
+        known = self.row_of_entry[0].get(word)
         if known is not None:
-            return known
+            return [known]
         edged = f"{EDGE}{word}{EDGE}"
         for n in range(min(self.model.settings.longest, len(edged)), 0, -1):
-            table = self.model.scores[n]
-            found = [table[g] for g in (edged[i : i + n] for i in range(len(edged) - n + 1)) if g in table]
+            rows = self.row_of_entry[n]
+            found = [rows[g] for i in range(len(edged) - n + 1) if (g := edged[i : i + n]) in rows]
             if found:
-                return np.mean(found, axis=0)
-        return np.full(len(self.model.languages), self.model.settings.penalty, np.float32)
-
-    def text(self, text: str | None) -> tuple[str, float]:
-        words = words_of(text)
-        if not words or not self.model.languages:
-            return UNDETERMINED, 0.0
-        total, done = np.zeros(len(self.model.languages)), 0
-        while done < len(words):  # in steps that the table of remembered words can hold
-            some = words[done : done + self.remembered // 2]
-            done += len(some)
-            new = set(some).difference(self.row_of)
-            if len(self.row_of) + len(new) > self.remembered:
-                self.row_of, new = {}, set(some)
-            for word in new:
-                self.rows[len(self.row_of)] = self.backoff(word)
-                self.row_of[word] = len(self.row_of)
-            places = np.fromiter(map(self.row_of.__getitem__, some), np.int64, len(some))
-            total += self.rows[places].sum(axis=0, dtype=np.float64)
-        mean = total / len(words)
-        best = int(np.argmax(mean))  # the first of equals, in the order of the languages' names
-        return self.model.languages[best], float(1 / np.power(10.0, self.model.settings.sharpness * (mean - mean[best])).sum())
+                return found
+        return [len(self.matrix) - 1]
+
+    def learn(self, chunks: list[str]) -> None:
+        """Have the sums of these runs ready."""
+        of, rows, shares = [], [], []
+        words = np.zeros(len(chunks))
+        for i, chunk in enumerate(chunks):
+            own = [chunk] if chunk.isalpha() else words_of(chunk)
+            words[i] = len(own)
+            for word in own:
+                found = self.entries(word)
+                rows += found
+                of += [i] * len(found)
+                shares += [1 / len(found)] * len(found)
+        picked = self.matrix[np.array(rows, np.int64)] * np.array(shares)[:, None]
+        sums = np.stack([np.bincount(np.array(of, np.int64), picked[:, j], len(chunks)) for j in range(picked.shape[1])], axis=1)
+        self.chunk_of.update(zip(chunks, range(len(self.words), len(self.words) + len(chunks))))
+        self.sums, self.words = np.concatenate([self.sums, sums]), np.concatenate([self.words, words])
+
+    def texts(self, texts: list) -> tuple[list, list]:
+        """Language and score of each text; texts are taken together up to a third of what is remembered."""
+        names, scores = [], []
+        held: list[list[str]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            held.append((text or "").lower().split())
+            size += len(held[-1])
+            if size * 3 > self.remembered or i == len(texts) - 1:
+                for name, score in self.judge(held):
+                    names.append(name)
+                    scores.append(score)
+                held, size = [], 0
+        return names, scores
+
+    def judge(self, held: list[list[str]]) -> list[tuple[str, float]]:
+        nothing = (UNDETERMINED, 0.0)
+        languages, sharpness = self.model.languages, self.model.settings.sharpness
+        if not languages:
+            return [nothing] * len(held)
+        distinct = set().union(*held)
+        if new := distinct.difference(self.chunk_of):
+            if len(self.chunk_of) + len(new) > self.remembered:
+                self.chunk_of, self.sums, self.words = {}, self.sums[:0], self.words[:0]
+                new = distinct
+            self.learn(list(new))
+        out = []
+        for chunks in held:
+            places = np.fromiter(map(self.chunk_of.__getitem__, chunks), np.int64, len(chunks))
+            n = self.words[places].sum()
+            if n == 0:
+                out.append(nothing)
+                continue
+            mean = self.sums[places].sum(axis=0) / n
+            best = int(np.argmax(mean))  # the first of equals, in the order of the languages' names
+            out.append((languages[best], float(1 / np.power(10.0, sharpness * (mean - mean[best])).sum())))
+        return out
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -162,12 +211,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     # Bounded by the settings and the number of languages.
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def make():
-        scorer = Scorer(shared.value)
-
-        def predict(texts: list) -> tuple:
-            return tuple(zip(*map(scorer.text, texts)))
-
-        return predict
-
-    return add_columns(docs, text, OUTPUT, make)
+    return add_columns(docs, text, OUTPUT, lambda: Scorer(shared.value).texts)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from featureflow.llm.common import GOLDEN, bounded, mixed, segment_hashes, text_bytes
 
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 #: Bytes that the rolling hash depends on.
 REACH = 8
 GEAR = (mixed(np.arange(1, 257, dtype=np.uint64) * GOLDEN) >> np.uint64(40)).astype(np.uint8)

@@ -4,8 +4,9 @@ An n-gram with count c is stored as its level 1 + floor(log2 c): the events (n-g
 (n-gram, level) go into a Bloom filter, and a lookup probes levels upwards until one is missing. Pairs of
 tokens and the rarer single tokens are kept like this; the most frequent single tokens, a bounded
 number, are held exactly. The filter is cut into slices by hash, each made by one task from all counts
-that fall into it, and is broadcast whole; ``max_bits`` bounds it. If the levels of all n-grams need more,
-the least level that is kept rises.
+that fall into it, and grows with the events. It is broadcast whole while it has ``broadcast_bits`` at most;
+a larger one stays in the shared folder, and the distinct keys of each bunch of texts go to its slices and
+come back with their levels. Both ways read the same bits, so the scores are the same.
 
 A pair's probability is interpolated with the single token's. The weight of the pair's share follows
 Witten and Bell, with histories of about the same frequency taken together. Counts read from levels
@@ -15,12 +16,16 @@ round so that shares never add up to more than one, but for the filter's rare fa
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, replace
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featureflow.llm.common import GOLDEN, LOWER, bounded, byte_words, mixed, segment_hashes, stored, text_bytes
 
@@ -39,10 +44,14 @@ BLOCK = 4 << 20
 class Settings:
     #: Single tokens held exactly, at most.
     exact: int = 1 << 19
-    #: Bits per stored event, probes per event, and bits of the whole filter at most (128 MB).
+    #: Bits per stored event, probes per event, and bits up to which the whole filter is broadcast (128 MB).
     event_bits: int = 10
     probes: int = 6
-    max_bits: int = 1 << 30
+    broadcast_bits: int = 1 << 30
+    #: Bits of the whole filter at most, for who gives up the rarest n-grams; None keeps all of them.
+    max_bits: int | None = None
+    #: Bytes of text that are looked up together in a filter that isn't broadcast.
+    bunch_bytes: int = 16 << 20
     #: Keys gathered in a task before they are handed on, and tokens for each slice.
     buffer: int = 3_000_000
     slice_tokens: int = 2_000_000
@@ -58,12 +67,14 @@ class Model:
     #: Exactly known tokens by ascending hash, and their counts.
     known: np.ndarray
     counts: np.ndarray
-    #: Bits of all slices, and where each begins, in bits.
+    #: Bits of all slices, and where each begins, in bits; empty if the filter isn't broadcast.
     bits: np.ndarray
     begins: np.ndarray
     least_level: int
     #: Weight of the pair's share by frequency class of the first token.
     weights: np.ndarray
+    #: (slice, size, bits) of a filter that isn't broadcast.
+    parts: DataFrame | None = None
 
 
 class Tokens:
@@ -181,6 +192,12 @@ def _tagged(keys: np.ndarray, kind) -> np.ndarray:
     return keys >> np.uint64(CLASS_BITS) << np.uint64(CLASS_BITS) | kind
 
 
+def probed_keys(t: Tokens, n: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Keys of all pairs and of the rarer single tokens; ``n``: exact counts, 0 for rarer tokens."""
+    before = np.concatenate([lookup(t.before[:1], known, counts), n[:-1]]) if len(n) else n
+    return np.concatenate([pair_keys(t.before, t.hashes, before), single_keys(t.hashes[n == 0])])
+
+
 def slices_of(keys: np.ndarray, n: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
@@ -194,8 +211,7 @@ def gathered_keys(docs: DataFrame, known, slices: int, settings: Settings) -> Da
             for part in bounded(batch, 0, BLOCK):
                 t = Tokens(part.column(0))
                 n = lookup(t.hashes, *known.value)
-                before = np.concatenate([lookup(t.before[:1], *known.value), n[:-1]]) if len(n) else n
-                if gathered.add(np.concatenate([pair_keys(t.before, t.hashes, before), single_keys(t.hashes[n == 0])])):
+                if gathered.add(probed_keys(t, n, *known.value)):
                     yield from handed_on(*gathered.take())
         yield from handed_on(*gathered.take())
 
@@ -268,17 +284,21 @@ def fit(docs: DataFrame, train: Column | None = None, settings: Settings = Setti
     least_level = 1
     made = stored(filter_slices(packed, least_level, settings), "filter")
     events = _column_sums(made, "events")
-    while least_level < 63 and settings.event_bits * events[least_level:].sum() + 128 * slices > settings.max_bits:
+    needed = lambda: settings.event_bits * int(events[least_level:].sum()) + 128 * slices
+    while settings.max_bits is not None and least_level < 63 and needed() > settings.max_bits:
         least_level += 1
     if least_level > 1:
         made = stored(filter_slices(packed, least_level, settings), "filter")
     types, pairs = _column_sums(made, "types"), _column_sums(made, "tokens")
+    weights = pairs / np.maximum(pairs + types, 1)
+    if needed() > settings.broadcast_bits:
+        none = np.zeros(0, np.uint8), np.zeros(1, np.int64)
+        return Model(settings, tokens, distinct, known, n, *none, least_level, weights, made.select("slice", "size", "bits")), counts
     sizes = np.full(slices, 64, np.int64)
     parts = [np.zeros(8, np.uint8)] * slices
-    for row in made.select("slice", "size", "bits").toLocalIterator():  # bounded by max_bits together
+    for row in made.select("slice", "size", "bits").toLocalIterator():  # bounded by broadcast_bits together
         sizes[row["slice"]], parts[row["slice"]] = row["size"], np.frombuffer(row["bits"], np.uint8)
     begins = np.concatenate([[0], np.cumsum(sizes)])
-    weights = pairs / np.maximum(pairs + types, 1)
     return Model(settings, tokens, distinct, known, n, np.concatenate(parts), begins, least_level, weights), counts
 
 
@@ -306,20 +326,84 @@ def levels(model: Model, keys: np.ndarray) -> np.ndarray:
     return out
 
 
-def log_probabilities(model: Model, t: Tokens, n: np.ndarray) -> np.ndarray:
-    """Log10 probability of every token after the one before it; ``n``: exact counts, 0 for rarer tokens."""
+def bunched(rows: DataFrame, settings: Settings) -> DataFrame:
+    """The rows (doc_id, text, ...) with the number of a bunch of about ``bunch_bytes`` of text, stored."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("bunch", T.LongType())])
+
+    def run(batches):
+        bunch, held = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            for part in bounded(batch, 1, min(BLOCK, settings.bunch_bytes)):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(np.full(part.num_rows, bunch))], names=schema.names)
+                held += part.column(1).nbytes
+                if held >= settings.bunch_bytes:
+                    bunch, held = bunch + 1, 0
+
+    return stored(rows.mapInArrow(run, schema), "bunches")
+
+
+def levels_by_bunch(rows: DataFrame, model: Model, shared, slices: int) -> DataFrame:
+    """(bunch, keys, levels): stored levels of the distinct keys of each bunch, packed, many rows per bunch."""
+    bare = replace(model, known=model.known[:0], counts=model.counts[:0], parts=None)
+
+    def probed(batches):
+        bunch, held = None, []
+        for batch in batches:
+            for part in bounded(batch, 0, BLOCK):
+                of = part.column(1).to_numpy()
+                cuts = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+                for a, b in zip(cuts, cuts[1:]):
+                    if bunch != of[a]:
+                        yield from handed_on(bunch, held)
+                        bunch, held = int(of[a]), []
+                    t = Tokens(part.column(0).slice(a, b - a))
+                    known = shared.value.known, shared.value.counts
+                    held.append(np.unique(probed_keys(t, lookup(t.hashes, *known), *known)))
+        yield from handed_on(bunch, held)
+
+    def handed_on(bunch, held):
+        if not held:
+            return
+        keys = np.unique(np.concatenate(held))
+        cuts = np.searchsorted(slices_of(keys, slices), np.arange(slices + 1))
+        rows = [(s, bunch, keys[a:b].tobytes()) for s, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        for i in range(0, len(rows), 64):
+            s, n, k = zip(*rows[i : i + 64])
+            yield pa.RecordBatch.from_arrays([pa.array(s, pa.int32()), pa.array(n, pa.int64()), pa.array(k, pa.binary())], names=["slice", "bunch", "keys"])
+
+    def find(part: pa.Table, group: pa.Table) -> pa.Table:
+        packed = group.column("keys").to_pylist()
+        keys = np.frombuffer(b"".join(packed), np.uint64)
+        level = np.zeros(len(keys), np.uint8)
+        if part.num_rows and len(keys):
+            size, bits = part.column("size")[0].as_py(), np.frombuffer(part.column("bits")[0].as_py(), np.uint8)
+            level = levels(replace(bare, bits=bits, begins=np.array([0, size])), keys).astype(np.uint8)
+        ends = np.cumsum([len(k) // 8 for k in packed], dtype=np.int64)
+        found = [level[e - len(k) // 8 : e].tobytes() for e, k in zip(ends, packed)]
+        return pa.table({"bunch": group.column("bunch"), "keys": pa.array(packed, pa.binary()), "levels": pa.array(found, pa.binary())})
+
+    keys = rows.select("text", "bunch").mapInArrow(probed, "slice int, bunch long, keys binary")
+    return model.parts.groupBy("slice").cogroup(keys.groupBy("slice")).applyInArrow(find, "bunch long, keys binary, levels binary")
+
+
+def log_probabilities(model: Model, t: Tokens, n: np.ndarray, look: Callable | None = None) -> np.ndarray:
+    """Log10 probability of every token after the one before it; ``n``: exact counts, 0 for rarer tokens.
+
+    ``look`` gives the stored levels of keys, by default from the model's own bits.
+    """
+    look = look or partial(levels, model)
     add = model.settings.added
     whole = model.tokens + add * (model.distinct + 1)
     rare = n == 0
     level = np.zeros(len(n), np.int64)
-    level[rare] = levels(model, single_keys(t.hashes[rare]))
+    level[rare] = look(single_keys(t.hashes[rare]))
     least = np.where(rare, np.where(level > 0, 1 << np.maximum(level - 1, 0), 0), n)
     most = np.where(rare, np.where(level > 0, (1 << level) - 1, 0), n)
     first = lookup(t.before[:1], model.known, model.counts)
     history_exact = np.concatenate([first, n[:-1]])
-    history = np.concatenate([first, most[:-1]])
+    history = np.concatenate([most[t.ends[:1]], most[:-1]])  # END stands before the first token too
     keys = pair_keys(t.before, t.hashes, history_exact)
-    pair = levels(model, keys)
+    pair = look(keys)
     pair = np.where(pair > 0, 1 << np.maximum(pair - 1, 0), 0)
     weight = np.where(history > 0, model.weights[(keys & np.uint64((1 << CLASS_BITS) - 1)).astype(np.int64)], 0.0)
     share = np.minimum(pair / np.maximum(history, 1), 1.0)
@@ -334,45 +418,62 @@ def score(docs: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     repeat id and text share them. An empty model gives each score as if all tokens were unknown.
     """
     kept = [c for c in docs.columns if c.lower() not in ("text", "doc_id", "n_tokens", "n_known", "base_score", "score")]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(replace(model, parts=None))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(F.lit(0).alias("_"), *kept).alias("row"))
     add = model.settings.added
     whole = max(model.tokens + add * (model.distinct + 1), add)
 
+    def judged(part, model, look):
+        t = Tokens(part.column(1))
+        n = lookup(t.hashes, model.known, model.counts)
+        exact = np.where(n > 0, np.log10((n + add) / whole), 0.0)
+        rare_at = np.flatnonzero(n == 0)
+        row = np.repeat(np.arange(len(t.counts)), t.counts)[rare_at]
+        order = np.lexsort((t.hashes[rare_at], row))
+        key, of = t.hashes[rare_at][order], row[order]
+        new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])])) if len(key) else np.zeros(0, np.int64)
+        times = np.diff(np.append(new, len(key)))
+        offsets = pa.array(np.searchsorted(of[new], np.arange(len(t.counts) + 1)).astype(np.int32))
+        return pa.RecordBatch.from_arrays(
+            [
+                part.column(0),
+                part.column(2),
+                pa.array(t.digests()),
+                pa.array(t.counts.astype(np.int64)),
+                pa.array(np.add.reduceat(n > 0, t.first, dtype=np.int64)),
+                pa.array(np.add.reduceat(exact, t.first)),
+                pa.array(np.add.reduceat(log_probabilities(model, t, n, look), t.first)),
+                pa.ListArray.from_arrays(offsets, pa.array(key[new].view(np.int64))),
+                pa.ListArray.from_arrays(offsets, pa.array(times)),
+            ],
+            names=schema.names,
+        )
+
     def run(batches):
-        model = shared.value
         for batch in batches:
             for part in bounded(batch, 1, BLOCK):
-                t = Tokens(part.column(1))
-                n = lookup(t.hashes, model.known, model.counts)
-                exact = np.where(n > 0, np.log10((n + add) / whole), 0.0)
-                rare_at = np.flatnonzero(n == 0)
-                row = np.repeat(np.arange(len(t.counts)), t.counts)[rare_at]
-                order = np.lexsort((t.hashes[rare_at], row))
-                key, of = t.hashes[rare_at][order], row[order]
-                new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (of[1:] != of[:-1])])) if len(key) else np.zeros(0, np.int64)
-                times = np.diff(np.append(new, len(key)))
-                offsets = pa.array(np.searchsorted(of[new], np.arange(len(t.counts) + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(2),
-                        pa.array(t.digests()),
-                        pa.array(t.counts.astype(np.int64)),
-                        pa.array(np.add.reduceat(n > 0, t.first, dtype=np.int64)),
-                        pa.array(np.add.reduceat(exact, t.first)),
-                        pa.array(np.add.reduceat(log_probabilities(model, t, n), t.first)),
-                        pa.ListArray.from_arrays(offsets, pa.array(key[new].view(np.int64))),
-                        pa.ListArray.from_arrays(offsets, pa.array(times)),
-                    ],
-                    names=schema.names,
-                )
+                yield judged(part, shared.value, None)
+
+    def run_bunch(texts: pa.Table, found: pa.Table) -> pa.Table:
+        keys = np.frombuffer(b"".join(found.column("keys").to_pylist()), np.uint64)
+        level = np.frombuffer(b"".join(found.column("levels").to_pylist()), np.uint8).astype(np.int64)
+        order = np.argsort(keys)
+        look = partial(lookup, known=keys[order], counts=level[order])
+        parts = [part for batch in texts.to_batches() for part in bounded(batch, 1, BLOCK)]
+        return pa.Table.from_batches([judged(part, shared.value, look) for part in parts])
 
     schema = docs.sparkSession.createDataFrame(
         [], "doc_id long, row int, digest long, n_tokens long, known long, base double, score double, rare array<long>, times array<long>"
     ).schema
     schema["row"].dataType = rows.schema["row"].dataType
-    scored = stored(rows.mapInArrow(run, schema), "scored")
+    if model.parts is None:
+        scored = rows.mapInArrow(run, schema)
+    else:
+        rows = bunched(rows, model.settings)
+        schema["row"].dataType = rows.schema["row"].dataType
+        found = levels_by_bunch(rows, model, shared, max(1, -(-model.tokens // model.settings.slice_tokens)))
+        scored = rows.groupBy("bunch").cogroup(found.groupBy("bunch")).applyInArrow(run_bunch, schema)
+    scored = stored(scored, "scored")
 
     # One more entry for each row, so that repeated rows can be told from repeated tokens.
     entries = F.arrays_zip(F.concat(F.array(F.lit(None).cast("long")), "rare").alias("h"), F.concat(F.array(F.lit(1).cast("long")), "times").alias("times"))

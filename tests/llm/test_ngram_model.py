@@ -84,6 +84,23 @@ def test_bounded_filter_keeps_the_frequent(spark):
     assert tight.least_level > 1 and len(tight.bits) <= len(free.bits) // 2 + 16
 
 
+@pytest.mark.parametrize("exact", [8, 0])
+def test_filter_beyond_a_broadcast_scores_the_same(spark, exact):
+    docs = documents(spark, corpus()).withColumn("at", F.timestamp_seconds("doc_id")).repartition(3, "text")
+    train = ~F.coalesce(F.col("doc_id") % 7 == 3, F.lit(False))
+    results = []
+    for more in ({}, {"broadcast_bits": 0, "bunch_bytes": 2000}):
+        model, counts = lm.fit(docs, train, lm.Settings(exact=exact, slice_tokens=500, **more))
+        assert model.least_level == 1 and (model.parts is None) == (not more)
+        rows = lm.score(docs.select("doc_id", "text", "at", F.col("text").alias("same")), model, counts).collect()
+        results.append(sorted(map(repr, ((r["doc_id"], r["same"], r["at"], r["n_known"], round(r["score"], 9)) for r in rows))))
+    assert results[0] == results[1]
+
+
+def test_all_levels_are_kept_by_default():
+    assert lm.Settings().max_bits is None
+
+
 def test_empty_tables(spark):
     none = documents(spark, [])
     model, counts = lm.fit(none)

@@ -91,11 +91,11 @@ class Chunks:
         self.words = words[ends] - words[begins]
         place = (np.arange(len(ends)) - self.first[self.row]).astype(np.uint64)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(self.digest + place * GOLDEN))])
-        #: One number for each whole text, to tell rows of one id apart.
-        self.text = ((sums[self.first[1:]] - sums[self.first[:-1]]) >> np.uint64(32)).astype(np.uint32)
+        #: A 64-bit digest of each whole text, to tell rows of one id apart.
+        self.text = sums[self.first[1:]] - sums[self.first[:-1]]
 
 
-ENTRY = np.dtype([("digest", "<u8"), ("doc", "<i8"), ("text", "<u4"), ("place", "<u4")])
+ENTRY = np.dtype([("digest", "<u8"), ("doc", "<i8"), ("text", "<u8"), ("place", "<u4")])
 
 
 def packed_entries(docs: DataFrame, slices: int, settings: Settings) -> DataFrame:
@@ -179,7 +179,7 @@ def repeated_chunks(packed: DataFrame) -> DataFrame:
         settled = np.concatenate([np.frombuffer(b, ENTRY) for b in group.column("settled").to_pylist()])
         out = np.concatenate([entries[repeated], settled])
         first = np.concatenate([first[repeated], np.zeros(len(settled), bool)])
-        return pa.table({"doc": pa.array(out["doc"]), "text_hash": pa.array(out["text"].astype(np.int64)), "place": pa.array(out["place"].astype(np.int32)), "first": pa.array(first)})
+        return pa.table({"doc": pa.array(out["doc"]), "text_hash": pa.array(out["text"].view(np.int64)), "place": pa.array(out["place"].astype(np.int32)), "first": pa.array(first)})
 
     return packed.groupBy("slice").applyInArrow(decide, "doc long, text_hash long, place int, first boolean")
 
@@ -215,7 +215,7 @@ def repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column(0).fill_null(int(NO_ID)),
-                        pa.array(c.text.astype(np.int64)),
+                        pa.array(c.text.view(np.int64)),
                         pa.array([c.point_ends[a:b].astype(np.uint32).tobytes() for a, b in spans], pa.binary()),
                         pa.array([c.words[a:b].astype(np.uint32).tobytes() for a, b in spans], pa.binary()),
                     ],

@@ -78,3 +78,15 @@ def test_edge_rows(spark):
     n = len(LONG)
     assert plain(found) == plain([(5, 0, n, True), (8, 0, n, True), (None, 0, n, False)])
     assert substrings.repeats(documents(spark, [])).count() == 0
+
+
+def test_texts_of_one_id_with_half_their_digest_in_common(spark):
+    passage = " ".join(f"word{i}" for i in range(40))
+    pairs = [(68864, 278861), (142508, 156223), (13332, 59595)]
+    for a, b in pairs:
+        texts = [f"{passage} {a}", f"{passage} {b}"]
+        digest = substrings.Chunks(pa.array(texts), substrings.Settings()).text.astype("u8")
+        assert digest[0] >> 32 == digest[1] >> 32
+        for doc in (None, 7):
+            found = substrings.repeats(documents(spark, [(doc, t) for t in texts])).collect()
+            assert len(found) == 2 and all(r["passages"] and r["n_repeated"] < r["n_chunks"] for r in found)

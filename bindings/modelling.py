@@ -15,7 +15,8 @@ from featureflow.sources.tables import Tables
 
 QUERIES = {}
 
-# A handful of shallow trees keeps the fits short; the settings are arguments of the operators.
+# A handful of shallow trees for the queries about storing, scoring and describing with a model. Those that
+# compare, search, choose or select run the operators' own settings and grid.
 LIGHT = {"maxIter": 5, "maxDepth": 4}
 
 
@@ -119,21 +120,20 @@ def _(spark, sf):
 @query("ml1_score_candidates")
 def _(spark, sf):
     train, validation = parts_of(order_features(spark, sf))
-    candidates = [model.Candidate("native", "native", LIGHT), model.Candidate("one_hot", "one_hot", LIGHT)]
+    candidates = [model.Candidate(name, name, model.BASELINE) for name in ("native", "one_hot")]
     return model.score_candidates(train, validation, "price", candidates)[0]
 
 
 @query("ml2_grid_search")
 def _(spark, sf):
     train, _ = parts_of(order_features(spark, sf))
-    candidate = model.Candidate("native", "native", {"maxIter": 3})
-    return model.grid_search(train, "price", candidate, {"maxDepth": (2, 4), "stepSize": (0.05, 0.1)})[1]
+    return model.grid_search(train, "price", model.Candidate("native", "native", model.BASELINE))[1]
 
 
 @query("ml3_champion_choice")
 def _(spark, sf):
     train, validation = parts_of(order_features(spark, sf))
-    fitted = model.Candidate("native", "native", LIGHT).fit(train, "price")
+    fitted = model.Candidate("native", "native", model.BASELINE).fit(train, "price")
     rmse = model.error_metrics(fitted, validation, "price")["rmse"]
     cases = [("none", None), ("worse", {"val_rmse": 10000.0}), ("better", {"val_score": 0.1})]
     rows = [(name, rmse, model.replaces_champion(champion, rmse)) for name, champion in cases]
@@ -161,18 +161,17 @@ def _(spark, sf):
 
 @query("ml4_importance_boosted")
 def _(spark, sf):
-    return select.importance_table(stored(order_features(spark, sf)), "price", "boosted", LIGHT)
+    return select.importance_table(stored(order_features(spark, sf)), "price", "boosted")
 
 
 @query("ml4_importance_forest")
 def _(spark, sf):
-    settings = {"maxDepth": 6, "numTrees": 5}
-    return select.importance_table(stored(order_features(spark, sf)), "price", "tree_based", settings)
+    return select.importance_table(stored(order_features(spark, sf)), "price", "tree_based")
 
 
 @query("ml4_recursive_elimination")
 def _(spark, sf):
-    kept = select.select_features(stored(order_features(spark, sf)), "price", "rfe", {"maxIter": 2, "maxDepth": 3})
+    kept = select.select_features(stored(order_features(spark, sf)), "price", "rfe")
     return spark.createDataFrame([(c,) for c in kept], "feature string")
 
 

@@ -43,9 +43,9 @@ def _(spark, sf):
     return tables.read_indexed_csv(spark, path, schema, multi_line=True)
 
 
-@query("snk1_csv_without_index", "SELECT p_partkey, p_name, p_brand, p_size, p_retailprice FROM part")
+@query("snk1_csv_without_index", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
 def _(spark, sf):
-    parts = table(spark, sf, "part").drop("p_type")
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     path = scratch_path(spark, "part_csv")
     tables.write_csv(parts, path)
     return spark.read.csv(path, schema=parts.schema, **tables.CSV_FORMAT)
@@ -54,7 +54,7 @@ def _(spark, sf):
 @query("src2_stored_intermediate", INGEST_SQL)
 def _(spark, sf):
     store = tables.Tables(spark, scratch_path(spark, "tables"))
-    return store.save("wine_ingested_data", ingest(reviews(spark, sf)))
+    return store.save("ingested", ingest(reviews(spark, sf)))
 
 
 @query("src3_load_by_name", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")

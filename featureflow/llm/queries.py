@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, decontaminate, language, near_duplicates, neighbours, ngram_model, reputation, secrets, substrings, toxicity
+from featureflow.llm import bpe, decontaminate, fill_middle, language, near_duplicates, neighbours, ngram_model, reputation, secrets, substrings, toxicity
 from featureflow.llm.common import fold, table
 
 URL_RULES = (
@@ -188,6 +188,26 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.passages(substrings.repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document cut at two ranks: sizes, form, and digests of output and restored text."""
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::varchar, '')) AS x FROM documents),
+h AS (SELECT doc_id, t, length(t) AS n, ('0x' || x[1:8])::bigint AS h1, ('0x' || x[9:16])::bigint AS h2,
+             ('0x' || x[17:24])::bigint AS h3, ('0x' || x[25:32])::bigint AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, substr(t, 1, a) AS p, substr(t, a + 1, b - a) AS m, substr(t, b + 1) AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                   ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
 QUERIES = {
     "op1_reputation": (op1_reputation, _op1_sql(reputation.Settings())),
     "op2_toxicity": (op2_toxicity, None),
@@ -199,4 +219,5 @@ QUERIES = {
     "op8_bpe": (op8_bpe, None),
     "op9_secrets": (op9_secrets, _op9_sql(secrets.Settings())),
     "op10_substrings": (op10_substrings, None),
+    "op13_fill_in_middle": (op13_fill_in_middle, OP13_SQL),
 }

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, decontaminate, fill_middle, language, near_duplicates, neighbours, ngram_model, reputation, secrets, substrings, toxicity
-from featureflow.llm.common import fold, table
+from featureflow.llm import bpe, decontaminate, fill_middle, language, near_duplicates, neighbours, ngram_model, prefix_trie, reputation, secrets, substrings, toxicity
+from featureflow.llm.common import fold, stored, table
 
 URL_RULES = (
     ("allow", "org/"),
@@ -188,6 +188,34 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.passages(substrings.repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    turns = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
+    return prefix_trie.trie(prefix_trie.rebuilt(stored(turns, "conversation-turns"))).drop("x", "y")
+
+
+OP12_SQL = """
+WITH crc AS (SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+             FROM range(256) r(i)),
+turns AS (SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s
+          FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT turns.*, conv_id - conv_id % 5 AS source,
+                 xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda c: ascii(c)::bigint)),
+                                 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::bigint) % 9 AS h FROM turns, crc),
+made AS (SELECT a.conv_id, list_concat(coalesce(b.s, [])[1:a.h], a.s[a.h + 1:]) AS s FROM heads a LEFT JOIN turns b ON b.conv_id = a.source),
+prefixes AS (SELECT conv_id, len(s) AS size, d AS depth, s[1:d] AS p FROM made, unnest(range(0, len(s) + 1)) AS u(d)),
+nodes AS (SELECT depth, p, min(conv_id) AS conv_id, count(*) AS n_convs,
+                 (count(*) - 1) * CASE WHEN depth = 0 THEN 0 ELSE strlen(p[depth].text) END AS saved,
+                 string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (size = depth) AS ends FROM prefixes GROUP BY depth, p),
+kids AS (SELECT depth - 1 AS depth, p[1:depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+known AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (depth, p)),
+sums AS (SELECT a AS depth, p[1:a] AS p, sum(saved)::bigint AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+         FROM known, unnest(range(0, depth + 1)) AS u(a) GROUP BY ALL)
+SELECT k.conv_id, k.depth, up.conv_id AS parent_conv_id, k.n_convs, k.n_children, s.n_leaves, s.saved_tokens, sha256(coalesce(k.ends, '')) AS ends_sha256
+FROM known k JOIN sums s USING (depth, p) LEFT JOIN nodes up ON up.depth = k.depth - 1 AND up.p = k.p[1:k.depth - 1]
+"""
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document cut at two ranks: sizes, form, and digests of output and restored text."""
     return fill_middle.digests(table(spark, sf_dir, "documents"))
@@ -219,5 +247,6 @@ QUERIES = {
     "op8_bpe": (op8_bpe, None),
     "op9_secrets": (op9_secrets, _op9_sql(secrets.Settings())),
     "op10_substrings": (op10_substrings, None),
+    "op12_conversation_trie": (op12_conversation_trie, OP12_SQL),
     "op13_fill_in_middle": (op13_fill_in_middle, OP13_SQL),
 }

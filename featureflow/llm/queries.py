@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featureflow.llm import bpe, decontaminate, fill_middle, language, near_duplicates, neighbours, ngram_model, prefix_trie, reputation, secrets, substrings, toxicity
+from featureflow.llm import bpe, decontaminate, fill_middle, language, near_duplicates, neighbours, ngram_model, prefix_trie, quality, reputation, secrets, substrings, toxicity
 from featureflow.llm.common import fold, stored, table
 
 URL_RULES = (
@@ -188,6 +188,16 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.passages(substrings.repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score every document's quality; learn from the labelled ones of three folds out of four."""
+    held_out = fold(F.col("doc_id"), 4) == 2
+    docs = quality.with_statistics(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    docs = stored(docs, "document-statistics")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), train=~held_out)
+    predicted = (F.col("score") >= 0.7).cast("int").alias("predicted")
+    return quality.score(docs.withColumn("held_out", held_out), model).select("doc_id", "held_out", "score", predicted)
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the prefix trie of the rebuilt conversations."""
     turns = prefix_trie.sequences(table(spark, sf_dir, "conversations"))
@@ -247,6 +257,7 @@ QUERIES = {
     "op8_bpe": (op8_bpe, None),
     "op9_secrets": (op9_secrets, _op9_sql(secrets.Settings())),
     "op10_substrings": (op10_substrings, None),
+    "op11_quality": (op11_quality, None),
     "op12_conversation_trie": (op12_conversation_trie, OP12_SQL),
     "op13_fill_in_middle": (op13_fill_in_middle, OP13_SQL),
 }

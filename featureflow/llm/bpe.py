@@ -15,19 +15,24 @@ import hashlib
 import json
 import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from featureflow.llm.common import add_columns
+from featureflow.llm.common import add_columns, bounded, fresh
 
 WORD_END = "</w>"
-#: Chunks between white space kept ready per worker, in each of two generations.
-CACHE_CHUNKS = 200_000
+#: Bytes of chunks between white space kept ready per worker, in each of two generations, and the bytes
+#: that an entry takes besides its characters.
+CACHE_BYTES, ENTRY_BYTES = 64 << 20, 330
+#: Text handled at once, in bytes.
+BLOCK = 1 << 20
 #: Pairs of tokens whose test is remembered per worker.
 CACHE_PAIRS = 400_000
 NEVER = 1 << 62
@@ -89,6 +94,7 @@ class WordBpe:
         self.automaton.make_automaton()
         self.known: dict[str, tuple[str, str]] = {}
         self.older: dict[str, tuple[str, str]] = {}
+        self.held = 0
 
     def _side_by_side(self, x: int, y: int, limit: int) -> bool:
         """Whether no merge across the border comes before those within x and y, nor before ``limit``."""
@@ -143,8 +149,8 @@ class WordBpe:
 
     def _learn(self, chunks: set[str]) -> None:
         """Have ids and decoded tokens of these chunks ready; those of the generation before move on."""
-        if len(self.known) + len(chunks) > CACHE_CHUNKS:
-            self.older, self.known = self.known, {}
+        if self.held > CACHE_BYTES:
+            self.older, self.known, self.held = self.known, {}, 0
         for chunk in chunks:
             if chunk not in self.known:
                 got = self.older.get(chunk)
@@ -152,6 +158,7 @@ class WordBpe:
                     ids = [i for word in self.words_of(chunk) for i in self.encode_word(word)]
                     got = "".join([f"{i} " for i in ids]), "".join([f"{self.token[i]} " for i in ids])
                 self.known[chunk] = got
+                self.held += len(chunk) + len(got[0]) + len(got[1]) + ENTRY_BYTES
 
     def pieces(self, text: str) -> tuple[str, str]:
         """The ids and the decoded tokens of a text, joined by spaces."""
@@ -190,20 +197,36 @@ class WordBpe:
         return text.lower()
 
     def encode(self, text: str | None) -> list[int]:
-        return [int(i) for i in self.pieces(text or "")[0].split()]
+        return as_ids(self.pieces(text or "")[0]).tolist()
 
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens joined by spaces, as the file names no decoder; special tokens are kept."""
         return " ".join([self.token[i] for i in ids])
 
-    def digests(self, texts: list) -> tuple[list, list, list]:
-        counts, sums, decodings = [], [], []
-        for text in texts:
-            ids, decoded = self.pieces(text or "")
-            counts.append(ids.count(" ") + 1 if ids else 0)
-            sums.append(hashlib.sha256(ids.encode()).hexdigest())
-            decodings.append(hashlib.sha256(decoded.encode()).hexdigest())
-        return counts, sums, decodings
+    def columns(self, texts: pa.Array, ids: bool, digests: bool) -> list[pa.Array]:
+        """Of each text, a null being an empty one: its ids, and number of ids and digests of ids and decoded text.
+
+        Each text is encoded once; its ids go into one buffer of four bytes an id.
+        """
+        held, counts, sums, decodings = [], [], [], []
+        for value in texts:
+            written, decoded = self.pieces(value.as_py() or "")
+            counts.append(written.count(" ") + 1 if written else 0)
+            if ids:
+                held.append(as_ids(written))
+            if digests:
+                sums.append(hashlib.sha256(written.encode()).hexdigest())
+                decodings.append(hashlib.sha256(decoded.encode()).hexdigest())
+        out = []
+        if ids:
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+            out.append(pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([np.zeros(0, np.int32), *held]))))
+        return out + ([pa.array(counts, pa.int64()), pa.array(sums, pa.string()), pa.array(decodings, pa.string())] if digests else [])
+
+
+def as_ids(written: str) -> np.ndarray:
+    """Decimal ids joined by spaces as numbers."""
+    return np.fromstring(written, np.int32, sep=" ") if written else np.zeros(0, np.int32)
 
 
 def printable_bytes() -> list[str]:
@@ -230,18 +253,37 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
+def _encoded(docs: DataFrame, vocabulary: str, text: str, ids: str | None, digests: bool) -> DataFrame:
+    """``docs`` with the asked columns from one encoding of each text; columns named like new ones are replaced."""
+    fields = ([T.StructField(ids, T.ArrayType(T.IntegerType()))] if ids else []) + (OUTPUT.fields if digests else [])
+    source, names = fresh(docs, "_text"), {f.name.lower() for f in fields}
+    kept = [c for c in docs.columns if c.lower() not in names]
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias(source))
+    schema = T.StructType([*rows.schema.fields[: len(kept)], *fields])
+    # The vocabulary's size is fixed.
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = encoder(shared.value)
+        for batch in batches:
+            for part in bounded(batch, len(kept), BLOCK):
+                new = model.columns(part.column(len(kept)), bool(ids), digests)
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *new], names=schema.names)
+
+    return rows.mapInArrow(run, schema)
+
+
 def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
     """``docs`` with a column of token ids. ``vocabulary``: the JSON text of a vocabulary file.
 
     A null or empty text has no ids. A column already named like the new one is replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    return _encoded(docs, vocabulary, text, ids, False)
 
-    def make():
-        model = encoder(shared.value)
-        return lambda texts: [[model.encode(t) for t in texts]]
 
-    return add_columns(docs, text, T.StructType([T.StructField(ids, T.ArrayType(T.IntegerType()))]), make)
+def encode_with_digests(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "token_ids") -> DataFrame:
+    """``encode`` and ``encoding_digests`` in one: each text is encoded once, by one worker."""
+    return _encoded(docs, vocabulary, text, ids, True)
 
 
 def decode(docs: DataFrame, vocabulary: str, ids: str = "token_ids", text: str = "decoded") -> DataFrame:
@@ -261,8 +303,7 @@ def encoding_digests(docs: DataFrame, vocabulary: str, text: str = "text") -> Da
     A null text counts as empty: no tokens, digests of the empty string. Each row is encoded by
     itself, so repeated rows give repeated results. The vocabulary is broadcast; its size is fixed.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    return add_columns(docs, text, OUTPUT, lambda: encoder(shared.value).digests)
+    return _encoded(docs, vocabulary, text, None, True)
 
 
 def digest_query(docs: DataFrame, vocabulary: str) -> DataFrame:

@@ -46,7 +46,7 @@ def test_long_runs(model, library):
 
 
 def test_cache_generations(model, library, monkeypatch):
-    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 5)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 1500)
     monkeypatch.setattr(bpe, "CACHE_PAIRS", 5)
     for text in ("some words come and go again and some come back", "come back words, come and go", "some words"):
         agree(model, library, text)
@@ -64,6 +64,11 @@ def test_digests_and_round_trip(spark, library):
         assert r["ids_sha256"] == sha(" ".join(map(str, ids)))
         assert r["decoded_sha256"] == sha(library.decode(ids, skip_special_tokens=False))
         assert r["score"] == "own score"
+    both = bpe.encode_with_digests(docs, vocabulary).collect()
+    key = lambda r: (str(r["doc_id"]), str(r["text"]))
+    for r, one in zip(sorted(both, key=key), sorted(rows, key=key)):
+        assert r["token_ids"] == library.encode(r["text"] or "", add_special_tokens=False).ids
+        assert all(r[c] == one[c] for c in bpe.OUTPUT.names) and r["bucket"] == "own bucket"
     back = bpe.decode(bpe.encode(docs, vocabulary), vocabulary).collect()
     assert all(r["decoded"] == library.decode(r["token_ids"], skip_special_tokens=False) for r in back)
 

@@ -1,8 +1,12 @@
+import hashlib
 import random
 
+import public_tokenizers
 import pytest
+import tokenizers
 
 import corpus_pipeline
+from tests.llm.cases import TEXTS, documents, plain
 from tests.llm.test_decontaminate import words
 from tests.llm.test_near_duplicates import edited, true_classes
 from tests.llm.test_secrets import base
@@ -69,8 +73,17 @@ def test_each_stage_against_brute_force(spark, tables):
         assert not base(new["text"] or "") and ("[SECRET]" in (new["text"] or "")) == bool(base(r["text"] or ""))
 
     before, after = got["encoding"]
-    assert sorted(r["doc_id"] for r in after) == sorted(r["doc_id"] for r in before)
-    assert all(r["n_tokens"] == len(r["token_ids"]) for r in after)
+    library = tokenizers.Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.no_padding()
+    library.no_truncation()
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    expected = []
+    for r in before:
+        ids = library.encode(r["text"] or "", add_special_tokens=False).ids
+        sums = sha(" ".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))
+        expected.append((r["doc_id"], r["lang"], r["source"], r["extra"], ids, len(ids), *sums))
+    columns = ("doc_id", "lang", "source", "extra", "token_ids", "n_tokens", "ids_sha256", "decoded_sha256")
+    assert sorted((tuple(r[c] for c in columns) for r in after), key=repr) == sorted(expected, key=repr)
     assert sorted(map(repr, corpus_pipeline.run(spark, tables).collect())) == sorted(map(repr, after))
 
 
@@ -79,3 +92,18 @@ def test_empty_documents(spark, tables):
     for name, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, tables)
         assert docs.count() == 0
+
+
+def test_edge_rows(spark, tables, tmp_path):
+    """Nulls, empty and very long texts, repeats, and columns that bear names used inside."""
+    docs = documents(spark, clashing=("score", "_key", "node", "secrets", "token_ids", "N_Tokens", "digest", "_text", "row"))
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stored(stage(spark, docs, tables), name)
+        if name != "encoding":
+            assert docs.columns == columns
+    kept = [TEXTS[0], (2, None), (3, ""), TEXTS[4], (None, None), *TEXTS[6:9], TEXTS[10]]
+    assert plain((r["doc_id"],) for r in docs.collect()) == plain((i,) for i, _ in kept)
+    assert {"score", "_key", "node", "secrets", "digest", "_text", "row"} <= set(docs.columns) and docs.where("row <> 'own row'").count() == 0
+    lengths = {r["doc_id"]: r["n_tokens"] for r in docs.collect()}
+    assert lengths[2] == lengths[3] == 0 and lengths[5] == 5 * 4000

@@ -15,7 +15,11 @@ from featureflow.llm.common import fresh, stored, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on all labelled documents, does not call toxic."""
+    """Documents that the classifier, fitted on all labelled documents, does not call toxic.
+
+    A null or empty text has the score of no evidence, the share of toxic labels, and stays while that is
+    below one half. Repeated rows and rows of one text fare alike. Without toxic labels all stay.
+    """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     score = fresh(docs, "_toxicity")
     scored = toxicity.score(docs, model, column=score)
@@ -23,17 +27,24 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates: the one with the smallest id."""
+    """One document of each class of near duplicates: the one with the smallest id, ids before null.
+
+    Documents without words (null, empty, only signs) are no copies of one another; of such rows under one id
+    the one whose text comes first stays, and so does one of rows that share id and words.
+    """
     return near_duplicates.representatives(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of a benchmark item."""
+    """Documents without any passage of a benchmark item; null and empty texts stay, repeated rows too."""
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, secrets in their texts replaced by a mask; n_chars follows the text."""
+    """All documents, secrets in their texts replaced by a mask; n_chars follows the text where it changed.
+
+    Null and empty texts stay as they are, a row without secrets keeps all its values.
+    """
     spans = fresh(docs, "_secrets")
     found = secrets.find(docs, column=spans)
     masked = found.withColumn("text", secrets.masked(F.col("text"), F.col(spans)))
@@ -44,10 +55,12 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Per document its id, language, source, token ids, their number and digests of ids and decoded text."""
+    """Every document with its token ids in place of its text, their number, and digests of ids and decoded text.
+
+    A null or empty text has no ids. Columns that bear the name of a new one are replaced.
+    """
     vocabulary = bpe.read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
-    encoded = bpe.encoding_digests(bpe.encode(docs, vocabulary), vocabulary)
-    return encoded.select("doc_id", "lang", "source", "token_ids", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode_with_digests(docs, vocabulary).drop("text")
 
 
 STAGES = [

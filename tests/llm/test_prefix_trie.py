@@ -90,6 +90,15 @@ def test_turnless_and_lone_conversations(spark):
     assert built(spark, [(3, None, None, None)]) == brute([(3, None, None, None)])
 
 
+def test_long_conversations_that_part_late(spark):
+    """Shared beginnings of 60 turns, copies, ends within another's path, and a chain of later and later ends."""
+    rows = []
+    for c, size in ((10, 70), (15, 70), (20, 61), (25, 60), (30, 33), (35, 100), (40, 100)):
+        rows += [(c, t, "user", f"turn {t}" if t < 60 else f"own {t} {c // 10}") for t in range(size)]
+    rows += [(c, t, "bot", f"turn {t}") for c in range(50, 100, 5) for t in range(c - 40)]
+    assert built(spark, rows) == brute(rows)
+
+
 def test_order_of_role_and_text_matters(spark):
     rows = [(5, 0, "ab", "c"), (10, 0, "a", "bc"), (15, 0, "", "abc"), (20, 0, "2:ab", ""), (25, 0, "user", "p"), (25, 1, "user", "q"), (30, 0, "user", "q"), (30, 1, "user", "p")]
     assert built(spark, rows) == brute(rows)

@@ -7,7 +7,7 @@ from pyspark.sql.functions import unwrap_udt
 
 from bindings.common import reviews, sql_hash, sql_hash_number, table
 from featureflow.operators import model, select
-from featureflow.operators.features import FOLD_SEED, MEAN_FOLDS, fit_features, fit_one_hot
+from featureflow.operators.features import FOLD_SEED, MEAN_FOLDS, ORDER_SEED, fit_features, fit_one_hot
 from featureflow.operators.split import split_random, train_test_parts
 from featureflow.plans.prepare import engineer_features, ingest, model_table, preprocess
 from featureflow.session import scratch_path
@@ -102,6 +102,28 @@ def _(spark, sf):
     return own.join(whole, "row_id")
 
 
+@query(
+    "enc3_ordered_means",
+    f"""WITH o AS (SELECT o_orderkey AS row_id, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS status,
+    CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE 'c' || o_custkey END AS customer, o_totalprice AS price,
+    {sql_hash_number(ORDER_SEED, 'o_orderkey')} AS h FROM orders),
+    m AS (SELECT *, avg(price) OVER () AS m FROM o)
+    SELECT row_id, round((coalesce(sum(price) OVER s, 0) + m) / (count(price) OVER s + 1), 2) AS status,
+    round((coalesce(sum(price) OVER c, 0) + m) / (count(price) OVER c + 1), 2) AS customer FROM m
+    WINDOW s AS (PARTITION BY status ORDER BY h, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    c AS (PARTITION BY customer ORDER BY h, row_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)""",
+)
+def _(spark, sf):
+    df = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("row_id"),
+        F.col("o_totalprice").alias("price"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("o_custkey") % 10 != 0, F.concat(F.lit("c"), F.col("o_custkey"))).alias("customer"),
+    )
+    fitted = fit_features(df, "price", [], {"status": "ordered", "customer": "ordered"})
+    return fitted.encoded(df, out_of_fold=True).select("row_id", *[F.round(f"_{c}", 2).alias(c) for c in ("status", "customer")])
+
+
 @query(
     "enc1_one_hot_any_width",
     """WITH o AS (SELECT o_orderkey AS row_id, CASE WHEN o_custkey % 10 = 0 THEN NULL ELSE 'c' || o_custkey END AS customer FROM orders),

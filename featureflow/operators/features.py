@@ -1,8 +1,9 @@
 """Feature vectors from numbers and categories, fitted on the training rows and kept as tables.
 
-A category column becomes either its smoothed target mean or a one-hot vector; which one is said by the
-caller, never by the number of categories. The categories live in a table that is joined, whatever their
-number. Training rows get means taken from the other folds' rows, so that no row sees its own target.
+A category column becomes a smoothed target mean or a one-hot vector; which one is said by the caller, never
+by the number of categories. The categories live in a table that is joined, whatever their number. No
+training row sees its own target: its mean is taken either from the other folds' rows ("mean") or from the
+rows before it in a random order ("ordered"). Rows to be scored get the mean of all training rows.
 """
 
 from __future__ import annotations
@@ -12,16 +13,18 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featureflow.functions.keyed import hash_key
 from featureflow.operators.clean import nan_to_null
-from featureflow.operators.order import number_values
+from featureflow.operators.order import number_values, range_count
 from featureflow.session import scratch_path
 
 #: Folds of the means of training rows, and the seed that deals rows to them.
 MEAN_FOLDS, FOLD_SEED = 5, 17
+#: Seed of the order in which rows see each other's targets.
+ORDER_SEED = 23
 #: Rows with the overall mean that each category's mean counts besides its own.
 SMOOTHING = 1.0
 
@@ -43,12 +46,13 @@ class Features:
     #: Categories per one-hot column.
     sizes: Mapping[str, int]
     row_id: str = "row_id"
+    target: str = ""
 
     def slots(self) -> list[str]:
         """Source column of each slot of the vector."""
         out = [c for c in self.numeric for _ in (0, 1)]
         for column, kind in self.encodings.items():
-            out += [column] * (1 if kind == "mean" else max(self.sizes[column] - 1, 0))
+            out += [column] * (max(self.sizes[column] - 1, 0) if kind == "one_hot" else 1)
         return out
 
     def level(self, out_of_fold: bool) -> Column:
@@ -62,12 +66,17 @@ class Features:
 
     def encoded(self, df: DataFrame, out_of_fold: bool = False) -> DataFrame:
         """``df`` with ``_<column>`` for every feature: a number, or a one-hot vector."""
+        ordered = [c for c, kind in self.encodings.items() if kind == "ordered"] if out_of_fold else []
+        if ordered:
+            df = ordered_means(df, self.target, ordered, self.target_mean, self.row_id)
         for column, kind in self.encodings.items():
+            if column in ordered:
+                continue
             own = self.categories.where(F.col("column") == column)
             own = own.select(F.col("value").alias("_value"), *[F.col(c).alias(f"_{c}") for c in ("code", "n", "total", "fold_n", "fold_total")])
             # No hint: Spark broadcasts a small dictionary and splits a hot value's rows otherwise.
             df = df.join(own, F.col(column).cast("string").eqNullSafe(F.col("_value")), "left")
-            if kind == "mean":
+            if kind in ("mean", "ordered"):
                 df = df.withColumn(f"_{column}", self.level(out_of_fold))
             else:
                 # The first category and unseen ones share the code that the encoder leaves out.
@@ -90,12 +99,12 @@ class Features:
 
     def transform(self, df: DataFrame, out_of_fold: bool = False) -> DataFrame:
         inputs = [x for c in self.numeric for x in (f"_{c}", f"_{c}_missing")]
-        inputs += [f"_{c}" for c, kind in self.encodings.items() if kind == "mean" or self.sizes[c] > 1]
+        inputs += [f"_{c}" for c, kind in self.encodings.items() if kind != "one_hot" or self.sizes[c] > 1]
         encoded = VectorAssembler(inputCols=inputs, outputCol="features").transform(self.encoded(df, out_of_fold))
         return encoded.select(*df.columns, "features")
 
     def save(self, path: str, spark: SparkSession) -> None:
-        about = {k: getattr(self, k) for k in ("numeric", "encodings", "target_mean", "sizes", "row_id")}
+        about = {k: getattr(self, k) for k in ("numeric", "encodings", "target_mean", "sizes", "row_id", "target")}
         spark.createDataFrame([(json.dumps(about),)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
         if self.categories is not None:
             self.categories.write.mode("overwrite").parquet(f"{path}/categories")
@@ -107,15 +116,59 @@ class Features:
         return cls(categories=categories, **about)
 
 
+def ordered_means(df: DataFrame, target: str, columns: Sequence[str], mean: float, row_id: str = "row_id") -> DataFrame:
+    """``df`` with ``_<column>``: the smoothed target mean of the rows of the same category before each row.
+
+    The order is that of a keyed hash of the row id, equal hashes by the id. Hashes are uniform, so equal
+    ranges of them hold about equally many rows, and so does each category's share of a range: within a
+    range a category's rows are totalled in order, on top of what it has in the ranges before. A category
+    with a third of all rows is thereby as many tasks as there are ranges. Rows without a target count for
+    nothing, but have a mean of their own; null is a category.
+    """
+    spark = df.sparkSession
+    y = nan_to_null(F.col(target).cast("double"))
+    ranges = range_count(df, df.count())
+    order = hash_key(ORDER_SEED, F.col(row_id))
+    # The hash has 60 bits; its upper 30 place it.
+    placed = df.withColumn("_order", order).withColumn("_range", F.shiftright(F.shiftright("_order", 30) * ranges, 30).cast("int"))
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
+    # Copies of a row, one per category column, are totalled before they leave their task.
+    totals = placed.select(F.explode(cells).alias("cell"), "_range", y.alias("y")).groupBy("cell.column", "cell.value", "_range")
+    totals = totals.agg(F.count("y").alias("n"), F.coalesce(F.sum("y"), F.lit(0.0)).alias("total"))
+    # A category has at most one row a range here.
+    earlier = Window.partitionBy("column", "value").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(
+        "column",
+        F.col("value").alias("_value"),
+        F.col("_range").alias("_own_range"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_n"),
+        F.coalesce(F.sum("total").over(earlier), F.lit(0.0)).alias("_total"),
+    )
+    path = scratch_path(spark, "totals-before")
+    before.write.parquet(path)
+    before = spark.read.schema(before.schema).parquet(path)
+    out = placed.withColumn("_y", y)
+    for c in columns:
+        value = F.col(c).cast("string")
+        so_far = Window.partitionBy("_range", value).orderBy("_order", row_id).rowsBetween(Window.unboundedPreceding, -1)
+        own = before.where(F.col("column") == c).drop("column")
+        out = out.withColumn("_own_n", F.count("_y").over(so_far)).withColumn("_own_total", F.coalesce(F.sum("_y").over(so_far), F.lit(0.0)))
+        # Spark broadcasts a small table of totals; else the range is part of the key, so no key is hot.
+        out = out.join(own, (F.col("_range") == F.col("_own_range")) & value.eqNullSafe(F.col("_value")), "left")
+        n, total = F.col("_own_n") + F.col("_n"), F.col("_own_total") + F.col("_total")
+        out = out.withColumn(f"_{c}", (total + SMOOTHING * F.lit(mean)) / (n + SMOOTHING)).drop("_own_n", "_own_total", "_n", "_total", "_value", "_own_range")
+    return out.drop("_order", "_range", "_y")
+
+
 def fit_features(
     train: DataFrame, target: str, numeric: Sequence[str], encodings: Mapping[str, str], row_id: str = "row_id"
 ) -> Features:
     """Category statistics, target mean and fill values of the training rows.
 
-    ``encodings`` says "mean" or "one_hot" for each category column. Null counts as a category. A missing
+    ``encodings`` says "mean", "ordered" or "one_hot" for each category column. Null counts as a category. A missing
     number is replaced by the column's mean and marked in a slot of its own.
     """
-    if unknown := {k for k in encodings.values()} - {"mean", "one_hot"}:
+    if unknown := {k for k in encodings.values()} - {"mean", "ordered", "one_hot"}:
         raise ValueError(f"unknown encodings {sorted(unknown)}")
     y = nan_to_null(F.col(target).cast("double"))
     means = {c: F.avg(nan_to_null(F.col(c).cast("double"))).alias(c) for c in numeric}
@@ -123,7 +176,7 @@ def fit_features(
     fills = {c: float(row[c]) if row[c] is not None else 0.0 for c in numeric}
     mean = float(row["_target"]) if row["_target"] is not None else 0.0
     if not encodings:
-        return Features(fills, {}, mean, None, {}, row_id)
+        return Features(fills, {}, mean, None, {}, row_id, target)
     spark = train.sparkSession
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in encodings])
     # Copies of a row, one per category column, are counted before they leave their task.
@@ -154,7 +207,7 @@ def fit_features(
     else:
         counted = counted.withColumn("code", F.lit(None).cast("long"))
     counted.write.parquet(f"{path}/categories")
-    return Features(fills, dict(encodings), mean, spark.read.parquet(f"{path}/categories"), {c: sizes.get(c, 0) for c in encodings}, row_id)
+    return Features(fills, dict(encodings), mean, spark.read.parquet(f"{path}/categories"), {c: sizes.get(c, 0) for c in encodings}, row_id, target)
 
 
 def fit_one_hot(df: DataFrame, columns: Sequence[str], row_id: str = "row_id", numeric: Sequence[str] = ()) -> Features:

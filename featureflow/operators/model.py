@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 
 from multiprocessing.pool import ThreadPool
 
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,8 @@ log = logging.getLogger(__name__)
 #: Bins that the trees cut a number into.
 MAX_BINS = 64
 NOT_FEATURES = ("row_id", "datetime")
+#: Rows of a partition of a fold; small folds are one partition each, as several fits run at a time.
+FOLD_ROWS = 50_000
 
 # Settings of a model trained without a champion to copy, and the search grids.
 BASELINE = {"maxIter": 100, "stepSize": 0.1, "maxDepth": 6, "seed": 42}
@@ -53,9 +57,10 @@ def boosted_trees(target: str, **settings) -> GBTRegressor:
     return GBTRegressor(labelCol=target, featuresCol="features", predictionCol="y_pred", **params)
 
 
-def ordered(df: DataFrame, row_id: str = "row_id") -> DataFrame:
+def ordered(df: DataFrame, row_id: str = "row_id", parts: int | None = None) -> DataFrame:
     """Rows dealt out and sorted by their id, so that a fit doesn't depend on how they came."""
-    return df.repartition(row_id).sortWithinPartitions(row_id)
+    dealt = df.repartition(row_id) if parts is None else df.repartition(parts, row_id)
+    return dealt.sortWithinPartitions(row_id)
 
 
 @dataclass
@@ -73,8 +78,8 @@ class Trained:
 class Candidate:
     """A named way to build features, and the settings of its learner.
 
-    ``encoding`` holds for all category columns but those that ``encodings`` names: "mean" (also called
-    "native") or "one_hot".
+    ``encoding`` holds for all category columns but those that ``encodings`` names: "mean", "ordered" (also
+    called "native") or "one_hot".
     """
 
     name: str
@@ -87,7 +92,7 @@ class Candidate:
         if columns is not None:
             numeric = [c for c in numeric if c in columns]
             categorical = [c for c in categorical if c in columns]
-        usual = "mean" if self.encoding == "native" else self.encoding
+        usual = "ordered" if self.encoding == "native" else self.encoding
         return fit_features(train, target, numeric, {c: self.encodings.get(c, usual) for c in categorical})
 
     def fit(self, train: DataFrame, target: str, columns: Sequence[str] | None = None) -> Trained:
@@ -130,57 +135,107 @@ def score_candidates(
     return train.sparkSession.createDataFrame(rows, schema), models
 
 
+def segments(learner: GBTRegressionModel, stops: Sequence[int]) -> list[GBTRegressionModel]:
+    """The trees of a boosted model cut at ascending numbers of rounds, each piece a model by itself.
+
+    Rounds are fitted one after another, so the sum of the first pieces predicts what a fit of so many
+    rounds with the same other settings and seed predicts.
+    """
+    whole, gateway = learner._java_obj, SparkContext._active_spark_context._gateway
+    jvm, trees, weights, pieces = gateway.jvm, whole.trees(), whole.treeWeights(), []
+    for begin, end in zip([0, *stops], stops):
+        some = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, end - begin)
+        factors = gateway.new_array(jvm.double, end - begin)
+        for k in range(end - begin):
+            some[k], factors[k] = trees[begin + k], weights[begin + k]
+        piece = GBTRegressionModel(jvm.org.apache.spark.ml.regression.GBTRegressionModel(f"{learner.uid}_{end}", some, factors))
+        pieces.append(piece.setFeaturesCol(learner.getFeaturesCol()))
+    return pieces
+
+
+def staged_errors(learner: GBTRegressionModel, judged: DataFrame, target: str, rounds: Sequence[int]) -> dict[int, float]:
+    """Mean squared error on ``judged`` after each of the given numbers of rounds, all from one scan."""
+    stops = sorted(set(rounds))
+    scored, so_far, misses = judged, F.lit(0.0), {}
+    for stop, piece in zip(stops, segments(learner, stops)):
+        scored = piece.setPredictionCol(f"_piece_{stop}").transform(scored)
+        so_far = so_far + F.col(f"_piece_{stop}")
+        misses[stop] = F.col(target).cast("double") - so_far
+    row = scored.agg(*[F.avg(miss * miss).alias(str(stop)) for stop, miss in misses.items()]).first()
+    return {stop: float(row[str(stop)]) for stop in stops}
+
+
 def grid_search(
     train: DataFrame,
     target: str,
     candidate: Candidate,
     grid: Mapping[str, Sequence] | None = None,
     row_id: str = "row_id",
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> tuple[Trained, DataFrame]:
     """Best settings by mean squared error over two contiguous folds, refitted on all rows.
 
-    Features are fitted inside each fold, on its training rows only. Returns the model and one row per
-    setting. If the search fails, the defaults are fitted instead.
+    Features are fitted inside each fold, on its training rows only. Settings that differ in the number of
+    rounds alone share one fit per fold, of the most rounds, and are judged by its stages. Returns the model
+    and one row per setting. A setting that the learner refuses has no error and cannot win; if it refuses
+    all, the defaults are fitted instead. Any other failure ends the search.
     """
     spark = train.sparkSession
     shared_folder(spark)
     grid = grid or GRIDS[candidate.name]
     settings = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
+    folded = contiguous_folds(train, row_id)
+    folds = [_prepared_fold(folded, k, target, candidate, row_id) for k in (0, 1)]
+    groups: dict[str, list[dict]] = {}
+    for s in settings:
+        groups.setdefault(json.dumps({k: v for k, v in s.items() if k != "maxIter"}, sort_keys=True), []).append(s)
+    # The longest fits first, so that none of them is left over at the end.
+    tasks = sorted(itertools.product(groups.values(), folds), key=lambda t: -t[0][0].get("maxDepth", 0))
     try:
-        folded = contiguous_folds(train, row_id)
-        errors = [_fold_errors(folded, k, target, candidate, settings, row_id, parallelism) for k in (0, 1)]
-    except Exception as problem:  # noqa: BLE001 - fall back to the defaults, whatever went wrong
-        log.error("grid search failed: %s", problem)
-        empty = spark.createDataFrame([], "settings string, mse double, rmse double")
-        return candidate.fit(train, target), empty
-    means = [sum(pair) / 2 for pair in zip(*errors)]
-    best = settings[min(range(len(means)), key=means.__getitem__)]
-    rows = [(json.dumps(s, sort_keys=True), m, math.sqrt(m)) for s, m in zip(settings, means)]
+        with ThreadPool(parallelism) as pool:
+            found = pool.map(lambda t: _group_errors(*t[1], target, candidate, t[0]), tasks, chunksize=1)
+    finally:
+        for prepared, judged in folds:
+            prepared.unpersist()
+            judged.unpersist()
+    errors: dict[str, list[float]] = {}
+    for part in found:
+        for key, mse in part.items():
+            errors.setdefault(key, []).append(mse)
+    rows = []
+    for s in settings:
+        key = json.dumps(s, sort_keys=True)
+        mse = sum(errors[key]) / 2 if len(errors.get(key, ())) == 2 else None
+        rows.append((key, mse, None if mse is None else math.sqrt(mse)))
     table = spark.createDataFrame(rows, "settings string, mse double, rmse double")
+    judged = [(mse, i) for i, (_, mse, _) in enumerate(rows) if mse is not None]
+    best = settings[min(judged)[1]] if judged else {}
     chosen = Candidate(candidate.name, candidate.encoding, {**candidate.settings, **best}, candidate.encodings)
     return chosen.fit(train, target), table
 
 
-def _fold_errors(
-    folded: DataFrame, fold: int, target: str, candidate: Candidate, settings: list[dict], row_id: str, parallelism: int
-) -> list[float]:
-    """Mean squared error of every setting on one fold, trained on the other."""
+def _prepared_fold(folded: DataFrame, fold: int, target: str, candidate: Candidate, row_id: str) -> tuple[DataFrame, DataFrame]:
+    """Cached feature vectors of the rows outside a fold, and of the fold's rows, encoded by the others."""
     others, held = folded.where(F.col("fold") != fold).drop("fold"), folded.where(F.col("fold") == fold).drop("fold")
     features = candidate.features(others, target)
-    prepared = ordered(features.transform(others, out_of_fold=True), row_id).select("features", target).persist()
-    judged = features.transform(held).select("features", target).persist()
+    parts = max(1, math.ceil(others.count() / FOLD_ROWS))
+    prepared = ordered(features.transform(others, out_of_fold=True), row_id, parts).select("features", target).persist()
+    judged = ordered(features.transform(held), row_id, parts).select("features", target).persist()
+    return prepared, judged
 
-    def error(setting: dict) -> float:
-        learner = boosted_trees(target, **{**candidate.settings, **setting}).fit(prepared)
-        return float(regression_metrics(learner.transform(judged), target, "y_pred").first()["mse"])
 
+def _group_errors(prepared: DataFrame, judged: DataFrame, target: str, candidate: Candidate, group: Sequence[dict]) -> dict[str, float]:
+    """Mean squared error of settings that differ in ``maxIter`` alone, by setting; none if the learner refuses them."""
     try:
-        with ThreadPool(parallelism) as pool:
-            return pool.map(error, settings)
-    finally:
-        prepared.unpersist()
-        judged.unpersist()
+        default = boosted_trees(target, **candidate.settings).getMaxIter()
+        rounds = {json.dumps(s, sort_keys=True): s.get("maxIter", default) for s in group}
+        most = {**candidate.settings, **group[0], "maxIter": max(rounds.values())}
+        learner = boosted_trees(target, cacheNodeIds=True, **most).fit(prepared)
+    except IllegalArgumentException as refused:
+        log.error("settings %s refused: %s", group, refused)
+        return {}
+    errors = staged_errors(learner, judged, target, list(rounds.values()))
+    return {key: errors[n] for key, n in rounds.items()}
 
 
 def settings_of(model: Trained) -> dict[str, float]:

@@ -15,6 +15,7 @@ from featureflow.functions.scalar import nan_to_null, round_2dp
 from featureflow.operators.clean import missing, nulls_for_nans
 from featureflow.operators.order import ONE_TASK, non_null, running_total, value_ranges
 from featureflow.schemas import numeric_columns
+from featureflow.session import scratch_path
 
 
 # Quantile sketches are off by at most one in this many rows. Every map task sends a sketch, so they are
@@ -319,13 +320,54 @@ def _matrix(row: DataFrame, pairs) -> DataFrame:
 def spearman_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rank correlation of every ordered pair, ranked on the rows where both values are present.
 
-    Rows are first reduced to counted (x, y) pairs; average ranks come from running totals over
-    distinct values, so ties and hot values cost one row each.
+    A column is ranked once, over its counted distinct values, for all pairs whose two columns are missing
+    in the same rows; their correlations are then one aggregation over the rows' ranks. Only a pair of columns
+    with different gaps is ranked by itself.
     """
     names = list(columns or numeric_columns(df.schema))
-    ranged = value_ranges(numbers(df, names), names)
-
+    data = numbers(df, names)
     pairs = list(itertools.combinations(names, 2))
+    diagonal = df.sparkSession.createDataFrame([(c, c, 1.0) for c in names], "column_a string, column_b string, correlation double")
+    if not pairs:
+        return diagonal
+    gaps = data.agg(*[F.count_if(F.col(a).isNull() != F.col(b).isNull()).alias(f"{a}|{b}") for a, b in pairs]).first()
+    alike = [p for p in pairs if not gaps["|".join(p)]]
+    parts = [diagonal]
+    if alike:
+        parts.append(_matrix(_rank_correlations(data, alike), alike))
+    if len(alike) < len(pairs):
+        parts.append(_paired_rank_correlations(data, names, [p for p in pairs if p not in alike]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _rank_correlations(data: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row with the rank correlation of each pair; the columns of a pair have the same gaps."""
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    ranged = value_ranges(data.select(*names), names)
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(f"_range_{c}").alias("range")) for c in names]
+    # Values are counted before they leave their task; from here on a hot value is one row.
+    counts = ranged.select(F.explode(F.array(*cells)).alias("cell")).select("cell.*").where(F.col("value").isNotNull())
+    counts = non_null(counts, ["column", "value", "range"]).groupBy("column", "value", "range").agg(F.count("*").alias("n"))
+    ranked = running_total(counts, "value", F.col("n"), within=["column"], range_column="range")
+    ranked = ranked.select("column", "value", (F.col("before") + (F.col("n") + 1) / 2).alias("rank"))
+    path = scratch_path(data.sparkSession, "ranks")
+    ranked.write.partitionBy("column").parquet(path)
+    ranked = data.sparkSession.read.schema(ranked.schema).parquet(path)
+    rows = data.select(*names)
+    for c in names:
+        own = ranked.where(F.col("column") == c).select(F.col("value").alias("_value"), F.col("rank").alias(f"_rank_{c}"))
+        # No hint: Spark broadcasts few distinct values and splits a hot one's rows otherwise.
+        rows = rows.join(own, F.col(c) == F.col("_value"), "left").drop("_value")
+    return rows.agg(*[F.corr(f"_rank_{a}", f"_rank_{b}").alias(f"{a}|{b}") for a, b in pairs])
+
+
+def _paired_rank_correlations(data: DataFrame, names: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """(column_a, column_b, correlation) of pairs with different gaps, both ways round.
+
+    Rows are first reduced to counted (x, y) pairs; average ranks come from running totals over
+    distinct values, so ties and hot values cost one row each.
+    """
+    ranged = value_ranges(data, names)
     cells = [
         F.struct(
             F.lit(f"{a}|{b}").alias("pair"),
@@ -366,11 +408,7 @@ def spearman_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         F.struct(a.alias("column_a"), b.alias("column_b"), rho.alias("correlation")),
         F.struct(b.alias("column_a"), a.alias("column_b"), rho.alias("correlation")),
     )
-    off_diagonal = sums.select(F.explode(both).alias("cell")).select("cell.*")
-    diagonal = df.sparkSession.createDataFrame(
-        [(c, c, 1.0) for c in names], "column_a string, column_b string, correlation double"
-    )
-    return off_diagonal.unionByName(diagonal)
+    return sums.select(F.explode(both).alias("cell")).select("cell.*")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:

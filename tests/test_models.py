@@ -1,10 +1,15 @@
+import itertools
+import json
 import math
 
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
+from featureflow.functions.keyed import hash_key
 from featureflow.operators import features, model, select
+from featureflow.operators.profile import regression_metrics
 from featureflow.plans.train import score_batch, select_and_train
 
 LIGHT = {"maxIter": 5, "maxDepth": 3}
@@ -71,6 +76,35 @@ def test_champion_rules(frames):
     assert model.replaces_champion(None, 5.0) and not model.replaces_champion({"val_rmse": 5.0}, 5.0)
 
 
+def test_stages_equal_separate_fits(frames):
+    """The grid's errors are those of one fit per setting and fold."""
+    train, _ = frames
+    grid = {"maxIter": (2, 3, 6), "stepSize": (0.3,), "maxDepth": (2, 3)}
+    candidate = model.Candidate("native", "native", {})
+    _, table = model.grid_search(train, "price", candidate, grid)
+    got = {r["settings"]: r["mse"] for r in table.collect()}
+    folded = model.contiguous_folds(train, "row_id")
+    folds = [model._prepared_fold(folded, k, "price", candidate, "row_id") for k in (0, 1)]
+    for rounds, depth in itertools.product((2, 3, 6), (2, 3)):
+        setting = {"maxIter": rounds, "stepSize": 0.3, "maxDepth": depth}
+        errors = [
+            regression_metrics(model.boosted_trees("price", **setting).fit(prepared).transform(judged), "price", "y_pred").first()["mse"]
+            for prepared, judged in folds
+        ]
+        assert got[json.dumps(setting, sort_keys=True)] == pytest.approx(sum(errors) / 2, rel=1e-9)
+
+
+def test_refused_settings_cannot_win(frames):
+    train, _ = frames
+    fitted, table = model.grid_search(train, "price", model.Candidate("native", "native", {"maxIter": 2}), {"maxDepth": (-1, 2)})
+    assert [(r["settings"], r["mse"] is None) for r in table.collect()] == [('{"maxDepth": -1}', True), ('{"maxDepth": 2}', False)]
+    assert fitted.learner.getMaxDepth() == 2
+    fitted, table = model.grid_search(train, "price", model.Candidate("native", "native", {"maxIter": 2}), {"maxDepth": (-1,)})
+    assert table.where("mse IS NULL").count() == 1 and fitted.learner.getMaxIter() == 2
+    with pytest.raises(Exception, match="nowhere"):
+        model.grid_search(train.drop("feat1").withColumn("feat1", F.expr("raise_error('nowhere')").cast("double")), "price", model.Candidate("native", "native", {"maxIter": 2}), {"maxDepth": (2,)})
+
+
 def test_failing_candidate_loses(frames):
     train, validation = frames
     broken = model.Candidate("broken", "native", {"maxDepth": -1})
@@ -128,6 +162,26 @@ def test_means_of_training_rows_leave_out_their_fold(spark):
     assert grid.first()["mse"] > 0.95 * pdf["price"].var()
 
 
+def test_ordered_means_of_a_hot_category(spark):
+    """A category with a third of all rows is spread over ranges, and every row sees the rows before it alone."""
+    rng = np.random.default_rng(9)
+    kinds = [None if k == 1 else f"k{k}" for k in np.where(rng.random(3000) < 0.4, 0, rng.integers(1, 60, 3000))]
+    rows = [(i, k, None if i % 50 == 0 else float(v)) for i, (k, v) in enumerate(zip(kinds, rng.integers(0, 100, 3000)))]
+    df = spark.createDataFrame(rows, "row_id long, kind string, price double")
+    made = features.ordered_means(df, "price", ["kind"], 50.0)
+    assert made.columns == [*df.columns, "_kind"]
+    got = {r["row_id"]: r["_kind"] for r in made.collect()}
+    order = {r["row_id"]: r["h"] for r in df.select("row_id", hash_key(features.ORDER_SEED, F.col("row_id")).alias("h")).collect()}
+    sums = {}
+    for i, k, v in sorted(rows, key=lambda r: (order[r[0]], r[0])):
+        n, total = sums.get(k, (0, 0.0))
+        assert got[i] == pytest.approx((total + 50) / (n + 1))
+        sums[k] = (n + (v is not None), total + (v or 0))
+    windows = [line for line in made._jdf.queryExecution().executedPlan().toString().splitlines() if "Window [" in line]
+    assert windows and all("_range" in line for line in windows)
+    assert features.ordered_means(df.limit(0), "price", ["kind"], 50.0).count() == 0
+
+
 def test_one_hot_of_many_categories_with_null(spark):
     rows = [(i, f"c{i:05d}" if i else None) for i in range(2500)]
     df = spark.createDataFrame(rows, "row_id long, region string")

@@ -10,6 +10,7 @@ from featureflow.operators import drift, quality
 from featureflow.operators.clean import null_count_table
 from featureflow.plans.monitor import drift_report, drifted_sample
 from featureflow.plans.prepare import ingest
+from featureflow.session import scratch_path
 
 QUERIES = {}
 
@@ -128,6 +129,35 @@ def _(spark, sf):
     return flat(quality.run_suite(checked, quality.review_suite())).select("success", "description")
 
 
+@query(
+    "dq6_checked_write",
+    f"""WITH i AS ({INGEST_SQL}), m AS (SELECT count(*) FILTER (points < 0 OR points > 100) AS pts, count(*) FILTER (price <= 0) AS prc,
+      count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT country, points, price, province, region_1, taster_name, variety, datetime FROM i)) AS d FROM i)
+    SELECT unnest([true, true, true, true, true, true, true, pts = 0, prc = 0, n = d]) AS success,
+    unnest(['Number of features in dataset', 'Data type check (points)', 'Data type check (price)', 'Data type check (country)',
+      'Data type check (province)', 'Data type check (region_1)', 'Data type check (variety)', 'Value range check (points) [0 to 100]',
+      'Value range check (price) [0 to any]', 'No duplicate records check']) AS description FROM m""",
+)
+def _(spark, sf):
+    _, results = quality.write_checked(ingest(reviews(spark, sf)), scratch_path(spark, "ingested"), quality.review_suite())
+    return flat(results).select("success", "description")
+
+
+@query(
+    "dq5_stored_suite",
+    f"""WITH i AS ({INGEST_SQL}), m AS (SELECT count(*) FILTER (points < 0 OR points > 100) AS pts, count(*) FILTER (price <= 0) AS prc,
+      count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT country, points, price, province, region_1, taster_name, variety, datetime FROM i)) AS d FROM i)
+    SELECT unnest([true, true, true, true, true, true, true, pts = 0, prc = 0, n = d]) AS success,
+    unnest(['Number of features in dataset', 'Data type check (points)', 'Data type check (price)', 'Data type check (country)',
+      'Data type check (province)', 'Data type check (region_1)', 'Data type check (variety)', 'Value range check (points) [0 to 100]',
+      'Value range check (price) [0 to any]', 'No duplicate records check']) AS description FROM m""",
+)
+def _(spark, sf):
+    path = scratch_path(spark, "suite")
+    quality.save_suite(quality.review_suite(), path, spark)
+    return flat(quality.run_suite(ingest(reviews(spark, sf)).drop("row_id"), quality.load_suite(path, spark))).select("success", "description")
+
+
 @query(
     "dq7_feature_group_checks",
     """SELECT true AS success, * FROM (VALUES ('points'), ('country'), ('province'), ('region_1'), ('taster_name'), ('variety'), ('price')) t("column")

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from bindings.common import GAPPY_EVENTS_SQL, gappy_events, quoted, rounded, columns_of, sql_case, sql_squash, table
 from featureflow.functions import rules
 from featureflow.functions.scalar import bucket_points
-from featureflow.operators import profile
+from featureflow.operators import profile, sketches
 from featureflow.operators.association import cramers_v_matrix
 from featureflow.operators.clean import drop_missing
+from featureflow.session import scratch_path
 
 QUERIES = {}
 
@@ -359,6 +360,37 @@ def _(spark, sf):
     return profile.value_distribution(table(spark, sf, "part"), "p_size")
 
 
+@query(
+    "srt1_top_words",
+    """SELECT word, count(*) AS count FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
+    GROUP BY 1 ORDER BY count(*) DESC, word LIMIT 20""",
+)
+def _(spark, sf):
+    # Very many distinct values of which few are frequent.
+    words = table(spark, sf, "documents").select(F.explode(F.split("text", " ")).alias("word"))
+    return profile.top_values(words, "word", 20)
+
+
+@query(
+    "agg5_stored_states",
+    """SELECT 'o_totalprice' AS "column", count(*) AS n, count(*) FILTER (o_custkey % 10 = 0) AS nulls, min(p) AS low, max(p) AS high, true AS near_unique, true AS near_median
+    FROM (SELECT *, CASE WHEN o_custkey % 10 <> 0 THEN o_totalprice END AS p FROM orders)
+    UNION ALL SELECT 'o_orderpriority', count(*), 0, NULL, NULL, true, NULL FROM orders""",
+)
+def _(spark, sf):
+    orders = table(spark, sf, "orders").select("o_orderstatus", "o_orderpriority", F.when(F.col("o_custkey") % 10 != 0, F.col("o_totalprice")).alias("o_totalprice"))
+    path = scratch_path(spark, "states")
+    names = ["o_totalprice", "o_orderpriority"]
+    # Batches arrive by status; no later one reads the rows of an earlier one.
+    for status in ("F", "O", "P"):
+        sketches.append_state(orders.where(F.col("o_orderstatus") == status), path, status, names)
+    exact = profile.distinct_counts(orders, names).withColumnRenamed("n_unique", "exact")
+    below, above = orders.agg(F.expr("percentile(o_totalprice, array(0.48, 0.52))")).first()[0]
+    found = sketches.stored_profile(spark, path, [0.5]).join(exact, "column")
+    near_unique = F.abs(F.col("n_unique") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.08 * F.col("exact"))
+    return found.select("column", "n", "nulls", "low", "high", near_unique.alias("near_unique"), F.col("quantiles")[0].between(below, above).alias("near_median"))
+
+
 @query(
     "srt1_top_values",
     "SELECT p_brand, count(*) AS count FROM part GROUP BY 1 ORDER BY count(*) DESC, p_brand LIMIT 10",

@@ -124,10 +124,7 @@ def _(spark, sf):
 def _(spark, sf):
     df = feature_source(spark, sf).withColumnRenamed("Price (total)", "price")
     written = feature_tables.write_feature_groups(df, "price", scratch_path(spark, "groups"))
-    numeric, categorical, target = (
-        written[g].drop("datetime") for g in ("numerical_features", "categorical_features", "target_features")
-    )
-    joined = numeric.drop("price").join(categorical, "row_id").join(target, "row_id")
+    joined = feature_tables.joined_groups(written).select("row_id", "o_custkey", "o_orderstatus", "o_orderpriority", "price")
     return joined.withColumn("price", F.round(F.col("price").cast("double"), 2))
 
 

@@ -10,6 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from featureflow.functions.scalar import nan_to_null, round_2dp
 from featureflow.operators.clean import missing, nulls_for_nans
@@ -29,8 +30,35 @@ def value_counts(df: DataFrame, column: str, ascending: bool = False) -> DataFra
     return counts.orderBy(F.asc("count") if ascending else F.desc("count"), F.col(column))
 
 
-def top_values(df: DataFrame, column: str, k: int = 10) -> DataFrame:
-    """The k most frequent values; equal counts in value order."""
+#: Values that the sketch behind ``top_values`` keeps track of, from try to try.
+TRACKED = (10_000, 300_000)
+#: A sketch that tracks m values misjudges a count by at most this share of the rows, over m.
+SKETCH_ERROR = 2.625
+
+
+def top_values(df: DataFrame, column: str, k: int = 10, tracked: Sequence[int] = TRACKED) -> DataFrame:
+    """The k most frequent values; equal counts in value order.
+
+    A sketch finds the values that may be among them, and only these are counted: a few rows are shuffled
+    however many distinct values there are. The sketch reports every value whose count is above twice its
+    error, so the answer is complete if the k-th count is, or if the values found are all rows. Else a
+    larger sketch is tried, and in the end all values are counted.
+    """
+    present = df.where(F.col(column).isNotNull()).select(column)
+    if not isinstance(df.schema[column].dataType, (T.StringType, T.IntegralType, T.DateType, T.BooleanType)):
+        return value_counts(df, column).limit(k)
+    for size in tracked:
+        sketch = F.expr(f"approx_top_k(`{column}`, {size}, {size})")
+        found = present.agg(sketch.alias("top"), F.count("*").alias("n"))
+        total = found.first()["n"]
+        # At most ``size`` values.
+        candidates = found.select(F.explode("top.item").alias(column))
+        counted = present.join(F.broadcast(candidates), column, "left_semi").groupBy(column).count()
+        best = counted.orderBy(F.desc("count"), F.col(column)).limit(k)
+        about = counted.agg(F.sum("count").alias("rows")).first()["rows"] or 0
+        counts = [r["count"] for r in best.collect()]
+        if about == total or (len(counts) == k and counts[-1] > 2 * SKETCH_ERROR / size * total):
+            return best
     return value_counts(df, column).limit(k)
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from featureflow.functions.scalar import nan_to_null
@@ -131,12 +133,8 @@ def _spark_types(names: Sequence[str]) -> set[str]:
     return {t for name in names for t in TYPE_NAMES.get(name, (name,))}
 
 
-def run_suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """One result row per check.
-
-    All value checks share a single aggregation over the table, schema checks cost nothing, and
-    the duplicate check (if asked for) is one hash count. A failing check does not stop the others.
-    """
+def suite_measures(df: DataFrame, checks: Sequence[Check]) -> list[Column]:
+    """The aggregates that the value checks need."""
     schema_types = dict(df.dtypes)
     measures: list[Column] = [F.count("*").alias("rows")]
     for i, check in enumerate(checks):
@@ -154,10 +152,24 @@ def run_suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             measures += [F.count_if(bad).alias(f"bad_{i}"), F.count(col).alias(f"seen_{i}")]
         elif check.kind == NOT_NULL:
             measures += [F.count_if(col.isNull()).alias(f"bad_{i}"), F.count("*").alias(f"seen_{i}")]
-    measured = df.agg(*measures)
-    duplicates = None
-    if any(c.kind == NO_DUPLICATES for c in checks):
+    return measures
+
+
+def run_suite(df: DataFrame, checks: Sequence[Check], duplicates: tuple[int, int] | None = None) -> DataFrame:
+    """One result row per check.
+
+    All value checks share a single aggregation over the table, schema checks cost nothing, and
+    the duplicate check (if asked for) is one hash count, unless the caller hands over (rows, distinct
+    rows). A failing check does not stop the others.
+    """
+    if duplicates is None and any(c.kind == NO_DUPLICATES for c in checks):
         duplicates = distinct_row_count(df)
+    return suite_results(df.agg(*suite_measures(df, checks)), df, checks, duplicates)
+
+
+def suite_results(measured: DataFrame, df: DataFrame, checks: Sequence[Check], duplicates: tuple[int, int] | None) -> DataFrame:
+    """The result rows from one row of ``suite_measures``."""
+    schema_types = dict(df.dtypes)
     results = [_result(check, i, df, schema_types, duplicates) for i, check in enumerate(checks)]
     numbered = measured.select(F.posexplode(F.array(*results)).alias("_n", "r"))
     return numbered.orderBy("_n").select("r.*")
@@ -239,26 +251,93 @@ class GateError(AssertionError):
     """A hard requirement on the data does not hold."""
 
 
+def not_positive(column: str) -> Column:
+    """How many rows lack a value above zero."""
+    value = F.col(column)
+    return F.count_if(~F.coalesce((value > 0) & ~F.isnan(value.cast("double")), F.lit(False)))
+
+
+def require_columns(columns: Sequence[str], required: Sequence[str]) -> None:
+    missing = [c for c in required if c not in columns]
+    if missing:
+        raise GateError(f"expected columns not found: {missing}")
+    if len(columns) != len(required):
+        raise GateError(f"{len(columns)} columns instead of {len(required)}")
+
+
+def require_counts(duplicates: tuple[int, int], positive: str, bad: int) -> None:
+    if duplicates[0] != duplicates[1]:
+        raise GateError(f"{duplicates[0] - duplicates[1]} duplicate rows")
+    if bad:
+        raise GateError(f"{bad} values of {positive} are not greater than 0")
+
+
 def assert_gates(
     df: DataFrame, required: Sequence[str] = INGESTED_COLUMNS, positive: str = "price", row_id: str = "row_id"
 ) -> DataFrame:
     """Required columns, their number, no copies, every value of ``positive`` above zero; else raise."""
     checked = df.drop(row_id)
-    missing = [c for c in required if c not in checked.columns]
-    if missing:
-        raise GateError(f"expected columns not found: {missing}")
-    if len(checked.columns) != len(required):
-        raise GateError(f"{len(checked.columns)} columns instead of {len(required)}")
-    rows, distinct = distinct_row_count(checked)
-    if rows != distinct:
-        raise GateError(f"{rows - distinct} duplicate rows")
-    value = F.col(positive)
-    bad = checked.agg(F.count_if(~F.coalesce((value > 0) & ~F.isnan(value.cast("double")), F.lit(False)))).first()[0]
-    if bad:
-        raise GateError(f"{bad} values of {positive} are not greater than 0")
+    require_columns(checked.columns, required)
+    require_counts(distinct_row_count(checked), positive, checked.agg(not_positive(positive)).first()[0])
     return df
 
 
+def write_checked(
+    df: DataFrame,
+    path: str,
+    checks: Sequence[Check],
+    required: Sequence[str] = INGESTED_COLUMNS,
+    positive: str = "price",
+    row_id: str = "row_id",
+) -> tuple[DataFrame, DataFrame]:
+    """Write a table that passes the gates, and judge it: (stored table, result rows of the suite).
+
+    What gates and checks need is observed while the rows are written, so the table is computed once. The
+    rows go to a folder beside the path; copies are counted there, once for gates and suite. The folder
+    takes the path's place only if the gates hold; otherwise it is deleted and the path stays as it was.
+    """
+    checked = df.drop(row_id)
+    require_columns(checked.columns, required)
+    seen = Observation(f"checks-{uuid.uuid4().hex}")
+    observed = df.observe(seen, *suite_measures(checked, checks), not_positive(positive).alias("_not_positive"))
+    spark = df.sparkSession
+    aside = f"{path}.{uuid.uuid4().hex}"
+    observed.write.parquet(aside)
+    counts = seen.get
+    written = spark.read.schema(df.schema).parquet(aside)
+    duplicates = distinct_row_count(written.drop(row_id))
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    files = folder(aside).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        require_counts(duplicates, positive, counts["_not_positive"])
+    except GateError:
+        files.delete(folder(aside), True)
+        raise
+    files.delete(folder(path), True)
+    if not files.rename(folder(aside), folder(path)):
+        raise OSError(f"{aside} could not take the place of {path}")
+    row = spark.createDataFrame([tuple(counts.values())], ", ".join(f"`{c}` long" for c in counts))
+    return spark.read.schema(df.schema).parquet(path), suite_results(row, checked, checks, duplicates)
+
+
+#: Columns of a stored suite.
+SUITE = "position int, kind string, column string, expected int, types array<string>, minimum string, maximum string, strict_min boolean"
+
+
+def save_suite(checks: Sequence[Check], path: str, spark: SparkSession) -> None:
+    """Keep a suite as data; ``load_suite`` gives the same checks in the same order."""
+    rows = [(i, c.kind, c.column, c.expected, list(c.types), json.dumps(c.minimum), json.dumps(c.maximum), c.strict_min) for i, c in enumerate(checks)]
+    spark.createDataFrame(rows, SUITE).coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_suite(path: str, spark: SparkSession) -> list[Check]:
+    rows = spark.read.schema(SUITE).json(path).orderBy("position").collect()  # one row a check
+    return [
+        Check(r["kind"], r["column"], r["expected"], tuple(r["types"] or ()), json.loads(r["minimum"]), json.loads(r["maximum"]), r["strict_min"])
+        for r in rows
+    ]
+
+
 def require_any_column(df: DataFrame) -> DataFrame:
     if not df.columns:
         raise GateError("wrong data collected")

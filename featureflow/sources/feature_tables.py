@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 import logging
 from collections.abc import Mapping, Sequence
 
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from featureflow.functions.scalar import feature_names
-from featureflow.operators.order import number_rows
+from featureflow.operators.order import number_rows, range_count
 from featureflow.operators.profile import equal_width_bin, pearson_matrix
 from featureflow.operators.quality import feature_group_suite, run_suite, typed_groups
 from featureflow.schemas import numeric_columns
@@ -90,6 +92,40 @@ def feature_statistics(df: DataFrame, skip: Sequence[str] = ("row_id",)) -> tupl
     return counted, pearson_matrix(df, names)
 
 
+def bucketed_name(path: str) -> str:
+    """Catalog name of the bucketed table at a path."""
+    return f"bucketed_{hashlib.sha256(path.encode()).hexdigest()[:24]}"
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
+    """Replace a table whose files are dealt out and sorted by the key, and read it back.
+
+    Tables with the same key and number of buckets join by it without any exchange. Each bucket is one file,
+    written by one task, so that its order needs no sort later either.
+    """
+    spark, table = df.sparkSession, bucketed_name(path)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # the files stay and are overwritten below
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key)
+    dealt.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
+    layout = spark.createDataFrame([(key, buckets, df.schema.json())], "key string, buckets int, columns string")
+    layout.coalesce(1).write.mode("overwrite").json(f"{path}_layout")
+    return spark.table(table)
+
+
+def read_bucketed(spark: SparkSession, path: str) -> DataFrame:
+    """A table of ``write_bucketed``, also in a session whose catalog doesn't know it yet."""
+    table = bucketed_name(path)
+    if not spark.catalog.tableExists(table):
+        layout = spark.read.json(f"{path}_layout").first()
+        schema = T.StructType.fromJson(json.loads(layout["columns"]))
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        key, n = layout["key"], layout["buckets"]
+        spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {n} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(table)
+
+
 def write_feature_table(
     df: DataFrame,
     root: str,
@@ -98,10 +134,12 @@ def write_feature_table(
     order_by: str = "row_id",
     descriptions: Mapping[str, str] | None = None,
     statistics: bool = True,
+    buckets: int | None = None,
 ) -> DataFrame | None:
     """Replace a feature table and read it back; None when writing failed, which is only logged.
 
-    Descriptions become column comments; histograms and correlations are stored beside the rows.
+    Descriptions become column comments; histograms and correlations are stored beside the rows. With
+    ``buckets`` the rows are dealt out and sorted by their id, see ``write_bucketed``.
     """
     path = f"{root}/{name}_v{version}"
     spark = df.sparkSession
@@ -112,8 +150,11 @@ def write_feature_table(
         ready = ready.select(
             *[F.col(c).alias(c, metadata={"comment": texts[c]}) if c in texts else F.col(c) for c in ready.columns]
         )
-        ready.write.mode("overwrite").parquet(f"{path}/data")
-        stored = spark.read.schema(ready.schema).parquet(f"{path}/data")
+        if buckets:
+            stored = write_bucketed(ready, f"{path}/data", "row_id", buckets)
+        else:
+            ready.write.mode("overwrite").parquet(f"{path}/data")
+            stored = spark.read.schema(ready.schema).parquet(f"{path}/data")
         if statistics:
             histograms, correlations = feature_statistics(stored)
             histograms.coalesce(1).write.mode("overwrite").parquet(f"{path}/histograms")
@@ -125,7 +166,8 @@ def write_feature_table(
 
 
 def read_feature_table(spark: SparkSession, root: str, name: str, version: int = 1) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}_v{version}/data")
+    path = f"{root}/{name}_v{version}/data"
+    return spark.table(bucketed_name(path)) if spark.catalog.tableExists(bucketed_name(path)) else spark.read.parquet(path)
 
 
 def vertical_groups(df: DataFrame, target: str, row_id: str = "row_id", event_time: str = "datetime") -> dict[str, DataFrame]:
@@ -139,7 +181,10 @@ def vertical_groups(df: DataFrame, target: str, row_id: str = "row_id", event_ti
 def write_feature_groups(
     df: DataFrame, target: str, root: str, version: int = 1, enabled: bool = True, row_id: str = "row_id"
 ) -> dict[str, DataFrame | None]:
-    """The three groups as feature tables; each one may fail without harming the others."""
+    """The three groups as feature tables; each one may fail without harming the others.
+
+    All have as many buckets by row id, so ``joined_groups`` puts them together again without an exchange.
+    """
     if not enabled:
         return {}
     kinds = {
@@ -152,13 +197,29 @@ def write_feature_groups(
     numbered = number_rows(df, row_id, "_position").drop(row_id).withColumnRenamed("_position", row_id)
     numbered.write.parquet(path)
     df = df.sparkSession.read.parquet(path)
+    buckets = range_count(df, df.count())
     written = {}
     for name, group in vertical_groups(df, target, row_id).items():
         texts = {c: f"{kinds[name]}: {c}" for c in group.columns if c not in (row_id, "datetime")}
-        written[name] = write_feature_table(group, root, name, version, row_id, texts)
+        written[name] = write_feature_table(group, root, name, version, row_id, texts, buckets=buckets)
     return written
 
 
+def joined_groups(groups: Mapping[str, DataFrame], row_id: str = "row_id") -> DataFrame:
+    """The rows of bucketed groups side by side; a column that several have comes from the first.
+
+    The merge join is asked for because both sides lie ready for it: neither is sent anywhere.
+    """
+    whole = None
+    for group in groups.values():
+        if whole is None:
+            whole = group
+        else:
+            known = [c for c in group.columns if c != row_id and c in whole.columns]
+            whole = whole.join(group.drop(*known).hint("merge"), row_id)
+    return whole
+
+
 def group_checks(df: DataFrame, target: str) -> DataFrame:
     """Type checks of the three groups as one result table."""
     groups = typed_groups(df, target)

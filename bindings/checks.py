@@ -388,6 +388,18 @@ def _(spark, sf):
     return rounded_report(drift.detect_univariate_drift(reference, analysis, ["points", "price", "status"], 4000))
 
 
+@query(
+    "dr2_stored_reference",
+    f"SELECT * FROM ({drift_sql(DRIFT_REFERENCE_SQL, DRIFT_ANALYSIS_SQL, ['points'], ['price'], ['status'], 100)}) WHERE period = 'analysis'",
+)
+def _(spark, sf):
+    # The batch meets the profile alone; the reference is read once, to make it.
+    reference, analysis = drift_inputs(spark, sf)
+    path = scratch_path(spark, "reference-profile")
+    drift.profile_reference(reference, ["points", "price", "status"], 100).save(path)
+    return rounded_report(drift.compare_batch(drift.ReferenceProfile.load(path, spark), analysis))
+
+
 @query(
     "dr1_drift_report",
     drift_sql(

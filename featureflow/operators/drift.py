@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featureflow.functions.keyed import standard_normal
@@ -26,6 +27,9 @@ MAX_DISCRETE_SHARE = 0.1
 JS_UPPER = 0.1
 KS_DEVIATIONS = 3.0
 
+#: Values of a feature, at most, that are broadcast because a hot key of the join would be theirs.
+HEAVY_VALUES = 10_000
+
 # Chunks up to this size are ranked in one task each; larger ones are split by value range.
 MAX_ROWS_PER_TASK = ONE_TASK
 
@@ -78,14 +82,7 @@ def doane_bins(rows: int, low: float, high: float, std: float, skewness: float)
 
 # Periods and features travel as small numbers; the report names them.
 PERIODS = ("reference", "analysis")
-REFERENCE, ANALYSIS = 0, 1
-
-
-def both_periods(reference: DataFrame, analysis: DataFrame, *columns: str) -> DataFrame:
-    """The rows of both tables, with the number of the period they belong to."""
-    return reference.select(F.lit(REFERENCE).alias("period"), *columns).unionAll(
-        analysis.select(F.lit(ANALYSIS).alias("period"), *columns)
-    )
+REFERENCE = 0
 
 
 def period_facts(both: DataFrame, record_id: str, features: Sequence[str], numeric: Sequence[str]) -> dict[str, dict]:
@@ -127,16 +124,14 @@ def reference_histograms(df: DataFrame, numeric: Sequence[str], facts: Mapping)
     return histograms
 
 
-CHUNK = ["period", "feature", "chunk"]
+CHUNK = ["feature", "chunk"]
 
 
 def feature_cells(df: DataFrame, features: Sequence[str], numeric: Sequence[str], histograms: Mapping, *keep: str) -> DataFrame:
-    """One row per value: (feature, value, range, bin) and the kept columns; nulls are left out.
-
-    ``feature`` is the position in ``features``.
+    """One row per value: (feature, value, bin) and the kept columns; nulls are left out.
 
-    ``bin`` is the histogram bin, or the value itself for features that are compared value by value.
-    Text features have no order, so their ``value`` is a constant.
+    ``feature`` is the position in ``features``. ``bin`` is the histogram bin, or the value itself for features
+    that are compared value by value. Text features have no order, so their ``value`` is a constant.
     """
 
     def cell(i: int, c: str) -> Column:
@@ -145,84 +140,108 @@ def feature_cells(df: DataFrame, features: Sequence[str], numeric: Sequence[str]
         if h is not None:
             number = equal_width_bin(F.col(c), h.low, h.high, h.bins).cast("string")
             label = F.when(F.col(c).between(h.low, h.high), number).when(F.col(c).isNotNull(), "outside")
-        return F.struct(
-            F.lit(i).alias("feature"),
-            (F.col(c) if c in numeric else F.lit(0.0)).alias("value"),
-            (F.col(f"_range_{c}") if c in numeric else F.lit(0)).alias("range"),
-            label.alias("bin"),
-        )
+        return F.struct(F.lit(i).alias("feature"), (F.col(c) if c in numeric else F.lit(0.0)).alias("value"), label.alias("bin"))
 
     cells = df.select(*keep, F.explode(F.array(*[cell(i, c) for i, c in enumerate(features)])).alias("cell"))
     return non_null(cells.select(*keep, "cell.*"), ["value", "bin"])
 
 
-def reference_distribution(
-    cells: DataFrame, features: Sequence[str], numeric: Sequence[str], few_values: bool
-) -> DataFrame:
-    """(feature, value, bin, before, at, share) for every value of either period.
+def ranged_values(df: DataFrame, splits: Mapping[int, list[float]]) -> DataFrame:
+    """``df`` (feature, value, ...) with the number of the value's range by its feature's bounds; 0 for text."""
+    if not splits:
+        return df.withColumn("range", F.lit(0))
+    inputs = {f"_value_{i}": F.when(F.col("feature") == i, F.col("value")) for i in splits}
+    numbered = value_ranges(df.withColumns(inputs), list(inputs), splits=list(splits.values()))
+    own = [F.when(F.col("feature") == i, F.col(f"_range__value_{i}")) for i in splits]
+    return numbered.withColumn("range", F.coalesce(*own, F.lit(0))).drop(*inputs, *[f"_range_{c}" for c in inputs])
 
-    ``before`` and ``at`` are the reference distribution just below and at the value, ``share`` is that of
-    the bin. Rows are counted per value first, so hot values cost nothing extra.
-    """
-    from_reference = F.when(F.col("period") == REFERENCE, 1).otherwise(0)
-    keys = ["feature", "value", "range", "bin"]
 
-    def value_counts(part: DataFrame) -> DataFrame:
-        return non_null(part, keys).groupBy(*keys).agg(F.sum(from_reference).alias("n"))
+@dataclass
+class ReferenceProfile:
+    """What a reference table leaves behind for comparing later batches: no batch reads its rows again.
 
-    if few_values:  # checked: one task holds the values of a feature
-        whole = Window.partitionBy("feature")
-        lower = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        counted = value_counts(cells).select(
-            "*",
-            F.sum("n").over(whole).alias("total"),
-            F.coalesce(F.sum("n").over(lower), F.lit(0)).alias("lower"),
-            F.sum("n").over(Window.partitionBy("feature", "bin")).alias("bin_n"),
-        )
-    else:
-        parts = []
-        for ordered in (True, False):
-            wanted = [i for i, c in enumerate(features) if (c in numeric) == ordered]
-            if not wanted:
-                continue
-            values = value_counts(cells.where(F.col("feature").isin(*wanted)))
-            totals = values.groupBy("feature").agg(F.sum("n").alias("total"))
-            bins = values.groupBy("feature", "bin").agg(F.sum("n").alias("bin_n"))
-            if ordered:
-                placed = running_total(
-                    values, "value", F.col("n"), ["feature"], range_column="range", name="lower"
-                )
-            else:
-                placed = values.drop("range").withColumn("lower", F.lit(0).cast("long"))
-            # One total per monitored feature.
-            parts.append(placed.join(F.broadcast(totals), "feature").join(bins, ["feature", "bin"]))
-        counted = reduce(DataFrame.unionByName, parts)
-    total = F.nullif(F.col("total"), F.lit(0))
-    return counted.select(
-        "feature",
-        "value",
-        "bin",
-        (F.col("lower") / total).alias("before"),
-        ((F.col("lower") + F.col("n")) / total).alias("at"),
-        (F.col("bin_n") / total).alias("share"),
+    ``counts`` holds (feature, value, bin, n) for its distinct values, ``chunks`` (feature, chunk, ks, js) of its
+    own chunks, ``limits`` (feature, ks_lower, ks_upper).
+    """
+
+    features: list[str]
+    numeric: list[str]
+    chunk_size: int
+    facts: dict
+    histograms: dict[str, Histogram]
+    splits: dict[int, list[float]]
+    counts: DataFrame
+    chunks: DataFrame | None = None
+    limits: DataFrame | None = None
+
+    def save(self, path: str) -> None:
+        about = {k: getattr(self, k) for k in ("features", "numeric", "chunk_size", "facts")}
+        about["histograms"] = {c: [h.low, h.high, h.bins] for c, h in self.histograms.items()}
+        about["splits"] = {i: s[1:-1] for i, s in self.splits.items()}
+        spark = self.counts.sparkSession
+        spark.createDataFrame([(json.dumps(about, default=str),)], "about string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
+        for name in ("counts", "chunks", "limits"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
+
+    @classmethod
+    def load(cls, path: str, spark: SparkSession) -> ReferenceProfile:
+        about = json.loads(spark.read.text(f"{path}/about").first()[0])
+        about["histograms"] = {c: Histogram(*h) for c, h in about["histograms"].items()}
+        about["splits"] = {int(i): [-math.inf, *s, math.inf] for i, s in about["splits"].items()}
+        return cls(**about, **{name: spark.read.parquet(f"{path}/{name}") for name in ("counts", "chunks", "limits")})
+
+
+def distribution_at(profile: ReferenceProfile, values: DataFrame, splits: Mapping[int, list[float]]) -> DataFrame:
+    """(feature, value, bin, before, at, share, n, m) for every value of the reference or among the given ones.
+
+    ``before`` and ``at`` are the reference distribution just below and at the value, ``share`` is that of the
+    bin, ``n`` and ``m`` the rows with the value in the reference and in ``values`` (feature, value, bin, m). Only
+    distinct values are ordered, range by range.
+    """
+    none = F.lit(0).cast("long")
+    both = profile.counts.select("feature", "value", "bin", "n", none.alias("m")).unionByName(values.select("feature", "value", "bin", none.alias("n"), "m"))
+    keys = ["feature", "value", "bin"]
+    whole = non_null(both, keys).groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    totals = profile.counts.groupBy("feature").agg(F.sum("n").alias("total"))
+    bins = profile.counts.groupBy("feature", "bin").agg(F.sum("n").alias("bin_n"))
+    order = [i for i, c in enumerate(profile.features) if c in profile.numeric]
+    parts = []
+    if order:
+        ordered = ranged_values(whole.where(F.col("feature").isin(*order)), splits)
+        parts.append(running_total(ordered, "value", F.col("n"), ["feature"], range_column="range", name="lower"))
+    if len(order) < len(profile.features):
+        parts.append(whole.where(~F.col("feature").isin(*order)).withColumn("lower", F.lit(0).cast("long")))
+    # One total per monitored feature. A feature that the reference shows nothing of has none.
+    placed = reduce(DataFrame.unionByName, parts).join(F.broadcast(totals), "feature", "left").join(bins, ["feature", "bin"], "left")
+    return placed.select(
+        *keys,
+        (F.col("lower") / F.col("total")).alias("before"),
+        ((F.col("lower") + F.col("n")) / F.col("total")).alias("at"),
+        F.when(F.col("total") > 0, F.coalesce("bin_n", F.lit(0)) / F.col("total")).alias("share"),
+        "n",
+        "m",
     )
 
 
-def compare_chunks(cells: DataFrame, distribution: DataFrame, chunk_size: int) -> DataFrame:
-    """(period, feature, chunk, ks, js): each chunk against the reference.
+def compare_chunks(cells: DataFrame, distribution: DataFrame, chunk_size: int, rows: int, splits: Mapping[int, list[float]]) -> DataFrame:
+    """(feature, chunk, ks, js): each chunk of ``cells`` (chunk, feature, value, bin) against the reference.
 
     The Kolmogorov-Smirnov distance peaks at a value of the chunk, at it or just below it. For the
     Jensen-Shannon distance, bins a chunk does not hold add half of their reference share, and values the
     reference never showed count as one extra bin. So only the chunk's own values are looked at, never a
-    chunk x reference product.
+    chunk x reference product. ``rows`` is the number of rows behind the distribution.
     """
-    small = chunk_size <= MAX_ROWS_PER_TASK
-    # Chunks of the usual size travel whole: one shuffle serves counting and ranking. Very large chunks
-    # are counted map-side first instead.
-    placed = cells.repartition(*CHUNK) if small else cells
-    counts = placed.groupBy(*CHUNK, "value", "range", "bin").agg(F.count("*").alias("n"))
-    compared = counts.join(distribution, ["feature", "value", "bin"])
-    if small:
+    keys = ["feature", "value", "bin"]
+    counts = cells.groupBy(*CHUNK, "value", "bin").agg(F.count("*").alias("n"))
+    # A value that many chunks hold would be a hot key of the join. Values with at least this share of all
+    # rows are HEAVY_VALUES per feature at most, and are broadcast; no other value is frequent.
+    facts = ["before", "at", "share"]
+    heavy_here = F.col("n") + F.col("m") >= F.lit(rows / HEAVY_VALUES)
+    heavy = distribution.where(heavy_here).select(*keys, *facts, F.lit(True).alias("heavy"))
+    first = counts.join(F.broadcast(heavy), keys, "left")
+    light = distribution.where(~heavy_here).select(*keys, *facts)
+    compared = first.where("heavy").drop("heavy").unionByName(first.where("heavy IS NULL").drop("heavy", *facts).join(light, keys))
+    if chunk_size <= MAX_ROWS_PER_TASK:  # the setting says that a task can hold a chunk
         whole = Window.partitionBy(*CHUNK)
         lower = whole.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
         compared = compared.select(
@@ -232,7 +251,7 @@ def compare_chunks(cells: DataFrame, distribution: DataFrame, chunk_size: int) -
             F.sum("n").over(Window.partitionBy(*CHUNK, "bin")).alias("bin_n"),
         )
     else:
-        compared = running_total(compared, "value", F.col("n"), CHUNK, range_column="range", name="lower")
+        compared = running_total(ranged_values(compared, splits), "value", F.col("n"), CHUNK, range_column="range", name="lower")
         compared = compared.join(counts.groupBy(*CHUNK).agg(F.sum("n").alias("total")), CHUNK)
         compared = compared.join(counts.groupBy(*CHUNK, "bin").agg(F.sum("n").alias("bin_n")), [*CHUNK, "bin"])
     gap = F.greatest(
@@ -243,85 +262,111 @@ def compare_chunks(cells: DataFrame, distribution: DataFrame, chunk_size: int) -
     part = F.when(p > 0, q * F.log2(2 * q / (p + q)) + p * F.log2(2 * p / (p + q)) - p).otherwise(q)
     # A bin's part is spread over its values in proportion to their rows.
     divergence = (F.sum(part * F.col("n") / F.col("bin_n")) + 1.0) / 2
-    return compared.groupBy(*CHUNK).agg(
-        F.max(gap).alias("ks"), F.sqrt(F.greatest(divergence, F.lit(0.0))).alias("js")
-    )
+    return compared.groupBy(*CHUNK).agg(F.max(gap).alias("ks"), F.sqrt(F.greatest(divergence, F.lit(0.0))).alias("js"))
 
 
-def detect_univariate_drift(
-    reference: DataFrame,
-    analysis: DataFrame,
-    features: Sequence[str],
-    chunk_size: int = 100,
-    record_id: str = "record_id",
-    js_upper: float = JS_UPPER,
-    ks_deviations: float = KS_DEVIATIONS,
-) -> DataFrame:
-    """Drift of each feature per chunk of consecutive records, for both periods.
+def typed_features(df: DataFrame, features: Sequence[str], numeric: Sequence[str], record_id: str) -> DataFrame:
+    typed = [F.col(c).cast("double" if c in numeric else "string").alias(c) for c in features]
+    return nulls_for_nans(df.select(record_id, *typed))
 
-    Record ids of the analysis follow those of the reference. Numeric features get the
-    Kolmogorov-Smirnov statistic with limits mean +/- deviations * std over the reference chunks; all
-    features get the Jensen-Shannon distance with a constant limit. One row per (feature, period, chunk).
-    """
+
+def in_chunks(df: DataFrame, record_id: str, facts: Mapping, chunk_size: int) -> DataFrame:
+    placed = place_rows(df, record_id, facts["low"], facts["high"], facts["rows"])
+    return placed.withColumn("chunk", F.expr(f"position div {int(chunk_size)}"))
+
+
+def numeric_splits(df: DataFrame, features: Sequence[str], numeric: Sequence[str], rows: int) -> dict[int, list[float]]:
+    """Bounds of the value ranges of each numeric feature, by its position."""
+    return dict(zip([features.index(c) for c in numeric], range_splits(df, numeric, rows))) if numeric and rows else {}
+
+
+def profile_reference(
+    reference: DataFrame, features: Sequence[str], chunk_size: int = 100, record_id: str = "record_id", ks_deviations: float = KS_DEVIATIONS
+) -> ReferenceProfile:
+    """Profile of a reference table, with the statistics of its own chunks and the limits that follow from them."""
     shared_folder(reference.sparkSession)
+    features = list(features)
     numeric = [c for c in features if c in numeric_columns(reference.schema)]
-    typed = [F.col(c).cast("double" if c in numeric else "string").alias(c) for c in features]
-    frames = [nulls_for_nans(df.select(record_id, *typed)) for df in (reference, analysis)]
-    facts = period_facts(both_periods(*frames, record_id, *features), record_id, features, numeric)
-    ref_facts, ana_facts = facts["reference"], facts["analysis"]
-    histograms = reference_histograms(frames[0], numeric, ref_facts)
-
-    # Sketched counts are a few percent off, hence the margin.
-    few_values = all(2 * (ref_facts[f"{c}|distinct"] + ana_facts[f"{c}|distinct"]) <= ONE_TASK for c in features)
-    if few_values:
-        frames = [f.withColumns({f"_range_{c}": F.lit(0) for c in numeric}) if numeric else f for f in frames]
-    elif numeric:
-        rows = ref_facts["rows"] + ana_facts["rows"]
-        splits = range_splits(both_periods(*frames, *numeric), numeric, rows)
-        frames = [value_ranges(f, numeric, splits=splits) for f in frames]
-    used = [*features, *[f"_range_{c}" for c in numeric]]
-
-    unchunked = feature_cells(both_periods(*frames, *used), features, numeric, histograms, "period")
-    placed = [
-        place_rows(f, record_id, x["low"], x["high"], x["rows"]).withColumn(
-            "chunk", F.expr(f"position div {int(chunk_size)}")
-        )
-        for f, x in zip(frames, (ref_facts, ana_facts))
-    ]
-    chunked = feature_cells(both_periods(*placed, "chunk", *used), features, numeric, histograms, "period", "chunk")
-    distribution = reference_distribution(unchunked, features, numeric, few_values)
-    # A row per chunk and feature, kept in the shared folder: it gives the limits and the report.
-    found = compare_chunks(chunked, distribution, chunk_size).checkpoint()
-    names = F.array(*[F.lit(c) for c in features])
-    found = found.withColumns(
-        {
-            "period": F.get(F.array(*[F.lit(p) for p in PERIODS]), F.col("period")),
-            "feature": F.get(names, F.col("feature")),
-        }
-    )
-    ordered = F.col("feature").isin(*numeric) if numeric else F.lit(False)
-    found = found.withColumn("ks", F.when(ordered, F.col("ks")))
-
-    limits = found.where(F.col("period") == "reference").groupBy("feature").agg(
-        F.avg("ks").alias("_mean"), F.stddev_pop("ks").alias("_std")
-    )
+    df = typed_features(reference, features, numeric, record_id)
+    facts = period_facts(df.withColumn("period", F.lit(REFERENCE)), record_id, features, numeric)["reference"]
+    histograms = reference_histograms(df, numeric, facts)
+    splits = numeric_splits(df, features, numeric, facts["rows"])
+    counts = feature_cells(df, features, numeric, histograms).groupBy("feature", "value", "bin").agg(F.count("*").alias("n")).checkpoint()
+    profile = ReferenceProfile(features, numeric, chunk_size, facts, histograms, splits, counts)
+    # A row per chunk and feature, kept in the shared folder.
+    profile.chunks = _chunks_of(df, profile, record_id, facts, splits).checkpoint()
+    ks = F.when(F.col("feature").isin(*[features.index(c) for c in numeric]), F.col("ks")) if numeric else F.lit(None).cast("double")
+    limits = profile.chunks.groupBy("feature").agg(F.avg(ks).alias("_mean"), F.stddev_pop(ks).alias("_std"))
     margin = ks_deviations * F.col("_std")
-    limits = limits.select(
+    profile.limits = limits.select(
         "feature",
         # A statistic cannot go below zero, so a limit there is no limit.
         F.when(F.col("_mean") - margin > 0, F.col("_mean") - margin).alias("ks_lower"),
         (F.col("_mean") + margin).alias("ks_upper"),
     )
-    alert = (F.col("ks") > F.col("ks_upper")) | F.coalesce(F.col("ks") < F.col("ks_lower"), F.lit(False))
+    return profile
+
+
+def _chunks_of(df: DataFrame, profile: ReferenceProfile, record_id: str, facts: Mapping, splits: Mapping[int, list[float]], own: bool = True) -> DataFrame:
+    """Statistics of the chunks of a batch with typed features; ``own`` if it is the reference itself."""
+    cells = lambda rows, *keep: feature_cells(rows, profile.features, profile.numeric, profile.histograms, *keep)
+    values = cells(df).groupBy("feature", "value", "bin").agg(F.count("*").alias("m"))
+    distribution = distribution_at(profile, values.limit(0) if own else values, splits)
+    chunked = cells(in_chunks(df, record_id, facts, profile.chunk_size), "chunk")
+    rows = facts["rows"] if own else facts["rows"] + profile.facts["rows"]
+    return compare_chunks(chunked, distribution, profile.chunk_size, rows, splits)
+
+
+def compare_batch(profile: ReferenceProfile, batch: DataFrame, record_id: str = "record_id", js_upper: float = JS_UPPER) -> DataFrame:
+    """Drift of each feature per chunk of a later batch, from the stored profile alone; as ``detect_univariate_drift``."""
+    df = typed_features(batch, profile.features, profile.numeric, record_id)
+    measures = F.min(record_id).alias("low"), F.max(record_id).alias("high"), F.count("*").alias("rows")
+    facts = df.agg(*measures).first().asDict()
+    # The batch may lie where the reference is thin, so its own bounds are added.
+    splits = {i: sorted({*s, *profile.splits.get(i, s)}) for i, s in numeric_splits(df, profile.features, profile.numeric, facts["rows"]).items()}
+    found = _chunks_of(df, profile, record_id, facts, splits or profile.splits, own=False).checkpoint()
+    return _reported(found, profile, "analysis", facts, js_upper)
+
+
+def reference_report(profile: ReferenceProfile, js_upper: float = JS_UPPER) -> DataFrame:
+    """The reference's own chunks against it, in the same form."""
+    return _reported(profile.chunks, profile, "reference", profile.facts, js_upper)
+
+
+def _reported(found: DataFrame, profile: ReferenceProfile, period: str, facts: Mapping, js_upper: float) -> DataFrame:
+    ordered = F.col("feature").isin(*[profile.features.index(c) for c in profile.numeric]) if profile.numeric else F.lit(False)
     # One row of limits per monitored feature.
-    report = found.join(F.broadcast(limits), "feature", "left").withColumns(
+    found = found.withColumn("ks", F.when(ordered, F.col("ks"))).join(F.broadcast(profile.limits), "feature", "left")
+    alert = (F.col("ks") > F.col("ks_upper")) | F.coalesce(F.col("ks") < F.col("ks_lower"), F.lit(False))
+    report = found.withColumns(
         {
+            "period": F.lit(period),
+            "feature": F.get(F.array(*[F.lit(c) for c in profile.features]), F.col("feature")),
             "ks_alert": F.when(F.col("ks").isNotNull(), alert),
             "js_upper": F.lit(float(js_upper)),
             "js_alert": F.col("js") > js_upper,
         }
     )
-    return with_positions(report, chunk_size, ref_facts, ana_facts)
+    return with_positions(report, profile.chunk_size, profile.facts, facts)
+
+
+def detect_univariate_drift(
+    reference: DataFrame,
+    analysis: DataFrame,
+    features: Sequence[str],
+    chunk_size: int = 100,
+    record_id: str = "record_id",
+    js_upper: float = JS_UPPER,
+    ks_deviations: float = KS_DEVIATIONS,
+) -> DataFrame:
+    """Drift of each feature per chunk of consecutive records, for both periods.
+
+    Record ids of the analysis follow those of the reference. Numeric features get the
+    Kolmogorov-Smirnov statistic with limits mean +/- deviations * std over the reference chunks; all
+    features get the Jensen-Shannon distance with a constant limit. One row per (feature, period, chunk).
+    """
+    profile = profile_reference(reference, features, chunk_size, record_id, ks_deviations)
+    return reference_report(profile, js_upper).unionByName(compare_batch(profile, analysis, record_id, js_upper))
 
 
 def with_positions(df: DataFrame, chunk_size: int, reference: Mapping, analysis: Mapping) -> DataFrame:

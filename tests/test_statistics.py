@@ -120,10 +120,10 @@ def brute_drift(reference, chunk):
 
 @pytest.mark.parametrize("task_limit", [1_000_000, 10])
 def test_drift_against_brute_force(spark, monkeypatch, task_limit):
-    # The second run takes the paths for chunks and value lists too large for one task.
+    # The second run splits chunks by value range, cuts values into ranges of ten rows, and broadcasts few values.
     monkeypatch.setattr(drift, "MAX_ROWS_PER_TASK", task_limit)
-    monkeypatch.setattr(drift, "ONE_TASK", task_limit)
-    monkeypatch.setattr(order, "ONE_TASK", task_limit)
+    monkeypatch.setattr(drift, "HEAVY_VALUES", min(task_limit, 10_000))
+    monkeypatch.setattr(order, "ROWS_PER_RANGE", task_limit)
     rng = np.random.default_rng(123)
     ref = pd.DataFrame({"record_id": np.arange(400) * 3, "points": np.clip(rng.normal(88, 3, 400), 80, 100), "price": rng.integers(1, 9, 400).astype(float)})
     ana = pd.DataFrame({"record_id": rng.permutation(250) * 7, "points": np.clip(rng.normal(85, 4, 250), 80, 100), "price": rng.integers(3, 12, 250).astype(float)})
@@ -145,6 +145,28 @@ def test_drift_against_brute_force(spark, monkeypatch, task_limit):
                 assert r["ks_alert"] == (r["ks"] > upper or (r["ks_lower"] is not None and r["ks"] < r["ks_lower"]))
 
 
+def test_batches_against_a_stored_profile(spark, tmp_path):
+    """Two batches compared with one stored profile, whose reference rows are gone, give what one run gives."""
+    rng = np.random.default_rng(12)
+
+    def frame(n, mean, kinds):
+        return pd.DataFrame({"record_id": np.arange(n), "points": rng.normal(mean, 3, n), "stars": rng.integers(1, 5, n).astype(float), "kind": rng.choice(kinds, n)})
+
+    ref, batches = frame(300, 88, list("ab")), [frame(130, 85, list("abc")), frame(90, 120, list("c"))]
+    path, features = f"{tmp_path}/reference", ["points", "stars", "kind"]
+    drift.profile_reference(spark.createDataFrame(ref), features, 50).save(path)
+    profile = drift.ReferenceProfile.load(path, spark)
+    key = lambda r: (r["period"], r["feature"], r["chunk"])
+    for batch in batches:
+        whole = drift.detect_univariate_drift(spark.createDataFrame(ref), spark.createDataFrame(batch), features, 50)
+        got = drift.reference_report(profile).unionByName(drift.compare_batch(profile, spark.createDataFrame(batch)))
+        assert got.columns == whole.columns
+        for a, b in zip(sorted(got.collect(), key=key), sorted(whole.collect(), key=key), strict=True):
+            for c in got.columns:
+                assert a[c] == (pytest.approx(b[c]) if isinstance(b[c], float) else b[c]), c
+    assert drift.compare_batch(profile, spark.createDataFrame(batches[0]).limit(0)).count() == 0
+
+
 def test_record_id(spark):
     df = spark.createDataFrame([(10, 1.0), (20, 2.0), (30, 3.0)], "index long, v double")
     assert [r["record_id"] for r in drift.with_record_id(df, "index").collect()] == [10, 20, 30]

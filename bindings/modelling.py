@@ -10,7 +10,9 @@ from featureflow.operators import model, select
 from featureflow.operators.features import FOLD_SEED, MEAN_FOLDS, ORDER_SEED, fit_features, fit_one_hot
 from featureflow.operators.split import split_random, train_test_parts
 from featureflow.plans.prepare import engineer_features, ingest, model_table, preprocess
+from featureflow.plans.train import select_and_train
 from featureflow.session import scratch_path
+from featureflow.sources.registry import Registry
 from featureflow.sources.tables import Tables
 
 QUERIES = {}
@@ -181,6 +183,43 @@ def _(spark, sf):
     return spark.createDataFrame(rows, "challenger string, champion string, replaced boolean")
 
 
+@query(
+    "ml3_registry",
+    """WITH r AS (SELECT o_orderpriority AS run_id, stddev_pop(o_totalprice) AS rmse FROM orders GROUP BY 1),
+    c AS (SELECT *, min(rmse) OVER (ORDER BY run_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best, min(rmse) OVER (ORDER BY run_id) AS now FROM r)
+    SELECT c.run_id, best IS NULL OR rmse < best AS replaced, (SELECT r.run_id FROM r WHERE r.rmse = c.now) AS champion,
+    count(*) FILTER (best IS NULL OR rmse < best) OVER (ORDER BY run_id) AS version FROM c""",
+)
+def _(spark, sf):
+    # A run per priority, whose model is the mean: its error is the spread. The runs come in by name.
+    spread = table(spark, sf, "orders").groupBy("o_orderpriority").agg(F.stddev_pop("o_totalprice").alias("rmse"), F.avg("o_totalprice").alias("mean"))
+    store, rows = Registry(spark, scratch_path(spark, "registry")), []
+    for row in spread.orderBy("o_orderpriority").collect():  # one row per priority
+        run_id = row["o_orderpriority"]
+        store.add_run(run_id, lambda path, row=row: spread.where(F.col("o_orderpriority") == row["o_orderpriority"]).write.parquet(f"{path}/model"), {"val_rmse": row["rmse"]})
+        replaced = store.challenge(run_id)
+        now = store.champion()
+        rows.append((run_id, replaced, now.run_id, now.version))
+    return spark.createDataFrame(rows, "run_id string, replaced boolean, champion string, version long")
+
+
+@query(
+    "ml5_training_flow",
+    """SELECT 'GBTRegressionModel' AS regressor, true AS known_columns, true AS better_than_mean, 4::bigint AS settings, 2::bigint AS candidates, true AS replaced,
+    (SELECT count(*) - ceil(0.2 * count(*)) FROM orders)::bigint AS n_train""",
+)
+def _(spark, sf):
+    # Candidates, grid, champion, feature selection and final fit in their order, on a grid of four settings.
+    train, validation = parts_of(order_features(spark, sf))
+    small = {"maxIter": (2, 4), "maxDepth": (2, 3)}
+    trained = select_and_train(train, validation, grids={"native": small, "one_hot": small}, settings=LIGHT)
+    spread = validation.agg(F.stddev_pop("price")).first()[0]
+    counts = trained.selection.grid.count(), trained.selection.scores.count(), train.count()
+    known = bool(trained.columns) and set(trained.columns) <= {"balance", "month", "status", "priority", "segment"}
+    row = (trained.metrics["regressor"], known, trained.metrics["val_score"] < spread, counts[0], counts[1], trained.selection.replaced, counts[2])
+    return spark.createDataFrame([row], "regressor string, known_columns boolean, better_than_mean boolean, settings long, candidates long, replaced boolean, n_train long")
+
+
 @query("ml4_importance_boosted")
 def _(spark, sf):
     return select.importance_table(stored(order_features(spark, sf)), "price", "boosted")

@@ -29,15 +29,15 @@ def range_count(df: DataFrame, rows: int = 0) -> int:
     return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // ROWS_PER_RANGE))
 
 
-def range_splits(df: DataFrame, columns: Sequence[str], rows: int | None = None) -> list[list[float]]:
-    """Bounds that cut each numeric column into ranges of about equal row counts.
+def range_splits(df: DataFrame, columns: Sequence[str], rows: int | None = None, ranges: int | None = None) -> list[list[float]]:
+    """Bounds that cut each numeric column into ranges of about equal row counts; their number unless given by the rows.
 
     Large tables are sampled for it, as a range partitioner does: the bounds decide only how even the
     ranges are, every row is still placed by its own value.
     """
     doubles = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     rows = df.count() if rows is None else rows
-    ranges = range_count(df, rows)
+    ranges = ranges or range_count(df, rows)
     if rows > SAMPLES_PER_RANGE * ranges:
         doubles = doubles.sample(SAMPLES_PER_RANGE * ranges / rows, seed=42)
     probabilities = [i / ranges for i in range(1, ranges)]
@@ -141,24 +141,56 @@ def place_rows(df: DataFrame, key: str, low, high, n: int, name: str = "position
         return df.withColumn(name, F.col(key).cast("long") - F.lit(low or 0))
     order = df.withColumn("_order", F.col(key).cast("double"))
     splits = range_splits(order, ["_order"], n)
-    ranged = value_ranges(order, ["_order"], "_r", splits).drop("_order")
-    counts = ranged.groupBy("_r_order").agg(F.count("*").alias("_n"))
-    earlier = (
-        Window.partitionBy(F.lit(0)).orderBy("_r_order").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = counts.select(
-        "_r_order", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy("_r_order").orderBy(key, *([tie] if tie else []))
+    ranged = value_ranges(order, ["_order"], "_r", splits)
+    ranged = _split_hot_keys(ranged, key, tie, n).drop("_order")
+    places = ["_r_order", "_r_tie"]
+    counts = ranged.groupBy(*places).agg(F.count("*").alias("_n"))
+    # One row per range.
+    earlier = Window.partitionBy(F.lit(0)).orderBy(*places).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*places, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*places).orderBy(key, *([tie] if tie else []))
     # One row per range: Spark broadcasts them by itself.
     return (
         ranged.withColumn("_local", F.row_number().over(inside) - 1)
-        .join(offsets, "_r_order")
+        .join(offsets, places)
         .withColumn(name, (F.col("_local") + F.col("_offset")).cast("long"))
-        .drop("_r_order", "_local", "_offset")
+        .drop(*places, "_local", "_offset")
     )
 
 
+def _split_hot_keys(ranged: DataFrame, key: str, tie: str | None, n: int) -> DataFrame:
+    """Add ``_r_tie``, the second part of a range's number: a range that one key fills is cut by the tie.
+
+    Equal keys can't be told apart by bounds of the key. A range with more than its share of rows that holds
+    one key alone, or a hot key and few others, is therefore divided into what lies below the key, ranges of
+    the tie among the rows of the key, and what lies above it. Without a numeric tie rows of one key have no
+    order to cut by.
+    """
+    whole = ranged.withColumn("_r_tie", F.lit(0))
+    if tie is None or not isinstance(ranged.schema[tie].dataType, (T.NumericType, T.TimestampType)):
+        return whole
+    share = max(1, -(-n // range_count(ranged, n)))
+    # Few ranges and keys can have so many rows: what is fetched is at most the number of ranges.
+    sizes = ranged.groupBy("_r_order").agg(F.count("*").alias("n")).where(F.col("n") > 2 * share)
+    crowded = [r["_r_order"] for r in sizes.collect()]
+    if not crowded:
+        return whole
+    keys = ranged.where(F.col("_r_order").isin(crowded) & F.col(key).isNotNull()).groupBy("_r_order", F.col(key).alias("k"))
+    hot = keys.agg(F.count("*").alias("n")).where(F.col("n") > share).orderBy("k").collect()
+    rows = ranged.withColumns({"_tie": F.col(tie).cast("double"), "_r_tie": F.lit(0)})
+    start = 1
+    for r in hot:
+        here, own = F.col("_r_order") == r["_r_order"], F.col(key) == F.lit(r["k"])
+        [bounds] = range_splits(rows.where(own).select("_tie"), ["_tie"], r["n"], max(2, -(-r["n"] // share)))
+        rows = value_ranges(rows, ["_tie"], "_at", [bounds])
+        # Null ties come first, as in the order of the rows.
+        inside = F.when(F.col("_tie").isNull(), 0).otherwise(F.col("_at_tie")) + start
+        number = F.when(here & own, inside).when(here & (F.col(key) > F.lit(r["k"])), start + len(bounds)).otherwise(F.col("_r_tie"))
+        rows = rows.withColumn("_r_tie", number).drop("_at_tie")
+        start += len(bounds) + 1
+    return rows.drop("_tie")
+
+
 def number_values(values: DataFrame, column: str, name: str = "code") -> DataFrame:
     """Add a dense 0-based number in sort order of a distinct column of any orderable type.
 

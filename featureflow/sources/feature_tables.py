@@ -54,8 +54,10 @@ def prepare_feature_table(
     df: DataFrame, order_by: str, row_id: str = "row_id", event_time: str = "datetime"
 ) -> DataFrame:
     """Dense row id from 0 in the given order, event time, allowed names and types."""
-    numbered = number_rows(df, order_by, "_position")
-    if order_by == row_id:
+    # Rows of one event time, say, are told apart by their id.
+    tie = row_id if order_by != row_id and row_id in df.columns else None
+    numbered = number_rows(df, order_by, "_position", tie)
+    if order_by == row_id or tie:
         numbered = numbered.drop(row_id)
     numbered = numbered.withColumnRenamed("_position", row_id)
     if event_time not in numbered.columns:

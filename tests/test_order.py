@@ -141,3 +141,27 @@ def test_one_hot(spark):
 def test_one_hot_null_is_a_category(spark):
     df = spark.createDataFrame([("a",), (None,)], "c string")
     assert sorted(r["c_None"] for r in one_hot_wide(df, fit_categories(df)).collect()) == [0.0, 1.0]
+
+
+@pytest.mark.parametrize("shape", ["constant", "hot", "two hot", "null ties"])
+def test_rows_of_a_hot_key_are_spread_over_ranges(spark, monkeypatch, shape):
+    """One key for all rows, or for most, is cut by the tie; the numbers are those of one sort."""
+    monkeypatch.setattr(order, "ROWS_PER_RANGE", 100)
+    pick = random.Random(2)
+    keys = {
+        "constant": [5] * 2000,
+        "hot": [7] * 1500 + [pick.randrange(15) for _ in range(500)],
+        "two hot": [7] * 900 + [8] * 900 + [pick.randrange(7, 10) for _ in range(200)],
+        "null ties": [5] * 2000,
+    }[shape]
+    ties = pick.sample(range(10**6), len(keys))
+    if shape == "null ties":
+        ties[0] = None
+    df = spark.createDataFrame(list(zip(keys, ties)), "k long, t long").repartition(5)
+    numbered = number_rows(df, "k", "n", "t")
+    got = [(r["k"], r["t"]) for r in sorted(numbered.collect(), key=lambda r: r["n"])]
+    assert got == sorted(zip(keys, ties), key=lambda x: (x[0], x[1] is not None, x[1] or 0))
+    assert sorted(r["n"] for r in numbered.collect()) == list(range(len(keys)))
+    ranged = order.value_ranges(df.withColumn("_order", F.col("k").cast("double")), ["_order"], "_r")
+    parts = order._split_hot_keys(ranged, "k", "t", len(keys)).groupBy("_r_order", "_r_tie").count().collect()
+    assert max(r["count"] for r in parts) <= 450 and len(parts) >= 10

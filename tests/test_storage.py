@@ -1,8 +1,11 @@
+from multiprocessing.pool import ThreadPool
+
 import pytest
 
 from featureflow.schemas import RAW_REVIEWS
 from featureflow.session import scratch_path, shared_folder
 from featureflow.sources import feature_tables, tables
+from featureflow.sources.registry import Champion, Registry
 
 
 def test_csv_with_quotes_breaks_and_spaces(spark):
@@ -53,3 +56,30 @@ def test_metrics_json(spark):
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark)
     assert spark.sparkContext.getCheckpointDir() is not None
+
+
+def test_champion_is_swapped_by_comparison(spark, tmp_path):
+    store, other = Registry(spark, str(tmp_path)), Registry(spark, str(tmp_path))
+    assert store.champion() == Champion()
+    for run_id, error in (("a", 5.0), ("b", 4.0), ("c", 4.0), ("d", 3.0)):
+        store.add_run(run_id, lambda path: spark.range(3).write.parquet(f"{path}/model"), {"val_rmse": error})
+    with pytest.raises(FileExistsError):
+        store.add_run("a", lambda path: None, {"val_rmse": 1.0})
+    assert store.metrics_of("a") == {"val_rmse": 5.0} and spark.read.parquet(f"{store.run_path('a')}/model").count() == 3
+    assert store.challenge("a") and store.champion().run_id == "a"
+    # Two writers saw the same champion: one of them gets the next version.
+    seen = other.champion()
+    assert store.promote("b", seen) and not other.promote("d", seen)
+    assert other.champion() == store.champion() == Champion(2, "b", {"val_rmse": 4.0})
+    assert not other.challenge("c") and other.challenge("d") and store.champion().run_id == "d"
+    assert not store.challenge("a") and store.champion().version == 3
+
+
+def test_many_writers_end_with_the_best(spark, tmp_path):
+    errors = {f"run{i}": float(abs(7 - i) + 1) for i in range(14)}
+    for run_id, error in errors.items():
+        Registry(spark, str(tmp_path)).add_run(run_id, lambda path: None, {"val_rmse": error})
+    with ThreadPool(7) as pool:
+        won = pool.map(lambda r: Registry(spark, str(tmp_path)).challenge(r), errors)
+    last = Registry(spark, str(tmp_path)).champion()
+    assert last.run_id == "run7" and last.version == sum(won)

@@ -238,7 +238,7 @@ def _(spark, sf):
 
 @query("srt4_top_features")
 def _(spark, sf):
-    return select.top_features(select.importance_table(stored(order_features(spark, sf)), "price", "boosted", LIGHT), 3)
+    return select.top_features(select.importance_table(stored(order_features(spark, sf)), "price", "boosted"), 3)
 
 
 @query("ml5_train_model")
@@ -277,17 +277,17 @@ def _(spark, sf):
 @query("ml7_permutation_importance")
 def _(spark, sf):
     df = stored(order_features(spark, sf))
-    fitted = model.Candidate("native", "native", LIGHT).fit(df, "price")
+    fitted = model.Candidate("native", "native", model.BASELINE).fit(df, "price")
     return select.permutation_importance(df, fitted, ["balance", "month", "status", "priority", "segment"], "price")
 
 
 @query("ml8_run_log")
 def _(spark, sf):
     train, validation = parts_of(order_features(spark, sf))
-    fitted = model.Candidate("one_hot", "one_hot", LIGHT).fit(train, "price")
+    fitted = model.Candidate("one_hot", "one_hot", model.BASELINE).fit(train, "price")
     path = scratch_path(spark, "runs")
     metrics = model.error_metrics(fitted, validation, "price")
-    model.log_run(spark, path, "first", "one_hot", LIGHT, {k: metrics[k] for k in ("rmse", "r2")})
+    model.log_run(spark, path, "first", "one_hot", model.BASELINE, {k: metrics[k] for k in ("rmse", "r2")})
     return spark.read.parquet(path)
 
 

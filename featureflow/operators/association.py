@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,12 +12,42 @@ from pyspark.sql import types as T
 
 from featureflow.functions.scalar import round_2dp
 from featureflow.operators.order import non_null
+from featureflow.session import scratch_path
 
 
-def cramers_v_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+#: Combinations of categories are only taken apart into pairs if they are at most this share of the rows.
+COLLAPSED = 0.25
+
+
+def pair_counts(labels: DataFrame, pairs: Sequence[tuple[str, str]], collapsed: float = COLLAPSED) -> DataFrame:
+    """(pair, a, b, o): rows of each pair of categories, nulls left out.
+
+    Rows are counted by their combination of categories first. If these are few, they are taken apart into
+    pairs; if a column has so many categories that rows hardly collapse, two columns are counted at a time.
+    Which way is taken follows from the counts themselves.
+    """
+    names = labels.columns
+    path = scratch_path(labels.sparkSession, "combinations")
+    labels.groupBy(*names).agg(F.count("*").alias("n")).write.parquet(path)
+    counted = labels.sparkSession.read.parquet(path)
+    sizes = counted.agg(F.count("*").alias("combinations"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()
+    if sizes["combinations"] <= collapsed * sizes["rows"]:
+        structs = [F.struct(F.lit(i).alias("pair"), F.col(a).alias("a"), F.col(b).alias("b")) for i, (a, b) in enumerate(pairs)]
+        # Both labels are non-null from here on, so that every later use shares one computed shuffle.
+        apart = counted.select("n", F.explode(F.array(*structs)).alias("cell")).select("n", "cell.*")
+        return non_null(apart, ["pair", "a", "b"]).groupBy("pair", "a", "b").agg(F.sum("n").alias("o"))
+    parts = []
+    for i, (a, b) in enumerate(pairs):
+        two = non_null(counted.select("n", F.col(a).alias("a"), F.col(b).alias("b")), ["a", "b"])
+        parts.append(two.groupBy("a", "b").agg(F.sum("n").alias("o")).select(F.lit(i).alias("pair"), "a", "b", "o"))
+    path = scratch_path(labels.sparkSession, "pairs")
+    reduce(DataFrame.unionByName, parts).write.parquet(path)
+    return labels.sparkSession.read.parquet(path)
+
+
+def cramers_v_matrix(df: DataFrame, columns: Sequence[str] | None = None, collapsed: float = COLLAPSED) -> DataFrame:
     """(column_a, column_b, cramers_v) for every ordered pair, rounded to two decimals.
 
-    Rows are counted by their combination of categories first; the combinations are then counted by pair.
     The chi-square sum uses observed cells only, because empty cells add exactly what the marginals
     already say; 2 x 2 tables get the continuity correction.
     """
@@ -29,15 +60,7 @@ def cramers_v_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> Dat
     if not pairs:
         return diagonal
     labels = df.select(*[F.col(c).cast("string").alias(c) for c in names])
-    # Only combinations are taken apart into pairs.
-    counted = labels.groupBy(*names).agg(F.count("*").alias("n"))
-    structs = [
-        F.struct(F.lit(i).alias("pair"), F.col(a).alias("a"), F.col(b).alias("b"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    # Both labels are non-null from here on, so that every later use shares one computed shuffle.
-    apart = counted.select("n", F.explode(F.array(*structs)).alias("cell")).select("n", "cell.*")
-    cells = non_null(apart, ["pair", "a", "b"]).groupBy("pair", "a", "b").agg(F.sum("n").alias("o"))
+    cells = pair_counts(labels, pairs, collapsed)
     rows = cells.groupBy("pair", "a").agg(F.sum("o").alias("row_total"))
     cols = cells.groupBy("pair", "b").agg(F.sum("o").alias("col_total"))
     row_side = rows.groupBy("pair").agg(

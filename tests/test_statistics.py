@@ -75,12 +75,13 @@ def cramers(x, y):
     return 0.0 if low <= 0 else round(math.sqrt(phi2 / low), 2)
 
 
-def test_cramers_v(spark):
+@pytest.mark.parametrize("collapsed", [1.0, 0.0])
+def test_cramers_v(spark, collapsed):
     rnd = random.Random(4)
     rows = [(rnd.choice("abc"), rnd.choice(["x", "y", None]), rnd.random() < 0.3, "k") for _ in range(500)]
     rows = [(a, "x" if a == "a" else b, c, k) for a, b, c, k in rows]
     pdf = pd.DataFrame(rows, columns=["p", "q", "r", "s"])
-    got = matrix(cramers_v_matrix(spark.createDataFrame(rows, "p string, q string, r boolean, s string")), "cramers_v")
+    got = matrix(cramers_v_matrix(spark.createDataFrame(rows, "p string, q string, r boolean, s string"), collapsed=collapsed), "cramers_v")
     for a in pdf.columns:
         for b in pdf.columns:
             keep = pdf[a].notna() & pdf[b].notna()

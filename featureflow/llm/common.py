@@ -43,8 +43,9 @@ def add_columns(
     source: str,
     fields: T.StructType,
     make: Callable[[], Callable[[list], Sequence]],
+    limit: int = 8 << 20,
 ) -> DataFrame:
-    """``df`` with more columns computed from one column, batch by batch in its own partitions.
+    """``df`` with more columns computed from one column, about ``limit`` bytes of it at once, in its own partitions.
 
     ``make`` runs once per task and gives a function from the list of values (nulls are None) to one
     list of values per field. Columns of ``df`` that bear the name of a new one are replaced.
@@ -59,7 +60,7 @@ def add_columns(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = make()
         for batch in batches:
-            for part in bounded(batch, position):
+            for part in bounded(batch, position, limit):
                 new = compute(part.column(position).to_pylist())
                 arrays = [*part.columns[: len(kept)], *map(pa.array, new, types)]
                 yield pa.RecordBatch.from_arrays(arrays, names=schema.names)

@@ -10,11 +10,9 @@ least 0.8. Classes are the connected components of the links.
 Texts of the same words are one node from the start. Within a bucket not all pairs are made. First, in the
 buckets of a few sketches, the first node is compared with all others; then, in all buckets, the nodes
 outside the bucket's largest class with that class's first node. What is left are buckets with nodes of
-different classes, such as texts that share a passage and nothing else. Of these, two nodes are compared if
-they share a k-mer that few of these texts hold, and each with the first node that holds a more common one.
-Every step's pairs are in proportion to the texts. A similar pair goes unseen if it shares no sketch, or if
-all that it shares are passages of many texts, none of them brings it into one class, and its other words
-have no five in a row in common.
+different classes, such as texts that share a passage and nothing else. Their nodes go through an exact
+join: two similar texts share some of the rarest words, or rarest pairs of words, of either, and all that
+do are compared. So a similar pair is missed only if it shares no sketch; no bucket, word or text is cut.
 """
 
 from __future__ import annotations
@@ -35,9 +33,12 @@ from featureflow.operators.order import range_count
 from featureflow.session import scratch_path
 from featureflow.sources.feature_tables import write_bucketed
 
-BLOCK = 4 << 20
+#: Bytes of text, or of packed words, that are worked on at once.
+BLOCK = 1 << 20
 #: Bits, as a power of two, of the map that spares most texts without partners the way to the join of words.
 MAP_BITS = 25
+#: Counters of rarity, as a power of two, and texts they are counted from. They only order words; any order is exact.
+RARITY_BITS, RARITY_TEXTS = 20, 4096
 
 
 @dataclass(frozen=True)
@@ -49,8 +50,8 @@ class Settings:
     similarity: float = 0.8
     #: Sketches that the first step goes by; it only shares out the work.
     early: int = 6
-    #: k-mers of a text that are looked at in the last step, and texts that may hold one of them before it counts
-    #: as a common passage.
+    #: For ``candidates`` alone: k-mers of a text that are looked at, and texts that may hold one of them before it
+    #: counts as a common passage.
     taken: int = 64
     few: int = 32
 
@@ -283,7 +284,8 @@ def candidates(words: DataFrame, labels: DataFrame, settings: Settings) -> DataF
 
     ``words`` has (node, words), ``labels`` (node, label). A k-mer of few texts joins each with each; one of
     more, such as a common passage, only with the first of them. Either way a k-mer's pairs are at most
-    ``settings.few`` times its texts.
+    ``settings.few`` times its texts. This is a quick look that leaves pairs out; ``classes`` goes by
+    ``exact_candidates``.
     """
     held = stored(rare_kmers(words, settings).join(labels, "node"), "rare-kmers")
     often = held.groupBy("kmer").agg(F.count("*").alias("n"), F.min(F.struct("node", "label", "n_words")).alias("lead")).where("n > 1")
@@ -302,6 +304,95 @@ def candidates(words: DataFrame, labels: DataFrame, settings: Settings) -> DataF
     return met(one.join(two, "kmer").where("node_a < node_b")).union(met(first)).distinct()
 
 
+# --- exact join ------------------------------------------------------------------------------------
+
+
+def least_shared(n: np.ndarray, k: int, settings: Settings) -> np.ndarray:
+    """k-mers, as a multiset, that a text of ``n`` words has in common with any similar one that is not longer.
+
+    An edit breaks k of the n - k + 1 k-mers at most. The bound doesn't fall with n, so it holds for the shorter text too.
+    """
+    return np.maximum(np.ceil((1 - k * (1 - settings.similarity)) * n - k + 1 - 1e-6), 1).astype(np.int64)
+
+
+def needed_shared(n: np.ndarray, k: int, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Length of the prefix of a text of ``n`` words, and how much of it the shorter of two similar texts has in common with the longer's.
+
+    Texts that share L of their k-mers in all share 1 of the rarest n - k + 1 - L + 1, and x more of x more.
+    """
+    least = least_shared(n, k, settings)
+    more = ((1 - settings.similarity) * n + 1e-9).astype(np.int64) // 8
+    return np.maximum(n - k + 1, 1) - least + 1 + more, np.minimum(1 + more, least)
+
+
+def rarity_slots(kmers: np.ndarray) -> np.ndarray:
+    return (kmers >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
+
+
+def kmer_rarity(words: DataFrame, k: int) -> np.ndarray:
+    """Counters of the labelled k-mers of the given texts."""
+
+    def run(batches):
+        for batch in batches:
+            for part in bounded(batch, 0, BLOCK):
+                slot, n = np.unique(rarity_slots(labelled_kmers(Packed(part.column(0)), k)[0]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n)], names=["slot", "n"])
+
+    # At most one row for each counter.
+    got = words.select("words").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    rarity = np.zeros(1 << RARITY_BITS, np.int64)
+    rarity[got["slot"].to_numpy()] = got["n"].to_numpy()
+    return rarity
+
+
+def rarest_kmers(words: DataFrame, k: int, shared, settings: Settings) -> DataFrame:
+    """(node, label, n_words, needed, kmer): the prefix of each text, its rarest labelled k-mers."""
+
+    def run(batches):
+        for batch in batches:
+            for part in bounded(batch, 2, BLOCK):
+                texts = Packed(part.column(2))
+                kmer, rows = labelled_kmers(texts, k)
+                order = np.lexsort((kmer, shared.value[rarity_slots(kmer)], rows))
+                kmer, rows = kmer[order], rows[order]
+                sizes = np.bincount(rows, minlength=part.num_rows)
+                length, needed = needed_shared(texts.counts, k, settings)
+                at = np.flatnonzero(np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < length[rows])
+                rows = rows[at]
+                columns = [part.column(i).take(pa.array(rows)) for i in (0, 1)]
+                columns += [pa.array(x[rows].astype(np.int32)) for x in (texts.counts, needed)] + [pa.array(kmer[at].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "label", "n_words", "needed", "kmer"])
+
+    return words.select("node", "label", "words").mapInArrow(run, "node long, label long, n_words int, needed int, kmer long")
+
+
+def exact_candidates(words: DataFrame, settings: Settings) -> DataFrame:
+    """Distinct (a, b) of nodes with different labels, among them all whose texts are similar.
+
+    ``words`` has (node, label, words). A prefix-filtered join: two similar texts have many words in common, and
+    many pairs of words in a row, so each has some of them among its rarest. Words or pairs are taken by what makes
+    fewer pairs of texts on the texts that rarity is counted from; either is complete.
+    """
+    spark = words.sparkSession
+    share = max(1, words.count() // RARITY_TEXTS)
+    some = stored(words.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0), "rarity-texts")
+    best = None
+    # Below 0.75, two similar texts of few words may have no pair of words in common.
+    for k in (1, 2) if settings.similarity >= 0.75 else (1,):
+        shared = spark.sparkContext.broadcast(kmer_rarity(some, k))
+        often = rarest_kmers(some, k, shared, settings).groupBy("kmer").agg(F.count("*").alias("n"))
+        made = often.agg(F.sum(F.col("n") * (F.col("n") - 1.0))).first()[0] or 0.0
+        if best is None or made < best[0]:
+            best = made, k, shared
+    _, k, shared = best
+    held = stored(rarest_kmers(words, k, shared, settings), "rarest-kmers")
+    one, two = (held.select("kmer", *[F.col(c).alias(f"{c}_{end}") for c in ("node", "label", "n_words", "needed")]) for end in "ab")
+    fits = F.least("n_words_a", "n_words_b") >= settings.similarity * F.greatest("n_words_a", "n_words_b") - 1e-9
+    met = one.join(two, "kmer").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & fits)
+    met = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.least("needed_a", "needed_b").alias("needed"))
+    return met.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("needed").alias("needed")).where("n >= needed").select("a", "b")
+
+
 def linked(pairs: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:
     """Those (a, b) of the pairs whose texts are similar enough."""
 
@@ -386,8 +477,8 @@ def classes(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     labels = joined(labels, compared(others, most.drop("own")))
 
     held = mixed_buckets(held, labels)
-    left = stored(words.join(held.select("node").distinct(), "node", "left_semi"), "open-words")
-    labels = joined(labels, stored(candidates(left, labels, settings), "pairs"))
+    left = stored(words.join(held.select("node", "label").distinct(), "node").select("node", "label", "words"), "open-words")
+    labels = joined(labels, stored(exact_candidates(left, settings), "pairs"))
 
     known = texts.select("doc_id", "node").join(labels, "node", "left")
     known = known.select("doc_id", "node", F.when(F.col("node") != 0, F.coalesce("label", "node")).alias("class_node"))
@@ -412,7 +503,9 @@ def representatives(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     chosen = chosen.union(found.where("node = 0").select("doc_id", "node").distinct())
     chosen = stored(chosen.select(F.xxhash64("doc_id", "node").alias(key)).distinct(), "chosen")
     fields = T.StructType([T.StructField(node, T.LongType())])
-    noded = add_columns(docs, "text", fields, lambda: lambda texts: [node_ids(Words(pa.array(texts, pa.string())))])
+    noded = add_columns(docs, "text", fields, lambda: lambda texts: [node_ids(Words(pa.array(texts, pa.string())))], BLOCK)
     keyed = noded.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), node))
-    once = keyed.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy("text"))).where(F.col(place) == 1)
-    return once.join(chosen, key, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # Only rows that stay are sorted by their text.
+    left = keyed.join(chosen, key, "left_semi")
+    once = left.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy("text"))).where(F.col(place) == 1)
+    return once.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -180,3 +180,57 @@ def test_order_matters(spark):
     rows = [(1, " ".join(words)), (2, " ".join(sum(blocks, [])))]
     got = {r["doc_id"]: r["class_id"] for r in near.classes(documents(spark, rows)).collect()}
     assert got == {1: 1, 2: 2}
+
+
+def hidden_pairs(seed):
+    """Texts that share a passage of 40 words; but for two in each of three groups their own words make them unlike."""
+    pick = random.Random(seed)
+    rows, pairs = [], []
+    for g in range(3):
+        passage = [f"g{g}p{i}" for i in range(40)]
+        sizes = [13] * 44 + [5, 5]
+        pick.shuffle(sizes)
+        ids = []
+        for size in sizes:
+            own = [f"x{pick.randrange(10**9)}" for _ in range(size)]
+            if size == 5:
+                ids.append(len(rows))
+            rows.append((len(rows), " ".join(own + passage)))
+        pairs.append(ids)
+    return rows, pairs
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_pairs_that_share_a_common_passage_alone(spark, seed):
+    """All k-mers they have in common are held by many texts, with another one first."""
+    rows, pairs = hidden_pairs(seed)
+    expected = {i: i for i, _ in rows} | {b: a for a, b in pairs}
+    assert true_classes(rows) == expected
+    got = near.classes(documents(spark, rows)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == expected
+
+
+@pytest.mark.parametrize("similarity", [0.6, 0.8, 0.9])
+def test_exact_candidates_hold_all_similar_pairs(spark, similarity, monkeypatch):
+    """Also in short texts of few different words, for words and for pairs of words."""
+    pick = random.Random(23)
+    arrays, of = {}, {}
+    for g in range(40):
+        base = [pick.randrange(60) for _ in range(pick.randrange(1, 40))]
+        for _ in range(4):
+            text = list(base)
+            for _ in range(pick.randrange(1 + len(base) // 4)):
+                i = pick.randrange(len(text))
+                text[i : i + pick.randrange(2)] = [pick.randrange(60)] * pick.randrange(3)
+                text = text or [0]
+            if tuple(text) not in of:
+                of[tuple(text)] = len(arrays)
+                arrays[len(arrays)] = np.array(text, np.uint32)
+    words = spark.createDataFrame([(i, i // 2, a.tobytes()) for i, a in arrays.items()], "node long, label long, words binary")
+    settings = near.Settings(similarity=similarity)
+    expected = {(i, j) for i in arrays for j in arrays if i < j and i // 2 != j // 2 and near.similar(arrays[i], arrays[j], similarity)}
+    real = near.rarest_kmers
+    for k in (1, 2) if similarity >= 0.75 else (1,):  # whichever is chosen, under another's order too
+        monkeypatch.setattr(near, "rarest_kmers", lambda some, _, shared, s, k=k: real(some, k, shared, s))
+        got = {(r["a"], r["b"]) for r in near.exact_candidates(words, settings).collect()}
+        assert expected and expected <= got and len(got) < len(arrays) * (len(arrays) - 1) / 2

@@ -37,7 +37,7 @@ END = mixed(np.array([0x454E44], np.uint64))[0]
 #: Low bits of a pair's key that hold the frequency class of its first token.
 CLASS_BITS = 6
 RARE, SINGLE = 0, 63
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -53,8 +53,8 @@ class Settings:
     #: Bytes of text that are looked up together in a filter that isn't broadcast.
     bunch_bytes: int = 16 << 20
     #: Keys gathered in a task before they are handed on, and tokens for each slice.
-    buffer: int = 3_000_000
-    slice_tokens: int = 2_000_000
+    buffer: int = 1_500_000
+    slice_tokens: int = 500_000
     #: Added to the count of every single token and of one unknown one.
     added: float = 0.1
 

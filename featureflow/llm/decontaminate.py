@@ -28,7 +28,7 @@ WORD_BYTES[ord("0") : ord("9") + 1] = WORD_BYTES[ord("a") : ord("z") + 1] = WORD
 #: Counters of word rarity, and bits of each bitmap, as powers of two.
 RARITY_BITS, MAP_BITS = 20, 25
 #: Text handled at once, in bytes.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 
 class Words:
@@ -251,6 +251,6 @@ def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     hit = contamination(docs, items, window).where("contaminated")
     hit = stored(hit.select(F.xxhash64("doc_id", "digest").alias(key)).distinct(), "contaminated")
     fields = T.StructType([T.StructField(digest, T.LongType())])
-    known = add_columns(docs, "text", fields, lambda: lambda texts: [Words(pa.array(texts, pa.string())).digests()])
+    known = add_columns(docs, "text", fields, lambda: lambda texts: [Words(pa.array(texts, pa.string())).digests()], BLOCK)
     keyed = known.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), digest))
     return keyed.join(hit, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

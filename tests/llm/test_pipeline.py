@@ -8,7 +8,7 @@ import tokenizers
 import corpus_pipeline
 from tests.llm.cases import TEXTS, documents, plain
 from tests.llm.test_decontaminate import words
-from tests.llm.test_near_duplicates import edited, true_classes
+from tests.llm.test_near_duplicates import edited, hidden_pairs, true_classes
 from tests.llm.test_secrets import base
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, extra string"
@@ -107,3 +107,10 @@ def test_edge_rows(spark, tables, tmp_path):
     assert {"score", "_key", "node", "secrets", "digest", "_text", "row"} <= set(docs.columns) and docs.where("row <> 'own row'").count() == 0
     lengths = {r["doc_id"]: r["n_tokens"] for r in docs.collect()}
     assert lengths[2] == lengths[3] == 0 and lengths[5] == 5 * 4000
+
+
+def test_near_duplicates_that_share_a_common_passage_alone(spark):
+    """The stage drops the second text of each pair, though all that it shares is held by many texts."""
+    rows, pairs = hidden_pairs(1)
+    kept = corpus_pipeline.drop_near_duplicates(spark, documents(spark, rows), "").select("doc_id").collect()
+    assert {r["doc_id"] for r in kept} == {i for i, _ in rows} - {b for _, b in pairs}

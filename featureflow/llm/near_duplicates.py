@@ -11,8 +11,10 @@ Texts of the same words are one node from the start. Within a bucket not all pai
 buckets of a few sketches, the first node is compared with all others; then, in all buckets, the nodes
 outside the bucket's largest class with that class's first node. What is left are buckets with nodes of
 different classes, such as texts that share a passage and nothing else. Their nodes go through an exact
-join: two similar texts share some of the rarest words, or rarest pairs of words, of either, and all that
-do are compared. So a similar pair is missed only if it shares no sketch; no bucket, word or text is cut.
+join: two similar texts share some of the rarest words, or rarest pairs of words, of either. Classes are
+joined by these first, and of classes that share enough those nodes are compared whose words, as far as
+signatures tell, may be similar. So a similar pair is missed only if it shares no sketch; no bucket, word
+or text is cut.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,8 +39,10 @@ from featureflow.sources.feature_tables import write_bucketed
 BLOCK = 1 << 20
 #: Bits, as a power of two, of the map that spares most texts without partners the way to the join of words.
 MAP_BITS = 25
-#: Counters of rarity, as a power of two, and texts they are counted from. They only order words; any order is exact.
-RARITY_BITS, RARITY_TEXTS = 20, 4096
+#: Texts on which words and pairs of words are tried before one of them is chosen; either is exact.
+TRIED_TEXTS = 4096
+#: Longs of a signature.
+SIGNATURE = 16
 
 
 @dataclass(frozen=True)
@@ -67,8 +71,8 @@ def node_ids(words: Words) -> np.ndarray:
     return np.where(words.counts > 0, ids, 0).view(np.int64)
 
 
-def labelled_kmers(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and text of every k-mer, with its number among equal ones; a shorter text is one k-mer."""
+def numbered_kmers(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every k-mer, its number among equal ones of its text, and the text; a shorter text is one k-mer."""
     rows, h = words.rows, words.hashes
     n = len(h)
     left = (words.first + words.counts)[rows] - np.arange(n)  # words from here to the end of the text
@@ -84,6 +88,12 @@ def labelled_kmers(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     run = np.arange(len(kmer)) - np.maximum.accumulate(np.where(same, 0, np.arange(len(kmer))))
     number = np.zeros(len(kmer), np.uint64)
     number[order] = run.astype(np.uint64)
+    return kmer, number, rows
+
+
+def labelled_kmers(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text of every k-mer, its number among equal ones in the hash."""
+    kmer, number, rows = numbered_kmers(words, k)
     return mixed(kmer + number * np.uint64(0xD6E8FEB86659FD93)), rows
 
 
@@ -307,63 +317,89 @@ def candidates(words: DataFrame, labels: DataFrame, settings: Settings) -> DataF
 # --- exact join ------------------------------------------------------------------------------------
 
 
-def least_shared(n: np.ndarray, k: int, settings: Settings) -> np.ndarray:
-    """k-mers, as a multiset, that a text of ``n`` words has in common with any similar one that is not longer.
+def needed_shared(n: Column, k: int, settings: Settings) -> tuple[Column, Column]:
+    """Length of the prefix of a text of ``n`` words, and how much of it the shorter of two similar texts has in common with the longer's.
 
-    An edit breaks k of the n - k + 1 k-mers at most. The bound doesn't fall with n, so it holds for the shorter text too.
+    An edit breaks k of the n - k + 1 k-mers at most, which leaves L, as a multiset, in common with any similar text
+    that is not longer. L doesn't fall with n, so it holds for the shorter text too. Texts that share L of their
+    k-mers in all share 1 of the rarest n - k + 1 - L + 1, and x more of x more.
     """
-    return np.maximum(np.ceil((1 - k * (1 - settings.similarity)) * n - k + 1 - 1e-6), 1).astype(np.int64)
+    least = F.greatest(F.ceil((1 - k * (1 - settings.similarity)) * n - k + 1 - 1e-6), F.lit(1))
+    more = F.floor(((1 - settings.similarity) * n + 1e-9) / 8)
+    return F.greatest(n - k + 1, F.lit(1)) - least + 1 + more, F.least(1 + more, least)
 
 
-def needed_shared(n: np.ndarray, k: int, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Length of the prefix of a text of ``n`` words, and how much of it the shorter of two similar texts has in common with the longer's.
+def kmer_runs(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, text and size of the runs of equal k-mers in each text: the first, the second, the third and fourth, the fifth to eighth and so on.
 
-    Texts that share L of their k-mers in all share 1 of the rarest n - k + 1 - L + 1, and x more of x more.
+    A text that repeats a word a thousand times has eleven runs of it, not a thousand labelled words. Two texts that
+    hold the same run share as many k-mers of it as the one that has less of it.
     """
-    least = least_shared(n, k, settings)
-    more = ((1 - settings.similarity) * n + 1e-9).astype(np.int64) // 8
-    return np.maximum(n - k + 1, 1) - least + 1 + more, np.minimum(1 + more, least)
-
+    kmer, number, rows = numbered_kmers(words, k)
+    run = mixed(kmer + np.frexp(number.astype(np.float64))[1].astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    order = np.lexsort((run, rows))
+    run, rows = run[order], rows[order]
+    first = np.flatnonzero(np.concatenate([[True], (run[1:] != run[:-1]) | (rows[1:] != rows[:-1])])) if len(run) else np.zeros(0, np.int64)
+    return run[first], rows[first], np.diff(np.append(first, len(run)))
 
-def rarity_slots(kmers: np.ndarray) -> np.ndarray:
-    return (kmers >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
+def rarest_kmers(words: DataFrame, k: int, share: int, settings: Settings) -> DataFrame:
+    """(node, label, n_words, needed, kmer, times): the prefix of each text, its rarest runs of k-mers and how much of them.
 
-def kmer_rarity(words: DataFrame, k: int) -> np.ndarray:
-    """Counters of the labelled k-mers of the given texts."""
+    Rarity is the number of texts that hold a run, counted over all that are taken: every ``share``-th. Runs of one
+    text alone come first in its prefix, and as they meet nothing, only their number is needed.
+    """
 
     def run(batches):
         for batch in batches:
-            for part in bounded(batch, 0, BLOCK):
-                slot, n = np.unique(rarity_slots(labelled_kmers(Packed(part.column(0)), k)[0]), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n)], names=["slot", "n"])
+            for part in bounded(batch, 1, BLOCK):
+                kmer, rows, times = kmer_runs(Packed(part.column(1)), k)
+                columns = [part.column(0).take(pa.array(rows)), pa.array(kmer.view(np.int64)), pa.array(times.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "kmer", "times"])
+
+    taken = words.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0)
+    held = taken.select("node", "words").mapInArrow(run, "node long, kmer long, times int")
+    often = stored(held.groupBy("kmer").agg(F.count("*").alias("n")).where("n > 1"), "kmer-counts")
+    # What comes before a run is what neither it nor a more frequent one holds.
+    after = Window.partitionBy("node").orderBy(F.col("n").desc(), F.col("kmer").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = held.join(often, "kmer").withColumn("rest", F.sum("times").over(after))
+    length, needed = needed_shared(F.col("n_words"), k, settings)
+    left = length - (F.greatest(F.col("n_words") - k + 1, F.lit(1)) - F.col("rest"))
+    rows = ranked.join(taken.select("node", "label", word_count().alias("n_words")), "node").withColumn("left", left).where("left > 0")
+    return rows.select("node", "label", "n_words", needed.alias("needed"), "kmer", F.least("times", "left").alias("times"))
+
 
-    # At most one row for each counter.
-    got = words.select("words").mapInArrow(run, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    rarity = np.zeros(1 << RARITY_BITS, np.int64)
-    rarity[got["slot"].to_numpy()] = got["n"].to_numpy()
-    return rarity
+def word_count() -> Column:
+    return (F.octet_length("words") / 4).cast("int")
 
 
-def rarest_kmers(words: DataFrame, k: int, shared, settings: Settings) -> DataFrame:
-    """(node, label, n_words, needed, kmer): the prefix of each text, its rarest labelled k-mers."""
+def signatures(words: DataFrame) -> DataFrame:
+    """(node, label, n_words, signature): of each bit's labelled words, whether their number is odd."""
 
     def run(batches):
         for batch in batches:
-            for part in bounded(batch, 2, BLOCK):
-                texts = Packed(part.column(2))
-                kmer, rows = labelled_kmers(texts, k)
-                order = np.lexsort((kmer, shared.value[rarity_slots(kmer)], rows))
-                kmer, rows = kmer[order], rows[order]
-                sizes = np.bincount(rows, minlength=part.num_rows)
-                length, needed = needed_shared(texts.counts, k, settings)
-                at = np.flatnonzero(np.arange(len(rows)) - np.repeat(np.cumsum(sizes) - sizes, sizes) < length[rows])
-                rows = rows[at]
-                columns = [part.column(i).take(pa.array(rows)) for i in (0, 1)]
-                columns += [pa.array(x[rows].astype(np.int32)) for x in (texts.counts, needed)] + [pa.array(kmer[at].view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["node", "label", "n_words", "needed", "kmer"])
+            for part in bounded(batch, 3, BLOCK):
+                word, rows = labelled_kmers(Packed(part.column(3)), 1)
+                bit = word % np.uint64(64 * SIGNATURE)
+                held = np.zeros((part.num_rows, SIGNATURE), np.uint64)
+                np.bitwise_xor.at(held, (rows, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+                offsets = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * SIGNATURE)
+                signature = pa.ListArray.from_arrays(offsets, pa.array(held.view(np.int64).ravel()))
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], signature], names=["node", "label", "n_words", "signature"])
 
-    return words.select("node", "label", "words").mapInArrow(run, "node long, label long, n_words int, needed int, kmer long")
+    rows = words.select("node", "label", word_count().alias("n_words"), "words")
+    return rows.mapInArrow(run, "node long, label long, n_words int, signature array<long>")
+
+
+def may_be_similar(n_a: Column, n_b: Column, settings: Settings) -> Column:
+    """Whether the columns ``signature_a`` and ``signature_b`` leave it open that texts of so many words are similar.
+
+    An edit changes one word of either text at most, or one of one text, and a word changes a bit at most.
+    """
+    one, two = F.col("signature_a"), F.col("signature_b")
+    differing = sum((F.bit_count(one[i].bitwiseXOR(two[i])) for i in range(SIGNATURE)), F.lit(0))
+    most = F.floor((1 - settings.similarity) * F.greatest(n_a, n_b) + 1e-9)
+    return differing <= 2 * most - F.abs(n_a - n_b)
 
 
 def exact_candidates(words: DataFrame, settings: Settings) -> DataFrame:
@@ -371,26 +407,45 @@ def exact_candidates(words: DataFrame, settings: Settings) -> DataFrame:
 
     ``words`` has (node, label, words). A prefix-filtered join: two similar texts have many words in common, and
     many pairs of words in a row, so each has some of them among its rarest. Words or pairs are taken by what makes
-    fewer pairs of texts on the texts that rarity is counted from; either is complete.
+    fewer pairs of classes on some texts; either is complete. First labels are joined, with as much of each run as
+    one of their nodes has, then the nodes of labels that share enough. So a class meets another text once for each
+    run, whatever the number of its nodes, and two nodes meet once.
     """
-    spark = words.sparkSession
-    share = max(1, words.count() // RARITY_TEXTS)
-    some = stored(words.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0), "rarity-texts")
+    share = max(1, words.count() // TRIED_TEXTS)
     best = None
     # Below 0.75, two similar texts of few words may have no pair of words in common.
     for k in (1, 2) if settings.similarity >= 0.75 else (1,):
-        shared = spark.sparkContext.broadcast(kmer_rarity(some, k))
-        often = rarest_kmers(some, k, shared, settings).groupBy("kmer").agg(F.count("*").alias("n"))
+        often = rarest_kmers(words, k, share, settings).select("kmer", "label").distinct().groupBy("kmer").agg(F.count("*").alias("n"))
         made = often.agg(F.sum(F.col("n") * (F.col("n") - 1.0))).first()[0] or 0.0
         if best is None or made < best[0]:
-            best = made, k, shared
-    _, k, shared = best
-    held = stored(rarest_kmers(words, k, shared, settings), "rarest-kmers")
-    one, two = (held.select("kmer", *[F.col(c).alias(f"{c}_{end}") for c in ("node", "label", "n_words", "needed")]) for end in "ab")
-    fits = F.least("n_words_a", "n_words_b") >= settings.similarity * F.greatest("n_words_a", "n_words_b") - 1e-9
-    met = one.join(two, "kmer").where((F.col("node_a") < F.col("node_b")) & (F.col("label_a") != F.col("label_b")) & fits)
-    met = met.select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), F.least("needed_a", "needed_b").alias("needed"))
-    return met.groupBy("a", "b").agg(F.count("*").alias("n"), F.max("needed").alias("needed")).where("n >= needed").select("a", "b")
+            best = made, k
+    nodes = stored(signatures(words), "signatures")
+    by_class = rarest_kmers(words, best[1], 1, settings).groupBy("kmer", "label")
+    held = by_class.agg(
+        *[F.max("times").alias("times"), F.min("needed").alias("needed"), F.min("n_words").alias("shortest"), F.max("n_words").alias("longest")],
+        *[F.count("*").alias("nodes"), F.min("node").alias("node")],
+    )
+    held = stored(held, "class-kmers")
+    several = held.groupBy("kmer").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("kmer")
+    held = held.join(stored(several, "mixed-kmers"), "kmer")
+    lone = held.where("nodes = 1").join(nodes.select("node", "signature"), "node")
+    held = stored(lone.unionByName(held.where("nodes > 1"), allowMissingColumns=True).drop("node"), "signed-kmers")
+
+    one, two = (held.select("kmer", *[F.col(c).alias(f"{c}_{end}") for c in held.columns if c != "kmer"]) for end in "ab")
+    least = settings.similarity
+    fits = (F.col("longest_a") >= least * F.col("shortest_b") - 1e-9) & (F.col("longest_b") >= least * F.col("shortest_a") - 1e-9)
+    near = F.coalesce(may_be_similar(F.col("longest_a"), F.col("longest_b"), settings), F.lit(True))
+    met = one.join(two, "kmer").where((F.col("label_a") < F.col("label_b")) & fits & near)
+    shared, needed = F.sum(F.least("times_a", "times_b")), F.min(F.least("needed_a", "needed_b"))
+    met = met.groupBy("label_a", "label_b").agg(shared.alias("shared"), needed.alias("needed"), (F.sum("nodes_a") <= F.sum("nodes_b")).alias("fewer"))
+    met = met.where("shared >= needed")
+    # The class that seems smaller is dealt out first.
+    met = met.select(F.expr("if(fewer, label_a, label_b)").alias("label_a"), F.expr("if(fewer, label_b, label_a)").alias("label_b"))
+
+    one, two = (nodes.select(*[F.col(c).alias(f"{c}_{end}") for c in nodes.columns]) for end in "ab")
+    fits = F.least("n_words_a", "n_words_b") >= least * F.greatest("n_words_a", "n_words_b") - 1e-9
+    pairs = met.join(one, "label_a").join(two, "label_b").where(fits & may_be_similar(F.col("n_words_a"), F.col("n_words_b"), settings))
+    return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
 
 
 def linked(pairs: DataFrame, words: DataFrame, settings: Settings) -> DataFrame:

@@ -234,3 +234,28 @@ def test_exact_candidates_hold_all_similar_pairs(spark, similarity, monkeypatch)
         monkeypatch.setattr(near, "rarest_kmers", lambda some, _, shared, s, k=k: real(some, k, shared, s))
         got = {(r["a"], r["b"]) for r in near.exact_candidates(words, settings).collect()}
         assert expected and expected <= got and len(got) < len(arrays) * (len(arrays) - 1) / 2
+
+
+def test_repeats_and_large_classes_meet_once_for_each_run(spark, monkeypatch):
+    """Texts that repeat two words up to a hundred times after words of their own, 60 of them in one class."""
+    pick = random.Random(29)
+    arrays = {}
+    for i in range(120):
+        own = [10 + pick.randrange(10**6) for _ in range(20 + i % 7)] + [pick.randrange(2, 9) for _ in range(20)]
+        arrays[i] = np.array(own + [0, 1] * pick.randrange(85, 100), np.uint32)
+    words = spark.createDataFrame([(i, min(i, 60) + 1000, a.tobytes()) for i, a in arrays.items()], "node long, label long, words binary")
+    held, real = [], near.stored
+
+    def seen(df, name):
+        out = real(df, name)
+        if {"kmer", "needed"} <= set(out.columns):
+            held.append(out)
+        return out
+
+    monkeypatch.setattr(near, "stored", seen)
+    got = {(r["a"], r["b"]) for r in near.exact_candidates(words, near.Settings()).collect()}
+    expected = {(i, j) for i in arrays for j in arrays if i < j and min(i, 60) != min(j, 60) and near.similar(arrays[i], arrays[j], 0.8)}
+    assert expected and expected <= got
+    often = held[-1].groupBy("kmer").count()
+    met = often.agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0]
+    assert met <= 12 * 61 * 60 / 2

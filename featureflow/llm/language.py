@@ -24,6 +24,8 @@ from featureflow.llm.common import add_columns, bounded, stored
 WORDS = re.compile(r"[^\W\d_]+").findall
 EDGE = " "
 UNDETERMINED = "und"
+#: Bytes of text that are worked on at once.
+BLOCK = 1 << 20
 
 OUTPUT = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
@@ -50,6 +52,27 @@ class Model:
     scores: list[dict[str, np.ndarray]]
 
 
+@dataclass(frozen=True)
+class Tables:
+    """A model as the workers get it: one matrix, and its row for each entry, in place of an array for each entry."""
+
+    settings: Settings
+    languages: list[str]
+    rows: list[dict[str, int]]
+    #: The last row is that of words without a known n-gram.
+    matrix: np.ndarray
+
+
+def tables_of(model: Model) -> Tables:
+    begins = np.cumsum([0, *map(len, model.scores)]).tolist()
+    rows = [{g: begin + i for i, g in enumerate(table)} for begin, table in zip(begins, model.scores)]
+    matrix = np.full((begins[-1] + 1, len(model.languages)), model.settings.penalty)
+    for begin, table in zip(begins, model.scores):
+        if table:
+            matrix[begin : begin + len(table)] = np.array(list(table.values()))
+    return Tables(model.settings, model.languages, rows, matrix)
+
+
 def words_of(text: str | None) -> list[str]:
     return WORDS(text.lower()) if text else []
 
@@ -61,7 +84,7 @@ def word_counts(docs: DataFrame, settings: Settings) -> DataFrame:
         counts: dict[str, Counter] = {}
         size = 0
         for batch in batches:
-            for part in bounded(batch, 1):
+            for part in bounded(batch, 1, BLOCK):
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     own = counts.setdefault(lang, Counter())
                     before = len(own)
@@ -113,21 +136,14 @@ def fit(docs: DataFrame, train: Column | None = None, settings: Settings = Setti
 class Scorer:
     """Scores of runs between white space, remembered for those met last.
 
-    A run's score is the sum over its words; the model's tables are laid into one matrix, so that the
-    sums of many new runs are taken at once.
+    A run's score is the sum over its words; with the model's tables in one matrix, the sums of many new
+    runs are taken at once. All scorers of a worker share the tables.
     """
 
-    def __init__(self, model: Model, remembered: int = 300_000):
-        self.model = model
+    def __init__(self, model: Model | Tables, remembered: int = 300_000):
+        self.model = model if isinstance(model, Tables) else tables_of(model)
         self.remembered = remembered
-        self.row_of_entry = [{g: i for i, g in enumerate(table)} for table in model.scores]
-        tables = [np.array(list(t.values())).reshape(len(t), len(model.languages)) for t in model.scores]
-        begins = np.cumsum([0, *map(len, model.scores)])
-        for begin, rows in zip(begins, self.row_of_entry):
-            for entry in rows:
-                rows[entry] += int(begin)
-        unknown = np.full((1, len(model.languages)), model.settings.penalty)
-        self.matrix = np.concatenate([*tables, unknown])
+        self.row_of_entry, self.matrix = self.model.rows, self.model.matrix
         self.chunk_of: dict[str, int] = {}
         self.sums = np.zeros((0, len(model.languages)))
         self.words = np.zeros(0)
@@ -209,6 +225,6 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     Columns already named like the new ones are replaced.
     """
     # Bounded by the settings and the number of languages.
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(tables_of(model))
 
-    return add_columns(docs, text, OUTPUT, lambda: Scorer(shared.value).texts)
+    return add_columns(docs, text, OUTPUT, lambda: Scorer(shared.value).texts, BLOCK)

@@ -1,3 +1,8 @@
+import pickle
+import tracemalloc
+
+import numpy as np
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from featureflow.llm import language
@@ -59,3 +64,22 @@ def test_empty_tables(spark):
     assert none.languages == []
     assert {r["lang_pred"] for r in language.identify(corpus(spark), none).collect()} == {"und"}
     assert language.identify(documents(spark, []), language.fit(corpus(spark))).count() == 0
+
+
+def test_workers_hold_one_matrix(spark, monkeypatch):
+    """What a worker unpacks takes little more than its words, not an array for each."""
+    sent, real = [], SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append(value) or real(self, value))
+    words = {f"word{i}": np.array([-7.0, -i / 1e5, -1.0], np.float32) for i in range(30_000)}
+    model = language.Model(language.Settings(), ["de", "en", "fr"], [words, {}, {}, {}, {}, {}])
+    language.identify(documents(spark), model)
+    packed = pickle.dumps(sent[0])
+    tracemalloc.start()
+    held = pickle.loads(packed)
+    one = language.Scorer(held)
+    before = tracemalloc.get_traced_memory()[0]
+    two = language.Scorer(held)
+    after = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert before < 300 * len(words) and after - before < 10_000
+    assert one.texts(["word5 word6 none"]) == two.texts(["word5 word6 none"]) == language.Scorer(model).texts(["word5 word6 none"])

@@ -41,8 +41,9 @@ BLOCK = 1 << 20
 MAP_BITS = 25
 #: Texts on which words and pairs of words are tried before one of them is chosen; either is exact.
 TRIED_TEXTS = 4096
-#: Longs of a signature.
-SIGNATURE = 16
+#: Longs of a signature. The bits should be some times the words in which two texts of common length differ: what
+#: falls on one bit twice is not seen.
+SIGNATURE = 32
 
 
 @dataclass(frozen=True)
@@ -346,8 +347,10 @@ def kmer_runs(words: Words, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 def rarest_kmers(words: DataFrame, k: int, share: int, settings: Settings) -> DataFrame:
     """(node, label, n_words, needed, kmer, times): the prefix of each text, its rarest runs of k-mers and how much of them.
 
-    Rarity is the number of texts that hold a run, counted over all that are taken: every ``share``-th. Runs of one
-    text alone come first in its prefix, and as they meet nothing, only their number is needed.
+    Rarest is what makes the fewest pairs of texts for each k-mer of the prefixes it fills, counted over all texts
+    that are taken: every ``share``-th. So a long run, such as a line repeated throughout, comes before the same
+    line's short ones, and fills with one meeting what they would with several. Runs of one text alone come first in
+    its prefix, and as they meet nothing, only their number is needed.
     """
 
     def run(batches):
@@ -359,9 +362,10 @@ def rarest_kmers(words: DataFrame, k: int, share: int, settings: Settings) -> Da
 
     taken = words.where(F.pmod(F.xxhash64("node"), F.lit(share)) == 0)
     held = taken.select("node", "words").mapInArrow(run, "node long, kmer long, times int")
-    often = stored(held.groupBy("kmer").agg(F.count("*").alias("n")).where("n > 1"), "kmer-counts")
-    # What comes before a run is what neither it nor a more frequent one holds.
-    after = Window.partitionBy("node").orderBy(F.col("n").desc(), F.col("kmer").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    often = held.groupBy("kmer").agg(F.count("*").alias("n"), F.sum("times").alias("held")).where("n > 1")
+    often = stored(often.select("kmer", (F.col("n") * F.col("n") / F.col("held")).alias("cost")), "kmer-counts")
+    # What comes before a run is what neither it nor one of more cost holds.
+    after = Window.partitionBy("node").orderBy(F.col("cost").desc(), F.col("kmer").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = held.join(often, "kmer").withColumn("rest", F.sum("times").over(after))
     length, needed = needed_shared(F.col("n_words"), k, settings)
     left = length - (F.greatest(F.col("n_words") - k + 1, F.lit(1)) - F.col("rest"))
@@ -391,15 +395,30 @@ def signatures(words: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "node long, label long, n_words int, signature array<long>")
 
 
-def may_be_similar(n_a: Column, n_b: Column, settings: Settings) -> Column:
-    """Whether the columns ``signature_a`` and ``signature_b`` leave it open that texts of so many words are similar.
+def differing_bits(a: str, b: str) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n)
+
+
+def may_be_similar(longest: Column, apart: Column, settings: Settings) -> Column:
+    """Whether the columns ``signature_a`` and ``signature_b`` leave it open that texts are similar whose lengths are ``apart``.
 
     An edit changes one word of either text at most, or one of one text, and a word changes a bit at most.
     """
-    one, two = F.col("signature_a"), F.col("signature_b")
-    differing = sum((F.bit_count(one[i].bitwiseXOR(two[i])) for i in range(SIGNATURE)), F.lit(0))
-    most = F.floor((1 - settings.similarity) * F.greatest(n_a, n_b) + 1e-9)
-    return differing <= 2 * most - F.abs(n_a - n_b)
+    most = F.floor((1 - settings.similarity) * longest + 1e-9)
+    return differing_bits("signature_a", "signature_b") <= 2 * most - apart
+
+
+def class_signatures(nodes: DataFrame) -> DataFrame:
+    """(label, signature, radius): the first node's signature of each class and the most bits that another's differs from it.
+
+    So nodes of two classes differ in as many bits as these signatures, less both radii, at least.
+    """
+    lead = nodes.groupBy("label").agg(F.min("node").alias("node"), F.count("*").alias("size"))
+    lead = stored(lead.join(nodes.select("node", "signature"), "node").select("label", "node", "signature", "size"), "class-leads")
+    several = lead.where("size > 1").select("label", F.col("node").alias("lead"), F.col("signature").alias("signature_a"))
+    others = nodes.select("label", "node", F.col("signature").alias("signature_b")).join(several, "label").where("node <> lead")
+    radius = others.groupBy("label").agg(F.max(differing_bits("signature_a", "signature_b")).alias("radius"))
+    return lead.join(radius, "label", "left").select("label", "signature", F.coalesce("radius", F.lit(0)).alias("radius"))
 
 
 def exact_candidates(words: DataFrame, settings: Settings) -> DataFrame:
@@ -423,18 +442,19 @@ def exact_candidates(words: DataFrame, settings: Settings) -> DataFrame:
     by_class = rarest_kmers(words, best[1], 1, settings).groupBy("kmer", "label")
     held = by_class.agg(
         *[F.max("times").alias("times"), F.min("needed").alias("needed"), F.min("n_words").alias("shortest"), F.max("n_words").alias("longest")],
-        *[F.count("*").alias("nodes"), F.min("node").alias("node")],
+        F.count("*").alias("nodes"),
     )
     held = stored(held, "class-kmers")
     several = held.groupBy("kmer").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("kmer")
     held = held.join(stored(several, "mixed-kmers"), "kmer")
-    lone = held.where("nodes = 1").join(nodes.select("node", "signature"), "node")
-    held = stored(lone.unionByName(held.where("nodes > 1"), allowMissingColumns=True).drop("node"), "signed-kmers")
+    held = stored(held.join(class_signatures(nodes), "label"), "signed-kmers")
 
     one, two = (held.select("kmer", *[F.col(c).alias(f"{c}_{end}") for c in held.columns if c != "kmer"]) for end in "ab")
     least = settings.similarity
     fits = (F.col("longest_a") >= least * F.col("shortest_b") - 1e-9) & (F.col("longest_b") >= least * F.col("shortest_a") - 1e-9)
-    near = F.coalesce(may_be_similar(F.col("longest_a"), F.col("longest_b"), settings), F.lit(True))
+    # Signatures that are apart by so much more than the radii leave no two nodes of the classes similar.
+    apart = F.greatest(F.col("shortest_a") - F.col("longest_b"), F.col("shortest_b") - F.col("longest_a"), F.lit(0))
+    near = may_be_similar(F.greatest("longest_a", "longest_b"), apart - F.col("radius_a") - F.col("radius_b"), settings)
     met = one.join(two, "kmer").where((F.col("label_a") < F.col("label_b")) & fits & near)
     shared, needed = F.sum(F.least("times_a", "times_b")), F.min(F.least("needed_a", "needed_b"))
     met = met.groupBy("label_a", "label_b").agg(shared.alias("shared"), needed.alias("needed"), (F.sum("nodes_a") <= F.sum("nodes_b")).alias("fewer"))
@@ -444,7 +464,8 @@ def exact_candidates(words: DataFrame, settings: Settings) -> DataFrame:
 
     one, two = (nodes.select(*[F.col(c).alias(f"{c}_{end}") for c in nodes.columns]) for end in "ab")
     fits = F.least("n_words_a", "n_words_b") >= least * F.greatest("n_words_a", "n_words_b") - 1e-9
-    pairs = met.join(one, "label_a").join(two, "label_b").where(fits & may_be_similar(F.col("n_words_a"), F.col("n_words_b"), settings))
+    near = may_be_similar(F.greatest("n_words_a", "n_words_b"), F.abs(F.col("n_words_a") - F.col("n_words_b")), settings)
+    pairs = met.join(one, "label_a").join(two, "label_b").where(fits & near)
     return pairs.select(F.least("node_a", "node_b").alias("a"), F.greatest("node_a", "node_b").alias("b"))
 
 

@@ -259,3 +259,53 @@ def test_repeats_and_large_classes_meet_once_for_each_run(spark, monkeypatch):
     often = held[-1].groupBy("kmer").count()
     met = often.agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0]
     assert met <= 12 * 61 * 60 / 2
+
+
+def repeating_texts(n):
+    """Texts of 780 words, 550 of them two words in turn; every tenth is like the one before."""
+    pick = random.Random(31)
+    arrays = {}
+    for i in range(n):
+        own = [2 + pick.randrange(2000) for _ in range(230)]
+        if i % 10 == 9:
+            own = list(arrays[i - 1][:230])
+            for at in pick.sample(range(230), 40):
+                own[at] = 3000 + pick.randrange(10**6)
+        arrays[i] = np.array(own + [0, 1] * 275, np.uint32)
+    return arrays
+
+
+def test_repeats_that_fill_most_of_a_text_make_few_pairs(spark, monkeypatch):
+    """Long runs stand for the short ones of the same words, and signatures tell the rest of the texts apart."""
+    arrays = repeating_texts(120)
+    words = spark.createDataFrame([(i, i // 2 if i % 20 > 15 else 100 + i, a.tobytes()) for i, a in arrays.items()], "node long, label long, words binary")
+    labels = {r["node"]: r["label"] for r in words.collect()}
+    held, real, ranked = [], near.stored, near.rarest_kmers
+
+    def seen(df, name):
+        out = real(df, name)
+        if {"kmer", "needed"} <= set(out.columns):
+            held.append(out)
+        return out
+
+    monkeypatch.setattr(near, "stored", seen)
+    monkeypatch.setattr(near, "rarest_kmers", lambda some, _, shared, s: ranked(some, 2, shared, s))
+    got = {(r["a"], r["b"]) for r in near.exact_candidates(words, near.Settings()).collect()}
+    pairs = [(i, j) for i in arrays for j in arrays if i < j and labels[i] != labels[j]]
+    expected = {(i, j) for i, j in pairs if near.similar(arrays[i], arrays[j], 0.8)}
+    assert expected and expected <= got
+    assert len(got) < len(expected) + len(pairs) / 4
+    met = held[-1].groupBy("kmer").count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0]
+    assert met < 4 * len(pairs)
+
+
+def test_class_signatures_bound_all_members(spark):
+    arrays = repeating_texts(40)
+    rows = [(i, i % 7 if i < 30 else i, a.tobytes()) for i, a in arrays.items()]
+    nodes = near.signatures(spark.createDataFrame(rows, "node long, label long, words binary")).collect()
+    found = near.class_signatures(spark.createDataFrame(nodes, "node long, label long, n_words int, signature array<long>")).collect()
+    classes = {r["label"]: r for r in found}
+    assert len(classes) == len(found) == 17
+    bits = lambda a, b: sum(bin((x ^ y) & (2**64 - 1)).count("1") for x, y in zip(a, b))
+    apart = {k: [bits(c["signature"], r["signature"]) for r in nodes if r["label"] == k] for k, c in classes.items()}
+    assert all(max(apart[k]) == c["radius"] and min(apart[k]) == 0 for k, c in classes.items())

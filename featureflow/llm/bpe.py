@@ -29,8 +29,8 @@ from featureflow.llm.common import add_columns, bounded, fresh
 
 WORD_END = "</w>"
 #: Bytes of chunks between white space kept ready per worker, in each of two generations, and the bytes
-#: that an entry takes besides its characters.
-CACHE_BYTES, ENTRY_BYTES = 64 << 20, 330
+#: that an entry takes besides its characters. Workers are reused, so later stages run beside what is kept.
+CACHE_BYTES, ENTRY_BYTES = 16 << 20, 330
 #: Text handled at once, in bytes.
 BLOCK = 1 << 20
 #: Pairs of tokens whose test is remembered per worker.

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from featureflow.llm.common import add_columns, bounded, stored
 
 #: Text handled at once, in bytes; its n-grams take some two hundred times as much for a moment.
-BLOCK = 512 << 10
+BLOCK = 128 << 10
 
 
 @dataclass(frozen=True)
@@ -150,7 +150,7 @@ def features(texts: DataFrame, ratios: np.ndarray, settings: Settings) -> pa.Tab
         return found
 
     fields = T.StructType([T.StructField("_counters", T.BinaryType())])
-    return add_columns(texts.where("fitted"), "text", fields, make).select("y", "_counters").toArrow()
+    return add_columns(texts.where("fitted"), "text", fields, make, BLOCK).select("y", "_counters").toArrow()
 
 
 def regression(sample: pa.Table, ratios: np.ndarray, texts: np.ndarray, settings: Settings) -> tuple[np.ndarray, float]:
@@ -215,16 +215,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", column: str = "scor
         taking = weights != 0
 
         def scores(values: list) -> list:
-            z = np.full(len(values), bias)
-            first, length = 0, 0
-            for k, value in enumerate([*values, None]):
-                length += len(value or "")
-                if k == len(values) or length > BLOCK:
-                    row, counter = once_per_text(*grams(values[first : k + 1], settings, taking), settings.bits)
-                    z[first : k + 1] += np.bincount(row, weights[counter], minlength=len(values[first : k + 1]))
-                    first, length = k + 1, 0
+            row, counter = once_per_text(*grams(values, settings, taking), settings.bits)
+            z = bias + np.bincount(row, weights[counter], minlength=len(values))
             return [1 / (1 + np.exp(-np.clip(z, -40, 40)))]
 
         return scores
 
-    return add_columns(docs, text, T.StructType([T.StructField(column, T.DoubleType())]), make)
+    return add_columns(docs, text, T.StructType([T.StructField(column, T.DoubleType())]), make, BLOCK)

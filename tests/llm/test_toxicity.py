@@ -1,10 +1,13 @@
 import math
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from featureflow.llm import toxicity
+from featureflow.llm.common import bounded
 from tests.llm.cases import TEXTS, documents
 
 GOOD = "river stone garden morning window letter market song winter bread".split()
@@ -130,3 +133,17 @@ def test_scores_against_plain_python(spark):
     got = {r["doc_id"]: r["score"] for r in toxicity.score(documents(spark, more), model, column="score").collect()}
     expected = plain_scores([(t, y) for (_, t), (_, _, y) in zip(rows, labels)], [t for _, t in more], settings)
     assert [got[i] for i, _ in more] == pytest.approx(expected, abs=1e-6)
+
+
+def test_counting_takes_little_memory():
+    """Tasks share a machine with other tasks, so what a worker takes for a moment is bounded."""
+    pick = random.Random(5)
+    texts = [" ".join(f"w{pick.randrange(10**6)}" for _ in range(300)) for _ in range(400)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    settings = toxicity.Settings()
+    tracemalloc.start()
+    for part in bounded(batch, 0, toxicity.BLOCK):
+        toxicity.once_per_text(*toxicity.grams(part.column(0).to_pylist(), settings), settings.bits)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20
